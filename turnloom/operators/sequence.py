@@ -51,9 +51,8 @@ def role_runs(turns: DataFrame) -> DataFrame:
     """Gaps-and-islands. ``rid`` numbers maximal same-role runs from 1; ``is_head``
     marks the first turn of a run."""
     head = F.coalesce(F.col("role") != F.lag("role").over(_conv()), F.lit(True))
-    return turns.withColumn("is_head", head).withColumn(
-        "rid", F.sum(F.col("is_head").cast("int")).over(_conv().rowsBetween(Window.unboundedPreceding, 0))
-    )
+    rid = F.sum(F.col("is_head").cast("int")).over(_conv().rowsBetween(Window.unboundedPreceding, 0))
+    return turns.withColumn("is_head", head).withColumn("rid", rid.cast("int"))
 
 
 def merge_runs(runs: DataFrame) -> DataFrame:

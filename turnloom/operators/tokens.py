@@ -13,6 +13,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..session import ship_by_value
+
 # Reserved ids and the turn markers (each marker is one token).
 SPECIAL_TOKENS = ["<pad>", "<eos>", "<bos>", "<unk>", "<start_of_turn>", "<end_of_turn>"]
 PAD_ID, EOS_ID, BOS_ID, UNK_ID = 0, 1, 2, 3
@@ -69,6 +71,8 @@ def encode_with(df: DataFrame, tokenizer_factory: Callable[[], Callable[[list[st
     """T5 with a user tokenizer: ``tokenizer_factory()`` is called once per task and
     must map a batch of strings to lists of ids (Arrow batches, no per-row calls)."""
 
+    ship_by_value(__name__)
+
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def _enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tok = tokenizer_factory()
@@ -96,7 +100,8 @@ def pad(df: DataFrame, max_length: int = MAX_LENGTH, pad_id: int | None = PAD_ID
         ids, mask = F.concat(col, pads), F.concat(ones, zeros)
     else:
         ids, mask = F.concat(pads, col), F.concat(zeros, ones)
-    return df.withColumn(col, ids).withColumn("attention_mask", mask)
+    # one projection: the mask must see the unpadded ids
+    return df.withColumns({col: ids, "attention_mask": mask})
 
 
 def mask_labels(df: DataFrame, pad_id: int | None = PAD_ID, eos_id: int = EOS_ID, ignore: int = IGNORE_INDEX, col: str = "input_ids") -> DataFrame:

@@ -54,3 +54,21 @@ def eval_events(events: DataFrame) -> DataFrame:
         F.row_number().over(w).cast("long").alias("step"),
         F.col("value").alias("eval_loss"),
     )
+
+
+# How event types stand in for trainer log metrics.
+METRIC_OF_EVENT = {"view": "loss", "click": "grad_norm", "purchase": "eval_loss", "error": "learning_rate", "signup": "epoch"}
+
+
+def run_metrics(events: DataFrame) -> DataFrame:
+    """A trainer-log long table ``(run_id, step, metric, value)`` from ``events``."""
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    metric = None
+    for k, v in METRIC_OF_EVENT.items():
+        metric = F.when(F.col("event_type") == k, F.lit(v)) if metric is None else metric.when(F.col("event_type") == k, F.lit(v))
+    return events.select(
+        F.col("user_id").alias("run_id"),
+        F.row_number().over(w).cast("long").alias("step"),
+        metric.alias("metric"),
+        F.col("value").alias("value"),
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,3 +53,16 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage by writing ``df`` to the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_by_value(module_name: str) -> None:
+    """Pickle functions of ``module_name`` by value so Python workers need no install
+    of this package (the usual alternative is ``addPyFile`` of a wheel/zip)."""
+    from pyspark import cloudpickle
+
+    mod = sys.modules.get(module_name)
+    if mod is not None:
+        try:
+            cloudpickle.register_pickle_by_value(mod)
+        except ValueError:
+            pass
