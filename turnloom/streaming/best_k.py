@@ -62,7 +62,13 @@ def best_k_processor(keys: Sequence[str], k: int):
 
 
 def best_k_stream(events: DataFrame, k: int = 2, keys: Sequence[str] = ("run_id",)) -> DataFrame:
-    """Streaming (or batch) events ``(keys..., step, eval_loss)`` -> decisions."""
+    """Streaming events ``(keys..., step, eval_loss)`` -> decisions with pruned steps.
+
+    A batch DataFrame gets the same output from the relational operators (M1+M2),
+    which split large runs into blocks instead of holding a run in one group.
+    """
+    if not events.isStreaming:
+        return _batch_equivalent(events, k, list(keys))
     key_fields = [events.schema[c] for c in keys]
     out = T.StructType(
         [T.StructField(f.name, f.dataType) for f in key_fields]
@@ -79,6 +85,27 @@ def best_k_stream(events: DataFrame, k: int = 2, keys: Sequence[str] = ("run_id"
     )
 
 
+def _batch_equivalent(events: DataFrame, k: int, keys: list[str]) -> DataFrame:
+    from ..operators.checkpoints import best_k_decisions, best_k_prunes
+
+    ev = events
+    if keys != ["run_id"]:
+        ev = events.withColumn("run_id", F.struct(*keys))
+    dec = best_k_decisions(ev, k).select("run_id", "step", "eval_loss", "saved")
+    pr = (
+        best_k_prunes(ev, k)
+        .where(F.col("pruned_at_step").isNotNull())
+        .groupBy("run_id", F.col("pruned_at_step").alias("step"))
+        .agg(F.array_sort(F.collect_list(F.col("step").cast("long"))).alias("pruned_steps"))
+    )
+    out = dec.join(pr, ["run_id", "step"], "left").withColumn(
+        "pruned_steps", F.coalesce("pruned_steps", F.array().cast("array<bigint>"))
+    )
+    if keys != ["run_id"]:
+        out = out.select(*[F.col("run_id")[c].alias(c) for c in keys], "step", "eval_loss", "saved", "pruned_steps")
+    return out
+
+
 def replay_best_k(spark: SparkSession, events: DataFrame, k: int = 2, batches: int = 4) -> DataFrame:
     """Feed a finished event table through the stream as ``batches`` step-ordered file
     drops (one micro-batch each, ``availableNow``) and return the decisions.
