@@ -61,6 +61,9 @@ def best_k_decisions(events: DataFrame, k: int = 2, block_size: int = BLOCK_SIZE
         F.struct(F.col("eval_loss").alias("loss"), F.col("step").cast("long").alias("step")).alias("v"),
         F.floor(F.col("step") / F.lit(block_size)).alias("block"),
     )
+    # hash on (run, block) explicitly: input clustered by run alone would satisfy the
+    # window and put a huge run back into one task
+    ev = ev.repartition("run_id", "block")
     ev, e_cols = _prefix_smallest(ev, ["run_id", "block"], ["step"], k, "v", "_e")
     ev = ev.withColumn("_inblock", F.array(*e_cols)).drop(*e_cols)
     incl = F.slice(_nonnull_sorted(F.concat("_inblock", F.array("v"))), 1, k)

@@ -17,6 +17,8 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import materialize
+
 KEY = "shuffle_key"
 TIE = "sample_id"
 # Above this many rows a top-k (TakeOrderedAndProject) is replaced by radix select.
@@ -73,6 +75,13 @@ def kth_key(df: DataFrame, k: int) -> tuple[str, str] | None:
         return rows[-1][KEY], rows[-1][TIE]
 
 
+def order_keys(samples: DataFrame) -> DataFrame:
+    """The narrow ``(shuffle_key, sample_id)`` table, written once to the shared
+    checkpoint folder: the threshold passes then re-read ~70 bytes per row instead
+    of recomputing the sample pipeline."""
+    return materialize(samples.select(KEY, TIE))
+
+
 def _upto(df: DataFrame, bound: tuple[str, str] | None) -> F.Column:
     if bound is None:
         return F.lit(False)
@@ -89,10 +98,10 @@ def cap(samples: DataFrame, max_samples: int | None) -> DataFrame:
         raise ValueError("max_samples must be >= 0 (0 or None = no cap)")
     if not max_samples:
         return samples
-    n = samples.count()
-    if n <= max_samples:
+    keys = order_keys(samples)
+    if keys.count() <= max_samples:
         return samples
-    return samples.where(_upto(samples, kth_key(samples, max_samples)))
+    return samples.where(_upto(samples, kth_key(keys, max_samples)))
 
 
 def eval_size(n: int, percent: float) -> int:
@@ -109,11 +118,12 @@ def split(samples: DataFrame, percent: float = 5, max_samples: int | None = None
     """
     if max_samples is not None and max_samples < 0:
         raise ValueError("max_samples must be >= 0 (0 or None = no cap)")
-    n_all = samples.count()
+    keys = order_keys(samples)
+    n_all = keys.count()
     n = min(n_all, max_samples) if max_samples else n_all
-    cap_bound = kth_key(samples, n) if n < n_all else None
+    cap_bound = kth_key(keys, n) if n < n_all else None
     k = eval_size(n, percent)
-    eval_bound = kth_key(samples, k) if k > 0 else None
+    eval_bound = kth_key(keys, k) if k > 0 else None
     in_cap = _upto(samples, cap_bound) if cap_bound is not None else F.lit(True)
     in_eval = _upto(samples, eval_bound)
     train = samples.where(in_cap & ~in_eval)
@@ -123,8 +133,8 @@ def split(samples: DataFrame, percent: float = 5, max_samples: int | None = None
 
 def eval_subsample(evl: DataFrame, n: int = 200, seed: int = 42, id_col: str = TIE) -> DataFrame:
     """More than ``n`` eval rows -> a fixed seeded subset of ``n``; else unchanged."""
-    total = evl.count()
-    if total <= n:
-        return evl
     keyed = shuffled(evl.drop(KEY) if KEY in evl.columns else evl, seed, id_col)
-    return keyed.where(_upto(keyed, kth_key(keyed, n)))
+    keys = order_keys(keyed)
+    if keys.count() <= n:
+        return evl
+    return keyed.where(_upto(keyed, kth_key(keys, n)))

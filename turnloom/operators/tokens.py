@@ -53,18 +53,49 @@ def build_vocab(texts: DataFrame, size: int = 32_000, text_col: str = "text") ->
     return specials.unionByName(ranked)
 
 
-def encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", out: str = "input_ids", add_bos: bool = True) -> DataFrame:
-    """T5: text -> ``input_ids``; unknown tokens -> ``<unk>``.
+def vocab_broadcast(vocab: DataFrame):
+    """Collect a vocabulary (size-checked against ``MAX_VOCAB``) into a broadcast."""
+    rows = vocab.select("token", "id").limit(MAX_VOCAB + 1).collect()
+    if len(rows) > MAX_VOCAB:
+        raise ValueError(f"vocabulary has more than {MAX_VOCAB} entries (the broadcast limit)")
+    return vocab.sparkSession.sparkContext.broadcast(([r.token for r in rows], [r.id for r in rows]))
 
-    The vocabulary (bounded by ``build_vocab``'s size check) becomes one map value
-    through a scalar subquery that Spark evaluates once and ships with the tasks:
-    the encode itself is a narrow projection, no join and no shuffle.
+
+def _lookup_udf(bc, unk: int):
+    ship_by_value(__name__)
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def lookup(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import numpy as np
+
+        tokens, ids = bc.value
+        index = pd.Index(tokens)
+        id_arr = np.asarray(ids, dtype=np.int32)
+        for s in batches:
+            arrs = [a if a is not None else np.empty(0, dtype=object) for a in s]
+            lens = np.fromiter((len(a) for a in arrs), dtype=np.int64, count=len(arrs))
+            flat = np.concatenate(arrs) if len(arrs) and lens.sum() else np.empty(0, dtype=object)
+            pos = index.get_indexer(flat)
+            out = np.where(pos >= 0, id_arr[pos], unk).astype(np.int32)
+            yield pd.Series(np.split(out, np.cumsum(lens)[:-1]) if len(arrs) else [])
+
+    return lookup
+
+
+def encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", out: str = "input_ids", add_bos: bool = True, max_length: int | None = None) -> DataFrame:
+    """T5 (+T6): text -> ``input_ids``; unknown tokens -> ``<unk>``.
+
+    Tokenising is a JVM regex; the id lookup runs on Arrow batches against a hash
+    index of the broadcast vocabulary (Spark's own map lookup scans keys
+    linearly). With ``max_length`` the token list is cut before the lookup.
     """
-    vmap = vocab.select(F.map_from_entries(F.collect_list(F.struct("token", "id")))).scalar()
-    ids = F.transform(tokenize(text_col), lambda t: F.coalesce(F.try_element_at(F.col("_vocab"), t), F.lit(UNK_ID)))
+    toks = tokenize(text_col)
+    if max_length is not None:
+        toks = F.slice(toks, 1, max(0, max_length - (1 if add_bos else 0)))
+    ids = _lookup_udf(vocab_broadcast(vocab), UNK_ID)(toks)
     if add_bos:
         ids = F.concat(F.array(F.lit(BOS_ID)), ids)
-    return df.withColumn("_vocab", vmap).withColumn(out, ids).drop("_vocab")
+    return df.withColumn(out, ids)
 
 
 def encode_with(df: DataFrame, tokenizer_factory: Callable[[], Callable[[list[str]], list[list[int]]]], text_col: str = "text", out: str = "input_ids") -> DataFrame:
@@ -112,7 +143,7 @@ def mask_labels(df: DataFrame, pad_id: int | None = PAD_ID, eos_id: int = EOS_ID
 
 def model_inputs(df: DataFrame, vocab: DataFrame, text_col: str = "text", max_length: int = MAX_LENGTH, pad_id: int | None = PAD_ID, side: str = "right") -> DataFrame:
     """T5-T8 in order: encode, truncate, pad, mask."""
-    enc = encode(df, vocab, text_col)
+    enc = encode(df, vocab, text_col, max_length=max_length)
     return mask_labels(pad(truncate(enc, max_length), max_length, pad_id, side=side), pad_id)
 
 

@@ -28,7 +28,9 @@ def value_text(value: F.Column) -> F.Column:
 def events_as_dialogue(events: DataFrame) -> DataFrame:
     """Raw dialogue turns ``(conv_id, turn, role, content)`` from ``events``; content
     is '' for blank turns so blank handling can be applied per mode."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    # number turns with a window keyed by the *output* column, so the run window
+    # downstream (also on conv_id) reuses this exchange instead of adding one
+    w = Window.partitionBy("conv_id").orderBy("ts", "event_id")
     role = (
         F.when(F.col("event_type").isin(*USER_EVENTS), F.lit("user"))
         .when(F.col("event_type").isin(*MODEL_EVENTS), F.lit("model"))
@@ -37,22 +39,17 @@ def events_as_dialogue(events: DataFrame) -> DataFrame:
         F.concat(F.col("event_type"), F.lit(":"), value_text(F.col("value")))
     )
     return (
-        events.select(
-            F.col("user_id").alias("conv_id"),
-            (F.row_number().over(w) - 1).cast("long").alias("turn"),
-            role.alias("role"),
-            text.alias("content"),
-        ).where(F.col("role").isNotNull())
+        events.select(F.col("user_id").alias("conv_id"), "ts", "event_id", role.alias("role"), text.alias("content"))
+        .select("conv_id", (F.row_number().over(w) - 1).cast("long").alias("turn"), "role", "content")
+        .where(F.col("role").isNotNull())
     )
 
 
 def eval_events(events: DataFrame) -> DataFrame:
     """Evaluation events ``(run_id, step, eval_loss)``: run = user, step = 1-based order."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return events.select(
-        F.col("user_id").alias("run_id"),
-        F.row_number().over(w).cast("long").alias("step"),
-        F.col("value").alias("eval_loss"),
+    w = Window.partitionBy("run_id").orderBy("ts", "event_id")
+    return events.select(F.col("user_id").alias("run_id"), "ts", "event_id", "value").select(
+        "run_id", F.row_number().over(w).cast("long").alias("step"), F.col("value").alias("eval_loss")
     )
 
 
