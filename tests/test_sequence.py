@@ -146,3 +146,28 @@ def test_partition_count_invariance(spark):
     a = conversational_samples(t).select("conv_id", "method", "start_idx", "n_msgs")
     b = conversational_samples(t.repartition(7)).select("conv_id", "method", "start_idx", "n_msgs")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("mode", ["observed", "raw"])
+def test_spread_plan_equals_conversation_plan(spark, mode):
+    from .conftest import SF
+    from turnloom.operators.spread import spread_samples
+    from turnloom.plans.adapters import events_as_dialogue, table
+
+    t = fill_blank(events_as_dialogue(table(spark, SF["0.001"], "events")))
+    cols = ["conv_id", "method", "method_ord", "start_idx", "n_msgs", "messages"]
+    a = conversational_samples(t, pair_mode=mode, strategy="conversation").select(cols)
+    b = spread_samples(t, pair_mode=mode, block_size=3).select(cols)
+    assert a.count() == 645 - (14 if mode == "raw" else 0)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_auto_routes_hot_conversations(spark):
+    from .conftest import SF
+    from turnloom.plans.adapters import events_as_dialogue, table
+
+    t = fill_blank(events_as_dialogue(table(spark, SF["0.001"], "events")))
+    cols = ["conv_id", "method", "start_idx", "n_msgs", "messages"]
+    a = conversational_samples(t, strategy="conversation").select(cols)
+    b = conversational_samples(t, hot_turns=60).select(cols)  # some users exceed 60 turns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
