@@ -171,3 +171,22 @@ def test_auto_routes_hot_conversations(spark):
     a = conversational_samples(t, strategy="conversation").select(cols)
     b = conversational_samples(t, hot_turns=60).select(cols)  # some users exceed 60 turns
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_instruct_pairs_spread_equals_window(spark):
+    from .conftest import SF
+    from turnloom.plans.adapters import events_as_dialogue, table
+    from turnloom.operators import spread
+
+    t = drop_blank(events_as_dialogue(table(spark, SF["0.001"], "events")))
+    a = instruct_from_dialogue(t, strategy="conversation")
+    old = spread.BLOCK_TURNS
+    spread.BLOCK_TURNS = 4
+    try:
+        b = instruct_from_dialogue(t, strategy="spread")
+        c = instruct_from_dialogue(t, hot_turns=50)
+        assert a.count() == 140
+        for x in (b, c):
+            assert a.exceptAll(x).count() == 0 and x.exceptAll(a).count() == 0
+    finally:
+        spread.BLOCK_TURNS = old

@@ -238,13 +238,6 @@ def dedup_samples(samples: DataFrame, scope: Sequence[str] = ("conv_id",)) -> Da
     )
 
 
-# A conversation with more turns than this goes to the skew-safe plan.
-HOT_TURNS = 100_000
-# At most this many hot ids are broadcast to split the input; beyond it, the
-# whole input takes the skew-safe plan.
-MAX_HOT_IDS = 10_000
-
-
 def _conversation_plan(turns: DataFrame, pairs: Sequence[int], pair_mode: str, dedup: bool) -> DataFrame:
     desc = F.concat(pair_descriptors(), prefix_descriptors(1), window_descriptors(pairs, 2))
     union = materialise_samples(conversation_rows(turns), desc, pair_mode)
@@ -257,7 +250,7 @@ def conversational_samples(
     pair_mode: str = "observed",
     dedup: bool = True,
     strategy: str = "auto",
-    hot_turns: int = HOT_TURNS,
+    hot_turns: int | None = None,
 ) -> DataFrame:
     """U1 (+D1): block pairs, expanding prefixes and pair windows (in that order),
     deduplicated per conversation. ``turns`` must be placeholder-filled (``fill_blank``).
@@ -267,30 +260,18 @@ def conversational_samples(
         generator on that partitioning, then the dedup window, also on it;
       * ``spread``: the skew-safe plan (``operators.spread``), no conversation is
         ever gathered in one row or task;
-      * ``auto`` (default): count turns per conversation (a partial aggregation);
-        conversations above ``hot_turns`` take the spread plan, the rest the
-        conversation plan. The hot ids are broadcast only up to ``MAX_HOT_IDS``;
-        with more, everything takes the spread plan.
+      * ``auto`` (default): conversations above ``hot_turns`` take the spread
+        plan, the rest the conversation plan (``spread.route_hot``).
     """
-    from .spread import spread_samples
-
-    if strategy == "conversation":
-        return _conversation_plan(turns, pairs, pair_mode, dedup)
-    if strategy == "spread":
-        return spread_samples(turns, pairs, pair_mode, dedup)
-    if strategy != "auto":
-        raise ValueError("strategy must be 'auto', 'conversation' or 'spread'")
-    sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
-    hot = sizes.where(F.col("n") > hot_turns).select("conv_id").limit(MAX_HOT_IDS + 1).collect()
-    if not hot:
-        return _conversation_plan(turns, pairs, pair_mode, dedup)
-    if len(hot) > MAX_HOT_IDS:
-        return spread_samples(turns, pairs, pair_mode, dedup)
-    spark = turns.sparkSession
-    ids = F.broadcast(spark.createDataFrame([(r.conv_id,) for r in hot], turns.select("conv_id").schema))
-    normal = turns.join(ids, "conv_id", "left_anti")
-    heavy = turns.join(ids, "conv_id", "left_semi")
-    return _conversation_plan(normal, pairs, pair_mode, dedup).unionByName(spread_samples(heavy, pairs, pair_mode, dedup))
+    from .spread import route_hot, spread_samples
+
+    return route_hot(
+        turns,
+        lambda t: _conversation_plan(t, pairs, pair_mode, dedup),
+        lambda t: spread_samples(t, pairs, pair_mode, dedup),
+        strategy,
+        hot_turns,
+    )
 
 
 def with_sample_id(df: DataFrame, cols: Sequence[str] = ("conv_id", "method", "start_idx", "n_msgs")) -> DataFrame:

@@ -15,26 +15,33 @@ def _conv() -> Window:
     return Window.partitionBy("conv_id").orderBy("turn")
 
 
-def instruct_from_dialogue(turns: DataFrame) -> DataFrame:
+def instruct_from_dialogue(turns: DataFrame, strategy: str = "auto", hot_turns: int | None = None) -> DataFrame:
     """A model turn pairs with the immediately preceding turn iff that is a user turn.
 
     ``turns`` must already be blank-free (``drop_blank``). Equals the pending-user
     state machine: later user text overwrites, a reply consumes it, extra replies
-    find no user and are dropped.
+    find no user and are dropped. Hot conversations take a blocked ``lag``
+    (``spread.route_hot``).
     """
-    prev_role = F.lag("role").over(_conv())
-    prev_content = F.lag("content").over(_conv())
-    prev_turn = F.lag("turn").over(_conv())
-    return (
-        turns.select(
+    from .spread import blocked_lag, route_hot
+
+    def conversation_plan(t: DataFrame) -> DataFrame:
+        return t.select(
             "conv_id",
             "turn",
             "role",
             "content",
-            prev_role.alias("prev_role"),
-            prev_content.alias("prev_content"),
-            prev_turn.alias("prev_turn"),
+            F.lag("role").over(_conv()).alias("prev_role"),
+            F.lag("content").over(_conv()).alias("prev_content"),
+            F.lag("turn").over(_conv()).alias("prev_turn"),
         )
+
+    def spread_plan(t: DataFrame) -> DataFrame:
+        return blocked_lag(t.select("conv_id", "turn", "role", "content"), "conv_id", "turn", ["role", "content", "turn"])
+
+    with_prev = route_hot(turns, conversation_plan, spread_plan, strategy, hot_turns)
+    return (
+        with_prev.select("conv_id", "turn", "role", "content", "prev_role", "prev_content", "prev_turn")
         .where((F.col("role") == "model") & (F.col("prev_role") == "user"))
         .select(
             "conv_id",

@@ -28,10 +28,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BLOCK_TURNS = 1 << 14
+# A conversation with more turns than this goes to the skew-safe plan.
+HOT_TURNS = 100_000
+# At most this many hot ids are broadcast to split the input; beyond it, the
+# whole input takes the skew-safe plan.
+MAX_HOT_IDS = 10_000
 
 
-def spread_runs(turns: DataFrame, block_size: int = BLOCK_TURNS) -> DataFrame:
+def spread_runs(turns: DataFrame, block_size: int | None = None) -> DataFrame:
     """W2 without a per-conversation window: ``rid``, ``is_head`` and ``n_runs`` per turn."""
+    block_size = block_size or BLOCK_TURNS
     t = turns.withColumn("block", F.floor(F.col("turn") / F.lit(block_size))).repartition("conv_id", "block")
     w = Window.partitionBy("conv_id", "block").orderBy("turn")
     t = (
@@ -66,6 +72,51 @@ def spread_runs(turns: DataFrame, block_size: int = BLOCK_TURNS) -> DataFrame:
     )
 
 
+def blocked_lag(df: DataFrame, key: str, order: str, cols: Sequence[str], block_size: int | None = None) -> DataFrame:
+    """``prev_<c>`` = ``lag(c)`` per ``key`` ordered by ``order`` without a per-key window:
+    lag within (key, block); a block's first row takes the last row of the previous
+    non-empty block from a table of block tails (one row per block)."""
+    block_size = block_size or BLOCK_TURNS
+    t = df.withColumn("_blk", F.floor(F.col(order) / F.lit(block_size))).repartition(key, "_blk")
+    w = Window.partitionBy(key, "_blk").orderBy(order)
+    t = t.withColumn("_first", F.row_number().over(w) == 1)
+    for c in cols:
+        t = t.withColumn(f"prev_{c}", F.lag(c).over(w))
+    tails = t.groupBy(key, "_blk").agg(F.max_by(F.struct(*cols), F.col(order)).alias("_tail"))
+    tails = tails.select(key, "_blk", F.lag("_tail").over(Window.partitionBy(key).orderBy("_blk")).alias("_prev_tail"))
+    j = t.join(tails, [key, "_blk"])
+    for c in cols:
+        j = j.withColumn(f"prev_{c}", F.when(F.col("_first"), F.col("_prev_tail")[c]).otherwise(F.col(f"prev_{c}")))
+    return j.drop("_blk", "_first", "_prev_tail")
+
+
+def route_hot(turns: DataFrame, conversation_plan, spread_plan, strategy: str = "auto", hot_turns: int | None = None) -> DataFrame:
+    """Run ``conversation_plan`` (one task per conversation) or ``spread_plan``
+    (skew-safe) per conversation size.
+
+    ``auto`` counts turns per conversation (a partial aggregation), broadcasts the
+    ids of conversations above ``hot_turns`` (at most ``MAX_HOT_IDS``, checked) and
+    runs them through the spread plan; beyond ``MAX_HOT_IDS`` hot ids, everything does.
+    """
+    if strategy == "conversation":
+        return conversation_plan(turns)
+    if strategy == "spread":
+        return spread_plan(turns)
+    if strategy != "auto":
+        raise ValueError("strategy must be 'auto', 'conversation' or 'spread'")
+    limit = HOT_TURNS if hot_turns is None else hot_turns
+    sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    hot = sizes.where(F.col("n") > limit).select("conv_id").limit(MAX_HOT_IDS + 1).collect()
+    if not hot:
+        return conversation_plan(turns)
+    if len(hot) > MAX_HOT_IDS:
+        return spread_plan(turns)
+    ids = F.broadcast(turns.sparkSession.createDataFrame([(r.conv_id,) for r in hot], turns.select("conv_id").schema))
+    normal = turns.join(ids, "conv_id", "left_anti")
+    heavy = turns.join(ids, "conv_id", "left_semi")
+    return conversation_plan(normal).unionByName(spread_plan(heavy))
+
+
 def _msg(role: Column, content: Column) -> Column:
     return F.struct(role.alias("role"), content.alias("content"))
 
@@ -82,7 +133,7 @@ def _sample(df: DataFrame, method: Column, ord_: Column, start: Column, n: Colum
 
 
 def spread_samples(
-    turns: DataFrame, pairs: Sequence[int] = (8, 16), pair_mode: str = "observed", dedup: bool = True, block_size: int = BLOCK_TURNS
+    turns: DataFrame, pairs: Sequence[int] = (8, 16), pair_mode: str = "observed", dedup: bool = True, block_size: int | None = None
 ) -> DataFrame:
     """U1 (+D1) with no per-conversation gathering; same rows as ``conversational_samples``."""
     if pair_mode not in ("observed", "raw"):
