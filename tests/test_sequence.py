@@ -190,3 +190,21 @@ def test_instruct_pairs_spread_equals_window(spark):
             assert a.exceptAll(x).count() == 0 and x.exceptAll(a).count() == 0
     finally:
         spread.BLOCK_TURNS = old
+
+
+def test_strided_and_runs_spread_equal(spark):
+    from .conftest import SF
+    from turnloom.plans.adapters import events_as_dialogue, table
+    from turnloom.operators.spread import spread_strided
+    from turnloom.operators.sequence import role_runs
+
+    t = fill_blank(events_as_dialogue(table(spark, SF["0.001"], "events")))
+    cols = ["conv_id", "method", "method_ord", "start_idx", "n_msgs", "messages"]
+    for sizes, ov in (((4, 8, 16), 2), ((5,), 2), ((3, 0, 6), 1)):
+        for dd in (True, False):
+            a = strided_windows(t, sizes, ov, dd, strategy="conversation").select(cols)
+            b = spread_strided(t, sizes, ov, dd, block_size=5).select(cols)
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    r1 = role_runs(t).select("conv_id", "turn", "is_head", "rid")
+    r2 = role_runs(t, strategy="spread").select("conv_id", "turn", "is_head", "rid")
+    assert r1.exceptAll(r2).count() == 0 and r2.exceptAll(r1).count() == 0

@@ -201,13 +201,20 @@ def pair_windows(turns: DataFrame, pairs: Sequence[int] = (8, 16)) -> DataFrame:
     return materialise_samples(conversation_rows(turns), window_descriptors(pairs, 2))
 
 
-def strided_windows(turns: DataFrame, sizes: Sequence[int] = (8, 16), overlap: int = 2, dedup: bool = True) -> DataFrame:
+def strided_windows(
+    turns: DataFrame, sizes: Sequence[int] = (8, 16), overlap: int = 2, dedup: bool = True, strategy: str = "auto", hot_turns: int | None = None
+) -> DataFrame:
     """The general chunker: even-length prefixes of the list cut to even length,
     then windows of each size > 0 with step ``max(2, size - overlap)`` that end with a
     model turn; duplicates removed per conversation, first wins."""
-    desc = F.concat(prefix_descriptors(0, even_only=True), stride_descriptors(sizes, overlap, 1))
-    out = materialise_samples(conversation_rows(turns), desc)
-    return dedup_samples(out) if dedup else out
+    from .spread import route_hot, spread_strided
+
+    def conversation_plan(t: DataFrame) -> DataFrame:
+        desc = F.concat(prefix_descriptors(0, even_only=True), stride_descriptors(sizes, overlap, 1))
+        out = materialise_samples(conversation_rows(t), desc)
+        return dedup_samples(out) if dedup else out
+
+    return route_hot(turns, conversation_plan, lambda t: spread_strided(t, sizes, overlap, dedup), strategy, hot_turns)
 
 
 def pool(*dfs: DataFrame) -> DataFrame:

@@ -54,12 +54,23 @@ def instruct_from_dialogue(turns: DataFrame, strategy: str = "auto", hot_turns:
     )
 
 
-def role_runs(turns: DataFrame) -> DataFrame:
+def role_runs(turns: DataFrame, strategy: str = "conversation", hot_turns: int | None = None) -> DataFrame:
     """Gaps-and-islands. ``rid`` numbers maximal same-role runs from 1; ``is_head``
-    marks the first turn of a run."""
-    head = F.coalesce(F.col("role") != F.lag("role").over(_conv()), F.lit(True))
-    rid = F.sum(F.col("is_head").cast("int")).over(_conv().rowsBetween(Window.unboundedPreceding, 0))
-    return turns.withColumn("is_head", head).withColumn("rid", rid.cast("int"))
+    marks the first turn of a run. ``strategy="auto"|"spread"`` sends hot
+    conversations through the blocked form (``spread.spread_runs``)."""
+    from .spread import route_hot, spread_runs
+
+    cols = turns.columns
+
+    def conversation_plan(t: DataFrame) -> DataFrame:
+        head = F.coalesce(F.col("role") != F.lag("role").over(_conv()), F.lit(True))
+        rid = F.sum(F.col("is_head").cast("int")).over(_conv().rowsBetween(Window.unboundedPreceding, 0))
+        return t.withColumn("is_head", head).withColumn("rid", rid.cast("int"))
+
+    def spread_plan(t: DataFrame) -> DataFrame:
+        return spread_runs(t).select(*cols, "is_head", "rid")
+
+    return route_hot(turns, conversation_plan, spread_plan, strategy, hot_turns)
 
 
 def merge_runs(runs: DataFrame) -> DataFrame:

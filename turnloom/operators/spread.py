@@ -170,27 +170,72 @@ def spread_samples(
 
     # Copy each merged turn to the samples (identified by their last index) that hold it
     def ranges(kind: str, ord_: int, size: int | None) -> DataFrame:
-        last = F.col("n") - 1 - (F.col("n") % 2)  # last model index (odd); n < 2 -> none
-        if size is None:
-            lo = F.greatest(F.col("idx") + (1 - F.col("idx") % 2), F.lit(1))
-            hi = last
-        else:
-            lo = F.greatest(F.col("idx") + (1 - F.col("idx") % 2), F.lit(size - 1))
-            hi = F.least(F.col("idx") + size - 1, last)
-        ends = F.when(hi >= lo, F.sequence(lo, hi, F.lit(2)))
-        x = merged.select("conv_id", "idx", "role", "content", F.explode(ends).alias("e"))
-        g = x.groupBy("conv_id", "e").agg(F.array_sort(F.collect_list(F.struct("idx", "role", "content"))).alias("a"))
-        msgs = F.transform("a", lambda m: _msg(m["role"], m["content"]))
-        if size is None:
-            return _sample(g, F.lit(kind), F.lit(ord_), F.lit(0), F.col("e") + 1, msgs)
-        return _sample(g, F.lit(kind), F.lit(ord_), F.col("e") - size + 1, F.lit(size), msgs)
+        return _ranges(merged, kind, ord_, size, 2)
 
     parts = [pair_rows, ranges("prefix", 1, None)] + [ranges(f"window{p_}", 2 + j, 2 * p_) for j, p_ in enumerate(pairs)]
     union = parts[0]
     for d in parts[1:]:
         union = union.unionByName(d)
-    if not dedup:
-        return union
+    return _min_by_dedup(union) if dedup else union
+
+
+def spread_merged(turns: DataFrame, block_size: int | None = None) -> DataFrame:
+    """W2+W3+W4 without gathering a conversation: ``(conv_id, idx, role, content, n)``."""
+    rt = spread_runs(turns, block_size)
+    runs = rt.groupBy("conv_id", "rid").agg(
+        F.min("role").alias("role"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "content"))), lambda x: x["content"]), "\n").alias("content"),
+        F.min("n_runs").alias("n_runs"),
+        F.min("first_role").alias("first_role"),
+    )
+    lead_model = (F.col("first_role") == "model").cast("int")
+    return runs.where(~((F.col("rid") == 1) & (F.col("role") == "model"))).select(
+        "conv_id",
+        (F.col("rid") - 1 - lead_model).cast("int").alias("idx"),
+        "role",
+        "content",
+        (F.col("n_runs") - lead_model).cast("int").alias("n"),
+    )
+
+
+def spread_strided(turns: DataFrame, sizes: Sequence[int] = (8, 16), overlap: int = 2, dedup: bool = True, block_size: int | None = None) -> DataFrame:
+    """W8 without gathering a conversation (same rows as ``samples.strided_windows``)."""
+    merged = spread_merged(turns, block_size)
+    parts = [_ranges(merged, "prefix", 0, None, 2)]
+    for j, size in enumerate(sizes):
+        size = int(size)
+        if size > 0:
+            parts.append(_ranges(merged, f"stride{size}", 1 + j, size, max(2, size - int(overlap))))
+    union = parts[0]
+    for d in parts[1:]:
+        union = union.unionByName(d)
+    return _min_by_dedup(union) if dedup else union
+
+
+def _ranges(merged: DataFrame, kind: str, ord_: int, size: int | None, step: int) -> DataFrame:
+    """Samples ending at a model turn ``e`` (odd index): prefixes ``[0..e]`` or windows
+    ``[e-size+1..e]`` whose start is a multiple of ``step``. Each merged turn is copied
+    to the sample ends whose range holds it, then grouped by (conv, end)."""
+    last = F.col("n") - 1 - (F.col("n") % 2)  # last model index (odd); n < 2 -> none
+    first_odd = F.col("idx") + (1 - F.col("idx") % 2)
+    if size is None:
+        lo, hi = F.greatest(first_odd, F.lit(1)), last
+    else:
+        min_end = size - 1 if size % 2 == 0 else size  # ends are odd (model) indexes
+        lo, hi = F.greatest(first_odd, F.lit(min_end)), F.least(F.col("idx") + size - 1, last)
+    ends = F.when(hi >= lo, F.sequence(lo, hi, F.lit(2)))
+    x = merged.select("conv_id", "idx", "role", "content", F.explode(ends).alias("e"))
+    if size is not None:
+        x = x.where((F.col("e") - size + 1) % step == 0)
+    g = x.groupBy("conv_id", "e").agg(F.array_sort(F.collect_list(F.struct("idx", "role", "content"))).alias("a"))
+    msgs = F.transform("a", lambda m: _msg(m["role"], m["content"]))
+    if size is None:
+        return _sample(g, F.lit(kind), F.lit(ord_), F.lit(0), F.col("e") + 1, msgs)
+    return _sample(g, F.lit(kind), F.lit(ord_), F.col("e") - size + 1, F.lit(size), msgs)
+
+
+def _min_by_dedup(union: DataFrame) -> DataFrame:
+    """D1 as an aggregation: first sample per (conv, fingerprint); copies combine map-side."""
     order = F.struct("method_ord", "start_idx", "n_msgs")
     keep = F.struct("method", "method_ord", "start_idx", "n_msgs", "messages")
     return (
