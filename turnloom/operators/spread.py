@@ -105,8 +105,7 @@ def route_hot(turns: DataFrame, conversation_plan, spread_plan, strategy: str =
     if strategy != "auto":
         raise ValueError("strategy must be 'auto', 'conversation' or 'spread'")
     limit = HOT_TURNS if hot_turns is None else hot_turns
-    sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
-    hot = sizes.where(F.col("n") > limit).select("conv_id").limit(MAX_HOT_IDS + 1).collect()
+    hot = _hot_ids(turns, limit)
     if not hot:
         return conversation_plan(turns)
     if len(hot) > MAX_HOT_IDS:
@@ -117,6 +116,20 @@ def route_hot(turns: DataFrame, conversation_plan, spread_plan, strategy: str =
     return conversation_plan(normal).unionByName(spread_plan(heavy))
 
 
+# Routing decisions per (session, input plan, threshold). Both plans return the same
+# rows, so a stale entry (input files changed under the same plan) can only cost
+# speed, never correctness.
+_HOT_CACHE: dict[tuple, list] = {}
+
+
+def _hot_ids(turns: DataFrame, limit: int) -> list:
+    key = (id(turns.sparkSession), turns.semanticHash(), limit)
+    if key not in _HOT_CACHE:
+        sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+        _HOT_CACHE[key] = sizes.where(F.col("n") > limit).select("conv_id").limit(MAX_HOT_IDS + 1).collect()
+    return _HOT_CACHE[key]
+
+
 def _msg(role: Column, content: Column) -> Column:
     return F.struct(role.alias("role"), content.alias("content"))
 
