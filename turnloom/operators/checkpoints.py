@@ -89,25 +89,48 @@ def best_k_prunes(events: DataFrame, k: int = 2, block_size: int = BLOCK_SIZE) -
     k retained rows rank before it by (loss, step) (ties keep the earlier step).
     NULL = still retained at the end.
 
-    The k-th smallest never increases, so the prune step of c is the first step whose
-    ``kth_after`` is below c: an ordered search done as a running ``min`` over the
-    union of (kth_after, step) points and (loss, step) probes.
+    ``kth_after`` (k-th smallest (loss, step) so far) never increases, so the prune
+    step of c is the first step whose ``kth_after`` is below c. Search per block:
+    (1) inside c's own block, a running ``min`` over the union of (kth_after, step)
+    points and (loss, step) probes; (2) only checkpoints still retained at the end
+    of their block (at most k per block) search later blocks, first over block
+    minima (one row per block), then inside the one block found.
     """
-    dec = best_k_decisions(events, k, block_size).where("saved")
+    dec = best_k_decisions(events, k, block_size).withColumn("block", F.floor(F.col("step") / F.lit(block_size)))
+    v = F.struct(F.col("eval_loss").alias("loss"), F.col("step").cast("long").alias("step"))
     points = dec.where(F.col("kth_after").isNotNull()).select(
-        "run_id", F.col("kth_after").alias("val"), F.lit(1).alias("kind"), F.col("step").alias("pstep"),
+        "run_id", "block", F.col("kth_after").alias("val"), F.lit(1).alias("kind"), F.col("step").alias("pstep"),
         F.lit(None).cast("long").alias("qstep"), F.lit(None).cast("double").alias("eval_loss"),
     )
-    probes = dec.select(
-        "run_id", F.struct(F.col("eval_loss").alias("loss"), F.col("step").cast("long").alias("step")).alias("val"),
-        F.lit(0).alias("kind"), F.lit(None).cast("long").alias("pstep"), F.col("step").cast("long").alias("qstep"), "eval_loss",
+    probes = dec.where("saved").select(
+        "run_id", "block", v.alias("val"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("pstep"),
+        F.col("step").cast("long").alias("qstep"), "eval_loss",
     )
-    w = Window.partitionBy("run_id").orderBy("val", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    return (
+    w = Window.partitionBy("run_id", "block").orderBy("val", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    local = (
         points.unionByName(probes)
-        .withColumn("pruned_at_step", F.min("pstep").over(w))
+        .withColumn("in_block", F.min("pstep").over(w))
         .where(F.col("kind") == 0)
-        .select("run_id", F.col("qstep").alias("step"), "eval_loss", "pruned_at_step")
+        .select("run_id", "block", "val", F.col("qstep").alias("step"), "eval_loss", "in_block")
+    )
+    open_ = local.where(F.col("in_block").isNull())
+    minima = dec.where(F.col("kth_after").isNotNull()).groupBy("run_id", "block").agg(F.min("kth_after").alias("val"))
+    ws = Window.partitionBy("run_id").orderBy("val", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    target = (
+        minima.select("run_id", "val", F.lit(1).alias("kind"), F.col("block").alias("tblock"), F.lit(None).cast("long").alias("step"))
+        .unionByName(open_.select("run_id", "val", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("tblock"), "step"))
+        .withColumn("target", F.min("tblock").over(ws))
+        .where((F.col("kind") == 0) & F.col("target").isNotNull())
+        .select("run_id", "step", "val", F.col("target").alias("block"))
+    )
+    later = (
+        target.join(dec.select("run_id", "block", F.col("step").alias("s"), "kth_after"), ["run_id", "block"])
+        .where(F.col("kth_after") < F.col("val"))
+        .groupBy("run_id", "step")
+        .agg(F.min("s").alias("later"))
+    )
+    return local.join(later, ["run_id", "step"], "left").select(
+        "run_id", "step", "eval_loss", F.coalesce("in_block", "later").alias("pruned_at_step")
     )
 
 

@@ -197,10 +197,6 @@ SELECT 'runs/c' || CAST(o_custkey AS VARCHAR) AS root,
 FROM orders"""
 
 
-def _sample_md5_from_messages() -> str:
-    return RENDER
-
-
 ORACLE_SQL: dict[str, str] = {
     "turns_normalise": CONV_TURNS,
     "json_docs_to_turns": f"""
