@@ -99,3 +99,10 @@ def test_stream_replay_equals_batch(spark):
     s = replay_best_k(spark, e, 2, batches=3).select("run_id", "step", "saved")
     b = ck.best_k_decisions(e, 2).select("run_id", "step", "saved")
     assert s.count() == b.count() and s.exceptAll(b).count() == 0
+
+
+def test_select_run_by_index(spark):
+    e = ev(spark, [0.9], "b").unionByName(ev(spark, [0.3], "a")).unionByName(ev(spark, [0.5], "c"))
+    t = ck.runs(e)
+    assert [r.run_id for r in ck.select_run(t, index=2).collect()] == ["b"]
+    assert ck.select_run(t, index=0).count() == 3 and ck.select_run(t, index=9).count() == 3

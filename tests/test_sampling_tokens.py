@@ -89,3 +89,11 @@ def test_validate(spark):
     assert is_valid(validate(spark.createDataFrame([], "value string"), "instruct"))
     with pytest.raises(RuntimeError):
         require_nonempty(0, 0)
+
+
+def test_render_dataframe_level(spark):
+    from turnloom.functions import render_instruct, render_messages
+
+    df = spark.createDataFrame([("i", "r", [("user", "a")])], "instruction string, response string, messages array<struct<role:string,content:string>>")
+    assert render_instruct(df).first().text.startswith("<start_of_turn>user\ni")
+    assert render_messages(df, prefix="<bos>").first().text == "<bos><start_of_turn>user\na<end_of_turn>\n"

@@ -37,3 +37,13 @@ def render_messages_text(messages: Column | str, prefix: str = "", suffix: str =
 def messages_md5(messages: Column | str) -> Column:
     """md5 of the rendered conversation: a scalar, engine-independent fingerprint for reports."""
     return F.md5(render_messages_text(messages))
+
+
+def render_instruct(df, out: str = "text", instruction: str = "instruction", response: str = "response"):
+    """T1 on a DataFrame: adds the rendered prompt as ``out``."""
+    return df.withColumn(out, render_instruct_text(instruction, response))
+
+
+def render_messages(df, prefix: str = "", suffix: str = "", out: str = "text", messages: str = "messages"):
+    """T2 on a DataFrame: chat template over ``messages``, no generation prompt."""
+    return df.withColumn(out, render_messages_text(messages, prefix, suffix))

@@ -177,8 +177,18 @@ def runs(events: DataFrame) -> DataFrame:
     )
 
 
-def select_run(run_table: DataFrame, run_id=None) -> DataFrame:
-    """M6: one run if it exists, otherwise (no choice or an invalid one) all runs."""
+def select_run(run_table: DataFrame, run_id=None, index: int | None = None) -> DataFrame:
+    """M6: one run, chosen by id or by its 1-based position in the listing (runs in
+    name order; 0 = all); no choice or an invalid one gives all runs."""
+    if index is not None:
+        if index <= 0:
+            return run_table
+        pick = run_table.select("run_id").orderBy("run_id").limit(index).agg(
+            F.count(F.lit(1)).alias("n"), F.max("run_id").alias("run_id")
+        ).first()
+        if pick is None or pick["n"] < index:
+            return run_table
+        run_id = pick["run_id"]
     if run_id is None:
         return run_table
     one = run_table.where(F.col("run_id") == F.lit(run_id))

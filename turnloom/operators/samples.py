@@ -36,7 +36,7 @@ def conversation_rows(turns: DataFrame) -> DataFrame:
     (W2+W3); ``msgs``: the merged list with one leading model run dropped (W4), as
     ``array<struct<role, content>>``; ``n`` = its size.
     """
-    runs = merge_runs(role_runs(turns))
+    runs = merge_runs(role_runs(turns, strategy="conversation"))
     run = F.struct("rid", "role", "content", "head_content", "items")
     return (
         runs.groupBy("conv_id")

@@ -54,7 +54,7 @@ def instruct_from_dialogue(turns: DataFrame, strategy: str = "auto", hot_turns:
     )
 
 
-def role_runs(turns: DataFrame, strategy: str = "conversation", hot_turns: int | None = None) -> DataFrame:
+def role_runs(turns: DataFrame, strategy: str = "auto", hot_turns: int | None = None) -> DataFrame:
     """Gaps-and-islands. ``rid`` numbers maximal same-role runs from 1; ``is_head``
     marks the first turn of a run. ``strategy="auto"|"spread"`` sends hot
     conversations through the blocked form (``spread.spread_runs``)."""
@@ -110,6 +110,8 @@ def trim_leading_model(merged: DataFrame) -> DataFrame:
     )
 
 
-def merged_turns(turns: DataFrame) -> DataFrame:
-    """W2+W3+W4: the strictly alternating, user-first merged list of each conversation."""
-    return trim_leading_model(merge_runs(role_runs(turns)))
+def merged_turns(turns: DataFrame, strategy: str = "auto") -> DataFrame:
+    """W2+W3+W4: the strictly alternating, user-first merged list of each conversation.
+    Runs are grouped by (conv, rid), so with blocked run ids no step holds a whole
+    conversation."""
+    return trim_leading_model(merge_runs(role_runs(turns, strategy=strategy)))
