@@ -17,7 +17,7 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import materialize
+from ..session import scratch_table
 
 KEY = "shuffle_key"
 TIE = "sample_id"
@@ -75,11 +75,11 @@ def kth_key(df: DataFrame, k: int) -> tuple[str, str] | None:
         return rows[-1][KEY], rows[-1][TIE]
 
 
-def order_keys(samples: DataFrame) -> DataFrame:
-    """The narrow ``(shuffle_key, sample_id)`` table, written once to the shared
-    checkpoint folder: the threshold passes then re-read ~70 bytes per row instead
-    of recomputing the sample pipeline."""
-    return materialize(samples.select(KEY, TIE))
+def order_keys(samples: DataFrame):
+    """Context manager: the narrow ``(shuffle_key, sample_id)`` table written once to
+    the shared checkpoint folder (removed afterwards); the threshold passes re-read
+    ~70 bytes per row instead of recomputing the sample pipeline."""
+    return scratch_table(samples.select(KEY, TIE), "order-keys")
 
 
 def _upto(df: DataFrame, bound: tuple[str, str] | None) -> F.Column:
@@ -98,10 +98,11 @@ def cap(samples: DataFrame, max_samples: int | None) -> DataFrame:
         raise ValueError("max_samples must be >= 0 (0 or None = no cap)")
     if not max_samples:
         return samples
-    keys = order_keys(samples)
-    if keys.count() <= max_samples:
-        return samples
-    return samples.where(_upto(samples, kth_key(keys, max_samples)))
+    with order_keys(samples) as keys:
+        if keys.count() <= max_samples:
+            return samples
+        bound = kth_key(keys, max_samples)
+    return samples.where(_upto(samples, bound))
 
 
 def eval_size(n: int, percent: float) -> int:
@@ -118,12 +119,12 @@ def split(samples: DataFrame, percent: float = 5, max_samples: int | None = None
     """
     if max_samples is not None and max_samples < 0:
         raise ValueError("max_samples must be >= 0 (0 or None = no cap)")
-    keys = order_keys(samples)
-    n_all = keys.count()
-    n = min(n_all, max_samples) if max_samples else n_all
-    cap_bound = kth_key(keys, n) if n < n_all else None
-    k = eval_size(n, percent)
-    eval_bound = kth_key(keys, k) if k > 0 else None
+    with order_keys(samples) as keys:
+        n_all = keys.count()
+        n = min(n_all, max_samples) if max_samples else n_all
+        cap_bound = kth_key(keys, n) if n < n_all else None
+        k = eval_size(n, percent)
+        eval_bound = kth_key(keys, k) if k > 0 else None
     in_cap = _upto(samples, cap_bound) if cap_bound is not None else F.lit(True)
     in_eval = _upto(samples, eval_bound)
     train = samples.where(in_cap & ~in_eval)
@@ -134,7 +135,8 @@ def split(samples: DataFrame, percent: float = 5, max_samples: int | None = None
 def eval_subsample(evl: DataFrame, n: int = 200, seed: int = 42, id_col: str = TIE) -> DataFrame:
     """More than ``n`` eval rows -> a fixed seeded subset of ``n``; else unchanged."""
     keyed = shuffled(evl.drop(KEY) if KEY in evl.columns else evl, seed, id_col)
-    keys = order_keys(keyed)
-    if keys.count() <= n:
-        return evl
-    return keyed.where(_upto(keyed, kth_key(keys, n)))
+    with order_keys(keyed) as keys:
+        if keys.count() <= n:
+            return evl
+        bound = kth_key(keys, n)
+    return keyed.where(_upto(keyed, bound))

@@ -24,7 +24,7 @@ from ..operators.samples import conversational_samples, pool, with_sample_id
 from ..operators.sequence import instruct_from_dialogue
 from ..operators.tokens import MAX_LENGTH, PAD_ID, build_vocab, model_inputs
 from ..operators.validate import is_valid, require_nonempty, validate
-from ..session import materialize
+from ..session import scratch_table
 from ..sources.documents import check_format, classify_docs, explode_entries, instruct_pairs, parse_docs, scan_docs, to_turns
 from ..sources.jsonl import read_samples, write_splits
 
@@ -68,11 +68,12 @@ def prepare_dataset(
     pair_mode: str = "observed",
 ) -> PrepareResult:
     samples, quarantine = build_samples(spark, input_path, fmt, pairs, pair_mode)
-    # the split thresholds need a few passes over the keys: cut lineage once
-    keyed = materialize(shuffled(samples, seed))
-    train, evl, counts = split(keyed, validation_split, max_samples)
-    require_nonempty(counts["train"], counts["eval"])
-    paths = write_splits(train, evl, out_dir, base, fmt)
+    # samples are generated once into the shared folder; keys, thresholds and the
+    # two writes read that table
+    with scratch_table(shuffled(samples, seed), "samples") as keyed:
+        train, evl, counts = split(keyed, validation_split, max_samples)
+        require_nonempty(counts["train"], counts["eval"])
+        paths = write_splits(train, evl, out_dir, base, fmt)
     valid = {}
     for k, p in paths.items():
         if p:

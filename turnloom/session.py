@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +68,18 @@ def ship_by_value(module_name: str) -> None:
             cloudpickle.register_pickle_by_value(mod)
         except ValueError:
             pass
+
+
+@contextmanager
+def scratch_table(df: DataFrame, name: str = "scratch"):
+    """Write ``df`` as parquet under the shared checkpoint folder, yield it read back
+    (lineage cut, survives executor loss), delete it on exit."""
+    spark = df.sparkSession
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        jvm = spark.sparkContext._jvm
+        hp = jvm.org.apache.hadoop.fs.Path(path)
+        hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)
