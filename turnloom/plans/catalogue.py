@@ -84,8 +84,9 @@ def packed_dialogues(spark, sf) -> DataFrame:
 
 
 def packed_instructions(spark, sf) -> DataFrame:
-    """part packed as one instruction file (a JSON list) per brand, with non-string,
-    blank, keyless and scalar entries mixed in by part size."""
+    """part packed as instruction files (JSON lists of at most 16 consecutive parts,
+    so file size does not grow with the table), with non-string, blank, keyless and
+    scalar entries mixed in by part size."""
     p = table(spark, sf, "part")
     size = F.col("p_size")
     entry = (
@@ -95,9 +96,10 @@ def packed_instructions(spark, sf) -> DataFrame:
         .when(size == 50, F.col("p_partkey").cast("string"))
         .otherwise(F.to_json(F.struct(F.col("p_name").alias("instruction"), F.col("p_type").alias("output"))))
     )
-    docs = p.groupBy("p_brand").agg(F.array_sort(F.collect_list(F.struct("p_partkey", entry.alias("e")))).alias("a"))
-    raw = docs.select("p_brand", F.concat(F.lit("["), F.array_join(F.transform("a", lambda x: x["e"]), ","), F.lit("]")).alias("raw"))
-    return raw_docs(raw, "p_brand", "raw")
+    file_id = F.floor(F.col("p_partkey") / 16).alias("file_id")
+    docs = p.groupBy(file_id).agg(F.array_sort(F.collect_list(F.struct("p_partkey", entry.alias("e")))).alias("a"))
+    raw = docs.select("file_id", F.concat(F.lit("["), F.array_join(F.transform("a", lambda x: x["e"]), ","), F.lit("]")).alias("raw"))
+    return raw_docs(raw, "file_id", "raw")
 
 
 # ---------------------------------------------------------------- queries

@@ -212,7 +212,8 @@ UNION ALL
 SELECT DISTINCT 'conv:' || CAST(conv_id AS VARCHAR) AS doc_key, 'parsed' AS status FROM conversations""",
     "instruct_json_pairs": f"""
 SELECT doc_key, turn, trim(p_name, {WS}) AS instruction, trim(p_type, {WS}) AS response, CAST(NULL AS VARCHAR) AS context
-FROM (SELECT p_brand AS doc_key, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS BIGINT) AS turn, * FROM part)
+FROM (SELECT CAST(CAST(floor(p_partkey / 16) AS BIGINT) AS VARCHAR) AS doc_key,
+             CAST(row_number() OVER (PARTITION BY floor(p_partkey / 16) ORDER BY p_partkey) - 1 AS BIGINT) AS turn, * FROM part)
 WHERE p_size > 10 AND p_size <> 50 AND trim(p_name, {WS}) <> '' AND trim(p_type, {WS}) <> ''""",
     "instruct_pairs": EV_PAIRS,
     "placeholder_fill": EV_FILLED,
