@@ -97,3 +97,14 @@ def test_render_dataframe_level(spark):
     df = spark.createDataFrame([("i", "r", [("user", "a")])], "instruction string, response string, messages array<struct<role:string,content:string>>")
     assert render_instruct(df).first().text.startswith("<start_of_turn>user\ni")
     assert render_messages(df, prefix="<bos>").first().text == "<bos><start_of_turn>user\na<end_of_turn>\n"
+
+
+def test_user_tokenizer_hook(spark):
+    from turnloom.operators.tokens import encode_with
+
+    def factory():
+        return lambda texts: [[len(w) for w in t.split()] for t in texts]
+
+    df = spark.createDataFrame([("ab c def",), (None,)], "text string")
+    got = [r.input_ids for r in encode_with(df, factory).collect()]
+    assert got == [[2, 1, 3], []]
