@@ -106,3 +106,14 @@ def test_select_run_by_index(spark):
     t = ck.runs(e)
     assert [r.run_id for r in ck.select_run(t, index=2).collect()] == ["b"]
     assert ck.select_run(t, index=0).count() == 3 and ck.select_run(t, index=9).count() == 3
+
+
+def test_stream_two_keys_batch(spark):
+    df = spark.createDataFrame(
+        [("r", 0, 1, 0.5), ("r", 0, 2, 0.4), ("r", 0, 3, 0.3), ("r", 1, 4, 0.9), ("r", 1, 5, 0.95), ("r", 1, 6, 0.2)],
+        "run_id string, session int, step long, eval_loss double",
+    )
+    rows = best_k_stream(df, 2, keys=("run_id", "session")).orderBy("step").collect()
+    # a resumed run (session 1) starts with an empty retained list
+    assert [r.saved for r in rows] == [True, True, True, True, True, True]
+    assert {r.step: list(r.pruned_steps) for r in rows if r.pruned_steps} == {3: [1], 6: [5]}
