@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "turnloom") -> SparkSession:
+def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "turnloom", extra_conf: dict | None = None) -> SparkSession:
     """A local session with AQE on and the UI off (tests, bench, smoke runs).
 
     On a cluster, use the session the platform gives you instead: every
@@ -32,6 +32,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
         .config("spark.sql.variant.allowDuplicateKeys", "true")
         .config("spark.driver.memory", os.environ.get("TURNLOOM_DRIVER_MEMORY", "16g"))
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
