@@ -25,10 +25,6 @@ from .sequence import merge_runs, role_runs
 SAMPLE_COLUMNS = ["conv_id", "method", "method_ord", "start_idx", "n_msgs", "messages"]
 
 
-def _msg(role: Column, content: Column) -> Column:
-    return F.struct(role.alias("role"), content.alias("content"))
-
-
 def conversation_rows(turns: DataFrame) -> DataFrame:
     """One row per conversation, built once and shared by every sample method.
 
@@ -37,140 +33,120 @@ def conversation_rows(turns: DataFrame) -> DataFrame:
     ``array<struct<role, content>>``; ``n`` = its size.
     """
     runs = merge_runs(role_runs(turns, strategy="conversation"))
-    run = F.struct("rid", "role", "content", "head_content", "items")
-    return (
-        runs.groupBy("conv_id")
-        .agg(F.array_sort(F.collect_list(run)).alias("runs"))
-        .withColumn(
-            "msgs",
-            F.transform(
-                F.filter("runs", lambda r: ~((r["rid"] == 1) & (r["role"] == "model"))),
-                lambda r: _msg(r["role"], r["content"]),
-            ),
-        )
-        .withColumn("n", F.size("msgs"))
-    )
+    return runs.groupBy("conv_id").agg(
+        F.expr("array_sort(collect_list(struct(rid, role, content, head_content, items)))").alias("runs")
+    ).selectExpr(
+        "conv_id",
+        "runs",
+        "transform(filter(runs, r -> NOT (r.rid = 1 AND r.role = 'model')),"
+        " r -> named_struct('role', r.role, 'content', r.content)) AS msgs",
+    ).selectExpr("*", "size(msgs) AS n")
 
 
 # A sample descriptor: small ints that say which messages a sample holds. The
 # text is attached per output row afterwards, so a conversation's samples are
 # never materialised together (prefixes are quadratic in conversation length).
-def _desc(method: Column, ord_: int | Column, start: Column, length: Column, ri: Column, pos: Column) -> Column:
-    return F.struct(
-        method.alias("method"),
-        (F.lit(ord_) if isinstance(ord_, int) else ord_).alias("method_ord"),
-        start.cast("long").alias("start_idx"),
-        length.cast("int").alias("n_msgs"),
-        ri.cast("int").alias("ri"),
-        pos.cast("int").alias("pos"),
+# Built as SQL text: one parse on the JVM instead of hundreds of py4j calls.
+_DESC_ARRAY = "array<struct<method:string,method_ord:int,start_idx:bigint,n_msgs:int,ri:int,pos:int>>"
+_EMPTY = f"CAST(array() AS {_DESC_ARRAY})"
+
+
+def _desc_sql(method: str, ord_: int | str, start: str, length: str, ri: str = "-1", pos: str = "-1") -> str:
+    return (
+        f"named_struct('method', {method}, 'method_ord', CAST({ord_} AS INT), 'start_idx', CAST({start} AS BIGINT),"
+        f" 'n_msgs', CAST({length} AS INT), 'ri', CAST({ri} AS INT), 'pos', CAST({pos} AS INT))"
     )
 
 
-def _none() -> Column:
-    return F.lit(-1)
+def _seq_sql(start: str, stop: str, step: int, guard: str) -> str:
+    return f"CASE WHEN {guard} THEN sequence({start}, {stop}, {step}) ELSE CAST(array() AS array<int>) END"
 
 
-def _int_seq(start: Column, stop: Column, step: int, guard: Column) -> Column:
-    return F.when(guard, F.sequence(start, stop, F.lit(step))).otherwise(F.array().cast("array<int>"))
+def _pair_sql() -> str:
+    per_item = _desc_sql("'pair'", 0, "it.turn", "2", "i", "p")
+    return (
+        f"flatten(transform({_seq_sql('0', 'size(runs) - 1', 1, 'size(runs) >= 1')}, i ->"
+        f" CASE WHEN get(runs, i).role = 'user' AND i + 1 < size(runs)"
+        f" THEN transform(get(runs, i).items, (it, p) -> {per_item}) ELSE {_EMPTY} END))"
+    )
 
 
-def pair_descriptors() -> Column:
-    """One descriptor per user turn of a user run that has a following (model) run."""
-    nr = F.size("runs")
+def _prefix_sql(method_ord: int, even_only: bool) -> str:
+    top = "(n - n % 2)" if even_only else "n"
+    return f"transform({_seq_sql('2', top, 2, f'{top} >= 2')}, l -> {_desc_sql(repr('prefix'), method_ord, '0', 'l')})"
 
-    def per_run(i: Column) -> Column:
-        r = F.get(F.col("runs"), i)
-        mine = F.transform(
-            r["items"], lambda it, pos: _desc(F.lit("pair"), 0, it["turn"], F.lit(2), i, pos)
-        )
-        return F.when((r["role"] == "user") & (i + 1 < nr), mine).otherwise(F.array().cast(_DESC_ARRAY))
 
-    return F.flatten(F.transform(_int_seq(F.lit(0), nr - 1, 1, nr >= 1), per_run))
+def _window_sql(pairs: Sequence[int], first_ord: int) -> list[str]:
+    out = []
+    for j, p in enumerate(pairs):
+        size = 2 * int(p)
+        seq = _seq_sql("0", f"n - {size}", 2, f"n >= {size}")
+        out.append(f"transform({seq}, s -> {_desc_sql(repr(f'window{p}'), first_ord + j, 's', str(size))})")
+    return out
 
 
-def prefix_descriptors(method_ord: int = 1, even_only: bool = False) -> Column:
-    """Lengths 2, 4, ... up to n (every model turn closes one prefix)."""
-    top = (F.col("n") - F.col("n") % 2) if even_only else F.col("n")
-    return F.transform(
-        _int_seq(F.lit(2), top, 2, top >= 2),
-        lambda ln: _desc(F.lit("prefix"), method_ord, F.lit(0), ln, _none(), _none()),
-    )
+def _stride_sql(sizes: Sequence[int], overlap: int, first_ord: int) -> list[str]:
+    out = []
+    for j, size in enumerate(sizes):
+        size = int(size)
+        if size <= 0:
+            continue
+        step = max(2, size - int(overlap))
+        seq = _seq_sql("0", f"(n - n % 2) - {size}", step, f"(n - n % 2) >= {size}")
+        starts = f"filter({seq}, s -> get(msgs, s + {size - 1}).role = 'model')"
+        out.append(f"transform({starts}, s -> {_desc_sql(repr(f'stride{size}'), first_ord + j, 's', str(size))})")
+    return out
 
 
-def _fixed_len(method: str, ord_: int, size: int):
-    def make(s: Column) -> Column:
-        return _desc(F.lit(method), ord_, s, F.lit(size), _none(), _none())
+def _concat_sql(parts: list[str]) -> str:
+    return parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})"
 
-    return make
 
+def pair_descriptors() -> Column:
+    """One descriptor per user turn of a user run that has a following (model) run."""
+    return F.expr(_pair_sql())
 
-def _ends_with_model(size: int):
-    def test(s: Column) -> Column:
-        return F.get(F.col("msgs"), s + size - 1)["role"] == "model"
 
-    return test
+def prefix_descriptors(method_ord: int = 1, even_only: bool = False) -> Column:
+    """Lengths 2, 4, ... up to n (every model turn closes one prefix)."""
+    return F.expr(_prefix_sql(method_ord, even_only))
 
 
 def window_descriptors(pairs: Sequence[int], first_ord: int = 2) -> Column:
     """For each P, windows of 2P messages at starts 0, 2, ... n-2P (guarded n >= 2P)."""
-    parts = []
-    for j, p in enumerate(pairs):
-        size = 2 * int(p)
-        parts.append(
-            F.transform(
-                _int_seq(F.lit(0), F.col("n") - size, 2, F.col("n") >= size),
-                _fixed_len(f"window{p}", first_ord + j, size),
-            )
-        )
-    return F.concat(*parts) if parts else F.array().cast(_DESC_ARRAY)
+    parts = _window_sql(pairs, first_ord)
+    return F.expr(_concat_sql(parts)) if parts else F.expr(_EMPTY)
 
 
 def stride_descriptors(sizes: Sequence[int], overlap: int, first_ord: int = 1) -> Column:
     """W8 windows: step ``max(2, size-overlap)`` over the even-length list, last role model."""
-    even_n = F.col("n") - F.col("n") % 2
-    parts = []
-    for j, size in enumerate(sizes):
-        size = int(size)
-        if size <= 0:
-            continue
-        step = max(2, size - int(overlap))
-        starts = F.filter(
-            _int_seq(F.lit(0), even_n - size, step, even_n >= size),
-            _ends_with_model(size),
-        )
-        parts.append(
-            F.transform(starts, _fixed_len(f"stride{size}", first_ord + j, size))
-        )
-    return F.concat(*parts) if parts else F.array().cast(_DESC_ARRAY)
-
-
-_DESC_ARRAY = "array<struct<method:string,method_ord:int,start_idx:bigint,n_msgs:int,ri:int,pos:int>>"
+    parts = _stride_sql(sizes, overlap, first_ord)
+    return F.expr(_concat_sql(parts)) if parts else F.expr(_EMPTY)
 
 
 def materialise_samples(conv_rows: DataFrame, descriptors: Column, pair_mode: str = "observed") -> DataFrame:
     """Explode descriptors and attach the messages of each sample (one row at a time)."""
     if pair_mode not in ("observed", "raw"):
         raise ValueError(f"pair_mode must be 'observed' or 'raw', got {pair_mode!r}")
-    d = F.col("d")
-    r = F.get(F.col("runs"), d["ri"])
-    nxt = F.get(F.col("runs"), d["ri"] + 1)
-    item = F.get(r["items"], d["pos"])
     if pair_mode == "observed":
         # The first user turn of a run carries the merged run; the reply carries the merged model run.
-        user_text = F.when(d["pos"] == 0, r["content"]).otherwise(item["content"])
-        model_text = nxt["content"]
+        user_text = "CASE WHEN d.pos = 0 THEN get(runs, d.ri).content ELSE get(get(runs, d.ri).items, d.pos).content END"
+        model_text = "get(runs, d.ri + 1).content"
     else:
-        user_text = item["content"]
-        model_text = nxt["head_content"]
-    pair_msgs = F.array(_msg(F.lit("user"), user_text), _msg(F.lit("model"), model_text))
-    sliced = F.slice("msgs", (d["start_idx"] + 1).cast("int"), d["n_msgs"])
-    return conv_rows.select("conv_id", "runs", "msgs", F.explode(descriptors).alias("d")).select(
+        user_text = "get(get(runs, d.ri).items, d.pos).content"
+        model_text = "get(runs, d.ri + 1).head_content"
+    pair_msgs = (
+        f"array(named_struct('role', 'user', 'content', {user_text}),"
+        f" named_struct('role', 'model', 'content', {model_text}))"
+    )
+    return conv_rows.select("conv_id", "runs", "msgs", F.explode(descriptors).alias("d")).selectExpr(
         "conv_id",
-        d["method"].alias("method"),
-        d["method_ord"].alias("method_ord"),
-        d["start_idx"].alias("start_idx"),
-        d["n_msgs"].alias("n_msgs"),
-        F.when(d["method"] == "pair", pair_msgs).otherwise(sliced).alias("messages"),
+        "d.method AS method",
+        "d.method_ord AS method_ord",
+        "d.start_idx AS start_idx",
+        "d.n_msgs AS n_msgs",
+        f"CASE WHEN d.method = 'pair' THEN {pair_msgs}"
+        " ELSE slice(msgs, CAST(d.start_idx + 1 AS INT), d.n_msgs) END AS messages",
     )
 
 
@@ -210,7 +186,7 @@ def strided_windows(
     from .spread import route_hot, spread_strided
 
     def conversation_plan(t: DataFrame) -> DataFrame:
-        desc = F.concat(prefix_descriptors(0, even_only=True), stride_descriptors(sizes, overlap, 1))
+        desc = F.expr(_concat_sql([_prefix_sql(0, True), *_stride_sql(sizes, overlap, 1)]))
         out = materialise_samples(conversation_rows(t), desc)
         return dedup_samples(out) if dedup else out
 
@@ -246,7 +222,7 @@ def dedup_samples(samples: DataFrame, scope: Sequence[str] = ("conv_id",)) -> Da
 
 
 def _conversation_plan(turns: DataFrame, pairs: Sequence[int], pair_mode: str, dedup: bool) -> DataFrame:
-    desc = F.concat(pair_descriptors(), prefix_descriptors(1), window_descriptors(pairs, 2))
+    desc = F.expr(_concat_sql([_pair_sql(), _prefix_sql(1, False), *_window_sql(pairs, 2)]))
     union = materialise_samples(conversation_rows(turns), desc, pair_mode)
     return dedup_samples(union) if dedup else union
 
