@@ -48,6 +48,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                f"set {CHECKPOINT_CONF} to a folder shared by all executors; a machine-local scratch "
+                "folder is only used in local mode"
+            )
         conf_dir = tempfile.mkdtemp(prefix="turnloom-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
