@@ -130,3 +130,12 @@ def test_run_metrics_and_artifacts(spark):
         ("checkpoint-20", 10, "loss", 2.0), ("checkpoint-20", 20, "eval_loss", 1.5), ("checkpoint-40", 40, "eval_loss", 1.2)]
     arts = list_artifacts(spark, f"{root}/run1")
     assert sorted(r.path.rsplit("/", 1)[-1] for r in arts.collect()) == ["checkpoint-20", "checkpoint-40"]
+
+
+def test_oversize_document_is_quarantined(spark, monkeypatch):
+    from turnloom.sources import documents
+
+    monkeypatch.setattr(documents, "VARIANT_LIMIT_BYTES", 10)
+    good, bad = parse_docs(docs(spark, ['[{"sender":"User","userInput":"long enough"}]', "[1]"]))
+    assert [(r.conv_id, r.reason) for r in bad.collect()] == [("0", "too_large")]
+    assert [r.conv_id for r in good.collect()] == ["1"]

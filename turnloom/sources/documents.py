@@ -25,6 +25,8 @@ INSTRUCTION_KEY = "instruction"
 OUTPUT_KEY = "output"
 
 FORMATS = ("instruct", "conversational")
+# Spark's VARIANT value limit (128 MiB); larger documents are quarantined, not parsed.
+VARIANT_LIMIT_BYTES = 128 * 1024 * 1024
 
 
 def check_format(fmt: str) -> str:
@@ -96,13 +98,23 @@ def parse_docs(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``(path, conv_id, reason)`` for undecodable bytes or invalid JSON (including a
     UTF-8 BOM and ``NaN`` literals, which Spark's parser rejects). Falsy documents
     (``[]``, ``{}``, ``null``, ``0``, ``""``, ``false``) are skipped silently.
-    Duplicate keys are accepted (last wins) as in Python.
+    Duplicate keys are accepted (last wins) as in Python. Documents above the
+    VARIANT limit (128 MiB of text) are quarantined as ``too_large``.
     """
     raw.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    too_large = F.octet_length("raw") > F.lit(VARIANT_LIMIT_BYTES)
     parsed = raw.select(
-        "path", "conv_id", F.when(F.col("utf8_ok"), F.try_parse_json("raw")).alias("v"), "utf8_ok"
+        "path",
+        "conv_id",
+        F.when(F.col("utf8_ok") & ~too_large, F.try_parse_json("raw")).alias("v"),
+        "utf8_ok",
+        too_large.alias("too_large"),
+    )
+    reason = (
+        F.when(~F.col("utf8_ok"), F.lit("invalid_utf8"))
+        .when(F.col("too_large"), F.lit("too_large"))
+        .when(F.col("v").isNull(), F.lit("invalid_json"))
     )
-    reason = F.when(~F.col("utf8_ok"), F.lit("invalid_utf8")).when(F.col("v").isNull(), F.lit("invalid_json"))
     quarantine = parsed.select("path", "conv_id", reason.alias("reason")).where(F.col("reason").isNotNull())
     good = parsed.where(F.col("v").isNotNull() & ~_is_falsy(F.col("v"))).select("path", "conv_id", "v")
     return good, quarantine
