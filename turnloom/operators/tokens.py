@@ -62,22 +62,23 @@ def vocab_broadcast(vocab: DataFrame):
 
 
 def _lookup_udf(bc, unk: int):
+    """Arrow-native UDF: flatten the token lists, hash-lookup them in the vocabulary
+    (``pyarrow.compute.index_in``, C++), rebuild the lists. No per-row Python."""
     ship_by_value(__name__)
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def lookup(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import numpy as np
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def lookup(tokens):
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-        tokens, ids = bc.value
-        index = pd.Index(tokens)
-        id_arr = np.asarray(ids, dtype=np.int32)
-        for s in batches:
-            arrs = [a if a is not None else np.empty(0, dtype=object) for a in s]
-            lens = np.fromiter((len(a) for a in arrs), dtype=np.int64, count=len(arrs))
-            flat = np.concatenate(arrs) if len(arrs) and lens.sum() else np.empty(0, dtype=object)
-            pos = index.get_indexer(flat)
-            out = np.where(pos >= 0, id_arr[pos], unk).astype(np.int32)
-            yield pd.Series(np.split(out, np.cumsum(lens)[:-1]) if len(arrs) else [])
+        vocab_tokens, vocab_ids = bc.value
+        flat = pc.list_flatten(tokens)
+        value_set = pa.array(vocab_tokens, pa.string()).cast(flat.type)
+        pos = pc.index_in(flat, value_set=value_set)
+        ids = pc.fill_null(pc.take(pa.array(vocab_ids, pa.int32()), pos), pa.scalar(unk, pa.int32()))
+        offsets = tokens.offsets
+        rebased = pc.subtract(offsets, offsets[0]).cast(pa.int32())
+        return pa.ListArray.from_arrays(rebased, ids)
 
     return lookup
 
@@ -85,8 +86,8 @@ def _lookup_udf(bc, unk: int):
 def encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", out: str = "input_ids", add_bos: bool = True, max_length: int | None = None) -> DataFrame:
     """T5 (+T6): text -> ``input_ids``; unknown tokens -> ``<unk>``.
 
-    Tokenising is a JVM regex; the id lookup runs on Arrow batches against a hash
-    index of the broadcast vocabulary (Spark's own map lookup scans keys
+    Tokenising is a JVM regex; the id lookup is an Arrow-native UDF (hash lookup in
+    Arrow C++ against the broadcast vocabulary; Spark's own map lookup scans keys
     linearly). With ``max_length`` the token list is cut before the lookup.
     """
     toks = tokenize(text_col)
