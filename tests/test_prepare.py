@@ -39,3 +39,14 @@ def test_prepare_dataset(spark, fmt, n_total):
     row = tr.first()
     assert len(row.input_ids) == 32 and len(row.labels) == 32 and len(row.attention_mask) == 32
     assert ev.count() == 5
+
+
+def test_command_line(spark, capsys):
+    from turnloom.__main__ import main
+
+    src, out = write_folder(), tempfile.mkdtemp(prefix="turnloom-cli-")
+    assert main(["prepare", "--input-folder", src, "--output-file", f"{out}/d.jsonl", "--max-samples", "20", "--validation-split", "10"]) == 0
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert res["counts"] == {"total": 121, "capped": 20, "eval": 2, "train": 18}
+    assert main(["inputs", "--train", res["paths"]["train"], "--eval", res["paths"]["eval"], "--output", f"{out}/inputs", "--max-length", "16", "--vocab-size", "50"]) == 0
+    assert spark.read.parquet(f"{out}/inputs/train").count() == 18
