@@ -133,10 +133,17 @@ def split(samples: DataFrame, percent: float = 5, max_samples: int | None = None
 
 
 def eval_subsample(evl: DataFrame, n: int = 200, seed: int = 42, id_col: str = TIE) -> DataFrame:
-    """More than ``n`` eval rows -> a fixed seeded subset of ``n``; else unchanged."""
-    keyed = shuffled(evl.drop(KEY) if KEY in evl.columns else evl, seed, id_col)
-    with order_keys(keyed) as keys:
+    """More than ``n`` eval rows -> a fixed seeded subset of ``n``; else unchanged.
+
+    A pure filter: rows keep their columns; the subset is the ``n`` smallest
+    ``md5(seed ':' id)`` (ties by id).
+    """
+    sub = F.md5(F.concat(F.lit(str(seed)), F.lit(":"), F.col(id_col).cast("string")))
+    keyed = evl.withColumn("_sub_key", sub)
+    with scratch_table(keyed.select(F.col("_sub_key").alias(KEY), F.col(id_col).cast("string").alias(TIE)), "subsample-keys") as keys:
         if keys.count() <= n:
             return evl
         bound = kth_key(keys, n)
-    return keyed.where(_upto(keyed, bound))
+    order = F.struct(F.col("_sub_key").alias(KEY), F.col(id_col).cast("string").alias(TIE))
+    limit = F.struct(F.lit(bound[0]).alias(KEY), F.lit(bound[1]).alias(TIE))
+    return keyed.where(order <= limit).drop("_sub_key")

@@ -131,10 +131,11 @@ def eval_subsample_sql(samples: str) -> str:
     return f"""
 WITH s AS ({samples}),
 ks AS (SELECT *, CAST(conv_id AS VARCHAR) || ':' || method || ':' || CAST(start_idx AS VARCHAR) || ':' || CAST(n_msgs AS VARCHAR) AS sample_id FROM s),
-r0 AS (SELECT *, row_number() OVER (ORDER BY md5('0:' || sample_id), sample_id) AS rk, count(*) OVER () AS n FROM ks),
+r0 AS (SELECT *, md5('0:' || sample_id) AS shuffle_key,
+             row_number() OVER (ORDER BY md5('0:' || sample_id), sample_id) AS rk, count(*) OVER () AS n FROM ks),
 ev AS (SELECT * FROM r0 WHERE rk <= CAST(ceil(n * (5 / 100.0)) AS BIGINT)),
-r1 AS (SELECT *, md5('42:' || sample_id) AS shuffle_key, count(*) OVER () AS m FROM ev),
-r2 AS (SELECT *, row_number() OVER (ORDER BY shuffle_key, sample_id) AS rk2 FROM r1)
+r1 AS (SELECT *, md5('42:' || sample_id) AS k42, count(*) OVER () AS m FROM ev),
+r2 AS (SELECT *, row_number() OVER (ORDER BY k42, sample_id) AS rk2 FROM r1)
 SELECT conv_id, method, start_idx, n_msgs, shuffle_key FROM r2 WHERE m <= 200 OR rk2 <= 200"""
 
 
