@@ -139,3 +139,14 @@ def test_oversize_document_is_quarantined(spark, monkeypatch):
     good, bad = parse_docs(docs(spark, ['[{"sender":"User","userInput":"long enough"}]', "[1]"]))
     assert [(r.conv_id, r.reason) for r in bad.collect()] == [("0", "too_large")]
     assert [r.conv_id for r in good.collect()] == ["1"]
+
+
+@pytest.mark.parametrize("text,ok", [
+    ("8294 text", False), ('{"a":1} x', False), ("[1]]", False), ("1,0]", False), ('{"a":1}{"b":2}', False),
+    (" [1, 2] \n", True), ('"s"', True), ("12", True), ('{"a":"\\u0001end"}', True), ("", False),
+])
+def test_strict_json(spark, text, ok):
+    from turnloom.functions.json import strict_parse_json
+
+    r = spark.createDataFrame([(text,)], "t string").select(strict_parse_json("t").isNotNull().alias("ok")).first()
+    assert r.ok == ok

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.json import strict_parse_json
 from ..sources.documents import check_format
 
 # Keys every output line must have, per format.
@@ -17,7 +18,7 @@ def validate(lines: DataFrame, fmt: str, col: str = "value") -> DataFrame:
     the format's keys; zero rows is valid.
     """
     check_format(fmt)
-    v = F.try_parse_json(F.trim(F.col(col)))
+    v = strict_parse_json(F.col(col))
     present = F.lit(True)
     for k in REQUIRED_KEYS[fmt]:
         present = present & F.try_variant_get(v, f"$.{k}", "variant").isNotNull()

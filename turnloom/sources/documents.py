@@ -13,6 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..functions.json import strict_parse_json
 from ..functions.text import py_strip
 
 # Senders of the chat export and the text field each one owns.
@@ -96,7 +97,7 @@ def parse_docs(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     good: ``(path, conv_id, v VARIANT)`` for truthy documents. quarantine:
     ``(path, conv_id, reason)`` for undecodable bytes or invalid JSON (including a
-    UTF-8 BOM and ``NaN`` literals, which Spark's parser rejects). Falsy documents
+    UTF-8 BOM, ``NaN`` literals and trailing text after the value). Falsy documents
     (``[]``, ``{}``, ``null``, ``0``, ``""``, ``false``) are skipped silently.
     Duplicate keys are accepted (last wins) as in Python. Documents above the
     VARIANT limit (128 MiB of text) are quarantined as ``too_large``.
@@ -106,7 +107,7 @@ def parse_docs(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     parsed = raw.select(
         "path",
         "conv_id",
-        F.when(F.col("utf8_ok") & ~too_large, F.try_parse_json("raw")).alias("v"),
+        F.when(F.col("utf8_ok") & ~too_large, strict_parse_json("raw")).alias("v"),
         "utf8_ok",
         too_large.alias("too_large"),
     )
