@@ -108,3 +108,13 @@ def test_user_tokenizer_hook(spark):
     df = spark.createDataFrame([("ab c def",), (None,)], "text string")
     got = [r.input_ids for r in encode_with(df, factory).collect()]
     assert got == [[2, 1, 3], []]
+
+
+def test_kth_keys_matches_single(spark):
+    from turnloom.operators.sampling import kth_keys
+
+    df = keyed(spark, 3000, seed=9)
+    got = kth_keys(df, [1, 200, 2999, 0])
+    assert got[0] is None
+    for k in (1, 200, 2999):
+        assert got[k] == kth_key(df, k)

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import scratch_table
 
@@ -82,6 +82,25 @@ def order_keys(samples: DataFrame):
     return scratch_table(samples.select(KEY, TIE), "order-keys")
 
 
+def kth_keys(df: DataFrame, ks: list[int]) -> dict[int, tuple[str, str] | None]:
+    """Several k-th smallest keys at once: one bounded top-k job when the largest k
+    is at most ``TOPK_MAX`` (the ranking window runs on those <= TOPK_MAX rows),
+    else one radix select per k."""
+    wanted = sorted({k for k in ks if k > 0})
+    out: dict[int, tuple[str, str] | None] = {k: None for k in ks if k <= 0}
+    if not wanted:
+        return out
+    if wanted[-1] > TOPK_MAX:
+        out.update({k: kth_key(df, k) for k in wanted})
+        return out
+    top = df.select(KEY, TIE).orderBy(KEY, TIE).limit(wanted[-1])
+    ranked = top.withColumn("_r", F.row_number().over(Window.orderBy(KEY, TIE)))
+    rows = ranked.where(F.col("_r").isin(wanted)).collect()
+    found = {r["_r"]: (r[KEY], r[TIE]) for r in rows}
+    out.update({k: found.get(k) for k in wanted})
+    return out
+
+
 def _upto(df: DataFrame, bound: tuple[str, str] | None) -> F.Column:
     if bound is None:
         return F.lit(False)
@@ -122,9 +141,10 @@ def split(samples: DataFrame, percent: float = 5, max_samples: int | None = None
     with order_keys(samples) as keys:
         n_all = keys.count()
         n = min(n_all, max_samples) if max_samples else n_all
-        cap_bound = kth_key(keys, n) if n < n_all else None
         k = eval_size(n, percent)
-        eval_bound = kth_key(keys, k) if k > 0 else None
+        bounds = kth_keys(keys, [n if n < n_all else 0, k])
+        cap_bound = bounds.get(n) if n < n_all else None
+        eval_bound = bounds.get(k) if k > 0 else None
     in_cap = _upto(samples, cap_bound) if cap_bound is not None else F.lit(True)
     in_eval = _upto(samples, eval_bound)
     train = samples.where(in_cap & ~in_eval)
