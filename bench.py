@@ -57,6 +57,14 @@ DRIVING_TABLE = {
 }
 
 
+def _sf_value(sf_dir: str):
+    tag = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(tag)
+    except ValueError:
+        return tag
+
+
 def run(df):
     df.write.format("noop").mode("overwrite").save()
 
@@ -119,7 +127,7 @@ def main():
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
-        "sf": os.path.basename(sf.rstrip("/")).replace("sf", ""),
+        "sf": _sf_value(sf),
         "cpus": int(cpus),
         "input_rows_per_sec": rows_per_sec,
         "shuffle_bytes": {n: shuffled_bytes.get(n, 0) for n in names},
