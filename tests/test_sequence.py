@@ -208,3 +208,32 @@ def test_strided_and_runs_spread_equal(spark):
     r1 = role_runs(t).select("conv_id", "turn", "is_head", "rid")
     r2 = role_runs(t, strategy="spread").select("conv_id", "turn", "is_head", "rid")
     assert r1.exceptAll(r2).count() == 0 and r2.exceptAll(r1).count() == 0
+
+
+@pytest.mark.parametrize("sizes,overlap", [((4, 8, 16), 2), ((5,), 2), ((3, 0, 6), 1), ((7, 2, -1), 5)])
+def test_strided_windows_brute_force(spark, sizes, overlap):
+    """W8 against a direct statement of the rule on the merged lists of a small fixture."""
+    from .conftest import SF
+    from turnloom.plans.adapters import events_as_dialogue, table
+
+    t = fill_blank(events_as_dialogue(table(spark, SF["0.001"], "events")))
+    merged = {}
+    for r in merged_turns(t).collect():
+        merged.setdefault(r.conv_id, []).append((r.idx, r.role, r.content))
+    expected = set()
+    for conv, rows in merged.items():
+        msgs = [(role, content) for _, role, content in sorted(rows)]
+        msgs = msgs[: len(msgs) - len(msgs) % 2]
+        cands = [("prefix", 0, i) for i in range(2, len(msgs) + 1, 2)]
+        for size in sizes:
+            if size > 0:
+                step = max(2, size - overlap)
+                cands += [(f"stride{size}", s, size) for s in range(0, len(msgs) - size + 1, step) if msgs[s + size - 1][0] == "model"]
+        seen = set()
+        for method, start, n in cands:
+            body = tuple(msgs[start:start + n]) if method != "prefix" else tuple(msgs[:n])
+            if body not in seen:
+                seen.add(body)
+                expected.add((conv, method, 0 if method == "prefix" else start, n))
+    got = {(r.conv_id, r.method, r.start_idx, r.n_msgs) for r in strided_windows(t, sizes, overlap).collect()}
+    assert got == expected
