@@ -30,3 +30,12 @@ def test_encode_has_no_join(spark):
 
     p = plan(encode(spark.createDataFrame([("a b",)], "text string"), v))
     assert "Join" not in p and "Exchange" not in p
+
+
+def test_split_outputs_have_no_global_sort(spark):
+    from turnloom.operators.sampling import split
+
+    train, evl, _ = split(C.keyed(C.ev_samples(spark, SF["0.01"])), 5, 4000)
+    for df in (train, evl):
+        p = plan(df)
+        assert "rangepartitioning" not in p and "SinglePartition" not in p and "TakeOrderedAndProject" not in p, p
