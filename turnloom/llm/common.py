@@ -187,3 +187,26 @@ def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
 def _edge_state(edges: DataFrame) -> tuple:
     r = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
     return (r["n"], r["h"])
+
+
+# ---------------------------------------------------------------- winnowing
+def sliding_first_min(values: np.ndarray, window: int) -> np.ndarray:
+    """For every window of ``window`` values, the place of its smallest one (leftmost of
+    equals), in linear time: prefix and suffix minima of blocks as long as the window.
+
+    Compared are the values' upper 40 bits, then the place (values of one call number
+    fewer than 2**24), so the choice depends on the window's content alone.
+    """
+    n = len(values) - window + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    if len(values) >= 1 << 24:
+        raise ValueError("cut the input in pieces first")
+    key = (values & ~np.uint64(0xFFFFFF)) | np.arange(len(values), dtype=np.uint64)
+    full = -(-len(key) // window) * window
+    block = np.full(full, np.iinfo(np.uint64).max, np.uint64)
+    block[: len(key)] = key
+    block = block.reshape(-1, window)
+    up = np.minimum.accumulate(block, axis=1).ravel()
+    down = np.minimum.accumulate(block[:, ::-1], axis=1)[:, ::-1].ravel()
+    return (np.minimum(down[:n], up[window - 1 : window - 1 + n]) & np.uint64(0xFFFFFF)).astype(np.int64)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, sharding, simhash
+from . import decontaminate, langid, sharding, simhash
 from .common import table
 
 
@@ -15,6 +15,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.drop("spans")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out())
     profiles = langid.learn(docs.where("NOT held_out"))
@@ -27,10 +32,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_decontamination": op2_decontamination,
     "op8_language_id": op8_language_id,
     "op10_sharding": op10_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": decontaminate.ORACLE,
     "op10_sharding": sharding.ORACLE,
 }
