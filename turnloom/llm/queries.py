@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, sharding, simhash
+from . import decontaminate, langid, sharding, simhash, token_files
 from .common import table
 
 
@@ -26,6 +26,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.drop("lang"), profiles).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str, tokenizer: str = "word_bpe_49k.json") -> DataFrame:
+    import public_tokenizers
+
+    files, coder = token_files.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(tokenizer))
+    return token_files.read_token_files(files, coder)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), sharding.document_key()).select("doc_id", "slot", "shard")
 
@@ -34,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_decontamination": op2_decontamination,
     "op8_language_id": op8_language_id,
+    "op9_token_files": op9_token_files,
     "op10_sharding": op10_sharding,
 }
 
