@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, sharding, simhash, token_files
+from . import decontaminate, html_extract, langid, sharding, simhash, token_files, toxicity
 from .common import table
 
 
@@ -20,6 +20,16 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.drop("spans")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(toxicity.graded(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model).drop("text")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out())
     profiles = langid.learn(docs.where("NOT held_out"))
@@ -40,6 +50,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_decontamination": op2_decontamination,
+    "op4_html_extraction": op4_html_extraction,
+    "op5_toxicity": op5_toxicity,
     "op8_language_id": op8_language_id,
     "op9_token_files": op9_token_files,
     "op10_sharding": op10_sharding,
