@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, html_extract, langid, sharding, simhash, token_files, toxicity
+from . import decontaminate, embed_dedup, html_extract, langid, sharding, simhash, token_files, toxicity
 from .common import table
 
 
@@ -30,6 +30,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).drop("text")
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_dedup(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out())
     profiles = langid.learn(docs.where("NOT held_out"))
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op4_html_extraction": op4_html_extraction,
     "op5_toxicity": op5_toxicity,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op8_language_id": op8_language_id,
     "op9_token_files": op9_token_files,
     "op10_sharding": op10_sharding,
