@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, embed_dedup, html_extract, langid, sharding, simhash, token_files, toxicity
+from . import decontaminate, embed_dedup, html_extract, langid, sharding, simhash, suffix_dedup, token_files, toxicity
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.drop("spans")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"), span=200)
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
 
@@ -54,6 +58,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_decontamination": op2_decontamination,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_html_extraction": op4_html_extraction,
     "op5_toxicity": op5_toxicity,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
