@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnloom.llm import langid, simhash
+from turnloom.llm import decontaminate, langid, sentencepiece, simhash, suffix_dedup
 from turnloom.llm.common import table, write_table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -27,9 +27,34 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return simhash.keep_one(docs.select(*COLUMNS), shingle=3, max_bits=2)
 
 
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 200 bytes or more that also start elsewhere are cut out of the texts."""
+    got = suffix_dedup.cleaned(docs.select(*COLUMNS), span=200)
+    return got.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold 10 consecutive words of a benchmark item go; the others stay."""
+    got = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), carry=["text", "lang", "source", "n_chars"])
+    return got.where("NOT contaminated").select(*COLUMNS)
+
+
+def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of the texts that are left, and whether they decode to the same text."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    src = docs.withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    got = sentencepiece.decode(sentencepiece.encode(src, path, carry=["h"]), path)
+    return got.select("doc_id", "n_tokens", "ids", (F.xxhash64("decoded") == F.col("h")).alias("round_trip"))
+
+
 STAGES = [
     ("language ID", language_id),
     ("SimHash near-dedup", simhash_near_dedup),
+    ("suffix-array dedup", suffix_array_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("SentencePiece encoding and decoding", sentencepiece_encoding),
 ]
 
 # Several stages (profiles, XXH64, byte spans, Viterbi) have no SQL form: tested by brute force.

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, embed_dedup, html_extract, langid, sharding, simhash, suffix_dedup, token_files, toxicity
+from . import decontaminate, embed_dedup, html_extract, langid, sentencepiece, sharding, simhash, suffix_dedup, token_files, toxicity
 from .common import table
 
 
@@ -38,6 +38,15 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_dedup(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str, model: str = "piece_bpe_32k.model") -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path(model)
+    docs = table(spark, sf_dir, "documents").withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    got = sentencepiece.decode(sentencepiece.encode(docs, path, carry=["h"]), path)
+    return got.select("doc_id", "n_tokens", "ids", (F.xxhash64("decoded") == F.col("h")).alias("round_trip"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out())
     profiles = langid.learn(docs.where("NOT held_out"))
@@ -62,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_html_extraction": op4_html_extraction,
     "op5_toxicity": op5_toxicity,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_language_id": op8_language_id,
     "op9_token_files": op9_token_files,
     "op10_sharding": op10_sharding,
