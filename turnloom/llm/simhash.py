@@ -186,6 +186,7 @@ def close_links(fps: DataFrame, max_bits: int = 2, group_limit: int | None = Non
             break
         ready.append(rows.join(hot, ["mask", "pat"], "left_anti"))
         rows, masks = _deal(rows.join(hot, ["mask", "pat"], "left_semi"), masks, parts)
+        rows = rows.distinct()  # two masks can widen to the same one
     dealt = ready[0]
     for r in ready[1:]:
         dealt = dealt.unionByName(r)
