@@ -78,7 +78,7 @@ def naive_viterbi(unit, p):
             if piece in p.ids:
                 i, w = p.ids[piece]
             elif e == s + 1:
-                i, w = -ord(piece), p.unk
+                i, w = -1 - ord(piece), p.unk
             else:
                 continue
             c = best[s][0] + w

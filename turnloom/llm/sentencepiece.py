@@ -85,7 +85,7 @@ def units(text: str | None) -> list[str]:
 
 
 def viterbi(unit: str, p: Pieces) -> list[int]:
-    """Best path of one unit; a negative id is a code point to spell in bytes. Equal
+    """Best path of one unit; a negative id ``-1 - c`` is code point c, to be spelled in bytes. Equal
     scores: the path whose last piece starts first."""
     n = len(unit)
     score, back = [0.0] * (n + 1), [(0, 0)] * (n + 1)
@@ -96,7 +96,7 @@ def viterbi(unit: str, p: Pieces) -> list[int]:
             if got is None:
                 if s < e - 1:
                     continue
-                got = (-ord(unit[s]), p.unk)
+                got = (-1 - ord(unit[s]), p.unk)
             c = score[s] + got[1]
             if best is None or c > best:
                 best, back[e] = c, (s, got[0])
@@ -114,7 +114,7 @@ def spell(ids: list[int], p: Pieces) -> list[int]:
         return ids
     out: list[int] = []
     for i in ids:
-        out += [i] if i >= 0 else [p.bytes_[b] for b in chr(-i).encode("utf-8", "surrogatepass")]
+        out += [i] if i >= 0 else [p.bytes_[b] for b in chr(-1 - i).encode("utf-8", "surrogatepass")]
     return out
 
 
@@ -126,7 +126,7 @@ def edges(words: DataFrame, pieces: DataFrame, longest: int, unk: float) -> Data
     subs = spans.select("word", "s", "l", F.expr("substring(word, s + 1, l)").alias("piece"))
     found = subs.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR l = 1")
     code = F.ascii("piece")  # its code point
-    return found.select("word", (F.col("s") + F.col("l")).alias("e"), "s", F.coalesce("w", F.lit(unk)).alias("w"), F.coalesce("id", -code).alias("id"))
+    return found.select("word", (F.col("s") + F.col("l")).alias("e"), "s", F.coalesce("w", F.lit(unk)).alias("w"), F.coalesce("id", F.lit(-1) - code).alias("id"))
 
 
 _FOLD = """
