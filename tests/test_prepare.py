@@ -41,12 +41,39 @@ def test_prepare_dataset(spark, fmt, n_total):
     assert ev.count() == 5
 
 
-def test_command_line(spark, capsys):
-    from turnloom.__main__ import main
-
-    src, out = write_folder(), tempfile.mkdtemp(prefix="turnloom-cli-")
-    assert main(["prepare", "--input-folder", src, "--output-file", f"{out}/d.jsonl", "--max-samples", "20", "--validation-split", "10"]) == 0
-    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert res["counts"] == {"total": 121, "capped": 20, "eval": 2, "train": 18}
-    assert main(["inputs", "--train", res["paths"]["train"], "--eval", res["paths"]["eval"], "--output", f"{out}/inputs", "--max-length", "16", "--vocab-size", "50"]) == 0
-    assert spark.read.parquet(f"{out}/inputs/train").count() == 18
+def test_written_lines_follow_the_shuffle_order(spark):
+    from pyspark.sql import functions as F
+
+    from turnloom.operators.sampling import shuffled
+    from turnloom.sources.jsonl import write_splits
+
+    rows = [(f"id{i}", f"q{i}", "r", None) for i in range(500)]
+    df = shuffled(spark.createDataFrame(rows, "sample_id string, instruction string, response string, context string"), 3)
+    out = tempfile.mkdtemp(prefix="turnloom-order-")
+    paths = write_splits(df, df.limit(0), out, "d.jsonl", "instruct")
+    assert paths["eval"] is None
+    lines = [json.loads(x)["instruction"] for f in sorted(os.listdir(paths["train"])) if f.startswith("part-") for x in open(f"{paths['train']}/{f}")]
+    want = [r.instruction for r in df.orderBy("shuffle_key", "sample_id").select(F.col("instruction")).collect()]
+    assert lines == want
+
+
+def test_corrupt_lines_stop_the_job(spark):
+    import pytest
+
+    path = tempfile.mkdtemp(prefix="turnloom-corrupt-")
+    with open(f"{path}/a.jsonl", "w") as f:
+        f.write('{"instruction": "a", "response": "b", "context": null}\n{broken\n')
+    with pytest.raises(ValueError, match="1 lines"):
+        prepare_model_inputs(spark, path, fmt="instruct", vocab_size=50)
+
+
+def test_eval_subset_is_the_same_for_any_split(spark):
+    from turnloom.operators.sampling import eval_subsample_by_text
+
+    texts = [f"t{i % 150}" for i in range(400)] + ["same"] * 300
+    got = []
+    for parts in (1, 3, 8):
+        df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(parts)
+        got.append(sorted(r.text for r in eval_subsample_by_text(df, 200).collect()))
+        assert len(got[-1]) == 200 and eval_subsample_by_text(df, 700).count() == 700
+    assert got[0] == got[1] == got[2]

@@ -14,17 +14,13 @@ def ev(spark, losses, run="r"):
 
 
 def naive(losses, k):
-    """Direct statement of the callback rule, for property checks."""
-    kept, saved, pruned = [], [], {}
-    for step, loss in enumerate(losses, 1):
-        ok = len(kept) < k or loss < kept[-1][0]
-        saved.append(ok)
-        if ok:
-            kept.append((loss, step))
-            kept.sort(key=lambda t: t[0])
-            while len(kept) > k:
-                pruned[kept.pop()[1]] = step
-    return saved, pruned, sorted(s for _, s in kept)
+    """Closed form: i is saved iff fewer than k earlier losses are at most its own; it is
+    pruned at the first later step by which k losses rank before it."""
+    n = len(losses)
+    before = lambda i, upto: sum(losses[j] <= losses[i] if j < i else losses[j] < losses[i] for j in range(upto) if j != i)
+    saved = [before(i, i) < k for i in range(n)]
+    pruned = {i + 1: s for i in range(n) if saved[i] for s in [next((u for u in range(i + 2, n + 1) if before(i, u) >= k), None)] if s}
+    return saved, pruned, [i + 1 for i in range(n) if before(i, n) < k]
 
 
 @pytest.mark.parametrize("losses,saved,pruned,final", [
@@ -117,3 +113,28 @@ def test_stream_two_keys_batch(spark):
     # a resumed run (session 1) starts with an empty retained list
     assert [r.saved for r in rows] == [True, True, True, True, True, True]
     assert {r.step: list(r.pruned_steps) for r in rows if r.pruned_steps} == {3: [1], 6: [5]}
+
+
+def test_null_run_ids_are_a_run(spark):
+    losses = [1.0, 2.0, 3.0, 4.0, 5.0, 0.5, 6.0, 7.0]
+    e = ev(spark, losses, None)
+    saved, pruned, final = naive(losses, 2)
+    for block in (2, 1 << 16):
+        assert [r.saved for r in ck.best_k_decisions(e, 2, block).orderBy("step").collect()] == saved
+        assert {r.step: r.pruned_at_step for r in ck.best_k_prunes(e, 2, block).collect() if r.pruned_at_step} == pruned
+        assert sorted(r.step for r in ck.best_k_final(e, 2, block).collect()) == final
+
+
+def test_stream_prunes_equal_batch(spark):
+    e = eval_events(table(spark, SF["0.001"], "events"))
+    s = replay_best_k(spark, e, 2, batches=4)
+    b = best_k_stream(e, 2).select(s.columns)
+    assert s.where("size(pruned_steps) > 0").count() > 0 and s.exceptAll(b).count() == 0 and s.count() == b.count()
+
+
+def test_missing_artifact_is_an_error(spark):
+    roots = spark.createDataFrame([("a",), ("b",)], "root string")
+    arts = spark.createDataFrame([("a", "a/checkpoint-1")], "root string, path string")
+    with pytest.raises(FileNotFoundError, match="b"):
+        ck.require_artifact(arts, roots)
+    assert ck.require_artifact(arts, roots.limit(1).where("root = 'a'")).count() == 1

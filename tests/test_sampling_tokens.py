@@ -38,7 +38,6 @@ def test_no_cap_and_negative_cap(spark):
 
 def test_radix_select_matches_sort(spark, monkeypatch):
     df = keyed(spark, 5000, seed=3)
-    monkeypatch.setattr(sampling, "TOPK_MAX", 0)
     monkeypatch.setattr(sampling, "FINISH_MAX", 10)
     rows = df.orderBy("shuffle_key", "sample_id").collect()
     for k in (1, 77, 2500, 5000):

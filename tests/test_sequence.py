@@ -11,7 +11,7 @@ from turnloom.operators.samples import (
     pair_windows,
     strided_windows,
 )
-from turnloom.operators.sequence import instruct_from_dialogue, merged_turns
+from turnloom.operators.sequence import instruct_from_dialogue, merged_turns, role_runs
 from turnloom.sources.tables import turns_from_table
 
 from .conftest import dialogue
@@ -237,3 +237,26 @@ def test_strided_windows_brute_force(spark, sizes, overlap):
                 expected.add((conv, method, 0 if method == "prefix" else start, n))
     got = {(r.conv_id, r.method, r.start_idx, r.n_msgs) for r in strided_windows(t, sizes, overlap).collect()}
     assert got == expected
+
+
+def test_null_conversation_ids_are_one_conversation_in_every_plan(spark):
+    from turnloom.operators import samples as sm
+
+    rows = [(None, 0, "user", "a"), (None, 1, "model", "b"), (None, 2, "user", "c"), (None, 3, "model", "d"), ("x", 0, "user", "e"), ("x", 1, "model", "f")]
+    turns = spark.createDataFrame(rows, "conv_id string, turn long, role string, content string")
+    ops = {
+        "samples": lambda **k: sm.sample_report(sm.conversational_samples(turns, pairs=(1, 2), **k)),
+        "strided": lambda **k: sm.sample_report(sm.strided_windows(turns, (4,), 2, **k)),
+        "pairs": lambda **k: sm.sample_report(sm.block_pairs(turns, **k)),
+        "raw": lambda **k: sm.sample_report(sm.block_pairs(turns, "raw", **k)),
+        "prefixes": lambda **k: sm.sample_report(sm.expanding_history(turns, **k)),
+        "windows": lambda **k: sm.sample_report(sm.pair_windows(turns, (1, 2), **k)),
+        "runs": lambda **k: role_runs(turns, **k).select("conv_id", "turn", "rid", "is_head"),
+        "instruct": lambda **k: instruct_from_dialogue(turns, **k),
+    }
+    for name, op in ops.items():
+        want = sorted(map(str, op(strategy="conversation").collect()))
+        assert want and any("None" in w for w in want), name
+        assert sorted(map(str, op(strategy="spread").collect())) == want, name
+        assert sorted(map(str, op(strategy="auto", hot_turns=2).collect())) == want, name
+        assert sorted(map(str, op(strategy="auto", hot_turns=0).collect())) == want, name

@@ -21,6 +21,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import null_safe_join, shared_table
+
 BLOCK_SIZE = 1 << 16
 _VS = "struct<loss:double,step:bigint>"
 
@@ -71,7 +73,7 @@ def best_k_decisions(events: DataFrame, k: int = 2, block_size: int = BLOCK_SIZE
     s = summary.select("run_id", "block", F.explode("_topk").alias("v"))
     s, c_cols = _prefix_smallest(s, ["run_id"], ["block", "v"], k, "v", "_c")
     carried = s.groupBy("run_id", "block").agg(F.min_by(F.array(*c_cols), F.col("v")).alias("_carried"))
-    j = ev.join(carried, ["run_id", "block"], "left")
+    j = null_safe_join(ev, carried, ["run_id", "block"], "left")
     before = _nonnull_sorted(F.concat("_inblock", F.coalesce("_carried", F.array().cast(f"array<{_VS}>"))))
     kth_before = F.get(before, k - 1)
     kth_after = F.get(F.array_sort(F.concat(F.slice(before, 1, k), F.array("v"))), k - 1)
@@ -96,7 +98,9 @@ def best_k_prunes(events: DataFrame, k: int = 2, block_size: int = BLOCK_SIZE) -
     of their block (at most k per block) search later blocks, first over block
     minima (one row per block), then inside the one block found.
     """
+    # four branches read the decisions: worked out once
     dec = best_k_decisions(events, k, block_size).withColumn("block", F.floor(F.col("step") / F.lit(block_size)))
+    dec = shared_table(dec, "best-k-decisions")
     v = F.struct(F.col("eval_loss").alias("loss"), F.col("step").cast("long").alias("step"))
     points = dec.where(F.col("kth_after").isNotNull()).select(
         "run_id", "block", F.col("kth_after").alias("val"), F.lit(1).alias("kind"), F.col("step").alias("pstep"),
@@ -124,12 +128,12 @@ def best_k_prunes(events: DataFrame, k: int = 2, block_size: int = BLOCK_SIZE) -
         .select("run_id", "step", "val", F.col("target").alias("block"))
     )
     later = (
-        target.join(dec.select("run_id", "block", F.col("step").alias("s"), "kth_after"), ["run_id", "block"])
+        null_safe_join(target, dec.select("run_id", "block", F.col("step").alias("s"), "kth_after"), ["run_id", "block"])
         .where(F.col("kth_after") < F.col("val"))
         .groupBy("run_id", "step")
         .agg(F.min("s").alias("later"))
     )
-    return local.join(later, ["run_id", "step"], "left").select(
+    return null_safe_join(local, later, ["run_id", "step"], "left").select(
         "run_id", "step", "eval_loss", F.coalesce("in_block", "later").alias("pruned_at_step")
     )
 
@@ -137,7 +141,8 @@ def best_k_prunes(events: DataFrame, k: int = 2, block_size: int = BLOCK_SIZE) -
 def _top_n(df: DataFrame, n: int, order: list[Column], block_size: int, block_col: str = "step") -> DataFrame:
     """Per-run top-n in two levels: per (run, block) then over the <= n-per-block survivors."""
     blk = F.floor(F.col(block_col) / F.lit(block_size))
-    cand = df.withColumn("_b", blk).withColumn("_r", F.row_number().over(Window.partitionBy("run_id", "_b").orderBy(*order))).where(F.col("_r") <= n)
+    # dealt by (run, block): input clustered by run alone would keep a huge run in one task
+    cand = df.withColumn("_b", blk).repartition("run_id", "_b").withColumn("_r", F.row_number().over(Window.partitionBy("run_id", "_b").orderBy(*order))).where(F.col("_r") <= n)
     w2 = Window.partitionBy("run_id").orderBy(*order)
     return cand.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= n).drop("_b", "_r")
 
@@ -204,6 +209,14 @@ def _try_long(c: Column) -> Column:
     return F.when(c.rlike(r"^[+-]?[0-9]+$"), c.try_cast("long"))
 
 
+def require_artifact(artifacts: DataFrame, roots: DataFrame) -> DataFrame:
+    """M5: ``artifacts``, or an error if one of ``roots (root)`` has no candidate."""
+    missing = [r.root for r in null_safe_join(roots.select("root").distinct(), artifacts.select("root").distinct(), ["root"], "left_anti").limit(10).collect()]
+    if missing:
+        raise FileNotFoundError(f"no artifact found under: {', '.join(map(str, missing))}")
+    return artifacts
+
+
 def resolve_artifact(artifacts: DataFrame) -> DataFrame:
     """M5: per root: the root itself if it has the marker, else ``final_model``, else the
     highest ``checkpoint-N`` (unparsable -> -1; ties -> smallest path).

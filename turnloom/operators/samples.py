@@ -150,7 +150,21 @@ def materialise_samples(conv_rows: DataFrame, descriptors: Column, pair_mode: st
     )
 
 
-def block_pairs(turns: DataFrame, pair_mode: str = "observed") -> DataFrame:
+def _routed(turns: DataFrame, descriptors: Column, strategy: str, hot_turns: int | None, **spread) -> DataFrame:
+    """One sample method in the conversation plan, or for hot conversations in the spread plan."""
+    from .spread import route_hot, spread_samples
+
+    mode = spread.get("pair_mode", "observed")
+    return route_hot(
+        turns,
+        lambda t: materialise_samples(conversation_rows(t), descriptors, mode),
+        lambda t: spread_samples(t, dedup=False, **spread),
+        strategy,
+        hot_turns,
+    )
+
+
+def block_pairs(turns: DataFrame, pair_mode: str = "observed", strategy: str = "auto", hot_turns: int | None = None) -> DataFrame:
     """W5 ("method 1"): every user turn of a user run followed by a model run gives a
     2-message sample.
 
@@ -160,21 +174,21 @@ def block_pairs(turns: DataFrame, pair_mode: str = "observed") -> DataFrame:
     turns keep their own text. ``raw`` gives the documented 1:1 pairs: own text and
     the first turn of the following model run.
     """
-    return materialise_samples(conversation_rows(turns), pair_descriptors(), pair_mode)
+    return _routed(turns, pair_descriptors(), strategy, hot_turns, pair_mode=pair_mode, methods=("pair",))
 
 
-def expanding_history(turns: DataFrame) -> DataFrame:
+def expanding_history(turns: DataFrame, strategy: str = "auto", hot_turns: int | None = None) -> DataFrame:
     """W6 ("method 2"): for every model turn at index i, messages[0..i] (floor(n/2) samples)."""
-    return materialise_samples(conversation_rows(turns), prefix_descriptors(1))
+    return _routed(turns, prefix_descriptors(1), strategy, hot_turns, methods=("prefix",))
 
 
-def pair_windows(turns: DataFrame, pairs: Sequence[int] = (8, 16)) -> DataFrame:
+def pair_windows(turns: DataFrame, pairs: Sequence[int] = (8, 16), strategy: str = "auto", hot_turns: int | None = None) -> DataFrame:
     """W7 ("method 3"): windows of 2P messages at starts 0, 2, 4, ... when n >= 2P.
 
     Merged lists alternate and start with a user turn, so every window is
     user-first and model-last.
     """
-    return materialise_samples(conversation_rows(turns), window_descriptors(pairs, 2))
+    return _routed(turns, window_descriptors(pairs, 2), strategy, hot_turns, pairs=pairs, methods=("window",))
 
 
 def strided_windows(
@@ -270,10 +284,13 @@ def sample_report(samples: DataFrame) -> DataFrame:
 
 
 def prep_stats(stages: dict[str, DataFrame], key: str = "conv_id") -> DataFrame:
-    """Per-conversation and total counts for each stage (``ROLLUP``); the total
-    row has ``conv_id`` NULL. Partial aggregation keeps the shuffle tiny."""
+    """Per-conversation and total counts for each stage (``ROLLUP``); the total row has
+    ``conv_id`` NULL and ``is_total`` true, so a NULL conversation id stays apart.
+    Partial aggregation keeps the shuffle tiny."""
     parts = [
-        df.rollup(key).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), F.col(key).alias("conv_id"), "n")
+        df.rollup(key)
+        .agg(F.count(F.lit(1)).alias("n"), (F.grouping(key) == 1).alias("is_total"))
+        .select(F.lit(name).alias("stage"), F.col(key).alias("conv_id"), "n", "is_total")
         for name, df in stages.items()
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)

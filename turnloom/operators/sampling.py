@@ -8,23 +8,21 @@ recomputes exactly the same keys), and the same value in any SQL engine.
 is found by a distributed radix select over the hex digits of the key (each
 round is one partial aggregation returning at most 65,536 bucket counts to the
 driver), so no global sort, no single-partition window and no unbounded
-``limit`` is ever planned. Small k uses a bounded top-k instead.
+``limit`` is ever planned.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch_table
 
 KEY = "shuffle_key"
 TIE = "sample_id"
-# Above this many rows a top-k (TakeOrderedAndProject) is replaced by radix select.
-TOPK_MAX = 100_000
-# Candidate rows a radix round may bring to the driver to finish the selection.
-FINISH_MAX = 100_000
+# Keys a radix round may bring to the driver to finish the selection.
+FINISH_MAX = 20_000
 DIGITS_PER_ROUND = 4
 
 
@@ -38,41 +36,8 @@ def _order(df: DataFrame) -> F.Column:
 
 
 def kth_key(df: DataFrame, k: int) -> tuple[str, str] | None:
-    """The k-th smallest ``(shuffle_key, sample_id)`` (1-based); None when k <= 0."""
-    if k <= 0:
-        return None
-    keys = df.select(KEY, TIE)
-    if k <= TOPK_MAX:
-        last = keys.orderBy(KEY, TIE).limit(k).agg(F.max(_order(keys)).alias("m")).first()["m"]
-        return (last[KEY], last[TIE]) if last is not None else None
-    prefix, remaining = "", k
-    while True:
-        cand = keys.where(F.col(KEY).startswith(prefix)) if prefix else keys
-        depth = len(prefix)
-        if depth >= 32:
-            bucket_rows = None
-        else:
-            digit = F.substring(F.col(KEY), depth + 1, DIGITS_PER_ROUND)
-            bucket_rows = cand.groupBy(digit.alias("b")).count().orderBy("b").collect()
-        if bucket_rows is not None:
-            total = sum(r["count"] for r in bucket_rows)
-            if total < remaining:
-                return None
-            seen = 0
-            for r in bucket_rows:
-                if seen + r["count"] >= remaining:
-                    chosen, before = r["b"], seen
-                    chosen_n = r["count"]
-                    break
-                seen += r["count"]
-            prefix, remaining = prefix + chosen, remaining - before
-            if chosen_n > FINISH_MAX:
-                continue
-            cand = keys.where(F.col(KEY).startswith(prefix))
-        rows = cand.orderBy(KEY, TIE).limit(remaining).collect()
-        if len(rows) < remaining:
-            return None
-        return rows[-1][KEY], rows[-1][TIE]
+    """The k-th smallest ``(shuffle_key, sample_id)`` (1-based); None when there are fewer."""
+    return kth_keys(df, [k]).get(k)
 
 
 def order_keys(samples: DataFrame):
@@ -83,21 +48,36 @@ def order_keys(samples: DataFrame):
 
 
 def kth_keys(df: DataFrame, ks: list[int]) -> dict[int, tuple[str, str] | None]:
-    """Several k-th smallest keys at once: one bounded top-k job when the largest k
-    is at most ``TOPK_MAX`` (the ranking window runs on those <= TOPK_MAX rows),
-    else one radix select per k."""
-    wanted = sorted({k for k in ks if k > 0})
-    out: dict[int, tuple[str, str] | None] = {k: None for k in ks if k <= 0}
-    if not wanted:
-        return out
-    if wanted[-1] > TOPK_MAX:
-        out.update({k: kth_key(df, k) for k in wanted})
-        return out
-    top = df.select(KEY, TIE).orderBy(KEY, TIE).limit(wanted[-1])
-    ranked = top.withColumn("_r", F.row_number().over(Window.orderBy(KEY, TIE)))
-    rows = ranked.where(F.col("_r").isin(wanted)).collect()
-    found = {r["_r"]: (r[KEY], r[TIE]) for r in rows}
-    out.update({k: found.get(k) for k in wanted})
+    """Several k-th smallest keys: a radix select that serves all of them. Each round
+    counts the next four hex digits below the prefixes still open (at most 65,536
+    counts each); a bucket of ``FINISH_MAX`` keys or fewer is brought to the driver and
+    ranked. A full key names one id, so no round goes beyond 32 digits."""
+    keys = df.select(KEY, TIE)
+    out: dict[int, tuple[str, str] | None] = {k: None for k in ks}
+    open_ = {("", k): [k] for k in ks if k > 0}  # (prefix, rank below it) -> the ks it answers
+    while open_:
+        buckets: dict[str, list] = {}
+        for prefix in {p for p, _ in open_}:
+            digit = F.substring(F.col(KEY), len(prefix) + 1, DIGITS_PER_ROUND)
+            below = keys.where(F.col(KEY).startswith(prefix)) if prefix else keys
+            buckets[prefix] = below.groupBy(digit.alias("b")).count().orderBy("b").collect()
+        nxt: dict[tuple[str, int], list[int]] = {}
+        for (prefix, rank), wanted in open_.items():
+            for r in buckets[prefix]:
+                if rank > r["count"]:
+                    rank -= r["count"]
+                    continue
+                found = prefix + r["b"]
+                if r["count"] <= FINISH_MAX:
+                    rows = sorted((x[KEY], x[TIE]) for x in keys.where(F.col(KEY).startswith(found)).collect())
+                    out.update({k: rows[rank - 1] for k in wanted})
+                elif len(found) >= 32:
+                    one = keys.where(F.col(KEY) == found).first()
+                    out.update({k: (one[KEY], one[TIE]) for k in wanted})
+                else:
+                    nxt.setdefault((found, rank), []).extend(wanted)
+                break
+        open_ = nxt
     return out
 
 
@@ -167,3 +147,29 @@ def eval_subsample(evl: DataFrame, n: int = 200, seed: int = 42, id_col: str = T
     order = F.struct(F.col("_sub_key").alias(KEY), F.col(id_col).cast("string").alias(TIE))
     limit = F.struct(F.lit(bound[0]).alias(KEY), F.lit(bound[1]).alias(TIE))
     return keyed.where(order <= limit).drop("_sub_key")
+
+
+def eval_subsample_by_text(evl: DataFrame, n: int = 200, seed: int = 42, text_col: str = "text") -> DataFrame:
+    """R4 for rows without an id: the same ``n`` rows however the files are split. The
+    order is ``md5(seed ':' md5(text))``; rows of one text are equal, so it does not
+    matter which of them fill the last places."""
+    t = F.md5(F.coalesce(F.col(text_col), F.lit("")))
+    counts = evl.groupBy(t.alias(TIE)).agg(F.count(F.lit(1)).alias("n"))
+    keyed = counts.withColumn(KEY, F.md5(F.concat(F.lit(f"{seed}:"), F.col(TIE))))
+    with scratch_table(keyed, "subsample-texts") as texts:
+        total = texts.agg(F.sum("n")).first()[0] or 0
+        if total <= n:
+            return evl
+        bound = kth_key(texts, n)  # n texts are enough for n rows
+        first = texts.where(_upto(texts, bound)) if bound else texts
+        rows = sorted((r[KEY], r[TIE], r["n"]) for r in first.collect())  # n at most
+    whole, left = [], n
+    for _, text, count in rows:
+        if count > left:
+            break
+        whole.append(text)
+        left -= count
+    else:
+        text = None
+    out = evl.where(t.isin(whole)) if whole else evl.where("false")
+    return out.unionByName(evl.where(t == text).limit(left)) if left and text else out

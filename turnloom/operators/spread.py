@@ -27,12 +27,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import null_safe_join, shared_table
+
 BLOCK_TURNS = 1 << 14
 # A conversation with more turns than this goes to the skew-safe plan.
 HOT_TURNS = 100_000
-# At most this many hot ids are broadcast to split the input; beyond it, the
-# whole input takes the skew-safe plan.
-MAX_HOT_IDS = 10_000
 
 
 def spread_runs(turns: DataFrame, block_size: int | None = None) -> DataFrame:
@@ -59,7 +58,7 @@ def spread_runs(turns: DataFrame, block_size: int | None = None) -> DataFrame:
     ).withColumn(
         "n_runs", F.sum("_block_heads").over(ws.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     ).withColumn("first_role", F.first("_first_role").over(ws.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    j = t.join(summ.select("conv_id", "block", "_first_head", "_heads_before", "n_runs", "first_role"), ["conv_id", "block"])
+    j = null_safe_join(t, summ.select("conv_id", "block", "_first_head", "_heads_before", "n_runs", "first_role"), ["conv_id", "block"])
     return j.select(
         "conv_id",
         "turn",
@@ -84,7 +83,7 @@ def blocked_lag(df: DataFrame, key: str, order: str, cols: Sequence[str], block_
         t = t.withColumn(f"prev_{c}", F.lag(c).over(w))
     tails = t.groupBy(key, "_blk").agg(F.max_by(F.struct(*cols), F.col(order)).alias("_tail"))
     tails = tails.select(key, "_blk", F.lag("_tail").over(Window.partitionBy(key).orderBy("_blk")).alias("_prev_tail"))
-    j = t.join(tails, [key, "_blk"])
+    j = null_safe_join(t, tails, [key, "_blk"])
     for c in cols:
         j = j.withColumn(f"prev_{c}", F.when(F.col("_first"), F.col("_prev_tail")[c]).otherwise(F.col(f"prev_{c}")))
     return j.drop("_blk", "_first", "_prev_tail")
@@ -94,9 +93,10 @@ def route_hot(turns: DataFrame, conversation_plan, spread_plan, strategy: str =
     """Run ``conversation_plan`` (one task per conversation) or ``spread_plan``
     (skew-safe) per conversation size.
 
-    ``auto`` counts turns per conversation (a partial aggregation), broadcasts the
-    ids of conversations above ``hot_turns`` (at most ``MAX_HOT_IDS``, checked) and
-    runs them through the spread plan; beyond ``MAX_HOT_IDS`` hot ids, everything does.
+    ``auto`` counts turns per conversation (a partial aggregation), keeps the ids above
+    ``hot_turns``, however many, as a table in the shared folder, and joins it back:
+    matching conversations take the spread plan, the rest the conversation plan. A NULL
+    id is a conversation like any other in both plans.
     """
     if strategy == "conversation":
         return conversation_plan(turns)
@@ -105,31 +105,15 @@ def route_hot(turns: DataFrame, conversation_plan, spread_plan, strategy: str =
     if strategy != "auto":
         raise ValueError("strategy must be 'auto', 'conversation' or 'spread'")
     limit = HOT_TURNS if hot_turns is None else hot_turns
-    hot = _hot_ids(turns, limit)
-    if not hot:
+    sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    hot = shared_table(sizes.where(F.col("n") > limit).select("conv_id"), "hot-conversations")
+    if hot.isEmpty():
         return conversation_plan(turns)
-    if len(hot) > MAX_HOT_IDS:
-        return spread_plan(turns)
-    ids = F.broadcast(turns.sparkSession.createDataFrame([(r.conv_id,) for r in hot], turns.select("conv_id").schema))
-    normal = turns.join(ids, "conv_id", "left_anti")
-    heavy = turns.join(ids, "conv_id", "left_semi")
+    normal = null_safe_join(turns, hot, ["conv_id"], "left_anti")
+    heavy = null_safe_join(turns, hot, ["conv_id"], "left_semi")
     return conversation_plan(normal).unionByName(spread_plan(heavy))
 
 
-# Routing decisions per (session, input plan, threshold). Both plans return the same
-# rows, so a stale entry (input files changed under the same plan) can only cost
-# speed, never correctness.
-_HOT_CACHE: dict[tuple, list] = {}
-
-
-def _hot_ids(turns: DataFrame, limit: int) -> list:
-    key = (id(turns.sparkSession), turns.semanticHash(), limit)
-    if key not in _HOT_CACHE:
-        sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
-        _HOT_CACHE[key] = sizes.where(F.col("n") > limit).select("conv_id").limit(MAX_HOT_IDS + 1).collect()
-    return _HOT_CACHE[key]
-
-
 def _msg(role: Column, content: Column) -> Column:
     return F.struct(role.alias("role"), content.alias("content"))
 
@@ -146,9 +130,15 @@ def _sample(df: DataFrame, method: Column, ord_: Column, start: Column, n: Colum
 
 
 def spread_samples(
-    turns: DataFrame, pairs: Sequence[int] = (8, 16), pair_mode: str = "observed", dedup: bool = True, block_size: int | None = None
+    turns: DataFrame,
+    pairs: Sequence[int] = (8, 16),
+    pair_mode: str = "observed",
+    dedup: bool = True,
+    block_size: int | None = None,
+    methods: Sequence[str] = ("pair", "prefix", "window"),
 ) -> DataFrame:
-    """U1 (+D1) with no per-conversation gathering; same rows as ``conversational_samples``."""
+    """U1 (+D1) with no per-conversation gathering; same rows as ``conversational_samples``.
+    ``methods`` picks the sample kinds: W5 ``pair``, W6 ``prefix``, W7 ``window``."""
     if pair_mode not in ("observed", "raw"):
         raise ValueError(f"pair_mode must be 'observed' or 'raw', got {pair_mode!r}")
     rt = spread_runs(turns, block_size)
@@ -171,10 +161,10 @@ def spread_samples(
     # Pairs by keyed joins
     users = rt.where(F.col("role") == "user").select("conv_id", "turn", "rid", "is_head", "content")
     nxt = runs.select("conv_id", (F.col("rid") - 1).alias("rid"), F.col("content").alias("m_content"), F.col("head_content").alias("m_head"))
-    p = users.join(nxt, ["conv_id", "rid"])
+    p = null_safe_join(users, nxt, ["conv_id", "rid"])
     if pair_mode == "observed":
         own = runs.select("conv_id", "rid", F.col("content").alias("run_content"))
-        p = p.join(own, ["conv_id", "rid"])
+        p = null_safe_join(p, own, ["conv_id", "rid"])
         u_text = F.when(F.col("is_head"), F.col("run_content")).otherwise(F.col("content"))
         m_text = F.col("m_content")
     else:
@@ -185,7 +175,11 @@ def spread_samples(
     def ranges(kind: str, ord_: int, size: int | None) -> DataFrame:
         return _ranges(merged, kind, ord_, size, 2)
 
-    parts = [pair_rows, ranges("prefix", 1, None)] + [ranges(f"window{p_}", 2 + j, 2 * p_) for j, p_ in enumerate(pairs)]
+    parts = [pair_rows] if "pair" in methods else []
+    if "prefix" in methods:
+        parts.append(ranges("prefix", 1, None))
+    if "window" in methods:
+        parts += [ranges(f"window{p_}", 2 + j, 2 * p_) for j, p_ in enumerate(pairs)]
     union = parts[0]
     for d in parts[1:]:
         union = union.unionByName(d)

@@ -200,7 +200,7 @@ def q_pool_stats(spark, sf):
     es, cs = conversational_samples(et), conversational_samples(ct)
     stats = prep_stats({"events.turns": et, "events.samples": es, "conversations.turns": ct, "conversations.samples": cs})
     pooled = pool(es.select("method"), cs.select("method")).agg(F.count(F.lit(1)).alias("n"))
-    return stats.unionByName(pooled.select(F.lit("pool.samples").alias("stage"), F.lit(None).cast("long").alias("conv_id"), "n"))
+    return stats.drop("is_total").unionByName(pooled.select(F.lit("pool.samples").alias("stage"), F.lit(None).cast("long").alias("conv_id"), "n"))
 
 
 def _report_keys(df):
@@ -349,7 +349,8 @@ def q_eval_schedule(spark, sf):
 def q_best_k_stream(spark, sf):
     from ..streaming.best_k import replay_best_k
 
-    return replay_best_k(spark, _evals(spark, sf), BEST_K)
+    got = replay_best_k(spark, _evals(spark, sf), BEST_K)
+    return got.withColumn("pruned_steps", F.array_join(F.array_sort("pruned_steps"), ","))
 
 
 QUERIES: dict[str, Query] = {

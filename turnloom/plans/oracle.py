@@ -327,7 +327,12 @@ SELECT conv_id, pturn AS user_turn, turn AS model_turn, pcontent AS instruction,
 FROM l WHERE role = 'model' AND prole = 'user'"""
 ORACLE_SQL["json_docs_to_turns"] = f"SELECT conv_id, turn, role, content FROM ({_DIALOGUE_TURNS}) WHERE r0 IN ('user', 'assistant')"
 
-ORACLE_SQL["best_k_stream"] = ORACLE_SQL["best_k_decisions"]
+ORACLE_SQL["best_k_stream"] = f"""
+SELECT b.run_id, b.step, b.eval_loss, b.saved, coalesce(p.steps, '') AS pruned_steps
+FROM ({ORACLE_SQL["best_k_decisions"]}) b
+LEFT JOIN (SELECT run_id, pruned_at_step, string_agg(CAST(step AS VARCHAR), ',' ORDER BY step) AS steps
+           FROM ({ORACLE_SQL["best_k_prunes"]}) WHERE pruned_at_step IS NOT NULL GROUP BY run_id, pruned_at_step) p
+  ON p.run_id = b.run_id AND p.pruned_at_step = b.step"""
 ORACLE_SQL["jsonl_roundtrip"] = f"""
 WITH s AS ({samples_sql(CONV_FILLED)}),
 ks AS (SELECT *, CAST(conv_id AS VARCHAR) || ':' || method || ':' || CAST(start_idx AS VARCHAR) || ':' || CAST(n_msgs AS VARCHAR) AS sample_id FROM s),

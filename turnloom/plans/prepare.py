@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.render import render_instruct_text, render_messages_text
 from ..operators.normalise import drop_blank, fill_blank
-from ..operators.sampling import eval_subsample, shuffled, split
+from ..operators.sampling import eval_subsample_by_text, shuffled, split
 from ..operators.samples import conversational_samples, pool, with_sample_id
 from ..operators.sequence import instruct_from_dialogue
 from ..operators.tokens import MAX_LENGTH, PAD_ID, build_vocab, model_inputs
@@ -100,7 +100,11 @@ def prepare_model_inputs(
     check_format(fmt)
 
     def rendered(path: str) -> DataFrame:
-        df = read_samples(spark, path, fmt).drop("_corrupt_record")
+        df = read_samples(spark, path, fmt)
+        bad = df.where(F.col("_corrupt_record").isNotNull()).count()
+        if bad:
+            raise ValueError(f"{path}: {bad} lines are not valid JSON samples")
+        df = df.drop("_corrupt_record")
         text = render_instruct_text("instruction", "response") if fmt == "instruct" else render_messages_text("messages")
         return df.withColumn("text", text)
 
@@ -110,11 +114,6 @@ def prepare_model_inputs(
     train_inputs = model_inputs(train, vocab, max_length=max_length, pad_id=pad_id, side=side)
     eval_inputs = None
     if eval_path:
-        # row ids are positional (file split + offset): fixed for a given file set, as
-        # the reference's subset is fixed by file order and seed
-        evl = rendered(eval_path).withColumn(
-            "sample_id", F.concat(F.md5("text"), F.lit(":"), F.monotonically_increasing_id().cast("string"))
-        )
-        evl = eval_subsample(evl, eval_rows, 42)
+        evl = eval_subsample_by_text(rendered(eval_path), eval_rows, 42)
         eval_inputs = model_inputs(evl, vocab, max_length=max_length, pad_id=pad_id, side=side)
     return train_inputs, eval_inputs, vocab

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -48,7 +49,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             raise RuntimeError(
                 f"set {CHECKPOINT_CONF} to a folder shared by all executors; a machine-local scratch "
                 "folder is only used in local mode"
@@ -58,12 +59,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage by writing ``df`` to the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def ship_by_value(module_name: str) -> None:
     """Pickle functions of ``module_name`` by value so Python workers need no install
     of this package (the usual alternative is ``addPyFile`` of a wheel/zip)."""
@@ -77,6 +72,26 @@ def ship_by_value(module_name: str) -> None:
             pass
 
 
+def shared_table(df: DataFrame, name: str = "shared") -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back: used by
+    several branches of a lazy plan, computed once, survives lost executors. The folder
+    is the cluster's to clean, like any checkpoint."""
+    path = ensure_checkpoint_dir(df.sparkSession).rstrip("/") + f"/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` in which NULL equals NULL; the columns of ``on`` come from ``left``."""
+    keys = {c: f"__{c}_r" for c in on}
+    right = right.withColumnsRenamed(keys)
+    cond = None
+    for c, r in keys.items():
+        one = F.col(c).eqNullSafe(F.col(r))
+        cond = one if cond is None else cond & one
+    return left.join(right, cond, how).drop(*keys.values())
+
+
 @contextmanager
 def scratch_table(df: DataFrame, name: str = "scratch"):
     """Write ``df`` as parquet under the shared checkpoint folder, yield it read back

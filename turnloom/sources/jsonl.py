@@ -38,18 +38,26 @@ def _delete(spark: SparkSession, path: str) -> None:
 def write_splits(train: DataFrame, evl: DataFrame, out_dir: str, base: str, fmt: str) -> dict[str, str | None]:
     """``<out_dir>/train_<base>`` always (even empty), ``eval_<base>`` only when
     non-empty; a stale eval output from an earlier run is removed. Non-ASCII text
-    is written raw and ``context`` is written as an explicit null."""
+    is written raw and ``context`` is written as an explicit null. Rows that carry a
+    shuffle key are written in its order: part files in name order, and lines in a
+    part, follow ``(shuffle_key, sample_id)`` (a range shuffle, no single task)."""
     check_format(fmt)
     cols = COLUMNS[fmt]
     spark = train.sparkSession
     train_path = posixpath.join(out_dir, f"train_{base}")
     eval_path = posixpath.join(out_dir, f"eval_{base}")
-    writer = lambda df: df.select(*cols).write.mode("overwrite").option("ignoreNullFields", "false")
-    writer(train).json(train_path)
-    if evl.isEmpty():
+    order = [c for c in ("shuffle_key", "sample_id") if c in train.columns]
+
+    def write(df: DataFrame, path: str) -> None:
+        if order:
+            df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        df.select(*cols).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+    write(train, train_path)
+    write(evl, eval_path)
+    if spark.read.text(eval_path).isEmpty():
         _delete(spark, eval_path)
         return {"train": train_path, "eval": None}
-    writer(evl).json(eval_path)
     return {"train": train_path, "eval": eval_path}
 
 

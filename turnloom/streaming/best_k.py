@@ -5,8 +5,8 @@ empty in every process). State per key = the retained ``(loss, step)`` list, at
 most k entries, so state size is bounded whatever the stream length. Output is
 append-only: one decision row per evaluation event with the steps it prunes.
 
-Within a micro-batch a key's rows may come in several Arrow frames in any order:
-they are buffered and processed in step order. Across micro-batches, arrival
+Within a micro-batch a key's rows may come in several Arrow frames in any order: steps
+and losses are gathered and taken in step order, without a loop over events. Across micro-batches, arrival
 order is processing order (as for the live callback).
 """
 
@@ -16,11 +16,12 @@ import math
 import uuid
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..session import ensure_checkpoint_dir, ship_by_value
+from ..session import ensure_checkpoint_dir, null_safe_join, ship_by_value
 
 STATE_SCHEMA = T.StructType([
     T.StructField("losses", T.ArrayType(T.DoubleType())),
@@ -28,35 +29,42 @@ STATE_SCHEMA = T.StructType([
 ])
 
 
-def _decide(retained: list[tuple[float, int]], loss: float, step: int, k: int) -> tuple[bool, list[int]]:
-    """One evaluation: save iff fewer than k retained or strictly below the worst;
-    after a save keep the k best by loss (stable: ties keep the earlier step)."""
-    if len(retained) >= k and not loss < retained[-1][0]:
-        return False, []
-    retained.append((loss, step))
-    retained.sort(key=lambda t: t[0])
-    pruned = []
-    while len(retained) > k:
-        pruned.append(retained.pop()[1])
-    return True, pruned
+def _best_so_far(rank: np.ndarray, k: int) -> np.ndarray:
+    """[t, i]: the (t+1)-th smallest of ``rank[:i]``; ``len(rank)`` while there are fewer.
+    The next smallest of a prefix is the running minimum of max(value, previous level)."""
+    none = len(rank)
+    out, value = np.full((k, len(rank)), none), rank
+    for t in range(k):
+        out[t, 1:] = np.minimum.accumulate(value)[:-1]
+        value = np.maximum(value, out[t])
+    return out
 
 
 def best_k_processor(keys: Sequence[str], k: int):
+    """The rule of M1 and M2 over one key's micro-batch: the retained list comes first, as
+    events already seen; an event is saved iff it ranks before the k-th best so far by
+    (loss, order of arrival), and then takes that one's place."""
+
     def fn(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            losses, steps = state.get
-            retained = list(zip(list(losses), [int(s) for s in steps]))
-        else:
-            retained = []
-        batch = pd.concat(list(frames), ignore_index=True).sort_values("step", kind="stable")
-        rows = []
-        for step, loss in zip(batch["step"].tolist(), batch["eval_loss"].tolist()):
-            if loss is None or (isinstance(loss, float) and math.isnan(loss)):
-                continue
-            saved, pruned = _decide(retained, float(loss), int(step), k)
-            rows.append((*key, int(step), float(loss), saved, pruned))
-        state.update(([t[0] for t in retained], [t[1] for t in retained]))
-        yield pd.DataFrame(rows, columns=[*keys, "step", "eval_loss", "saved", "pruned_steps"])
+        held_loss, held_step = (np.array(x, t) for x, t in zip(state.get if state.exists else ([], []), (float, np.int64)))
+        parts = [(f["step"].to_numpy(np.int64), f["eval_loss"].to_numpy(float)) for f in frames]
+        step, loss = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        known = ~np.isnan(loss)
+        order = np.argsort(step[known], kind="stable")
+        n_held = len(held_loss)
+        loss = np.concatenate([held_loss, loss[known][order]])
+        step = np.concatenate([held_step, step[known][order]])
+        by_loss = np.argsort(loss, kind="stable")  # ties: the earlier one first
+        rank = np.empty(len(loss), np.int64)
+        rank[by_loss] = np.arange(len(loss))
+        kth = _best_so_far(rank, k)[k - 1][n_held:] if len(loss) else np.zeros(0, np.int64)
+        saved = rank[n_held:] < kth
+        out = saved & (kth < len(loss))
+        pruned = [[int(step[by_loss[r]])] if o else [] for r, o in zip(kth.tolist(), out.tolist())]
+        best = by_loss[:k]
+        state.update((loss[best].tolist(), step[best].tolist()))
+        data = {c: [v] * len(saved) for c, v in zip(keys, key)}
+        yield pd.DataFrame(data | {"step": step[n_held:], "eval_loss": loss[n_held:], "saved": saved, "pruned_steps": pruned})
 
     return fn
 
@@ -98,7 +106,7 @@ def _batch_equivalent(events: DataFrame, k: int, keys: list[str]) -> DataFrame:
         .groupBy("run_id", F.col("pruned_at_step").alias("step"))
         .agg(F.array_sort(F.collect_list(F.col("step").cast("long"))).alias("pruned_steps"))
     )
-    out = dec.join(pr, ["run_id", "step"], "left").withColumn(
+    out = null_safe_join(dec, pr, ["run_id", "step"], "left").withColumn(
         "pruned_steps", F.coalesce("pruned_steps", F.array().cast("array<bigint>"))
     )
     if keys != ["run_id"]:
@@ -134,4 +142,4 @@ def replay_best_k(spark: SparkSession, events: DataFrame, k: int = 2, batches: i
         .start()
     )
     q.awaitTermination()
-    return spark.read.parquet(sink).select("run_id", "step", "eval_loss", "saved")
+    return spark.read.parquet(sink).select("run_id", "step", "eval_loss", "saved", "pruned_steps")
