@@ -32,7 +32,9 @@ def test_prepare_dataset(spark, fmt, n_total):
     assert res.counts["total"] == n_total
     assert res.counts["capped"] == 100 and res.counts["eval"] == 10 and res.counts["train"] == 90
     assert res.valid == {"train": True, "eval": True}
-    assert [r.reason for r in res.quarantine.collect()] == ["invalid_json"]
+    rejected = ["entry_non_string"] if fmt == "instruct" else ["skipped_shape"] * res.dropped.get("skipped_shape", 0)
+    assert sorted(r.reason for r in res.quarantine.collect()) == sorted(["invalid_json", *rejected])
+    assert sum(res.dropped.values()) == res.quarantine.count() and res.counts["train_validated"] == 90
     train = spark.read.json(res.paths["train"])
     assert train.count() == 90
     tr, ev, vocab = prepare_model_inputs(spark, res.paths["train"], res.paths["eval"], fmt, vocab_size=200, max_length=32, eval_rows=5)

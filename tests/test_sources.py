@@ -121,15 +121,26 @@ def test_write_and_read_splits(spark):
 
 def test_run_metrics_and_artifacts(spark):
     root = tempfile.mkdtemp(prefix="turnloom-runs-")
-    for name, hist in [("checkpoint-20", [{"step": 10, "loss": 2.0}, {"step": 20, "eval_loss": 1.5}]), ("checkpoint-40", [{"step": 40, "eval_loss": 1.2}])]:
-        os.makedirs(f"{root}/run1/{name}")
+    first = [{"step": 10, "loss": 2.0, "grad_norm": float("nan")}, {"step": 20, "eval_loss": 1.5}]
+    for name, hist in [("checkpoint-20", first), ("checkpoint-40", first + [{"step": 40, "eval_loss": 1.2}])]:
+        os.makedirs(f"{root}/run1/{name}/deep")
+        open(f"{root}/run1/{name}/deep/adapter_config.json", "w").write("{}")
         json.dump({"log_history": hist}, open(f"{root}/run1/{name}/trainer_state.json", "w"))
         open(f"{root}/run1/{name}/adapter_config.json", "w").write("{}")
     m = read_run_metrics(spark, root)
-    assert sorted((r.checkpoint, r.step, r.metric, r.value) for r in m.collect()) == [
-        ("checkpoint-20", 10, "loss", 2.0), ("checkpoint-20", 20, "eval_loss", 1.5), ("checkpoint-40", 40, "eval_loss", 1.2)]
-    arts = list_artifacts(spark, f"{root}/run1")
-    assert sorted(r.path.rsplit("/", 1)[-1] for r in arts.collect()) == ["checkpoint-20", "checkpoint-40"]
+    assert sorted((r.checkpoint, r.step, r.metric, str(r.value)) for r in m.collect()) == [
+        ("checkpoint-40", 10, "grad_norm", "nan"), ("checkpoint-40", 10, "loss", "2.0"), ("checkpoint-40", 20, "eval_loss", "1.5"), ("checkpoint-40", 40, "eval_loss", "1.2")]
+    for form in (f"{root}/run1", f"file:{root}/run1", f"file://{root}/run1/"):
+        arts = list_artifacts(spark, form)
+        assert sorted(r.path.rsplit("/", 1)[-1] for r in arts.collect()) == ["checkpoint-20", "checkpoint-40"]
+    open(f"{root}/run1/checkpoint-40/trainer_state.json", "w").write("{broken")
+    from turnloom.plans.report import report_folder
+    from turnloom.sources.runlogs import parse_trainer_states
+
+    r = report_folder(spark, root).first()
+    assert (r.best_steps, r.artifact.rsplit("/", 1)[-1], r.n_evals) == ("20", "checkpoint-40", 1)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "trainer_state.json").load(root)
+    assert [x.reason for x in parse_trainer_states(files)[1].collect()] == ["no_log_history"]
 
 
 def test_oversize_document_is_quarantined(spark, monkeypatch):
@@ -144,9 +155,16 @@ def test_oversize_document_is_quarantined(spark, monkeypatch):
 @pytest.mark.parametrize("text,ok", [
     ("8294 text", False), ('{"a":1} x', False), ("[1]]", False), ("1,0]", False), ('{"a":1}{"b":2}', False),
     (" [1, 2] \n", True), ('"s"', True), ("12", True), ('{"a":"\\u0001end"}', True), ("", False),
+    ('1,"\\u0001end"] junk', False), ("null", True), (None, False),
 ])
 def test_strict_json(spark, text, ok):
     from turnloom.functions.json import strict_parse_json
 
-    r = spark.createDataFrame([(text,)], "t string").select(strict_parse_json("t").isNotNull().alias("ok")).first()
+    r = strict_parse_json(spark.createDataFrame([(text,)], "t string"), "t", "v").selectExpr("v IS NOT NULL AS ok").first()
     assert r.ok == ok
+
+
+def test_a_document_is_parsed_once(spark):
+    good, _ = parse_docs(docs(spark, ['[{"sender":"User","userInput":"x"}]']))
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1

@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+import uuid
 
-# Sentinel appended after the document inside a wrapping array. Escaped in the JSON
-# text, so no valid document can end the array early and reproduce it.
-_SENTINEL = "\u0001end"
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def strict_parse_json(col: Column | str) -> Column:
-    """``try_parse_json`` that rejects trailing content like Python's ``json.loads``.
+def strict_parse_json(df: DataFrame, col: str, out: str) -> DataFrame:
+    """``df`` plus ``out``: the parsed value of ``col``, NULL if it is not exactly one JSON
+    value (as Python's ``json.loads`` has it).
 
     Spark's parser stops after the first complete value and ignores the rest
-    (``8294 text`` parses as 8294). Parsing ``[doc,"<sentinel>"]`` instead and
-    requiring a 2-element array that ends with the sentinel accepts exactly one
-    complete value: trailing text breaks the array, a stray ``]`` or ``,`` changes
-    its size. One parse per document.
+    (``8294 text`` parses as 8294). ``[doc,"<token>"]`` is parsed instead, and must be
+    an array of two whose last element is the token: trailing text breaks the array, a
+    stray ``]`` or ``,`` changes its size. The token is new in each plan, so no text
+    can hold it. The parse stands in a one-row generator, which keeps the optimiser
+    from copying it into every expression that reads the value: one parse per document.
     """
-    c = F.col(col) if isinstance(col, str) else col
-    w = F.try_parse_json(F.concat(F.lit("["), c, F.lit(',"\\u0001end"]')))
-    ok = (F.size(F.try_variant_get(w, "$", "array<variant>")) == 2) & (
-        F.try_variant_get(w, "$[1]", "string") == F.lit(_SENTINEL)
-    )
-    return F.when(ok, F.try_variant_get(w, "$[0]", "variant"))
+    token = uuid.uuid4().hex
+    whole = F.try_parse_json(F.concat(F.lit("["), F.col(col), F.lit(f',"{token}"]')))
+    got = df.withColumn("__w", F.explode(F.array(whole)))
+    ok = (F.size(F.try_variant_get("__w", "$", "array<variant>")) == 2) & (F.try_variant_get("__w", "$[1]", "string") == F.lit(token))
+    value = F.when(ok, F.try_variant_get("__w", "$[0]", "variant"))
+    return got.withColumn(out, F.explode(F.array(value))).drop("__w")

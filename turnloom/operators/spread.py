@@ -89,6 +89,19 @@ def blocked_lag(df: DataFrame, key: str, order: str, cols: Sequence[str], block_
     return j.drop("_blk", "_first", "_prev_tail")
 
 
+def blocked_row_number(df: DataFrame, key: str, order: Sequence[str], block: Column, out: str) -> DataFrame:
+    """``out`` = 1-based place of each row of ``key`` in ``order`` without a per-key window:
+    numbers within (key, block) plus the rows of earlier blocks, from a table of one row
+    per block. ``block`` must not decrease along ``order``."""
+    t = df.withColumn("_blk", block).repartition(key, "_blk")
+    t = t.withColumn("_rn", F.row_number().over(Window.partitionBy(key, "_blk").orderBy(*order)))
+    counts = t.groupBy(key, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(key, "_blk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    j = null_safe_join(t, counts, [key, "_blk"])
+    return j.withColumn(out, (F.col("_rn") + F.col("_before")).cast("long")).drop("_blk", "_rn", "_before")
+
+
 def route_hot(turns: DataFrame, conversation_plan, spread_plan, strategy: str = "auto", hot_turns: int | None = None) -> DataFrame:
     """Run ``conversation_plan`` (one task per conversation) or ``spread_plan``
     (skew-safe) per conversation size.

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..session import ship_by_value
+from ..session import shared_table, ship_by_value
 
 # Reserved ids and the turn markers (each marker is one token).
 SPECIAL_TOKENS = ["<pad>", "<eos>", "<bos>", "<unk>", "<start_of_turn>", "<end_of_turn>"]
@@ -44,7 +44,8 @@ def build_vocab(texts: DataFrame, size: int = 32_000, text_col: str = "text") ->
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    top = counts.orderBy(F.desc("n"), F.asc("token")).limit(size - len(SPECIAL_TOKENS))
+    counts = shared_table(counts, "token-counts")
+    top = _most_frequent(counts, size - len(SPECIAL_TOKENS))
     ranked = top.select(
         "token",
         (F.row_number().over(Window.orderBy(F.desc("n"), F.asc("token"))) + len(SPECIAL_TOKENS) - 1).cast("int").alias("id"),
@@ -53,6 +54,19 @@ def build_vocab(texts: DataFrame, size: int = 32_000, text_col: str = "text") ->
     return specials.unionByName(ranked)
 
 
+def _most_frequent(counts: DataFrame, size: int) -> DataFrame:
+    """The ``size`` first tokens by (count desc, token): everything above a count found in
+    the histogram of counts, and of the tokens at that count the first by name. Only the
+    tokens of that one count are sorted."""
+    histogram = counts.groupBy("n").agg(F.count(F.lit(1)).alias("tokens"))  # a row per distinct count
+    above = F.sum("tokens").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("tokens")
+    edge = histogram.withColumn("above", above).where(F.col("above") < size).orderBy("n").first()
+    if edge is None:
+        return counts.limit(0)
+    ties = counts.where(F.col("n") == edge["n"]).orderBy("token").limit(size - edge["above"])
+    return counts.where(F.col("n") > edge["n"]).unionByName(ties)
+
+
 def vocab_broadcast(vocab: DataFrame):
     """Collect a vocabulary (size-checked against ``MAX_VOCAB``) into a broadcast."""
     rows = vocab.select("token", "id").limit(MAX_VOCAB + 1).collect()
@@ -66,16 +80,20 @@ def _lookup_udf(bc, unk: int):
     (``pyarrow.compute.index_in``, C++), rebuild the lists. No per-row Python."""
     ship_by_value(__name__)
 
+    arrays: dict = {}
+
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def lookup(tokens):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        vocab_tokens, vocab_ids = bc.value
         flat = pc.list_flatten(tokens)
-        value_set = pa.array(vocab_tokens, pa.string()).cast(flat.type)
+        if flat.type not in arrays:  # once per task, not per batch
+            vocab_tokens, vocab_ids = bc.value
+            arrays[flat.type] = pa.array(vocab_tokens, pa.string()).cast(flat.type), pa.array(vocab_ids, pa.int32())
+        value_set, id_array = arrays[flat.type]
         pos = pc.index_in(flat, value_set=value_set)
-        ids = pc.fill_null(pc.take(pa.array(vocab_ids, pa.int32()), pos), pa.scalar(unk, pa.int32()))
+        ids = pc.fill_null(pc.take(id_array, pos), pa.scalar(unk, pa.int32()))
         offsets = tokens.offsets
         rebased = pc.subtract(offsets, offsets[0]).cast(pa.int32())
         return pa.ListArray.from_arrays(rebased, ids)

@@ -18,11 +18,10 @@ def validate(lines: DataFrame, fmt: str, col: str = "value") -> DataFrame:
     the format's keys; zero rows is valid.
     """
     check_format(fmt)
-    v = strict_parse_json(F.col(col))
     present = F.lit(True)
     for k in REQUIRED_KEYS[fmt]:
-        present = present & F.try_variant_get(v, f"$.{k}", "variant").isNotNull()
-    parsed = lines.select(v.alias("v"), present.alias("ok"))
+        present = present & F.try_variant_get("v", f"$.{k}", "variant").isNotNull()
+    parsed = strict_parse_json(lines.select(F.col(col).alias("line")), "line", "v").select("v", present.alias("ok"))
     return parsed.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("v").isNull()).alias("n_unparsable"),

@@ -8,7 +8,9 @@ work stays proportional to the tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..operators.spread import blocked_row_number
 
 # Event types read as dialogue roles.
 USER_EVENTS = ("view", "click")
@@ -28,9 +30,6 @@ def value_text(value: F.Column) -> F.Column:
 def events_as_dialogue(events: DataFrame) -> DataFrame:
     """Raw dialogue turns ``(conv_id, turn, role, content)`` from ``events``; content
     is '' for blank turns so blank handling can be applied per mode."""
-    # number turns with a window keyed by the *output* column, so the run window
-    # downstream (also on conv_id) reuses this exchange instead of adding one
-    w = Window.partitionBy("conv_id").orderBy("ts", "event_id")
     role = (
         F.when(F.col("event_type").isin(*USER_EVENTS), F.lit("user"))
         .when(F.col("event_type").isin(*MODEL_EVENTS), F.lit("model"))
@@ -38,19 +37,15 @@ def events_as_dialogue(events: DataFrame) -> DataFrame:
     text = F.when(F.col("value") < BLANK_BELOW, F.lit("")).otherwise(
         F.concat(F.col("event_type"), F.lit(":"), value_text(F.col("value")))
     )
-    return (
-        events.select(F.col("user_id").alias("conv_id"), "ts", "event_id", role.alias("role"), text.alias("content"))
-        .select("conv_id", (F.row_number().over(w) - 1).cast("long").alias("turn"), "role", "content")
-        .where(F.col("role").isNotNull())
-    )
+    rows = events.select(F.col("user_id").alias("conv_id"), "ts", "event_id", role.alias("role"), text.alias("content"))
+    numbered = _numbered(rows, "conv_id", "n").select("conv_id", (F.col("n") - 1).alias("turn"), "role", "content")
+    return numbered.where(F.col("role").isNotNull())
 
 
 def eval_events(events: DataFrame) -> DataFrame:
     """Evaluation events ``(run_id, step, eval_loss)``: run = user, step = 1-based order."""
-    w = Window.partitionBy("run_id").orderBy("ts", "event_id")
-    return events.select(F.col("user_id").alias("run_id"), "ts", "event_id", "value").select(
-        "run_id", F.row_number().over(w).cast("long").alias("step"), F.col("value").alias("eval_loss")
-    )
+    rows = events.select(F.col("user_id").alias("run_id"), "ts", "event_id", F.col("value").alias("eval_loss"))
+    return _numbered(rows, "run_id", "step").select("run_id", "step", "eval_loss")
 
 
 # How event types stand in for trainer log metrics.
@@ -59,13 +54,27 @@ METRIC_OF_EVENT = {"view": "loss", "click": "grad_norm", "purchase": "eval_loss"
 
 def run_metrics(events: DataFrame) -> DataFrame:
     """A trainer-log long table ``(run_id, step, metric, value)`` from ``events``."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     metric = None
     for k, v in METRIC_OF_EVENT.items():
         metric = F.when(F.col("event_type") == k, F.lit(v)) if metric is None else metric.when(F.col("event_type") == k, F.lit(v))
-    return events.select(
-        F.col("user_id").alias("run_id"),
-        F.row_number().over(w).cast("long").alias("step"),
-        metric.alias("metric"),
-        F.col("value").alias("value"),
-    )
+    rows = events.select(F.col("user_id").alias("run_id"), "ts", "event_id", metric.alias("metric"), "value")
+    return _numbered(rows, "run_id", "step").select("run_id", "step", "metric", "value")
+
+
+def trainer_states(events: DataFrame) -> DataFrame:
+    """``(path, content)``: a trainer state file at half time and at the end of each run,
+    with the whole history so far; gradient norms under 20 are written as NaN."""
+    m = run_metrics(events).where("run_id IS NOT NULL AND metric IS NOT NULL")
+    number = F.when((F.col("metric") == "grad_norm") & (F.col("value") < BLANK_BELOW), F.lit("NaN")).otherwise(F.col("value").cast("string"))
+    rec = F.concat(F.lit('{"step": '), F.col("step").cast("string"), F.lit(', "'), "metric", F.lit('": '), number, F.lit("}"))
+    runs = m.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct("step", rec.alias("r")))).alias("h"))
+    at = F.explode(F.array_distinct(F.array(F.ceil(F.size("h") / 2).cast("int"), F.size("h")))).alias("n")
+    docs = runs.select("run_id", "h", at)
+    path = F.concat(F.lit("runs/c"), F.col("run_id").cast("string"), F.lit("/checkpoint-"), F.col("h")[F.col("n") - 1]["step"].cast("string"), F.lit("/trainer_state.json"))
+    body = F.array_join(F.transform(F.slice("h", 1, F.col("n")), lambda x: x["r"]), ", ")
+    return docs.select(path.alias("path"), F.concat(F.lit('{"log_history": ['), body, F.lit("]}")).alias("content"))
+
+
+def _numbered(rows: DataFrame, key: str, out: str) -> DataFrame:
+    """Rows numbered per ``key`` by (ts, event_id), in blocks of a day."""
+    return blocked_row_number(rows, key, ["ts", "event_id"], F.to_date("ts"), out)

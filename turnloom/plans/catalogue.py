@@ -6,7 +6,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.render import messages_md5, render_instruct_text, render_messages_text
 from ..operators import checkpoints as ck
@@ -30,7 +30,9 @@ from ..session import ensure_checkpoint_dir
 from ..sources.documents import classify_docs, explode_entries, instruct_pairs, parse_docs, raw_docs, to_turns
 from ..sources.jsonl import read_samples, to_json_lines, write_splits
 from ..sources.tables import turns_from_table
-from .adapters import eval_events, events_as_dialogue, run_metrics, table
+from ..sources.runlogs import artifacts_of, parse_trainer_states
+from .adapters import eval_events, events_as_dialogue, run_metrics, table, trainer_states
+from .report import run_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,7 +117,7 @@ def q_json_docs_to_turns(spark, sf):
 
 def q_json_dialogue_instruct_pairs(spark, sf):
     good, _ = parse_docs(packed_dialogues(spark, sf))
-    turns, _ = to_turns(explode_entries(classify_docs(good, "instruct")), "instruct")
+    turns, _ = to_turns(explode_entries(classify_docs(good, "instruct"), "instruct"), "instruct")
     pairs = instruct_from_dialogue(drop_blank(turns))
     return pairs.select(F.col("conv_id").cast("long").alias("conv_id"), "user_turn", "model_turn", "instruction", "response", "context")
 
@@ -134,7 +136,7 @@ def q_json_quarantine(spark, sf):
 
 def q_instruct_json_pairs(spark, sf):
     good, _ = parse_docs(packed_instructions(spark, sf))
-    pairs, _ = instruct_pairs(explode_entries(classify_docs(good, "instruct")))
+    pairs, _ = instruct_pairs(explode_entries(classify_docs(good, "instruct"), "instruct"))
     return pairs.select(F.col("conv_id").alias("doc_key"), "turn", "instruction", "response", "context")
 
 
@@ -296,6 +298,22 @@ def q_jsonl_roundtrip(spark, sf):
     return pool(*parts).select("split", messages_md5("messages").alias("sample_md5"))
 
 
+def q_jsonl_order(spark, sf):
+    """The place of each written line (R1, S7): files in name order, lines in file order."""
+    train, evl, _ = split(keyed(conv_samples(spark, sf)), EVAL_PERCENT, MAX_SAMPLES)
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/jsonl-{uuid.uuid4().hex}"
+    paths = write_splits(train, evl, base, "dataset.jsonl", "conversational")
+    place = Window.partitionBy("split").orderBy("file", "line")  # at most MAX_SAMPLES lines
+    parts = [
+        read_samples(spark, p, "conversational").select(
+            F.lit(s).alias("split"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"), "messages"
+        )
+        for s, p in paths.items()
+        if p
+    ]
+    return pool(*parts).select("split", F.row_number().over(place).cast("long").alias("place"), messages_md5("messages").alias("sample_md5"))
+
+
 def _evals(spark, sf):
     return eval_events(table(spark, sf, "events"))
 
@@ -342,6 +360,32 @@ def q_eval_log(spark, sf):
     return ck.eval_log(run_metrics(table(spark, sf, "events")))
 
 
+def _trainer_metrics(spark, sf):
+    return parse_trainer_states(trainer_states(table(spark, sf, "events")))[0]
+
+
+def q_run_metrics(spark, sf):
+    m = _trainer_metrics(spark, sf)
+    return m.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
+
+
+def _marker_paths(spark, sf):
+    """Marker files from orders: in an artifact's folder, or for some one level deeper."""
+    o = artifacts_from_orders(spark, sf).select("root", "path")
+    sub = F.when(F.length("path") % 3 == 0, F.lit("/old")).otherwise(F.lit(""))
+    return o.select("root", F.concat("path", sub, F.lit("/adapter_config.json")).alias("path"))
+
+
+def q_artifact_listing(spark, sf):
+    m = _marker_paths(spark, sf)
+    return artifacts_of(m, m)
+
+
+def q_run_report(spark, sf):
+    m = _marker_paths(spark, sf)
+    return run_report(_trainer_metrics(spark, sf), artifacts_of(m, m), BEST_K)
+
+
 def q_eval_schedule(spark, sf):
     return ck.eval_schedule(_evals(spark, sf), EVERY)
 

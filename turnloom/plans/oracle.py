@@ -340,3 +340,42 @@ rk AS (SELECT *, row_number() OVER (ORDER BY md5('0:' || sample_id), sample_id)
 SELECT CASE WHEN rk <= CAST(ceil(least(n, 4000) * (5 / 100.0)) AS BIGINT) THEN 'eval' ELSE 'train' END AS split,
        md5({RENDER}) AS sample_md5
 FROM rk WHERE rk <= least(n, 4000)"""
+
+
+# Trainer logs: the last checkpoint of a run holds every step; NaN norms show as NULL.
+_METRICS = """
+SELECT 'runs/c' || CAST(user_id AS VARCHAR) AS run_id, 'checkpoint-' || CAST(max(step) OVER (PARTITION BY user_id) AS VARCHAR) AS checkpoint, step, metric,
+       CASE WHEN metric = 'grad_norm' AND value < 20 THEN NULL ELSE value END AS value
+FROM (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step, value,
+             CASE event_type WHEN 'view' THEN 'loss' WHEN 'click' THEN 'grad_norm' WHEN 'purchase' THEN 'eval_loss' WHEN 'error' THEN 'learning_rate' WHEN 'signup' THEN 'epoch' END AS metric
+      FROM events)
+WHERE metric IS NOT NULL"""
+_ORDER_PATHS = """
+SELECT 'runs/c' || CAST(o_custkey AS VARCHAR) AS root,
+       CASE WHEN o_orderstatus = 'P' AND o_orderpriority LIKE '1%' THEN 'runs/c' || CAST(o_custkey AS VARCHAR)
+            ELSE 'runs/c' || CAST(o_custkey AS VARCHAR) || '/' || CASE WHEN o_orderstatus = 'P' THEN 'final_model' WHEN o_orderpriority LIKE '5%' THEN 'best' ELSE 'checkpoint-' || CAST(o_orderkey AS VARCHAR) END END AS path
+FROM orders"""
+_LISTED = f"""
+SELECT DISTINCT root, dir AS path
+FROM (SELECT root, path || CASE WHEN length(path) % 3 = 0 THEN '/old' ELSE '' END AS dir FROM ({_ORDER_PATHS}))
+WHERE dir = root OR regexp_replace(dir, '/[^/]+$', '') = root"""
+_RUN_EVALS = f"SELECT run_id, step, value AS eval_loss FROM ({_METRICS}) WHERE metric = 'eval_loss'"
+
+ORACLE_SQL["run_metrics"] = f"SELECT run_id, checkpoint, CAST(step AS BIGINT) AS step, metric, value FROM ({_METRICS})"
+ORACLE_SQL["artifact_listing"] = _LISTED
+ORACLE_SQL["run_report"] = f"""
+WITH e AS ({_RUN_EVALS}),
+r AS (SELECT run_id, count(*) AS n_evals, CAST(min(step) AS BIGINT) AS first_step, CAST(max(step) AS BIGINT) AS last_step,
+             arg_max(eval_loss, step) AS last_loss, min(eval_loss) AS best_loss FROM e GROUP BY run_id),
+b AS (SELECT run_id, string_agg(CAST(step AS VARCHAR), ',' ORDER BY rk) AS best_steps
+      FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY eval_loss, step) AS rk FROM e) WHERE rk <= 2 GROUP BY run_id),
+k AS (SELECT root, path, CASE WHEN path = root THEN 0 WHEN path = root || '/final_model' THEN 1 ELSE 2 END AS prio,
+             coalesce(TRY_CAST(trim(string_split(path, 'checkpoint-')[-1]) AS BIGINT), -1) AS step FROM ({_LISTED})),
+a AS (SELECT root, path FROM k QUALIFY row_number() OVER (PARTITION BY root ORDER BY prio, step DESC, path) = 1)
+SELECT r.*, b.best_steps, a.path AS artifact FROM r LEFT JOIN b ON b.run_id = r.run_id LEFT JOIN a ON a.root = r.run_id"""
+ORACLE_SQL["jsonl_order"] = f"""
+WITH s AS ({samples_sql(CONV_FILLED)}),
+ks AS (SELECT *, CAST(conv_id AS VARCHAR) || ':' || method || ':' || CAST(start_idx AS VARCHAR) || ':' || CAST(n_msgs AS VARCHAR) AS sample_id FROM s),
+rk AS (SELECT *, row_number() OVER (ORDER BY md5('0:' || sample_id), sample_id) AS rk, count(*) OVER () AS n FROM ks),
+k AS (SELECT *, CAST(ceil(least(n, 4000) * (5 / 100.0)) AS BIGINT) AS k FROM rk WHERE rk <= least(n, 4000))
+SELECT CASE WHEN rk <= k THEN 'eval' ELSE 'train' END AS split, CASE WHEN rk <= k THEN rk ELSE rk - k END AS place, md5({RENDER}) AS sample_md5 FROM k"""

@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import posixpath
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,32 +26,38 @@ from ..operators.sequence import instruct_from_dialogue
 from ..operators.tokens import MAX_LENGTH, PAD_ID, build_vocab, model_inputs
 from ..operators.validate import is_valid, require_nonempty, validate
 from ..session import scratch_table
-from ..sources.documents import check_format, classify_docs, explode_entries, instruct_pairs, parse_docs, scan_docs, to_turns
+from ..sources.documents import check_format, classify_docs, explode_entries, instruct_pairs, parse_docs, scan_docs, skipped_docs, to_turns
 from ..sources.jsonl import read_samples, write_splits
 
 
 @dataclass
 class PrepareResult:
+    """``dropped``: how many documents or entries were left out, by reason; the rows
+    themselves are written to ``paths["dropped"]`` and readable as ``quarantine``."""
+
     paths: dict
     counts: dict
     quarantine: DataFrame
     valid: dict = field(default_factory=dict)
+    dropped: dict = field(default_factory=dict)
 
 
 def build_samples(spark: SparkSession, input_path: str, fmt: str, pairs=(8, 16), pair_mode: str = "observed") -> tuple[DataFrame, DataFrame]:
     """Samples (with lineage and ``sample_id``) and the quarantine of one input folder."""
     check_format(fmt)
     good, bad = parse_docs(scan_docs(spark, input_path))
-    entries = explode_entries(classify_docs(good, fmt))
+    classified = classify_docs(good, fmt)
+    entries = explode_entries(classified, fmt)
     turns, bad_docs = to_turns(entries, fmt)
-    quarantine = pool(bad.select("conv_id", "reason"), bad_docs.select("conv_id", "reason"))
+    quarantine = pool(bad.select("conv_id", "reason"), bad_docs.select("conv_id", "reason"), skipped_docs(classified))
     if fmt == "conversational":
         samples = with_sample_id(conversational_samples(fill_blank(turns), pairs, pair_mode))
         return samples, quarantine
     from_dialogue = instruct_from_dialogue(drop_blank(turns)).select(
         "conv_id", F.col("model_turn").alias("turn"), "instruction", "response", "context"
     )
-    from_files, _ = instruct_pairs(entries)
+    from_files, rejects = instruct_pairs(entries)
+    quarantine = quarantine.unionByName(rejects.select("conv_id", F.concat(F.lit("entry_"), "reason").alias("reason")))
     samples = with_sample_id(pool(from_dialogue, from_files), ("conv_id", "turn"))
     return samples, quarantine
 
@@ -77,10 +84,17 @@ def prepare_dataset(
     valid = {}
     for k, p in paths.items():
         if p:
-            valid[k] = is_valid(validate(spark.read.text(p), fmt))
+            report = validate(spark.read.text(p), fmt)
+            valid[k] = is_valid(report)
+            counts[f"{k}_validated"] = report.first()["n_rows"]
     if not all(valid.values()):
         raise RuntimeError(f"output failed validation: {valid}")
-    return PrepareResult(paths, counts, quarantine, valid)
+    paths["dropped"] = posixpath.join(out_dir, f"dropped_{base}")
+    quarantine.write.mode("overwrite").json(paths["dropped"])
+    quarantine = spark.read.schema("conv_id string, reason string").json(paths["dropped"])
+    dropped = {r["reason"]: r["count"] for r in quarantine.groupBy("reason").count().collect()}  # one row per reason
+    counts["files"] = scan_docs(spark, input_path).select("path").count()
+    return PrepareResult(paths, counts, quarantine, valid, dropped)
 
 
 def prepare_model_inputs(
@@ -101,7 +115,8 @@ def prepare_model_inputs(
 
     def rendered(path: str) -> DataFrame:
         df = read_samples(spark, path, fmt)
-        bad = df.where(F.col("_corrupt_record").isNotNull()).count()
+        # (the reader wants a data column next to the corrupt-record column)
+        bad = df.agg(F.count_if(F.col("_corrupt_record").isNotNull()).alias("n"), F.count(df.columns[0])).first()["n"]
         if bad:
             raise ValueError(f"{path}: {bad} lines are not valid JSON samples")
         df = df.drop("_corrupt_record")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.json import strict_parse_json
 from ..functions.text import py_strip
@@ -62,7 +62,11 @@ def scan_docs(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame
     )
     if files.select("path").isEmpty():
         raise FileNotFoundError(f"no {glob} files under {path}")
-    return raw_docs(files.select("path", "content"), key="path", content="content")
+    # larger files are listed, never read: one of them must not stop the job
+    fits = F.col("length") <= F.lit(VARIANT_LIMIT_BYTES)
+    small = raw_docs(files.where(fits).select("path", "content"), key="path", content="content")
+    large = raw_docs(files.where(~fits).select("path", F.lit(None).cast("binary").alias("content")), key="path", content="content")
+    return small.unionByName(large.withColumn("too_large", F.lit(True)))
 
 
 def raw_docs(df: DataFrame, key: str, content: str) -> DataFrame:
@@ -74,6 +78,7 @@ def raw_docs(df: DataFrame, key: str, content: str) -> DataFrame:
         F.col(key).cast("string").alias("conv_id"),
         raw.alias("raw"),
         F.is_valid_utf8(raw).alias("utf8_ok"),
+        (F.octet_length(raw) > F.lit(VARIANT_LIMIT_BYTES)).alias("too_large"),
     )
 
 
@@ -85,9 +90,13 @@ def _is_falsy(v: Column) -> Column:
     """Python truthiness of a parsed JSON value: null, [], {}, "", false, 0."""
     t = _vtype(v)
     numeric = t.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)")
+    empty_list = t.startswith("ARRAY") & F.try_variant_get(v, "$[0]", "variant").isNull()
     return (
         F.is_variant_null(v)
-        | F.to_json(v).isin("[]", "{}", '""', "false")
+        | empty_list
+        | (t == "OBJECT<>")
+        | ((t == "STRING") & (F.try_variant_get(v, "$", "string") == ""))
+        | ((t == "BOOLEAN") & ~F.coalesce(F.try_variant_get(v, "$", "boolean"), F.lit(True)))
         | (numeric & (F.try_variant_get(v, "$", "double") == 0))
     )
 
@@ -103,14 +112,8 @@ def parse_docs(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     VARIANT limit (128 MiB of text) are quarantined as ``too_large``.
     """
     raw.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    too_large = F.octet_length("raw") > F.lit(VARIANT_LIMIT_BYTES)
-    parsed = raw.select(
-        "path",
-        "conv_id",
-        F.when(F.col("utf8_ok") & ~too_large, strict_parse_json("raw")).alias("v"),
-        "utf8_ok",
-        too_large.alias("too_large"),
-    )
+    text = raw.select("path", "conv_id", F.when(F.col("utf8_ok") & ~F.col("too_large"), F.col("raw")).alias("raw"), "utf8_ok", "too_large")
+    parsed = strict_parse_json(text, "raw", "v").drop("raw")
     reason = (
         F.when(~F.col("utf8_ok"), F.lit("invalid_utf8"))
         .when(F.col("too_large"), F.lit("too_large"))
@@ -139,20 +142,44 @@ def classify_docs(parsed: DataFrame, fmt: str) -> DataFrame:
     return parsed.withColumn("shape", shape)
 
 
-def explode_entries(classified: DataFrame) -> DataFrame:
-    """``(conv_id, shape, turn, entry VARIANT)``; list order is turn order, a lone
-    object becomes a one-element list, scalars give nothing."""
-    v = F.col("v")
+def skipped_docs(classified: DataFrame) -> DataFrame:
+    """S3: the documents no reader takes in this mode, as ``(conv_id, reason)``."""
+    return classified.where(F.col("shape") == "skip").select("conv_id", F.lit("skipped_shape").alias("reason"))
+
+
+def _entry_array(v: Column) -> Column:
     t = _vtype(v)
-    entries = (
-        F.when(t.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
-        .when(t.startswith("OBJECT"), F.array(v))
-    )
-    return classified.select("conv_id", "shape", F.posexplode(entries).alias("turn", "entry")).withColumn(
+    return F.when(t.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")).when(t.startswith("OBJECT"), F.array(v))
+
+
+def explode_entries(classified: DataFrame, fmt: str = "conversational", sender_map: Mapping[str, tuple[str, str]] = SENDER_MAP) -> DataFrame:
+    """``(conv_id, shape, turn, entry VARIANT, doc_reason)``; list order is turn order, a
+    lone object becomes a one-element list, scalars give nothing. ``doc_reason`` says why
+    a dialogue is not usable as a whole; it is found in the entry array, where a document
+    is still one row, so no window or shuffle gathers the document again."""
+    arr = classified.withColumn("entries", F.explode(F.array(_entry_array(F.col("v")))))
+    flawed = [F.exists("entries", flaw) for flaw in _entry_flaws(fmt, sender_map)]
+    reason = F.when(F.col("shape") == "dialogue", F.when(flawed[1], F.lit("non_string_text")).when(flawed[0], F.lit("non_object_entry")))
+    return arr.select("conv_id", "shape", reason.alias("doc_reason"), F.posexplode("entries").alias("turn", "entry")).withColumn(
         "turn", F.col("turn").cast("long")
     )
 
 
+def _entry_flaws(fmt: str, sender_map: Mapping[str, tuple[str, str]]) -> list:
+    """Tests of one entry: not an object; a truthy text field that is not a string
+    (conversational mode reads every text field, instruct mode the sender's own)."""
+
+    def bad_text(e: Column) -> Column:
+        sender = F.try_variant_get(e, "$.sender", "string")
+        out = F.lit(False)
+        for name, (_, key) in sender_map.items():
+            bad = _text_field(e, key)[1]
+            out = out | (bad if fmt == "conversational" else F.coalesce(sender == name, F.lit(False)) & bad)
+        return out
+
+    return [lambda e: ~_vtype(e).startswith("OBJECT"), bad_text]
+
+
 def _text_field(entry: Column, key: str) -> tuple[Column, Column]:
     """(text, bad): '' for missing/null/falsy values, the string for strings; ``bad``
     flags a truthy non-string (the reference would crash on ``.strip()``)."""
@@ -175,33 +202,17 @@ def to_turns(entries: DataFrame, fmt: str = "conversational", sender_map: Mappin
     check_format(fmt)
     e = F.col("entry")
     sender = F.try_variant_get(e, "$.sender", "string")
-    is_obj = _vtype(e).startswith("OBJECT")
-    role = None
-    texts = {}
+    role = content = None
     for name, (r, key) in sender_map.items():
-        texts[key] = _text_field(e, key)
+        text, _ = _text_field(e, key)
         role = F.when(sender == name, F.lit(r)) if role is None else role.when(sender == name, F.lit(r))
-    content = None
-    bad_text = F.lit(False)
-    for name, (_, key) in sender_map.items():
-        text, bad = texts[key]
         content = F.when(sender == name, text) if content is None else content.when(sender == name, text)
-        # conversational mode reads every text field of every entry; instruct mode only the sender's own
-        bad_text = bad_text | (bad if fmt == "conversational" else ((sender == name) & bad))
-    reason = F.when(~is_obj, F.lit("non_object_entry")).when(bad_text, F.lit("non_string_text"))
-    rows = entries.where(F.col("shape") == "dialogue").select(
-        "conv_id", "turn", role.alias("role"), py_strip(content).alias("content"), reason.alias("reason")
-    )
-    doc_reason = F.max("reason").over(Window.partitionBy("conv_id"))
-    flagged = rows.withColumn("doc_reason", doc_reason)
-    turns = flagged.where(F.col("doc_reason").isNull() & F.col("role").isNotNull()).select(
-        "conv_id", "turn", "role", F.coalesce("content", F.lit("")).alias("content")
-    )
-    quarantine = (
-        flagged.where(F.col("reason").isNotNull())
-        .groupBy("conv_id")
-        .agg(F.min("reason").alias("reason"))
-    )
+    rows = entries.where(F.col("shape") == "dialogue")
+    turns = rows.where(F.col("doc_reason").isNull()).select(
+        "conv_id", "turn", role.alias("role"), F.coalesce(py_strip(content), F.lit("")).alias("content")
+    ).where(F.col("role").isNotNull())
+    # every flawed document has a first entry
+    quarantine = rows.where(F.col("doc_reason").isNotNull() & (F.col("turn") == 0)).select("conv_id", F.col("doc_reason").alias("reason"))
     return turns, quarantine
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.checkpoints import artifact_step
 from .documents import require_paths
 
 # The file that marks an adapter folder, and the trainer state file.
@@ -11,59 +12,66 @@ ADAPTER_MARKER = "adapter_config.json"
 TRAINER_STATE = "trainer_state.json"
 
 
-def read_run_metrics(spark: SparkSession, root: str) -> DataFrame:
-    """Every ``trainer_state.json`` under ``root`` -> long table
-    ``(run_id, checkpoint, step, metric, value)`` from its ``log_history``.
+def parse_trainer_states(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """S9 over ``(path, content)`` rows: ``(metrics, quarantine)``.
 
-    ``run_id`` is the folder holding the checkpoint folder. Only the path and bytes
-    are read; records are exploded from VARIANT and unpivoted by key.
+    metrics: ``(run_id, checkpoint, step, metric, value)``, numbers of the ``log_history``
+    records, NaN and infinities included. Every checkpoint repeats the history before
+    it, so a (run, step, metric) is taken from the latest checkpoint, last record.
+    ``run_id`` is the folder that holds the checkpoint folder. quarantine:
+    ``(path, reason)`` of files that are not JSON or hold no history.
     """
-    require_paths(spark, root)
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", TRAINER_STATE)
-        .load(root)
-        .select("path", F.try_parse_json(F.col("content").cast("string")).alias("v"))
+    parsed = files.select(
+        "path",
+        F.from_json(F.col("content").cast("string"), "log_history array<map<string,string>>", {"allowNonNumericNumbers": "true"})["log_history"].alias("h"),
     )
-    ckpt = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
-    recs = files.select(
-        F.regexp_extract(ckpt, r"^(.*)/[^/]+$", 1).alias("run_id"),
-        F.regexp_extract(ckpt, r"([^/]+)$", 1).alias("checkpoint"),
-        F.explode(F.try_variant_get("v", "$.log_history", "array<variant>")).alias("rec"),
+    quarantine = parsed.where("h IS NULL").select("path", F.lit("no_log_history").alias("reason"))
+    folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
+    recs = parsed.select(
+        F.regexp_extract(folder, r"^(.*)/[^/]+$", 1).alias("run_id"),
+        F.regexp_extract(folder, r"([^/]+)$", 1).alias("checkpoint"),
+        F.posexplode("h").alias("place", "rec"),
     )
     kv = recs.select(
-        "run_id",
-        "checkpoint",
-        F.try_variant_get("rec", "$.step", "bigint").alias("step"),
-        F.explode(F.try_variant_get("rec", "$", "map<string,variant>")).alias("metric", "raw"),
-    )
-    return kv.where(~F.col("metric").isin("step")).select(
-        "run_id", "checkpoint", "step", "metric", F.try_variant_get("raw", "$", "double").alias("value")
-    ).where(F.col("value").isNotNull())
+        "run_id", "checkpoint", "place", F.col("rec")["step"].try_cast("double").cast("long").alias("step"), F.explode("rec").alias("metric", "raw")
+    ).where("metric <> 'step'")
+    # bare NaN and Infinity come back in quotes
+    kv = kv.withColumn("value", F.regexp_replace("raw", r'^"(NaN|-?Infinity)"$', "$1").try_cast("double")).where("value IS NOT NULL")
+    latest = F.max_by(F.struct("checkpoint", "value"), F.struct(artifact_step(F.col("checkpoint")), F.col("checkpoint"), F.col("place")))
+    one = kv.groupBy("run_id", "step", "metric").agg(latest.alias("x"))
+    return one.select("run_id", "x.checkpoint", "step", "metric", "x.value"), quarantine
 
 
-def list_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """The root itself and its direct sub-folders that hold ``adapter_config.json``
-    -> ``(root, path)``. The file contents are never read (column pruned)."""
+def read_run_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """The metrics of every ``trainer_state.json`` under ``root`` (see
+    ``parse_trainer_states``; use that to get the quarantine as well)."""
     require_paths(spark, root)
-    root_norm = root.rstrip("/")
-    marks = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", ADAPTER_MARKER)
-        .load(root_norm)
-        .select(F.regexp_replace("path", "/" + ADAPTER_MARKER + "$", "").alias("dir"))
-    )
-    # normalise scheme prefixes (file:/x vs /x) by matching on the path tail after the root
-    rel = F.regexp_extract("dir", "^.*?" + _re_escape(root_norm.lstrip("/")) + "(/[^/]+)?$", 1)
-    matched = F.col("dir").rlike(_re_escape(root_norm.lstrip("/")) + "(/[^/]+)?$")
-    return marks.where(matched).select(
-        F.lit(root_norm).alias("root"), F.concat(F.lit(root_norm), rel).alias("path")
-    )
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", TRAINER_STATE).load(root)
+    return parse_trainer_states(files.select("path", "content"))[0]
+
 
+def artifacts_of(markers: DataFrame, roots: DataFrame) -> DataFrame:
+    """S10 over a table of marker files ``(path)``: ``(root, path)`` of the folders that
+    are one of ``roots (root)`` or directly under one."""
+    tail = f"/{ADAPTER_MARKER}"
+    dirs = markers.where(F.col("path").endswith(tail)).select(F.expr(f"left(path, length(path) - {len(tail)})").alias("path")).distinct()
+    dirs = dirs.select("path", F.explode(F.array_distinct(F.array("path", F.regexp_extract("path", r"^(.*)/[^/]+$", 1)))).alias("root"))
+    return dirs.join(roots.select("root").distinct(), "root").select("root", "path")
 
-def _re_escape(s: str) -> str:
-    import re
 
-    return re.escape(s)
+def list_artifacts(spark: SparkSession, *roots: str) -> DataFrame:
+    """Each root itself and its direct sub-folders that hold ``adapter_config.json``
+    -> ``(root, path)``. Only these two levels are listed, by the file system's own
+    listing, so ``file:/x``, ``file:///x`` and ``/x`` mean the same; no file is read."""
+    require_paths(spark, *roots)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    rows = []
+    for root in (r.rstrip("/") for r in roots):
+        base = jvm.org.apache.hadoop.fs.Path(root)
+        fs = base.getFileSystem(conf)
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(base, ADAPTER_MARKER)):
+            rows.append((root, root))
+        for found in fs.listStatus(base):
+            if found.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(found.getPath(), ADAPTER_MARKER)):
+                rows.append((root, f"{root}/{found.getPath().getName()}"))
+    return spark.createDataFrame(rows, "root string, path string")
