@@ -12,10 +12,33 @@ def plan(df) -> str:
 
 
 def test_flagship_single_exchange(spark):
-    df = C.sample_report(C.conversational_samples(C.ev_filled(spark, SF["0.01"]), strategy="conversation"))
-    p = plan(df)
+    turns = C.fill_blank(C.conv_turns(spark, SF["0.01"]))
+    p = plan(C.sample_report(C.conversational_samples(turns, strategy="conversation")))
     assert len(re.findall(r"Exchange hashpartitioning", p)) == 1, p
+
+
+def test_no_window_on_a_bare_user_over_the_events(spark):
+    """Rows are numbered per (user, day); the only per-user windows run over one row per
+    block (numbering) or over the few candidates of each block (top-n)."""
+    from turnloom.operators import checkpoints as ck
+    from turnloom.plans.adapters import eval_events, table
+
+    p = plan(eval_events(table(spark, SF["0.01"], "events")))
+    windows = [line for line in p.splitlines() if "Window [" in line]
+    assert any("row_number" in w and "_blk" in w.split("windowspec", 1)[1].split("],", 2)[0] for w in windows), p
+    for w in windows:
+        assert "_blk" in w or "_n" in w, w
     assert "props" not in p
+    p = plan(ck.best_k_final(spark.read.parquet(f"{SF['0.01']}/events.parquet").selectExpr("user_id run_id", "event_id step", "value eval_loss")))
+    assert len(re.findall(r"hashpartitioning\(run_id#\d+L?, _b#", p)) == 1, p
+
+
+def test_no_top_k_over_unfiltered_rows(spark):
+    """Vocabulary: only the tokens at the threshold count are sorted."""
+    from turnloom.operators.tokens import build_vocab
+
+    p = plan(build_vocab(spark.createDataFrame([("a b a c",), ("a b d",)], "text string"), 8))
+    assert "Filter" in p[p.index("TakeOrderedAndProject") :] if "TakeOrderedAndProject" in p else True
 
 
 def test_scan_prunes_columns(spark):
