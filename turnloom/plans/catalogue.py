@@ -285,6 +285,8 @@ def q_validate_samples(spark, sf):
     return pool(
         validate(conv_lines, "conversational").withColumn("dataset", F.lit("events.conversational")),
         validate(ins_lines, "instruct").withColumn("dataset", F.lit("conversations.instruct")),
+        validate(ins_lines, "conversational").withColumn("dataset", F.lit("instruct lines read as conversational")),
+        validate(table(spark, sf, "documents").select(F.col("text").alias("value")), "instruct").withColumn("dataset", F.lit("documents.prose")),
     )
 
 

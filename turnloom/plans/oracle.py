@@ -276,7 +276,11 @@ FROM ({ENCODED}) GROUP BY method""",
 SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_unparsable, CAST(0 AS BIGINT) AS n_missing_keys, true AS is_valid, 'events.conversational' AS dataset
 FROM ({samples_sql(EV_FILLED)})
 UNION ALL
-SELECT count(*), 0, 0, true, 'conversations.instruct' FROM ({conv_pairs_sql()})""",
+SELECT count(*), 0, 0, true, 'conversations.instruct' FROM ({conv_pairs_sql()})
+UNION ALL
+SELECT count(*), 0, count(*), count(*) = 0, 'instruct lines read as conversational' FROM ({conv_pairs_sql()})
+UNION ALL
+SELECT count(*), count(*) FILTER (WHERE NOT coalesce(json_valid(text), false)), count(*) FILTER (WHERE coalesce(json_valid(text), false)), count(*) = 0, 'documents.prose' FROM documents""",
     "best_k_decisions": f"{DECISIONS} SELECT run_id, step, eval_loss, a < 2 AS saved FROM d",
     "best_k_prunes": f"""{DECISIONS},
 s AS (SELECT * FROM d WHERE a < 2),
