@@ -100,7 +100,7 @@ def test_severity_learns_ordered_grades(spark):
             t[5] = rng.choice(["foul", "vile", "nasty"])
         rows.append((i, " ".join(t).upper() if i % 7 == 0 else " ".join(t), 2 if bad and i % 8 == 0 else int(bad)))
     df = spark.createDataFrame(rows, "doc_id long, text string, grade int")
-    model = toxicity.fit(df.where("doc_id < 400"))
+    model = toxicity.fit(df, df.where("doc_id < 400"))
     assert model.thresholds[0] <= model.thresholds[1]
     got = toxicity.score(df.where("doc_id >= 400").withColumnRenamed("grade", "toxic_label"), model).collect()
     wrong = sum(r.toxic != (r.toxic_label > 0) for r in got)
@@ -111,10 +111,10 @@ def test_severity_learns_ordered_grades(spark):
 
 def test_severity_on_odd_rows_and_without_labels(spark):
     docs = spark.createDataFrame(hostile_documents(n=4), DOCS)
-    none = toxicity.fit(spark.createDataFrame([], "doc_id long, text string, grade int"))
+    none = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, grade int"))
     got = toxicity.score(docs.withColumnRenamed("lang", "severity"), none).collect()
     assert len(got) == docs.count() and not any(r.toxic for r in got)
-    one = toxicity.fit(spark.createDataFrame([(1, "a b", 0), (2, None, 0), (None, "c", None)], "doc_id long, text string, grade int"))
+    one = toxicity.fit(docs, spark.createDataFrame([(1, 0), (2, 0), (402, 0), (None, 1), (4, None)], "doc_id long, grade int"))
     assert not any(r.toxic for r in toxicity.score(docs, one).collect())
     assert toxicity.score(docs.where("false"), one).count() == 0
 
@@ -122,9 +122,10 @@ def test_severity_on_odd_rows_and_without_labels(spark):
 def test_held_out_toxicity(spark):
     sf = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    lab = toxicity.graded(docs, spark.read.parquet(f"{sf}/labels.parquet"))
-    model = toxicity.fit(lab.where("doc_id % 5 <> 0"))
-    r = toxicity.score(lab.where("doc_id % 5 = 0").withColumnRenamed("grade", "y"), model).selectExpr("avg(int(toxic = (y > 0))) acc", "sum(int(toxic and y = 0)) / sum(int(y = 0)) fp").first()
+    grades = toxicity.graded(spark.read.parquet(f"{sf}/labels.parquet"))
+    model = toxicity.fit(docs, grades.where("doc_id % 5 <> 0"))
+    held = docs.join(grades.where("doc_id % 5 = 0").withColumnRenamed("grade", "y"), "doc_id")
+    r = toxicity.score(held, model).selectExpr("avg(int(toxic = (y > 0))) acc", "sum(int(toxic and y = 0)) / sum(int(y = 0)) fp").first()
     assert r.acc > 0.93 and r.fp < 0.02
 
 

@@ -30,7 +30,7 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = toxicity.fit(toxicity.graded(docs, table(spark, sf_dir, "labels")))
+    model = toxicity.fit(docs, toxicity.graded(table(spark, sf_dir, "labels")))
     return toxicity.score(docs, model).drop("text")
 
 

@@ -6,8 +6,8 @@ with ``t_0 <= t_1``, so all steps share the weights; the expected severity is th
 these probabilities. Features are the distinct lower-cased words of the whole text,
 hashed to ``2**FEATURE_BITS`` places; those that stand out in toxic rows are kept.
 
-Fitted on at most ``TRAIN_ROWS`` labelled rows per class (a documented bound; chosen by
-a hash of the id), with an L1 penalty so that only telling words keep a weight. Scoring
+Fitted on about ``TRAIN_ROWS`` labelled rows per class at most (a documented bound;
+chosen by a hash of the id), with an L1 penalty so that only telling words keep a weight. Scoring
 is one narrow pass over all documents with the sparse weights.
 """
 
@@ -54,15 +54,17 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade") -> Model:
-    """Fit on a bounded hash sample of ``labelled``; NULL grades are left out. Without
-    rows, or with one grade only, the model answers that grade for any text."""
-    src = labelled.where(F.col(grade_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(grade_col).cast("int").alias("grade"))
+def fit(docs: DataFrame, grades: DataFrame, train_rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Fit on the texts of a bounded hash sample of ``grades (id, grade)``; NULL ids and
+    grades are left out. Without rows, or with one grade only, the model answers that
+    grade for any text. The sample (ids and grades) is small enough to be broadcast, so
+    the texts stay where they are."""
+    src = grades.select(F.col(id_col).alias("id"), F.col("grade").cast("int").alias("grade")).dropna()
     toxic = F.col("grade") > 0
     n = src.agg(F.count_if(toxic).alias("bad"), F.count_if(~toxic).alias("good")).first()
     u = F.pmod(F.xxhash64(F.lit("toxicity"), "id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
     part = F.when(toxic, F.lit(train_rows / max(n["bad"], 1))).otherwise(F.lit(train_rows / max(n["good"], 1)))
-    sample = src.where(u < part)
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(src.where(u < part)), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -138,8 +140,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return append_columns(docs, [text_col], fields, run)
 
 
-def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents with their grade: toxic, plus one more where quality is 0."""
+def graded(labels: DataFrame) -> DataFrame:
+    """``(doc_id, grade)`` of labelled documents: toxic, plus one more where quality is 0."""
     lab = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("__t"), F.min("quality").alias("__q"))
-    lab = lab.select("doc_id", F.when(F.col("__t") > 0, F.when(F.col("__q") == 0, 2).otherwise(1)).otherwise(0).alias("grade"))
-    return docs.select("doc_id", "text").join(lab, "doc_id")
+    return lab.select("doc_id", F.when(F.col("__t") > 0, F.when(F.col("__q") == 0, 2).otherwise(1)).otherwise(0).alias("grade"))
