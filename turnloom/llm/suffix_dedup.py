@@ -309,15 +309,16 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span:
 def cleaned(docs: DataFrame, text_col: str = "text", span: int = SPAN, **limits) -> DataFrame:
     """``docs`` with the repeated bytes cut out of the text. A character that lost some
     of its bytes goes as a whole. NULL texts stay NULL."""
-    kept = kept_texts(docs, text_col, span, with_bytes=True, **limits).where("n_removed > 0")
+    kept = kept_texts(docs, text_col, span, with_bytes=True, **limits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text = [x.decode("utf-8", "ignore") for x in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())], ["__k1", "__k2", "__kept"])
 
+    # the distinct texts meet the documents' other columns: no text crosses twice
     text = kept.select(*_KEY, "kept").mapInArrow(run, "__k1 long, __k2 long, __kept string")
     k1, k2 = text_key(F.col(text_col).cast("string"))
-    src = docs.withColumn("__k1", k1).withColumn("__k2", k2).join(text, ["__k1", "__k2"], "left")
-    new = F.when(F.col(text_col).isNotNull(), F.coalesce("__kept", text_col))
-    return src.select(*[new.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    src = docs.select("*", k1.alias("__k1"), k2.alias("__k2"), F.col(text_col).isNotNull().alias("__any")).drop(text_col)
+    both = src.join(text, ["__k1", "__k2"])
+    return both.select(*[F.when(F.col("__any"), F.col("__kept")).alias(c) if c == text_col else F.col(c) for c in docs.columns])
