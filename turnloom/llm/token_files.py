@@ -203,15 +203,38 @@ def tokenise(texts: list[str | None], path: str) -> list[bytes]:
         if len(known) + len(new) > _WORD_CACHE:
             known.clear()
             new = list(set().union(*some))
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for w, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u2").tobytes()
+        _learn(new, tok, known)
         for j, words in enumerate(some):
             split[a + j] = b"".join(map(known.__getitem__, words))
     return split
 
 
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _learn(new: list[str], tok, known: dict[str, bytes]) -> None:
+    """Encode unknown pieces. The tokenizer takes a run of letters and a run of marks
+    apart and ignores case, so a word with marks after it needs only what is new in it."""
+    plain, cores, rest = tok.model.tokenize, {}, []
+    for w in new:
+        core = w.rstrip(_MARKS)
+        if core.isascii() and core.isalpha():
+            cores[w] = (core.lower(), w[len(core) :])
+        else:
+            rest.append(w)
+    marks = {m for _, m in cores.values() if m and m not in known}
+    rest += marks
+    for i in range(0, len(rest), 4096):
+        part = rest[i : i + 4096]
+        for w, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False)):
+            known[w] = np.array(e.ids, "<u2").tobytes()
+    for w, (core, mark) in cores.items():
+        ids = known.get(core)
+        if ids is None:
+            known[core] = ids = np.array([t.id for t in plain(core)], "<u2").tobytes()
+        known[w] = ids + known[mark] if mark else ids
+
+
 def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", name: str = "token-files") -> tuple[DataFrame, Coder]:
     """Write the ids of all documents; returns the files as a table, and the coder.
 
