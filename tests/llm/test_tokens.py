@@ -111,6 +111,6 @@ def test_lattice_against_brute_force_and_library_decoding(spark):
 def test_blocks_and_small_tasks_change_nothing(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     a = {r.doc_id: list(r.ids) for r in P.encode(docs, PIECES).collect()}
-    monkeypatch.setattr(P, "WORDS_PER_TASK", 500)
+    monkeypatch.setattr(P, "TASK_BYTES", 50_000)
     b = {r.doc_id: list(r.ids) for r in P.encode(docs, PIECES, block_bytes=20_000).collect()}
     assert a == b and len(a) == docs.count()

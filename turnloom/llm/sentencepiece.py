@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 A text is normalised as the model says (a space becomes U+2581, one is put in front) and
-cut into units that no piece can cross: before U+2581 and around line ends. The distinct
-units of the corpus are the words of the lattice: each is exploded to its substrings of
+cut into units that no piece can cross: before U+2581, around line ends, and between a
+letter and a mark where no piece holds the two side by side. The distinct units of the
+corpus are the words of the lattice: each is exploded to its substrings of
 at most the longest piece's length, equi-joined to the piece table (broadcast; its size
 is the model's), the edges are grouped by word, and a higher-order ``aggregate`` folds
 Viterbi over them: the best score of every place, then the path back. A character
@@ -18,6 +19,7 @@ the piece table, and a dictionary is bounded by its block. Units longer than
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,8 +35,8 @@ ship_by_value(__name__)
 SPACE = "▁"
 MAX_UNIT = 64
 UNK_PENALTY = 10.0
-BLOCK_BYTES = 24 << 20
-WORDS_PER_TASK = 40_000
+BLOCK_BYTES = 32 << 20
+TASK_BYTES = 6 << 20  # text for each task of the lattice
 _CUT = "\x1f"
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 
@@ -48,6 +50,7 @@ class Pieces:
     spelled: list[bytes]  # what each id decodes to
     longest: int
     unk: float
+    marks: str  # never in a piece right after a letter
 
     @staticmethod
     def load(path: str) -> Pieces:
@@ -65,12 +68,14 @@ class Pieces:
             else:
                 ids[piece] = (i, sp.get_score(i))
                 spelled.append(piece.replace(SPACE, " ").encode())
+        after = {b for p in ids for a, b in zip(p, p[1:]) if a.isalpha()}
+        marks = "".join(c for c in string.punctuation if c not in after)
         if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in ids):
             raise ValueError("a piece crosses a word boundary")
-        return Pieces(ids, bytes_, spelled, max(map(len, ids)), min(s for _, s in ids.values()) - UNK_PENALTY)
+        return Pieces(ids, bytes_, spelled, max(map(len, ids)), min(s for _, s in ids.values()) - UNK_PENALTY, marks)
 
     def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(p, i, s) for p, (i, s) in self.ids.items()], "piece string, id int, w double")
+        return spark.createDataFrame([(p, i) for p, (i, _) in self.ids.items()], "piece string, id int")
 
 
 # ---------------------------------------------------------------- units
@@ -84,6 +89,12 @@ def units(text: str | None) -> list[str]:
     return [u for u in cut if u] if "\n" in text else cut
 
 
+def parts_of(unit: str, p: Pieces) -> tuple[str, ...]:
+    """The unit, or its letters and the marks after them as two units."""
+    core = unit.rstrip(p.marks)
+    return (core, unit[len(core) :]) if core and len(core) < len(unit) and core[-1].isalpha() else (unit,)
+
+
 def viterbi(unit: str, p: Pieces) -> list[int]:
     """Best path of one unit; a negative id ``-1 - c`` is code point c, to be spelled in bytes. Equal
     scores: the path whose last piece starts first."""
@@ -119,37 +130,42 @@ def spell(ids: list[int], p: Pieces) -> list[int]:
 
 
 # ---------------------------------------------------------------- the lattice
-def edges(words: DataFrame, pieces: DataFrame, longest: int, unk: float) -> DataFrame:
-    """``(word, e, s, w, id)``: every piece in every word, and the byte edges."""
+def edges(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    """``(word, edge)``: every piece in every word, and the byte edges."""
     spans = words.select("word", F.explode(F.expr("sequence(0, length(word) - 1)")).alias("s"))
     spans = spans.select("word", "s", F.explode(F.expr(f"sequence(1, least({longest}, length(word) - s))")).alias("l"))
     subs = spans.select("word", "s", "l", F.expr("substring(word, s + 1, l)").alias("piece"))
     found = subs.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR l = 1")
     code = F.ascii("piece")  # its code point
-    return found.select("word", (F.col("s") + F.col("l")).alias("e"), "s", F.coalesce("w", F.lit(unk)).alias("w"), F.coalesce("id", F.lit(-1) - code).alias("id"))
+    code = F.coalesce(F.col("id"), F.lit(_CODE_POINT) + code).cast("long")
+    return found.select("word", F.shiftleft((F.col("s") + F.col("l")).cast("long"), 40).bitwiseOR(F.shiftleft(F.col("s").cast("long"), 24)).bitwiseOR(code).alias("edge"))
 
 
+# An edge is one long: end, start, and the piece's id or a code point above _CODE_POINT.
+_CODE_POINT = 1 << 22
 _FOLD = """
-aggregate(array_sort(edges), named_struct('score', array(0D), 'back', array(named_struct('s', 0, 'id', 0))),
-  (a, x) -> IF(size(a.score) = x.e,
-    named_struct('score', concat(a.score, array(element_at(a.score, x.s + 1) + x.w)), 'back', concat(a.back, array(named_struct('s', x.s, 'id', x.id)))),
-    IF(element_at(a.score, x.s + 1) + x.w > element_at(a.score, -1),
-      named_struct('score', concat(slice(a.score, 1, x.e), array(element_at(a.score, x.s + 1) + x.w)), 'back', concat(slice(a.back, 1, x.e), array(named_struct('s', x.s, 'id', x.id)))),
-      a)), a -> a.back)
+aggregate(array_sort(edges), array(named_struct('c', 0D, 'x', 0L)),
+  (a, x) -> transform(array(get(a, CAST(shiftright(x, 24) & 65535 AS INT)).c + IF(x & 16777215 < 4194304, get({weights}, CAST(x & 16777215 AS INT)), {unk})),
+    c -> IF(size(a) = shiftright(x, 40), concat(a, array(named_struct('c', c, 'x', x))),
+      IF(c > element_at(a, -1).c, concat(slice(a, 1, size(a) - 1), array(named_struct('c', c, 'x', x))), a)))[0])
 """
 _BACK = """
 aggregate(sequence(1, size(back)), named_struct('at', size(back) - 1, 'ids', CAST(array() AS array<int>)),
-  (a, k) -> IF(a.at = 0, a, named_struct('at', element_at(back, a.at + 1).s, 'ids', concat(array(element_at(back, a.at + 1).id), a.ids))), a -> a.ids)
+  (a, k) -> IF(a.at = 0, a, named_struct('at', CAST(shiftright(get(back, a.at).x, 24) & 65535 AS INT),
+    'ids', concat(array(CAST(get(back, a.at).x & 16777215 AS INT)), a.ids))),
+  a -> transform(a.ids, i -> IF(i < 4194304, i, 4194303 - i)))
 """
 
 
-def best_paths(words: DataFrame, p: Pieces, parts: int) -> DataFrame:
-    """``(word, ids)`` of distinct ``words (word)``. The words are dealt once; exploding
-    and joining leave them in place, so grouping the edges does not shuffle."""
-    pieces = p.table(words.sparkSession)
-    e = edges(words.repartition(parts, "word"), pieces, p.longest, p.unk)
-    grouped = e.groupBy("word").agg(F.collect_list(F.struct("e", "s", "w", "id")).alias("edges"))
-    return grouped.select("word", F.expr(_FOLD).alias("back")).select("word", F.expr(_BACK).alias("ids"))
+def best_paths(words: DataFrame, p: Pieces) -> DataFrame:
+    """``(word, ids)`` of distinct ``words (word)`` that are dealt by word: exploding and
+    joining leave them in place, so grouping the edges does not shuffle."""
+    e = edges(words, p.table(words.sparkSession), p.longest)
+    grouped = e.groupBy("word").agg(F.collect_list("edge").alias("edges"))
+    weight = dict(p.ids.values())  # by id; a constant as large as the model
+    weights = "array(" + ", ".join(f"{weight.get(i, 0.0)!r}D" for i in range(len(p.spelled))) + ")"
+    fold = _FOLD.replace("{weights}", weights).replace("{unk}", f"{p.unk!r}D")
+    return grouped.select("word", F.expr(fold).alias("back")).select("word", F.expr(_BACK).alias("ids"))
 
 
 # ---------------------------------------------------------------- documents
@@ -178,13 +194,13 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     n_blocks = max(1, -(-(total["b"] or 0) // block_bytes))
     block = F.coalesce(_blocks(docs, rows), F.pmod(F.xxhash64(F.col(id_col), text), F.lit(n_blocks)))
     src = docs.select(block.alias("block"), F.col(id_col).alias("id"), *[F.col(c).alias(f"c_{c}") for c in carry], text.alias("text"))
-    shared = spark.sparkContext.broadcast((p.ids, p.bytes_, p.spelled, p.longest, p.unk))
+    shared = spark.sparkContext.broadcast((p.ids, p.bytes_, p.spelled, p.longest, p.unk, p.marks))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, key = set(), None
+        p, seen, key = Pieces(*shared.value), set(), None
 
         def out() -> Iterator[pa.RecordBatch]:
-            found = [u for u in seen if len(u) <= MAX_UNIT]
+            found = list({x for u in seen if len(u) <= MAX_UNIT for x in parts_of(u, p)})
             for a in range(0, len(found), 50_000):
                 part = found[a : a + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array([key] * len(part), pa.int64()), pa.array(part, pa.string())], ["block", "word"])
@@ -197,17 +213,18 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                 seen.update(units(t))
         yield from out()
 
-    used = write_table(src.select("block", "text").mapInArrow(words, "block long, word string").distinct(), "pieces-words")
-    distinct = used.select("word").distinct()
-    parts = max(1, -(-used.agg(F.approx_count_distinct("word")).first()[0] // WORDS_PER_TASK))
+    parts = max(1, -(-(total["b"] or 0) // TASK_BYTES))
+    used = src.select("block", "text").mapInArrow(words, "block long, word string").repartition(parts, "word")
+    used = write_table(used.groupBy("word").agg(F.collect_set("block").alias("blocks")), "pieces-words")
+    paths = best_paths(used.select("word").repartition(parts, "word"), p)
     with_conf = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
     before = spark.conf.get(with_conf)
-    spark.conf.set(with_conf, str(8 * WORDS_PER_TASK))  # group a task's words in memory: they are few by construction
+    spark.conf.set(with_conf, "1000000")  # a task groups its words in memory: they are few by construction
     try:
-        paths = write_table(best_paths(distinct, p, parts), "pieces-paths")
+        paths = write_table(paths, "pieces-paths")
     finally:
         spark.conf.set(with_conf, before)
-    lookup = used.join(paths, "word").select("block", "word", "ids")
+    lookup = used.join(paths, "word").select(F.explode("blocks").alias("block"), "word", "ids")
 
     kinds = {f.name: f for f in src.schema.fields}
     kept = [kinds["id"]] + [kinds[f"c_{c}"] for c in carry]
@@ -218,12 +235,23 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         p = Pieces(*shared.value)
         known: dict[str, bytes] = {}
         for b in lookup_.select(["word", "ids"]).to_batches(max_chunksize=20_000):
-            for w, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                known[w] = np.array(spell(ids, p), "<i4").tobytes()
+            cut = b.column(1).offsets.to_numpy()
+            ids = b.column(1).values.to_numpy()[cut[0] : cut[-1]]
+            raw, ends = ids.astype("<i4").tobytes(), (4 * (cut - cut[0])).tolist()
+            words = b.column(0).to_pylist()
+            for w, i, j in zip(words, ends, ends[1:]):
+                known[w] = raw[i:j]
+            spelled = np.flatnonzero(ids < 0) + cut[0]
+            for r in np.unique(np.searchsorted(cut, spelled, "right") - 1).tolist():
+                known[words[r]] = np.array(spell(b.column(1)[r].as_py(), p), "<i4").tobytes()
 
         def of(u: str) -> bytes:
             got = known.get(u)
-            return got if got is not None else np.array(spell(viterbi(u, p), p), "<i4").tobytes()
+            if got is None:
+                if len(u) > MAX_UNIT:
+                    return np.array(spell(viterbi(u, p), p), "<i4").tobytes()
+                known[u] = got = b"".join([known[x] for x in parts_of(u, p)])
+            return got
 
         batches = []
         for b in docs_.to_batches(max_chunksize=1000):
@@ -232,7 +260,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                 us = units(t)
                 try:
                     coded.append(b"".join(map(known.__getitem__, us)))
-                except KeyError:  # a long unit
+                except KeyError:  # a unit in two parts, or a long one
                     coded.append(b"".join(map(of, us)))
             n = np.array([len(c) // 4 for c in coded], np.int64)
             flat = pa.array(np.frombuffer(b"".join(coded), "<i4"))
@@ -251,11 +279,13 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", out: str = "d
     spelled = rows.sparkSession.sparkContext.broadcast(Pieces.load(model_path).spelled)
 
     def run(col: pa.Array) -> list[pa.Array]:
-        of = spelled.value.__getitem__
+        cut = col.offsets.to_numpy()
+        pieces = pa.array(spelled.value, pa.large_binary()).take(col.values.slice(cut[0], cut[-1] - cut[0]))
+        at = np.frombuffer(pieces.buffers()[1], np.int64, len(pieces) + 1, pieces.offset * 8)[cut - cut[0]].tolist()
+        data = pieces.buffers()[2]
         texts = []
-        for i in range(len(col)):
-            ids = col[i].values
-            raw = b"".join(map(of, ids.to_pylist())) if ids is not None else b""
+        for i, j in zip(at, at[1:]):  # a text's pieces stand side by side in the buffer
+            raw = data.slice(i, j - i).to_pybytes() if j > i else b""
             texts.append((raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace"))
         return [pa.array(texts, pa.string())]
 
