@@ -38,6 +38,7 @@ HEADLINE = [
     "best_k_decisions",
     "best_k_prunes",
     "resolve_artifact",
+    "json_docs_to_turns",
 ]
 
 
@@ -53,7 +54,7 @@ DRIVING_TABLE = {
     "conversational_samples": "events", "instruct_pairs": "events", "strided_windows": "events",
     "split_train": "events", "best_k_decisions": "events", "best_k_prunes": "events",
     "conversational_samples_conversations": "conversations", "encode": "conversations",
-    "truncate_pad_mask": "conversations", "resolve_artifact": "orders",
+    "truncate_pad_mask": "conversations", "resolve_artifact": "orders", "json_docs_to_turns": "conversations",
 }
 
 
