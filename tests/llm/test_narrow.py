@@ -155,6 +155,36 @@ def test_pages_without_text(page):
     assert html_extract.main_text(page).strip() in ("", "<")
 
 
+LONG = "A paragraph of the page with quite a number of words in it, so that its ratio is that of content."
+
+
+@pytest.mark.parametrize("before,after", [
+    ('<div class="content has-sidebar">', "</div>"),
+    ('<div id="ad-free-wrapper">', "</div>"),
+    ('<article><section id="discussion"><h2>Discussion</h2>', "</section></article>"),
+    ('<article><h2 id="related-work">Discussion</h2>', "</article>"),
+    ('<article><p class="legal">', "</article>"),
+    ('<article><div class="entry-header"><h1>Discussion</h1></div>', "</article>"),
+    ('<article class="ad-free">', "</article>"),
+    ('<article><div class="entry-header"><h2>Discussion</h2></div><p>' + LONG * 9 + "</p>", "</article>"),
+])
+def test_class_words_only_nominate(before, after):
+    page = f"<body><nav><a href=x>Home</a></nav>{before}<p>{LONG}</p><p>{LONG}</p>{after}<div class=ad>Buy</div></body>"
+    want = ("Discussion " if "Discussion" in before else "") + (LONG * 9 + " " if LONG in before else "") + f"{LONG} {LONG}"
+    assert html_extract.main_text(page) == want
+
+
+@pytest.mark.parametrize("name", ["comments-area", "cookie-notice", "sidebar", "adSlot", "share-buttons", "related"])
+def test_whole_tokens_name_boilerplate(name):
+    page = f'<body><article><p>{LONG}</p><div class="x {name}"><p>Other {LONG}</p></div><p>{LONG}</p></article></body>'
+    assert html_extract.main_text(page) == f"{LONG} {LONG}"
+
+
+def test_nominated_links_are_dropped():
+    page = f'<body><article><p>{LONG}</p><p>{LONG}</p><div class="menu"><a href=x>One</a> <a href=y>Two</a></div></article></body>'
+    assert html_extract.main_text(page) == f"{LONG} {LONG}"
+
+
 def test_long_and_broken_pages(spark):
     big = "<article>" + "<p>word and more words here " * 40000
     assert html_extract.main_text(big) == " ".join(["word and more words here"] * 40000)

@@ -7,7 +7,9 @@ the ratios' standard deviation cluster as content. The content region is the ele
 that holds them: an article or main element where the page has one, else the smallest
 container of the content lines. All lines of the region are kept, however short, apart
 from those inside elements that are not article text by their kind (navigation, forms,
-scripts ...) or by the words of their class, id or role (advert, cookie, comments ...).
+scripts ...) or by a whole token of their class, id or role (advert, cookie-bar, comments
+...). Where only a part of a token is such a word (has-sidebar, related-work), or the word
+may name text (discussion, legal), the element is nominated and the ratios decide.
 """
 
 from __future__ import annotations
@@ -47,36 +49,63 @@ _BOILERPLATE = frozenset(
     " alert share sharing social related recommended newsletter subscribe subscription signup login search pagination pager comment comments"
     " commentlist discussion disqus replies reply respond copyright legal disclaimer skip widget complementary contentinfo".split()
 )
+# Of these the words that article text is as often named by: alone they only nominate.
+_TOPIC = frozenset("discussion legal header head notice notices alert side menu".split())
+# Words of an id that never name a section of an article's text.
+_NO_TOPIC = frozenset(
+    "ad ads advert adverts advertisement sidebar nav navbar breadcrumb breadcrumbs footer masthead topbar toolbar popup modal pagination pager"
+    " comment comments commentlist disqus respond".split()
+)
+# Words that add nothing to a name: comments-area, ad-slot, cookie-bar.
+_FRAME = frozenset("area bar block body box buttons container count form icons inner item items label link links list outer panel row section slot text unit wrap wrapper".split())
+_ARTICLE_NAMES = frozenset(["comment", "comments", "reply", "ad", "ads", "promo", "sponsored"])
+_HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 _NAME = re.compile(r"[a-z]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_KEEP, _GENTLE, _NOMINATE, _DROPPED = range(4)
 
 
-def _is_boilerplate(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+def _grade(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> int:
+    """What an element's kind, class, id and role say: ``_DROPPED`` if its kind or a whole
+    class, id or role token names boilerplate, ``_NOMINATE`` if only a part of a token
+    does (the ratios decide), ``_GENTLE`` if the word may as well name a part of the article."""
     if tag in _DROP or tag == "header" and not in_article:
-        return True
+        return _DROPPED
+    grade = _KEEP
     for name, value in attrs:
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return _DROPPED
         if name == "style" and value and _HIDDEN.search(value):
-            return True
-        if name in ("class", "id", "role") and value and tag not in ("html", "body", "article", "main"):
-            for part in value.split():
-                if _BOILERPLATE.intersection(_NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", part).lower())):
-                    return True
-        if name in ("class", "id") and value and tag == "article":
-            if {"comment", "comments", "reply", "ad", "ads", "promo", "sponsored"}.intersection(_NAME.findall(value.lower())):
-                return True
-    return False
+            return _DROPPED
+        if name not in ("class", "id", "role") or not value or tag in ("html", "body", "main"):
+            continue
+        if name == "id" and tag in _HEADINGS:  # an anchor made from the heading's words
+            continue
+        known = _ARTICLE_NAMES if tag == "article" else _BOILERPLATE
+        for token in value.split():
+            parts = frozenset(_NAME.findall(_CAMEL.sub("-", token).lower()))
+            named = parts & known
+            if not named:
+                continue
+            sure = named - _TOPIC if name != "id" or not in_article else named & _NO_TOPIC
+            if name == "role" or sure and parts <= _BOILERPLATE | _FRAME:
+                return _DROPPED
+            if tag != "article":
+                grade = max(grade, _GENTLE if in_article and not sure else _NOMINATE)
+    return grade
 
 
 class _Lines(HTMLParser):
-    """Collects ``(text, tags, link characters, dropped, path of open regions)``."""
+    """Collects ``(text, tags, link characters, dropped, innermost region, innermost
+    nominee, h1)``; regions and nominees know their parents."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, region number, dropped
+        self.open: list[tuple[str, int, bool, int]] = [("", 0, False, -1)]  # tag, region number, dropped, nominee number
         self.regions = [(-1, "")]  # parent, tag
-        self.lines: list[tuple[str, int, int, bool, int]] = []
+        self.nominees: list[tuple[int, int]] = []  # parent, grade
+        self.lines: list[tuple[str, int, int, bool, int, int, bool]] = []
         self.text: list[str] = []
         self.tags = 0
         self.linked = 0
@@ -85,7 +114,8 @@ class _Lines(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, self.tags, self.linked, self.open[-1][2], self.open[-1][1]))
+            tag, region, dropped, nominee = self.open[-1]
+            self.lines.append((text, self.tags, self.linked, dropped, region, nominee, tag == "h1"))
         self.text, self.tags, self.linked = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -101,7 +131,8 @@ class _Lines(HTMLParser):
             self.text.append(" ")
         elif tag == "a":
             self.in_link = True
-        drop = _is_boilerplate(tag, attrs, any(t == "article" for t, _, _ in self.open))
+        grade = _grade(tag, attrs, any(o[0] == "article" for o in self.open))
+        drop = grade == _DROPPED
         if tag in _VOID or not (tag in _BLOCK or drop):
             return
         if drop and tag not in _BLOCK:
@@ -111,7 +142,11 @@ class _Lines(HTMLParser):
         if tag in _REGION:
             self.regions.append((region, tag))
             region = len(self.regions) - 1
-        self.open.append((tag, region, parent[2] or drop))
+        nominee = parent[3]
+        if grade in (_GENTLE, _NOMINATE):
+            self.nominees.append((nominee, grade))
+            nominee = len(self.nominees) - 1
+        self.open.append((tag, region, parent[2] or drop, nominee))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -143,6 +178,20 @@ def _smoothed(ratio: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(ratio, kernel)[r : r + len(ratio)] / weight
 
 
+def _refused(p: _Lines, content: np.ndarray) -> list[bool]:
+    """The nominees to drop: without a heading of the page or a line that passes as content
+    and is not links; where the word may name text, only if they are mostly links."""
+    holds = [False] * len(p.nominees)
+    text_chars, link_chars = [0] * len(p.nominees), [0] * len(p.nominees)
+    for (text, _, linked, _, _, n, h1), passes in zip(p.lines, content.tolist()):
+        while n >= 0:
+            holds[n] = holds[n] or h1 or passes and linked < 0.7 * len(text)
+            text_chars[n] += len(text)
+            link_chars[n] += linked
+            n = p.nominees[n][0]
+    return [not h and (g != _GENTLE or 2 * k >= t) for h, (_, g), t, k in zip(holds, p.nominees, text_chars, link_chars)]
+
+
 def main_text(html: str, sigma: float = SIGMA, threshold: float = THRESHOLD) -> str:
     """The page's article text: blocks joined by one space; empty if there is none."""
     p = _Lines()
@@ -150,16 +199,26 @@ def main_text(html: str, sigma: float = SIGMA, threshold: float = THRESHOLD) ->
         p.feed(html[a : a + _FEED])
     p.close()
     p.flush()
-    live = np.array([not d for _, _, _, d, _ in p.lines], bool)
+    live = np.array([not x[3] for x in p.lines], bool)
     if not live.any():
         return ""
-    chars = np.array([len(t) - min(n, len(t)) for t, _, n, _, _ in p.lines], float)
-    smooth = _smoothed(chars / np.array([max(1, k) for _, k, _, _, _ in p.lines]), sigma)
-    content = live & (smooth > min(threshold * smooth.std(), smooth[live].max() * 0.5))
+    chars = np.array([len(x[0]) - min(x[2], len(x[0])) for x in p.lines], float)
+    smooth = _smoothed(chars / np.array([max(1, x[1]) for x in p.lines]), sigma)
+    passes = smooth > min(threshold * smooth.std(), smooth[live].max() * 0.5)
+    if p.nominees:
+        refused = _refused(p, passes & live)
+        for i, x in enumerate(p.lines):
+            n = x[5]
+            while n >= 0 and not refused[n]:
+                n = p.nominees[n][0]
+            live[i] &= n < 0
+        if not live.any():
+            return ""
+    content = live & passes
     if not content.any():
         content = live & (smooth == smooth[live].max())
 
-    region = [r for _, _, _, _, r in p.lines]
+    region = [x[4] for x in p.lines]
     mass: dict[int, float] = {}
     for i in np.flatnonzero(content):
         r = region[i]
@@ -173,8 +232,8 @@ def main_text(html: str, sigma: float = SIGMA, threshold: float = THRESHOLD) ->
         whole = max(mass.values())
         best = max(r for r in mass if mass[r] >= 0.9 * whole)
     kept = []
-    for i, (text, _, linked, dropped, r) in enumerate(p.lines):
-        if dropped:
+    for i, (text, _, linked, _, r, _, _) in enumerate(p.lines):
+        if not live[i]:
             continue
         while r >= 0 and r != best:
             r = p.regions[r][0]
