@@ -163,7 +163,7 @@ LONG = "A paragraph of the page with quite a number of words in it, so that its
     ('<div id="ad-free-wrapper">', "</div>"),
     ('<article><section id="discussion"><h2>Discussion</h2>', "</section></article>"),
     ('<article><h2 id="related-work">Discussion</h2>', "</article>"),
-    ('<article><p class="legal">', "</article>"),
+    ('<article><p class="legal">Discussion</p>', "</article>"),
     ('<article><div class="entry-header"><h1>Discussion</h1></div>', "</article>"),
     ('<article class="ad-free">', "</article>"),
     ('<article><div class="entry-header"><h2>Discussion</h2></div><p>' + LONG * 9 + "</p>", "</article>"),
@@ -185,6 +185,21 @@ def test_nominated_links_are_dropped():
     assert html_extract.main_text(page) == f"{LONG} {LONG}"
 
 
+@pytest.mark.parametrize("page", [
+    f'<body><article class="teaser"><p>Short teaser text.</p></article><div class="post"><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div></body>',
+    f"<body><div><article><p>{LONG}</p></article><article><p>{LONG}</p></article></div><article><p>{LONG}</p></article></body>",
+    f"<body><main><article><p>{LONG}</p><p>{LONG}</p></article><section><p>{LONG}</p></section></main></body>",
+    f"<body><main><p>{LONG}</p></main><div><p>{LONG}</p><p>{LONG}</p></div></body>",
+])
+def test_the_clusters_choose_the_region(page):
+    assert html_extract.main_text(page).replace("Short teaser text. ", "") == f"{LONG} {LONG} {LONG}"
+
+
+def test_short_lines_beside_the_region_stay_out():
+    page = f"<body><div>Mon 3</div><article><p>{LONG}</p><p>Hi.</p><p>{LONG}</p></article><div>Top</div></body>"
+    assert html_extract.main_text(page) == f"{LONG} Hi. {LONG}"
+
+
 def test_long_and_broken_pages(spark):
     big = "<article>" + "<p>word and more words here " * 40000
     assert html_extract.main_text(big) == " ".join(["word and more words here"] * 40000)

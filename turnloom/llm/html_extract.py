@@ -3,10 +3,10 @@
 ``html.parser`` events are read as a stream. A line is the text between two block-level
 tags; its text-to-tag ratio is its characters for each tag in it. The ratios, in page
 order, are smoothed with a Gaussian kernel; lines whose smoothed ratio passes a share of
-the ratios' standard deviation cluster as content. The content region is the element
-that holds them: an article or main element where the page has one, else the smallest
-container of the content lines. All lines of the region are kept, however short, apart
-from those inside elements that are not article text by their kind (navigation, forms,
+the ratios' standard deviation cluster as content. The content region is where their mass
+lies: the article elements together, else main, if they hold most of it, else the smallest
+container of the content lines. All lines of the region are kept, however short, and the
+clusters outside it, apart from those inside elements that are not article text by their kind (navigation, forms,
 scripts ...) or by a whole token of their class, id or role (advert, cookie-bar, comments
 ...). Where only a part of a token is such a word (has-sidebar, related-work), or the word
 may name text (discussion, legal), the element is nominated and the ratios decide.
@@ -192,6 +192,24 @@ def _refused(p: _Lines, content: np.ndarray) -> list[bool]:
     return [not h and (g != _GENTLE or 2 * k >= t) for h, (_, g), t, k in zip(holds, p.nominees, text_chars, link_chars)]
 
 
+def _region(p: _Lines, mass: dict[int, float]) -> tuple[set[int], bool]:
+    """The regions that hold the content, and whether their elements name them so: all
+    outermost articles, else mains, if together they hold most of the mass; else the
+    smallest container."""
+    whole = max(mass.values())
+    for tag in ("article", "main"):
+        found = set()
+        for r in sorted(r for r in mass if p.regions[r][1] == tag):
+            up = p.regions[r][0]
+            while up >= 0 and up not in found:
+                up = p.regions[up][0]
+            if up < 0:
+                found.add(r)
+        if sum(mass[r] for r in found) > 0.5 * whole:
+            return found, True
+    return {max(r for r in mass if mass[r] >= 0.9 * whole)}, False
+
+
 def main_text(html: str, sigma: float = SIGMA, threshold: float = THRESHOLD) -> str:
     """The page's article text: blocks joined by one space; empty if there is none."""
     p = _Lines()
@@ -203,7 +221,8 @@ def main_text(html: str, sigma: float = SIGMA, threshold: float = THRESHOLD) ->
     if not live.any():
         return ""
     chars = np.array([len(x[0]) - min(x[2], len(x[0])) for x in p.lines], float)
-    smooth = _smoothed(chars / np.array([max(1, x[1]) for x in p.lines]), sigma)
+    own = chars / np.array([max(1, x[1]) for x in p.lines])
+    smooth = _smoothed(own, sigma)
     passes = smooth > min(threshold * smooth.std(), smooth[live].max() * 0.5)
     if p.nominees:
         refused = _refused(p, passes & live)
@@ -218,27 +237,30 @@ def main_text(html: str, sigma: float = SIGMA, threshold: float = THRESHOLD) ->
     if not content.any():
         content = live & (smooth == smooth[live].max())
 
-    region = [x[4] for x in p.lines]
     mass: dict[int, float] = {}
     for i in np.flatnonzero(content):
-        r = region[i]
+        r = p.lines[i][4]
         while r >= 0:
             mass[r] = mass.get(r, 0.0) + chars[i] + 1e-6
             r = p.regions[r][0]
-    named = [r for r in mass if p.regions[r][1] == "article"] or [r for r in mass if p.regions[r][1] == "main"]
-    if named:
-        best = max(named, key=lambda r: (mass[r], -r))
-    else:
-        whole = max(mass.values())
-        best = max(r for r in mass if mass[r] >= 0.9 * whole)
-    kept = []
-    for i, (text, _, linked, _, r, _, _) in enumerate(p.lines):
-        if not live[i]:
-            continue
-        while r >= 0 and r != best:
+    best, named = _region(p, mass)
+    inside = []
+    for x in p.lines:
+        r = x[4]
+        while r >= 0 and r not in best:
             r = p.regions[r][0]
-        if r == best and (named or content[i] or linked < 0.7 * len(text)):
-            kept.append(text)
+        inside.append(r >= 0)
+    # outside the region: clusters with a line that passes by its own ratio
+    outside = content & ~np.array(inside, bool)
+    if outside.any():
+        limit = min(threshold * own.std(), own[live].max() * 0.5)
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], outside.astype(np.int8), [0]])))
+        for a, b in zip(edges[::2], edges[1::2]):
+            outside[a:b] = own[a:b].max() > limit
+    kept = []
+    for i, x in enumerate(p.lines):
+        if live[i] and (inside[i] and (named or content[i] or x[2] < 0.7 * len(x[0])) or outside[i]):
+            kept.append(x[0])
     return " ".join(kept)
 
 
