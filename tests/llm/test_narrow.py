@@ -195,6 +195,15 @@ def test_the_clusters_choose_the_region(page):
     assert html_extract.main_text(page).replace("Short teaser text. ", "") == f"{LONG} {LONG} {LONG}"
 
 
+@pytest.mark.parametrize("page", [
+    f"<body><section><p>{LONG}</p>{f'<p>{LONG}</p>' * 11}</section><section><p>{LONG}</p></section></body>",
+    f"<body><div>{f'<p>{LONG}</p>' * 12}</div><p>{LONG}</p></body>",
+    f"<body><div><div><p>{LONG}</p></div>{f'<p>{LONG}</p>' * 12}</div></body>",
+])
+def test_no_content_line_is_dropped(page):
+    assert html_extract.main_text(page) == " ".join([LONG] * 13)
+
+
 def test_short_lines_beside_the_region_stay_out():
     page = f"<body><div>Mon 3</div><article><p>{LONG}</p><p>Hi.</p><p>{LONG}</p></article><div>Top</div></body>"
     assert html_extract.main_text(page) == f"{LONG} Hi. {LONG}"

@@ -5,7 +5,7 @@ tags; its text-to-tag ratio is its characters for each tag in it. The ratios, in
 order, are smoothed with a Gaussian kernel; lines whose smoothed ratio passes a share of
 the ratios' standard deviation cluster as content. The content region is where their mass
 lies: the article elements together, else main, if they hold most of it, else the smallest
-container of the content lines. All lines of the region are kept, however short, and the
+element that holds all content lines. All lines of the region are kept, however short, and the
 clusters outside it, apart from those inside elements that are not article text by their kind (navigation, forms,
 scripts ...) or by a whole token of their class, id or role (advert, cookie-bar, comments
 ...). Where only a part of a token is such a word (has-sidebar, related-work), or the word
@@ -192,11 +192,11 @@ def _refused(p: _Lines, content: np.ndarray) -> list[bool]:
     return [not h and (g != _GENTLE or 2 * k >= t) for h, (_, g), t, k in zip(holds, p.nominees, text_chars, link_chars)]
 
 
-def _region(p: _Lines, mass: dict[int, float]) -> tuple[set[int], bool]:
+def _region(p: _Lines, mass: dict[int, float], lines: dict[int, int]) -> tuple[set[int], bool]:
     """The regions that hold the content, and whether their elements name them so: all
     outermost articles, else mains, if together they hold most of the mass; else the
-    smallest container."""
-    whole = max(mass.values())
+    smallest element that holds all content lines."""
+    whole = mass[0]
     for tag in ("article", "main"):
         found = set()
         for r in sorted(r for r in mass if p.regions[r][1] == tag):
@@ -207,7 +207,7 @@ def _region(p: _Lines, mass: dict[int, float]) -> tuple[set[int], bool]:
                 found.add(r)
         if sum(mass[r] for r in found) > 0.5 * whole:
             return found, True
-    return {max(r for r in mass if mass[r] >= 0.9 * whole)}, False
+    return {max(r for r in mass if lines[r] == lines[0])}, False
 
 
 def main_text(html: str, sigma: float = SIGMA, threshold: float = THRESHOLD) -> str:
@@ -238,12 +238,14 @@ def main_text(html: str, sigma: float = SIGMA, threshold: float = THRESHOLD) ->
         content = live & (smooth == smooth[live].max())
 
     mass: dict[int, float] = {}
+    lines: dict[int, int] = {}
     for i in np.flatnonzero(content):
         r = p.lines[i][4]
         while r >= 0:
             mass[r] = mass.get(r, 0.0) + chars[i] + 1e-6
+            lines[r] = lines.get(r, 0) + 1
             r = p.regions[r][0]
-    best, named = _region(p, mass)
+    best, named = _region(p, mass, lines)
     inside = []
     for x in p.lines:
         r = x[4]
