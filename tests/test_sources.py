@@ -143,6 +143,31 @@ def test_run_metrics_and_artifacts(spark):
     assert [x.reason for x in parse_trainer_states(files)[1].collect()] == ["no_log_history"]
 
 
+@pytest.mark.parametrize("steps", [3, 10_000])
+def test_trainer_state_files_are_bounded(spark, monkeypatch, steps):
+    from turnloom.plans import adapters
+    from turnloom.sources.runlogs import parse_trainer_states
+
+    monkeypatch.setattr(adapters, "STATE_STEPS", steps, raising=False)
+    kinds = ["view", "click", "purchase", "error", "signup", "other"]
+    sizes = {1: 25_000 if steps > 3 else 25, 2: 1, 3: 4, None: 2}
+    rows = [(i, u, f"2024-01-{1 + 20 * i // n:02d} 00:00:00", kinds[i % 6], float(i % 50)) for u, n in sizes.items() for i in range(n)]
+    ev = spark.createDataFrame(rows, "event_id long, user_id long, ts string, event_type string, value double").selectExpr("event_id", "user_id", "CAST(ts AS timestamp) AS ts", "event_type", "value")
+    files = adapters.trainer_states(ev).collect()
+    assert max(len(json.loads(f.content)["log_history"]) for f in files) <= steps
+    assert len({f.path for f in files}) == len(files) and any("c1/checkpoint-" + str((sizes[1] + 1) // 2) in f.path for f in files)
+    got, bad = parse_trainer_states(spark.createDataFrame(files))
+    want = []
+    for u, n in sizes.items():
+        if u:
+            logged = [i for i in range(n) if kinds[i % 6] != "other"]
+            for i in logged:
+                metric = adapters.METRIC_OF_EVENT[kinds[i % 6]]
+                want.append((f"runs/c{u}", f"checkpoint-{logged[-1] + 1}", i + 1, metric, "nan" if metric == "grad_norm" and i % 50 < 20 else str(float(i % 50))))
+    assert sorted((r.run_id, r.checkpoint, r.step, r.metric, str(r.value)) for r in got.collect()) == sorted(want)
+    assert bad.isEmpty()
+
+
 def test_oversize_document_is_quarantined(spark, monkeypatch):
     from turnloom.sources import documents
 

@@ -8,7 +8,7 @@ work stays proportional to the tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators.spread import blocked_row_number
 
@@ -61,17 +61,27 @@ def run_metrics(events: DataFrame) -> DataFrame:
     return _numbered(rows, "run_id", "step").select("run_id", "step", "metric", "value")
 
 
+# Fixed value: steps in one part of a trainer state, so that a file is bounded whatever the run's size.
+STATE_STEPS = 10_000
+
+
 def trainer_states(events: DataFrame) -> DataFrame:
-    """``(path, content)``: a trainer state file at half time and at the end of each run,
-    with the whole history so far; gradient norms under 20 are written as NaN."""
+    """``(path, content)``: the trainer state at half the steps and at the end of each run,
+    with the whole history so far, in parts of ``STATE_STEPS`` steps (a file each);
+    gradient norms under 20 are written as NaN."""
     m = run_metrics(events).where("run_id IS NOT NULL AND metric IS NOT NULL")
     number = F.when((F.col("metric") == "grad_norm") & (F.col("value") < BLANK_BELOW), F.lit("NaN")).otherwise(F.col("value").cast("string"))
     rec = F.concat(F.lit('{"step": '), F.col("step").cast("string"), F.lit(', "'), "metric", F.lit('": '), number, F.lit("}"))
-    runs = m.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct("step", rec.alias("r")))).alias("h"))
-    at = F.explode(F.array_distinct(F.array(F.ceil(F.size("h") / 2).cast("int"), F.size("h")))).alias("n")
-    docs = runs.select("run_id", "h", at)
-    path = F.concat(F.lit("runs/c"), F.col("run_id").cast("string"), F.lit("/checkpoint-"), F.col("h")[F.col("n") - 1]["step"].cast("string"), F.lit("/trainer_state.json"))
-    body = F.array_join(F.transform(F.slice("h", 1, F.col("n")), lambda x: x["r"]), ", ")
+    m = m.select("run_id", F.expr(f"(step - 1) div {STATE_STEPS}").alias("part"), "step", rec.alias("r"))
+    parts = m.groupBy("run_id", "part").agg(F.sort_array(F.collect_list(F.struct("step", "r"))).alias("h"))
+    # the last step of the run, from one row per part
+    ends = m.groupBy("run_id", "part").agg(F.max("step").alias("last"))
+    ends = ends.select("run_id", "part", F.max("last").over(Window.partitionBy("run_id")).alias("last"))
+    at = F.explode(F.array_distinct(F.array(F.ceil(F.col("last") / 2), F.col("last")))).alias("at")
+    docs = parts.join(ends, ["run_id", "part"]).select("run_id", "part", "h", at)
+    docs = docs.select("run_id", "part", "at", F.filter("h", lambda x: x["step"] <= F.col("at")).alias("h")).where(F.size("h") > 0)
+    path = F.concat(F.lit("runs/c"), F.col("run_id").cast("string"), F.lit("/checkpoint-"), F.col("at").cast("string"), F.lit("/trainer_state."), F.col("part").cast("string"), F.lit(".json"))
+    body = F.array_join(F.transform("h", lambda x: x["r"]), ", ")
     return docs.select(path.alias("path"), F.concat(F.lit('{"log_history": ['), body, F.lit("]}")).alias("content"))
 
 
