@@ -97,6 +97,26 @@ def test_scan_recursive_and_invalid_utf8(spark):
     assert good.count() == 2
 
 
+def test_scan_reads_hidden_names(spark, monkeypatch):
+    from turnloom.sources import documents
+
+    d = tempfile.mkdtemp(prefix="turnloom-hidden-")
+    names = ["a.json", "_x.json", ".x.json", "s/_y.json", "s/h/.z.json", ".d/y.json", ".d/_e/w.json", "s/_d/hh/v.json", "_a=b.json", "_metadata.json", "_metadata/q.json", "_metadata/_q.json", "s/ü h/_u v.json"]
+    for n in names:
+        os.makedirs(os.path.dirname(f"{d}/{n}"), exist_ok=True)
+        open(f"{d}/{n}", "w").write(json.dumps({"instruction": n, "output": "o"}))
+    open(f"{d}/_skip.txt", "w").write("{}")
+    got = [(r.path, json.loads(r.raw)["instruction"]) for r in scan_docs(spark, d).collect()]
+    assert sorted(got) == sorted((f"file:{d}/{n}", n) for n in names)
+    assert documents.count_docs(spark, d) == len(names)
+    only = tempfile.mkdtemp(prefix="turnloom-hidden-")
+    open(f"{only}/_x.json", "w").write("[1]" + " " * 20)
+    assert scan_docs(spark, only).count() == 1
+    open(f"{only}/_empty.json", "w").close()
+    monkeypatch.setattr(documents, "VARIANT_LIMIT_BYTES", 10)
+    assert sorted(r.reason for r in parse_docs(scan_docs(spark, only))[1].collect()) == ["invalid_json", "too_large"]
+
+
 def test_missing_or_empty_folder(spark):
     with pytest.raises(FileNotFoundError):
         scan_docs(spark, "/nonexistent/turnloom")

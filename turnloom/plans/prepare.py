@@ -26,7 +26,7 @@ from ..operators.sequence import instruct_from_dialogue
 from ..operators.tokens import MAX_LENGTH, PAD_ID, build_vocab, model_inputs
 from ..operators.validate import is_valid, require_nonempty, validate
 from ..session import scratch_table
-from ..sources.documents import check_format, classify_docs, explode_entries, instruct_pairs, parse_docs, scan_docs, skipped_docs, to_turns
+from ..sources.documents import check_format, classify_docs, count_docs, explode_entries, instruct_pairs, parse_docs, scan_docs, skipped_docs, to_turns
 from ..sources.jsonl import read_samples, write_splits
 
 
@@ -93,7 +93,7 @@ def prepare_dataset(
     quarantine.write.mode("overwrite").json(paths["dropped"])
     quarantine = spark.read.schema("conv_id string, reason string").json(paths["dropped"])
     dropped = {r["reason"]: r["count"] for r in quarantine.groupBy("reason").count().collect()}  # one row per reason
-    counts["files"] = scan_docs(spark, input_path).select("path").count()
+    counts["files"] = count_docs(spark, input_path)
     return PrepareResult(paths, counts, quarantine, valid, dropped)
 
 

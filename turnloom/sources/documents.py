@@ -9,12 +9,14 @@ quarantine table with a reason instead of stopping the job.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.json import strict_parse_json
 from ..functions.text import py_strip
+from ..session import ensure_checkpoint_dir
 
 # Senders of the chat export and the text field each one owns.
 SENDER_MAP: Mapping[str, tuple[str, str]] = {
@@ -50,25 +52,95 @@ def require_paths(spark: SparkSession, *paths: str) -> None:
 def scan_docs(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """Every ``*.json`` under ``path``, recursively -> ``(path, conv_id, raw, utf8_ok)``.
 
-    Missing folder or zero files raise. ``conv_id`` is the file path. Like any
-    Hadoop listing, names starting with ``_`` or ``.`` are skipped.
+    Missing folder or zero files raise. ``conv_id`` is the file path. Files whose name or
+    folder starts with ``_`` or ``.``, which Spark's listing skips, are read as well.
     """
     require_paths(spark, path)
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(path)
-    )
-    if files.select("path").isEmpty():
+    files = _listed(spark, path, glob)
+    hidden = hidden_files(spark, path, glob)
+    if not hidden and files.select("path").isEmpty():
         raise FileNotFoundError(f"no {glob} files under {path}")
     # larger files are listed, never read: one of them must not stop the job
     fits = F.col("length") <= F.lit(VARIANT_LIMIT_BYTES)
-    small = raw_docs(files.where(fits).select("path", "content"), key="path", content="content")
-    large = raw_docs(files.where(~fits).select("path", F.lit(None).cast("binary").alias("content")), key="path", content="content")
+    contents, big = files.where(fits).select("path", "content"), files.where(~fits).select("path", F.lit(None).cast("binary").alias("content"))
+    readable = [p for p, n in hidden if 0 < n <= VARIANT_LIMIT_BYTES]
+    if readable:
+        contents = contents.unionByName(_read_hidden(spark, path, readable))
+    if empty := [(p, b"") for p, n in hidden if not n]:
+        contents = contents.unionByName(spark.createDataFrame(empty, "path string, content binary"))
+    if too_large := [(p, None) for p, n in hidden if n > VARIANT_LIMIT_BYTES]:
+        big = big.unionByName(spark.createDataFrame(too_large, "path string, content binary"))
+    small = raw_docs(contents, key="path", content="content")
+    large = raw_docs(big, key="path", content="content")
     return small.unionByName(large.withColumn("too_large", F.lit(True)))
 
 
+def count_docs(spark: SparkSession, path: str, glob: str = "*.json") -> int:
+    """How many files ``scan_docs`` takes; none is read."""
+    return _listed(spark, path, glob).select("path").count() + len(hidden_files(spark, path, glob))
+
+
+def _listed(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+
+
+def _is_hidden(name: str, is_dir: bool) -> bool:
+    """The names that Spark's file listing leaves out."""
+    skipped = name.startswith("_") and "=" not in name or name.startswith(".") or name.endswith("._COPYING_")
+    return skipped and not (is_dir and name.startswith(("_metadata", "_common_metadata")))
+
+
+def hidden_files(spark: SparkSession, path: str, glob: str = "*.json") -> list[tuple[str, int]]:
+    """``(path, length)`` of the files under ``path`` that Spark's listing skips because of
+    their own name or a folder's, by the file system's listing, a level at a time."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs
+    base = hadoop.Path(path)
+    fs = base.getFileSystem(conf)
+    if not fs.getFileStatus(base).isDirectory():
+        return []
+    names = hadoop.GlobFilter(glob)
+    root = fs.makeQualified(base).toString().rstrip("/")
+    out, level = [], root
+    while True:
+        for found in fs.globStatus(hadoop.Path(level + "/{_*,.*,*._COPYING_}")) or []:
+            p = found.getPath()
+            *above, name = p.toString()[len(root) + 1 :].split("/")
+            if any(_is_hidden(x, True) for x in above) or not _is_hidden(name, found.isDirectory()):
+                continue
+            if not found.isDirectory():
+                if names.accept(p):
+                    out.append((p.toString(), found.getLen()))
+                continue
+            below = fs.listFiles(p, True)
+            while below.hasNext():
+                f = below.next()
+                if names.accept(f.getPath()):
+                    out.append((f.getPath().toString(), f.getLen()))
+        level += "/*"
+        if not fs.globStatus(hadoop.Path(level)):
+            return sorted(out)
+
+
+def _read_hidden(spark: SparkSession, path: str, paths: list[str]) -> DataFrame:
+    """``(path, content)`` of files that Spark cannot list: they are copied into the shared
+    checkpoint folder, each name with an ``h`` before it, and read from there."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs
+    base = hadoop.Path(path)
+    fs = base.getFileSystem(conf)
+    root = fs.makeQualified(base).toString().rstrip("/")
+    copies = hadoop.Path(ensure_checkpoint_dir(spark).rstrip("/") + f"/hidden-documents-{uuid.uuid4().hex}")
+    shared = copies.getFileSystem(conf)
+    copies = shared.makeQualified(copies)
+    for p in paths:
+        to = hadoop.Path(copies.toString() + p[len(root) :].replace("/", "/h"))
+        hadoop.FileUtil.copy(fs, hadoop.Path(p), shared, to, False, conf)
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(copies.toString())
+    inner = F.regexp_replace(F.substring("path", len(copies.toString()) + 1, 1 << 30), "/h", "/")
+    return read.select(F.concat(F.lit(root), inner).alias("path"), "content")
+
+
 def raw_docs(df: DataFrame, key: str, content: str) -> DataFrame:
     """Shape any ``(key, bytes-or-string)`` table as raw documents."""
     c = F.col(content)
