@@ -163,6 +163,19 @@ def test_run_metrics_and_artifacts(spark):
     assert [x.reason for x in parse_trainer_states(files)[1].collect()] == ["no_log_history"]
 
 
+def test_unreadable_trainer_states_are_reported(spark):
+    from turnloom.plans.report import report_folder
+
+    root = tempfile.mkdtemp(prefix="turnloom-runs-")
+    good = json.dumps({"log_history": [{"step": 10, "eval_loss": 1.0}]})
+    for run, name, text in [("a", "checkpoint-10", good), ("a", "checkpoint-20", "{broken"), ("b", "checkpoint-5", "[]"), ("c", "checkpoint-10", good)]:
+        os.makedirs(f"{root}/{run}/{name}")
+        open(f"{root}/{run}/{name}/trainer_state.json", "w").write(text)
+        open(f"{root}/{run}/{name}/adapter_config.json", "w").write("{}")
+    got = {r.run_id.rsplit("/", 1)[-1]: (r.n_evals, r.n_unreadable) for r in report_folder(spark, root).collect()}
+    assert got == {"a": (1, 1), "b": (None, 1), "c": (1, 0)}
+
+
 @pytest.mark.parametrize("steps", [3, 10_000])
 def test_trainer_state_files_are_bounded(spark, monkeypatch, steps):
     from turnloom.plans import adapters

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.checkpoints import artifact_step
 from .documents import require_paths
@@ -42,12 +42,22 @@ def parse_trainer_states(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return one.select("run_id", "x.checkpoint", "step", "metric", "x.value"), quarantine
 
 
-def read_run_metrics(spark: SparkSession, root: str) -> DataFrame:
-    """The metrics of every ``trainer_state.json`` under ``root`` (see
-    ``parse_trainer_states``; use that to get the quarantine as well)."""
+def run_of(path: Column) -> Column:
+    """The folder that holds the checkpoint folder of a file."""
+    return F.regexp_extract(path, r"^(.*)/[^/]+/[^/]+$", 1)
+
+
+def read_run_logs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """``(metrics, quarantine)`` of every ``trainer_state.json`` under ``root`` (see
+    ``parse_trainer_states``)."""
     require_paths(spark, root)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", TRAINER_STATE).load(root)
-    return parse_trainer_states(files.select("path", "content"))[0]
+    return parse_trainer_states(files.select("path", "content"))
+
+
+def read_run_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """The metrics alone; ``read_run_logs`` has the unreadable files as well."""
+    return read_run_logs(spark, root)[0]
 
 
 def artifacts_of(markers: DataFrame, roots: DataFrame) -> DataFrame:
