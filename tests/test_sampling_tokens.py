@@ -117,3 +117,17 @@ def test_kth_keys_matches_single(spark):
     assert got[0] is None
     for k in (1, 200, 2999):
         assert got[k] == kth_key(df, k)
+
+
+def test_length_report_percentiles(spark):
+    import numpy as np
+
+    from turnloom.operators.tokens import length_report
+
+    lengths = {"a": [1, 2, 2, 3, 50, 9, 9, 9, 600], "b": [7], "c": list(range(200))}
+    rows = [(m, [0] * n) for m, ns in lengths.items() for n in ns]
+    got = {r.method: r for r in length_report(spark.createDataFrame(rows, "method string, input_ids array<int>"), 100).collect()}
+    for m, ns in lengths.items():
+        r = got[m]
+        assert (r.n_samples, r.n_truncated, r.max_tokens, r.min_tokens, r.total_tokens) == (len(ns), sum(n > 100 for n in ns), max(ns), min(ns), sum(ns))
+        assert np.allclose([r.p50, r.p90, r.p95, r.p99], np.percentile(ns, [50, 90, 95, 99]))

@@ -166,13 +166,22 @@ def model_inputs(df: DataFrame, vocab: DataFrame, text_col: str = "text", max_le
     return mask_labels(pad(truncate(enc, max_length), max_length, pad_id, side=side), pad_id)
 
 
+# The percentiles of the length report.
+PERCENTILES = (50, 90, 95, 99)
+
+
 def length_report(df: DataFrame, max_length: int = MAX_LENGTH, by: str = "method", col: str = "input_ids") -> DataFrame:
-    """Per group, how many samples exceed ``max_length`` tokens and lose their tail."""
-    n = F.size(col)
-    return df.groupBy(by).agg(
-        F.count(F.lit(1)).alias("n_samples"),
-        F.count_if(n > max_length).alias("n_truncated"),
+    """Per group, how many samples exceed ``max_length`` tokens and lose their tail,
+    and the exact percentiles ``p50`` ... of their lengths (interpolated), from a table of
+    one row per length."""
+    lengths = df.groupBy(by, F.size(col).alias("_n")).agg(F.count(F.lit(1)).alias("_c"))
+    n, c = F.col("_n"), F.col("_c")
+    report = lengths.groupBy(by).agg(
+        F.sum(c).alias("n_samples"),
+        F.sum(F.when(n > max_length, c).otherwise(F.lit(0))).alias("n_truncated"),
         F.max(n).alias("max_tokens"),
         F.min(n).alias("min_tokens"),
-        F.sum(n).alias("total_tokens"),
+        F.sum(n * c).alias("total_tokens"),
+        F.percentile(n, [p / 100 for p in PERCENTILES], c).alias("_p"),
     )
+    return report.select("*", *[F.col("_p")[i].alias(f"p{p}") for i, p in enumerate(PERCENTILES)]).drop("_p")

@@ -24,7 +24,7 @@ from ..operators.samples import (
     with_sample_id,
 )
 from ..operators.sequence import instruct_from_dialogue, merge_runs, role_runs, trim_leading_model
-from ..operators.tokens import build_vocab, encode, length_report, model_inputs
+from ..operators.tokens import PERCENTILES, build_vocab, encode, length_report, model_inputs
 from ..operators.validate import validate
 from ..session import ensure_checkpoint_dir
 from ..sources.documents import classify_docs, explode_entries, instruct_pairs, parse_docs, raw_docs, to_turns
@@ -276,7 +276,8 @@ def q_truncate_pad_mask(spark, sf):
 
 
 def q_length_report(spark, sf):
-    return length_report(encode(_rendered_samples(spark, sf), _vocab(spark, sf)), MAX_LENGTH)
+    report = length_report(encode(_rendered_samples(spark, sf), _vocab(spark, sf)), MAX_LENGTH)
+    return report.drop(*[f"p{p}" for p in PERCENTILES])  # the SQL has none
 
 
 def q_validate_samples(spark, sf):
