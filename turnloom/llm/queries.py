@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, embed_dedup, html_extract, langid, sentencepiece, sharding, simhash, suffix_dedup, token_files, toxicity
+from . import decontaminate, embed_dedup, html_extract, katz, langid, sentencepiece, sharding, simhash, spelling, suffix_dedup, token_files, toxicity, whitening
 from .common import table
 
 
@@ -64,6 +64,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), sharding.document_key()).select("doc_id", "slot", "shard")
 
 
+def op11_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    got = katz.katz_scores(docs, ~katz.held_out(), order=2)
+    return got.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(rows, whitening.fit(rows, components=16)).drop("deviation_wide", "eigenvalue")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_decontamination": op2_decontamination,
@@ -75,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_files": op9_token_files,
     "op10_sharding": op10_sharding,
+    "op11_katz_backoff": op11_katz_backoff,
+    "op12_whitening": op12_whitening,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {
