@@ -4,7 +4,8 @@ One ``.json`` file is one conversation (or one instruction file). Files are read
 as bytes (``binaryFile``, content pruned where unused), checked for UTF-8,
 parsed with ``try_parse_json`` into ``VARIANT`` (no schema inference, tolerant
 of any top-level shape) and exploded in list order. Bad documents go to a
-quarantine table with a reason instead of stopping the job.
+quarantine table with a reason instead of stopping the job. Files above the VARIANT
+limit are read in byte ranges (``large_json``).
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.json import strict_parse_json
 from ..functions.text import py_strip
 from ..session import ensure_checkpoint_dir
+from .large_json import large_entries, read_pieces
 
 # Senders of the chat export and the text field each one owns.
 SENDER_MAP: Mapping[str, tuple[str, str]] = {
@@ -28,7 +30,7 @@ INSTRUCTION_KEY = "instruction"
 OUTPUT_KEY = "output"
 
 FORMATS = ("instruct", "conversational")
-# Spark's VARIANT value limit (128 MiB); larger documents are quarantined, not parsed.
+# Spark's VARIANT value limit (128 MiB); larger documents are not parsed as one value.
 VARIANT_LIMIT_BYTES = 128 * 1024 * 1024
 
 
@@ -122,9 +124,9 @@ def hidden_files(spark: SparkSession, path: str, glob: str = "*.json") -> list[t
             return sorted(out)
 
 
-def _read_hidden(spark: SparkSession, path: str, paths: list[str]) -> DataFrame:
-    """``(path, content)`` of files that Spark cannot list: they are copied into the shared
-    checkpoint folder, each name with an ``h`` before it, and read from there."""
+def _copy_hidden(spark: SparkSession, path: str, paths: list[str]) -> tuple[str, Column]:
+    """Copies files that Spark cannot list into the shared checkpoint folder, each name with
+    an ``h`` before it: the folder of the copies, and the first path from a copy's ``path``."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     hadoop = jvm.org.apache.hadoop.fs
     base = hadoop.Path(path)
@@ -136,9 +138,36 @@ def _read_hidden(spark: SparkSession, path: str, paths: list[str]) -> DataFrame:
     for p in paths:
         to = hadoop.Path(copies.toString() + p[len(root) :].replace("/", "/h"))
         hadoop.FileUtil.copy(fs, hadoop.Path(p), shared, to, False, conf)
-    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(copies.toString())
     inner = F.regexp_replace(F.substring("path", len(copies.toString()) + 1, 1 << 30), "/h", "/")
-    return read.select(F.concat(F.lit(root), inner).alias("path"), "content")
+    return copies.toString(), F.concat(F.lit(root), inner)
+
+
+def _read_hidden(spark: SparkSession, path: str, paths: list[str]) -> DataFrame:
+    """``(path, content)`` of files that Spark cannot list."""
+    copies, original = _copy_hidden(spark, path, paths)
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(copies)
+    return read.select(original.alias("path"), "content")
+
+
+def read_documents(spark: SparkSession, path: str, fmt: str, glob: str = "*.json") -> tuple[DataFrame, DataFrame]:
+    """S1-S4 for files of any size: ``(entries, quarantine)`` of a folder, as ``explode_entries``
+    and ``(conv_id, reason)``. Files above the VARIANT limit are read in byte ranges."""
+    check_format(fmt)
+    raw = scan_docs(spark, path, glob).where("NOT too_large")
+    good, bad = parse_docs(raw)
+    classified = classify_docs(good, fmt)
+    entries = explode_entries(classified, fmt)
+    quarantine = bad.select("conv_id", "reason").unionByName(skipped_docs(classified))
+    sources = []
+    if not _listed(spark, path, glob).where(F.col("length") > VARIANT_LIMIT_BYTES).select("path").isEmpty():
+        sources.append(read_pieces(spark, path, glob, VARIANT_LIMIT_BYTES))
+    if hidden := [p for p, n in hidden_files(spark, path, glob) if n > VARIANT_LIMIT_BYTES]:
+        copies, original = _copy_hidden(spark, path, hidden)
+        sources.append(read_pieces(spark, copies, None, VARIANT_LIMIT_BYTES).withColumn("path", original))
+    for pieces in sources:
+        more, left_out = large_entries(pieces, fmt)
+        entries, quarantine = entries.unionByName(more), quarantine.unionByName(left_out)
+    return entries, quarantine
 
 
 def raw_docs(df: DataFrame, key: str, content: str) -> DataFrame:
@@ -181,7 +210,8 @@ def parse_docs(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     UTF-8 BOM, ``NaN`` literals and trailing text after the value). Falsy documents
     (``[]``, ``{}``, ``null``, ``0``, ``""``, ``false``) are skipped silently.
     Duplicate keys are accepted (last wins) as in Python. Documents above the
-    VARIANT limit (128 MiB of text) are quarantined as ``too_large``.
+    VARIANT limit (128 MiB of text) are quarantined as ``too_large`` here;
+    ``read_documents`` reads such files in byte ranges instead.
     """
     raw.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     text = raw.select("path", "conv_id", F.when(F.col("utf8_ok") & ~F.col("too_large"), F.col("raw")).alias("raw"), "utf8_ok", "too_large")
@@ -207,13 +237,17 @@ def classify_docs(parsed: DataFrame, fmt: str) -> DataFrame:
     check_format(fmt)
     is_list = _vtype(F.col("v")).startswith("ARRAY")
     if fmt == "instruct":
-        has_sender = F.try_variant_get(F.col("v"), "$[0].sender", "variant").isNotNull()
-        shape = F.when(is_list & has_sender, F.lit("dialogue")).otherwise(F.lit("instruction"))
+        shape = F.when(is_list & first_is_dialogue(F.col("v")), F.lit("dialogue")).otherwise(F.lit("instruction"))
     else:
         shape = F.when(is_list, F.lit("dialogue")).otherwise(F.lit("skip"))
     return parsed.withColumn("shape", shape)
 
 
+def first_is_dialogue(v: Column) -> Column:
+    """Does the first element of a list hold the key ``sender``?"""
+    return F.try_variant_get(v, "$[0].sender", "variant").isNotNull()
+
+
 def skipped_docs(classified: DataFrame) -> DataFrame:
     """S3: the documents no reader takes in this mode, as ``(conv_id, reason)``."""
     return classified.where(F.col("shape") == "skip").select("conv_id", F.lit("skipped_shape").alias("reason"))
@@ -230,14 +264,14 @@ def explode_entries(classified: DataFrame, fmt: str = "conversational", sender_m
     a dialogue is not usable as a whole; it is found in the entry array, where a document
     is still one row, so no window or shuffle gathers the document again."""
     arr = classified.withColumn("entries", F.explode(F.array(_entry_array(F.col("v")))))
-    flawed = [F.exists("entries", flaw) for flaw in _entry_flaws(fmt, sender_map)]
+    flawed = [F.exists("entries", flaw) for flaw in entry_flaws(fmt, sender_map)]
     reason = F.when(F.col("shape") == "dialogue", F.when(flawed[1], F.lit("non_string_text")).when(flawed[0], F.lit("non_object_entry")))
     return arr.select("conv_id", "shape", reason.alias("doc_reason"), F.posexplode("entries").alias("turn", "entry")).withColumn(
         "turn", F.col("turn").cast("long")
     )
 
 
-def _entry_flaws(fmt: str, sender_map: Mapping[str, tuple[str, str]]) -> list:
+def entry_flaws(fmt: str, sender_map: Mapping[str, tuple[str, str]]) -> list:
     """Tests of one entry: not an object; a truthy text field that is not a string
     (conversational mode reads every text field, instruct mode the sender's own)."""
 
