@@ -15,7 +15,7 @@ def _conv() -> Window:
     return Window.partitionBy("conv_id").orderBy("turn")
 
 
-def instruct_from_dialogue(turns: DataFrame, strategy: str = "auto", hot_turns: int | None = None) -> DataFrame:
+def instruct_from_dialogue(turns: DataFrame, strategy: str = "auto", hot_turns: int | None = None, turn_counts: DataFrame | None = None) -> DataFrame:
     """A model turn pairs with the immediately preceding turn iff that is a user turn.
 
     ``turns`` must already be blank-free (``drop_blank``). Equals the pending-user
@@ -39,7 +39,7 @@ def instruct_from_dialogue(turns: DataFrame, strategy: str = "auto", hot_turns:
     def spread_plan(t: DataFrame) -> DataFrame:
         return blocked_lag(t.select("conv_id", "turn", "role", "content"), "conv_id", "turn", ["role", "content", "turn"])
 
-    with_prev = route_hot(turns, conversation_plan, spread_plan, strategy, hot_turns)
+    with_prev = route_hot(turns, conversation_plan, spread_plan, strategy, hot_turns, turn_counts)
     return (
         with_prev.select("conv_id", "turn", "role", "content", "prev_role", "prev_content", "prev_turn")
         .where((F.col("role") == "model") & (F.col("prev_role") == "user"))

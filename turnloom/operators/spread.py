@@ -10,13 +10,14 @@ and that task would carry it alone. This plan never gathers a conversation:
   (a few rows per block), joined back on (conv, block);
 * merged turns: ``groupBy(conv, rid)`` (one group per run);
 * block pairs: joins on (conv, rid) and (conv, rid + 1);
-* pair windows: each merged turn is copied to the <= P windows that contain it and
-  grouped by (conv, window end): groups are bounded by the window size;
-* prefixes: each merged turn is copied to every later prefix end and grouped by
-  (conv, end): the copies are exactly the output messages (quadratic by
-  definition of the method, never more);
+* pair windows: each merged turn's digest is copied to the <= P windows that contain it
+  and grouped by (conv, window end): groups are bounded by the window size;
+* prefixes: one narrow row per model turn; only those as long as a pair or a window need
+  a fingerprint of digests, the others are unique by their length;
 * dedup: ``min_by`` per (conv, fingerprint): partial aggregation collapses copies
-  before the shuffle.
+  before the shuffle;
+* text: the ranges that are left (after dedup, cap and split) are exploded to one row per
+  message and joined to the merged turns: exactly the output messages, never more.
 
 Results are identical to the default plan (tested on the fixtures).
 """
@@ -24,10 +25,12 @@ Results are identical to the default plan (tested on the fixtures).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import null_safe_join, shared_table
+from .samples import message_digest, range_fingerprint
 
 BLOCK_TURNS = 1 << 14
 # A conversation with more turns than this goes to the skew-safe plan.
@@ -102,14 +105,15 @@ def blocked_row_number(df: DataFrame, key: str, order: Sequence[str], block: Col
     return j.withColumn(out, (F.col("_rn") + F.col("_before")).cast("long")).drop("_blk", "_rn", "_before")
 
 
-def route_hot(turns: DataFrame, conversation_plan, spread_plan, strategy: str = "auto", hot_turns: int | None = None) -> DataFrame:
+def route_hot(turns: DataFrame, conversation_plan, spread_plan, strategy: str = "auto", hot_turns: int | None = None, turn_counts: DataFrame | None = None) -> DataFrame:
     """Run ``conversation_plan`` (one task per conversation) or ``spread_plan``
     (skew-safe) per conversation size.
 
     ``auto`` counts turns per conversation (a partial aggregation), keeps the ids above
     ``hot_turns``, however many, as a table in the shared folder, and joins it back:
     matching conversations take the spread plan, the rest the conversation plan. A NULL
-    id is a conversation like any other in both plans.
+    id is a conversation like any other in both plans. ``turn_counts (conv_id, n)`` replaces the
+    count where upper bounds are cheaper to get than ``turns``.
     """
     if strategy == "conversation":
         return conversation_plan(turns)
@@ -118,8 +122,9 @@ def route_hot(turns: DataFrame, conversation_plan, spread_plan, strategy: str =
     if strategy != "auto":
         raise ValueError("strategy must be 'auto', 'conversation' or 'spread'")
     limit = HOT_TURNS if hot_turns is None else hot_turns
-    sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
-    hot = shared_table(sizes.where(F.col("n") > limit).select("conv_id"), "hot-conversations")
+    if turn_counts is None:
+        turn_counts = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    hot = shared_table(turn_counts.where(F.col("n") > limit).select("conv_id"), "hot-conversations")
     if hot.isEmpty():
         return conversation_plan(turns)
     normal = null_safe_join(turns, hot, ["conv_id"], "left_anti")
@@ -131,39 +136,21 @@ def _msg(role: Column, content: Column) -> Column:
     return F.struct(role.alias("role"), content.alias("content"))
 
 
-def _sample(df: DataFrame, method: Column, ord_: Column, start: Column, n: Column, messages: Column) -> DataFrame:
-    return df.select(
-        "conv_id",
-        method.alias("method"),
-        ord_.cast("int").alias("method_ord"),
-        start.cast("long").alias("start_idx"),
-        n.cast("int").alias("n_msgs"),
-        messages.alias("messages"),
-    )
-
-
-def spread_samples(
-    turns: DataFrame,
-    pairs: Sequence[int] = (8, 16),
-    pair_mode: str = "observed",
-    dedup: bool = True,
-    block_size: int | None = None,
-    methods: Sequence[str] = ("pair", "prefix", "window"),
-) -> DataFrame:
-    """U1 (+D1) with no per-conversation gathering; same rows as ``conversational_samples``.
-    ``methods`` picks the sample kinds: W5 ``pair``, W6 ``prefix``, W7 ``window``."""
-    if pair_mode not in ("observed", "raw"):
-        raise ValueError(f"pair_mode must be 'observed' or 'raw', got {pair_mode!r}")
-    rt = spread_runs(turns, block_size)
-    runs = rt.groupBy("conv_id", "rid").agg(
+def _run_rows(rt: DataFrame) -> DataFrame:
+    """One row per run. (A run's text is one value by definition.)"""
+    return rt.groupBy("conv_id", "rid").agg(
         F.min("role").alias("role"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "content"))), lambda x: x["content"]), "\n").alias("content"),
         F.min_by("content", "turn").alias("head_content"),
         F.min("n_runs").alias("n_runs"),
         F.min("first_role").alias("first_role"),
     )
+
+
+def _merged_rows(runs: DataFrame) -> DataFrame:
+    """``(conv_id, idx, role, content, n)``."""
     lead_model = (F.col("first_role") == "model").cast("int")
-    merged = runs.where(~((F.col("rid") == 1) & (F.col("role") == "model"))).select(
+    return runs.where(~((F.col("rid") == 1) & (F.col("role") == "model"))).select(
         "conv_id",
         (F.col("rid") - 1 - lead_model).cast("int").alias("idx"),
         "role",
@@ -171,96 +158,142 @@ def spread_samples(
         (F.col("n_runs") - lead_model).cast("int").alias("n"),
     )
 
-    # Pairs by keyed joins
-    users = rt.where(F.col("role") == "user").select("conv_id", "turn", "rid", "is_head", "content")
-    nxt = runs.select("conv_id", (F.col("rid") - 1).alias("rid"), F.col("content").alias("m_content"), F.col("head_content").alias("m_head"))
+
+def spread_merged(turns: DataFrame, block_size: int | None = None) -> DataFrame:
+    """W2+W3+W4 without gathering a conversation: ``(conv_id, idx, role, content, n)``."""
+    return _merged_rows(_run_rows(spread_runs(turns, block_size)))
+
+
+def _pair_rows(turns: DataFrame, pair_mode: str, block_size: int | None, text: bool) -> DataFrame:
+    """W5 by keyed joins: ``(conv_id, turn, u, m)``, the texts or the digests of both messages."""
+    rt = spread_runs(turns, block_size)
+    runs = _run_rows(rt)
+
+    def value(role: str, col: str) -> Column:
+        return F.expr(col if text else message_digest(repr(role), col))
+
+    users = rt.where(F.col("role") == "user").select("conv_id", "turn", "rid", "is_head", value("user", "content").alias("own"))
+    reply = "content" if pair_mode == "observed" else "head_content"
+    nxt = runs.where(F.col("role") == "model").select("conv_id", (F.col("rid") - 1).alias("rid"), value("model", reply).alias("m"))
     p = null_safe_join(users, nxt, ["conv_id", "rid"])
     if pair_mode == "observed":
-        own = runs.select("conv_id", "rid", F.col("content").alias("run_content"))
-        p = null_safe_join(p, own, ["conv_id", "rid"])
-        u_text = F.when(F.col("is_head"), F.col("run_content")).otherwise(F.col("content"))
-        m_text = F.col("m_content")
-    else:
-        u_text, m_text = F.col("content"), F.col("m_head")
-    pair_rows = _sample(p, F.lit("pair"), F.lit(0), F.col("turn"), F.lit(2), F.array(_msg(F.lit("user"), u_text), _msg(F.lit("model"), m_text)))
-
-    # Copy each merged turn to the samples (identified by their last index) that hold it
-    def ranges(kind: str, ord_: int, size: int | None) -> DataFrame:
-        return _ranges(merged, kind, ord_, size, 2)
-
-    parts = [pair_rows] if "pair" in methods else []
+        p = null_safe_join(p, runs.select("conv_id", "rid", value("user", "content").alias("merged")), ["conv_id", "rid"])
+        return p.select("conv_id", "turn", F.when(F.col("is_head"), F.col("merged")).otherwise(F.col("own")).alias("u"), "m")
+    return p.select("conv_id", "turn", F.col("own").alias("u"), "m")
+
+
+def _narrow(df: DataFrame, method: Column, ord_: int, start: Column, n: Column, fp: Column) -> DataFrame:
+    return df.select(
+        "conv_id", method.alias("method"), F.lit(ord_).cast("int").alias("method_ord"), start.cast("long").alias("start_idx"), n.cast("int").alias("n_msgs"), fp.alias("fp")
+    )
+
+
+def _window_ranges(digests: DataFrame, kind: str, ord_: int, size: int, step: int) -> DataFrame:
+    """Windows of ``size`` messages that end at a model turn ``e`` (odd index) and start at a
+    multiple of ``step``: each digest is copied to the windows that hold it."""
+    last = F.col("n") - 1 - (F.col("n") % 2)  # last model index (odd); n < 2 -> none
+    first_odd = F.col("idx") + (1 - F.col("idx") % 2)
+    min_end = size - 1 if size % 2 == 0 else size  # ends are odd (model) indexes
+    lo, hi = F.greatest(first_odd, F.lit(min_end)), F.least(F.col("idx") + size - 1, last)
+    x = digests.select("conv_id", "idx", "digest", F.explode(F.when(hi >= lo, F.sequence(lo, hi, F.lit(2)))).alias("e"))
+    x = x.where((F.col("e") - size + 1) % step == 0)
+    g = x.groupBy("conv_id", "e").agg(F.expr(range_fingerprint("transform(array_sort(collect_list(struct(idx, digest))), x -> x.digest)")).alias("fp"))
+    return _narrow(g, F.lit(kind), ord_, F.col("e") - size + 1, F.lit(size), F.col("fp"))
+
+
+def _prefix_ranges(digests: DataFrame, ord_: int, shared: Sequence[int]) -> DataFrame:
+    """Prefixes of even length; those of a ``shared`` length get a fingerprint of digests."""
+    lengths = sorted({int(x) for x in shared if int(x) > 0 and int(x) % 2 == 0})
+    ends = digests.where(F.col("idx") % 2 == 1)
+    unique = ends.where(~(F.col("idx") + 1).isin(lengths)) if lengths else ends
+    out = _narrow(unique, F.lit("prefix"), ord_, F.lit(0), F.col("idx") + 1, F.concat(F.lit("#"), F.col("idx") + 1))
+    if not lengths:
+        return out
+    held = F.filter(F.array(*[F.lit(x) for x in lengths]), lambda x: (x > F.col("idx")) & (x <= F.col("n")))
+    x = digests.where(F.col("idx") < max(lengths)).select("conv_id", "idx", "digest", F.explode(held).alias("l"))
+    g = x.groupBy("conv_id", "l").agg(F.expr(range_fingerprint("transform(array_sort(collect_list(struct(idx, digest))), x -> x.digest)")).alias("fp"))
+    return out.unionByName(_narrow(g, F.lit("prefix"), ord_, F.lit(0), F.col("l"), F.col("fp")))
+
+
+def _first_of_equals(ranges: DataFrame, dedup: bool) -> DataFrame:
+    """D1 as an aggregation: first range per (conv, fingerprint); copies combine map-side."""
+    if dedup:
+        order = F.struct("method_ord", "start_idx", "n_msgs")
+        keep = F.struct("method", "method_ord", "start_idx", "n_msgs")
+        ranges = ranges.groupBy("conv_id", "fp").agg(F.min_by(keep, order).alias("s")).select("conv_id", "s.*")
+    none = F.lit(None).cast("int")
+    return ranges.select("conv_id", "method", "method_ord", "start_idx", "n_msgs", none.alias("ri"), none.alias("pos"))
+
+
+def _digests(turns: DataFrame, block_size: int | None) -> DataFrame:
+    merged = spread_merged(turns, block_size)
+    # narrow, read by every method: worked out once
+    return shared_table(merged.select("conv_id", "idx", "n", F.expr(message_digest("role", "content")).alias("digest")), "turn-digests")
+
+
+def spread_ranges(
+    turns: DataFrame,
+    pairs: Sequence[int] = (8, 16),
+    pair_mode: str = "observed",
+    dedup: bool = True,
+    block_size: int | None = None,
+    methods: Sequence[str] = ("pair", "prefix", "window"),
+) -> DataFrame:
+    """U1 (+D1) without text and without gathering a conversation (``samples.sample_ranges``)."""
+    digests = _digests(turns, block_size)
+    parts = []
+    if "pair" in methods:
+        p = _pair_rows(turns, pair_mode, block_size, text=False)
+        parts.append(_narrow(p, F.lit("pair"), 0, F.col("turn"), F.lit(2), F.expr(range_fingerprint("array(u, m)"))))
     if "prefix" in methods:
-        parts.append(ranges("prefix", 1, None))
+        parts.append(_prefix_ranges(digests, 1, (2, *(2 * int(p) for p in pairs))))
     if "window" in methods:
-        parts += [ranges(f"window{p_}", 2 + j, 2 * p_) for j, p_ in enumerate(pairs)]
-    union = parts[0]
-    for d in parts[1:]:
-        union = union.unionByName(d)
-    return _min_by_dedup(union) if dedup else union
+        parts += [_window_ranges(digests, f"window{p}", 2 + j, 2 * int(p), 2) for j, p in enumerate(pairs)]
+    return _first_of_equals(reduce(lambda a, b: a.unionByName(b), parts), dedup)
+
+
+def spread_strided_ranges(turns: DataFrame, sizes: Sequence[int] = (8, 16), overlap: int = 2, dedup: bool = True, block_size: int | None = None) -> DataFrame:
+    """W8 without text and without gathering a conversation."""
+    digests = _digests(turns, block_size)
+    parts = [_prefix_ranges(digests, 0, sizes)]
+    parts += [_window_ranges(digests, f"stride{int(s)}", 1 + j, int(s), max(2, int(s) - int(overlap))) for j, s in enumerate(sizes) if int(s) > 0]
+    return _first_of_equals(reduce(lambda a, b: a.unionByName(b), parts), dedup)
+
+
+def spread_attach(ranges: DataFrame, turns: DataFrame, pair_mode: str = "observed", block_size: int | None = None) -> DataFrame:
+    """``ranges`` plus ``messages``: pairs by their user turn, the others by one row per
+    message, joined to the merged turns and grouped again by sample."""
+    keys = ["conv_id", "method", "method_ord", "start_idx", "n_msgs"]
+    extra = [c for c in ranges.columns if c not in keys]
+    p = _pair_rows(turns, pair_mode, block_size, text=True).withColumnRenamed("turn", "start_idx")
+    pair = null_safe_join(ranges.where("method = 'pair'"), p, ["conv_id", "start_idx"])
+    pair = pair.select(*keys, F.array(_msg(F.lit("user"), F.col("u")), _msg(F.lit("model"), F.col("m"))).alias("messages"), *extra)
+    rest = ranges.where("method <> 'pair'")
+    at = rest.select(*keys, *extra, F.explode(F.expr("sequence(int(start_idx), int(start_idx + n_msgs - 1))")).alias("idx"))
+    merged = spread_merged(turns, block_size).select("conv_id", "idx", "role", "content")
+    x = null_safe_join(at, merged, ["conv_id", "idx"])
+    # a sample is one row of the output by definition
+    g = x.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("idx", "role", "content"))).alias("a"), *[F.first(c).alias(c) for c in extra])
+    return pair.unionByName(g.select(*keys, F.transform("a", lambda m: _msg(m["role"], m["content"])).alias("messages"), *extra))
 
 
-def spread_merged(turns: DataFrame, block_size: int | None = None) -> DataFrame:
-    """W2+W3+W4 without gathering a conversation: ``(conv_id, idx, role, content, n)``."""
-    rt = spread_runs(turns, block_size)
-    runs = rt.groupBy("conv_id", "rid").agg(
-        F.min("role").alias("role"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "content"))), lambda x: x["content"]), "\n").alias("content"),
-        F.min("n_runs").alias("n_runs"),
-        F.min("first_role").alias("first_role"),
-    )
-    lead_model = (F.col("first_role") == "model").cast("int")
-    return runs.where(~((F.col("rid") == 1) & (F.col("role") == "model"))).select(
-        "conv_id",
-        (F.col("rid") - 1 - lead_model).cast("int").alias("idx"),
-        "role",
-        "content",
-        (F.col("n_runs") - lead_model).cast("int").alias("n"),
-    )
+def spread_samples(
+    turns: DataFrame,
+    pairs: Sequence[int] = (8, 16),
+    pair_mode: str = "observed",
+    dedup: bool = True,
+    block_size: int | None = None,
+    methods: Sequence[str] = ("pair", "prefix", "window"),
+) -> DataFrame:
+    """U1 (+D1) with no per-conversation gathering; same rows as ``conversational_samples``.
+    ``methods`` picks the sample kinds: W5 ``pair``, W6 ``prefix``, W7 ``window``."""
+    if pair_mode not in ("observed", "raw"):
+        raise ValueError(f"pair_mode must be 'observed' or 'raw', got {pair_mode!r}")
+    ranges = shared_table(spread_ranges(turns, pairs, pair_mode, dedup, block_size, methods).drop("ri", "pos"), "sample-ranges")
+    return spread_attach(ranges, turns, pair_mode, block_size)
 
 
 def spread_strided(turns: DataFrame, sizes: Sequence[int] = (8, 16), overlap: int = 2, dedup: bool = True, block_size: int | None = None) -> DataFrame:
     """W8 without gathering a conversation (same rows as ``samples.strided_windows``)."""
-    merged = spread_merged(turns, block_size)
-    parts = [_ranges(merged, "prefix", 0, None, 2)]
-    for j, size in enumerate(sizes):
-        size = int(size)
-        if size > 0:
-            parts.append(_ranges(merged, f"stride{size}", 1 + j, size, max(2, size - int(overlap))))
-    union = parts[0]
-    for d in parts[1:]:
-        union = union.unionByName(d)
-    return _min_by_dedup(union) if dedup else union
-
-
-def _ranges(merged: DataFrame, kind: str, ord_: int, size: int | None, step: int) -> DataFrame:
-    """Samples ending at a model turn ``e`` (odd index): prefixes ``[0..e]`` or windows
-    ``[e-size+1..e]`` whose start is a multiple of ``step``. Each merged turn is copied
-    to the sample ends whose range holds it, then grouped by (conv, end)."""
-    last = F.col("n") - 1 - (F.col("n") % 2)  # last model index (odd); n < 2 -> none
-    first_odd = F.col("idx") + (1 - F.col("idx") % 2)
-    if size is None:
-        lo, hi = F.greatest(first_odd, F.lit(1)), last
-    else:
-        min_end = size - 1 if size % 2 == 0 else size  # ends are odd (model) indexes
-        lo, hi = F.greatest(first_odd, F.lit(min_end)), F.least(F.col("idx") + size - 1, last)
-    ends = F.when(hi >= lo, F.sequence(lo, hi, F.lit(2)))
-    x = merged.select("conv_id", "idx", "role", "content", F.explode(ends).alias("e"))
-    if size is not None:
-        x = x.where((F.col("e") - size + 1) % step == 0)
-    g = x.groupBy("conv_id", "e").agg(F.array_sort(F.collect_list(F.struct("idx", "role", "content"))).alias("a"))
-    msgs = F.transform("a", lambda m: _msg(m["role"], m["content"]))
-    if size is None:
-        return _sample(g, F.lit(kind), F.lit(ord_), F.lit(0), F.col("e") + 1, msgs)
-    return _sample(g, F.lit(kind), F.lit(ord_), F.col("e") - size + 1, F.lit(size), msgs)
-
-
-def _min_by_dedup(union: DataFrame) -> DataFrame:
-    """D1 as an aggregation: first sample per (conv, fingerprint); copies combine map-side."""
-    order = F.struct("method_ord", "start_idx", "n_msgs")
-    keep = F.struct("method", "method_ord", "start_idx", "n_msgs", "messages")
-    return (
-        union.withColumn("fp", F.sha2(F.to_json("messages"), 256))
-        .groupBy("conv_id", "fp")
-        .agg(F.min_by(keep, order).alias("s"))
-        .select("conv_id", "s.method", "s.method_ord", "s.start_idx", "s.n_msgs", "s.messages")
-    )
+    ranges = shared_table(spread_strided_ranges(turns, sizes, overlap, dedup, block_size).drop("ri", "pos"), "sample-ranges")
+    return spread_attach(ranges, turns, block_size=block_size)

@@ -1,10 +1,10 @@
 """End-to-end jobs.
 
 ``prepare_dataset`` (chat/instruction JSON -> train/eval JSONL):
-    scan -> parse/classify -> turns (narrow) -> one exchange on conv_id ->
-    runs / samples / dedup (same partitioning) -> keys -> checkpoint ->
-    cap + split thresholds (bounded aggregations) -> two narrow filters -> write
-    -> validate.
+    scan -> parse/classify -> turns (written once) -> one exchange on conv_id ->
+    runs / sample ranges / dedup, no text -> keys -> scratch table ->
+    cap + split thresholds (bounded aggregations) -> two narrow filters ->
+    text of the survivors -> write -> validate.
 
 ``prepare_model_inputs`` (JSONL -> fixed-length, label-masked id arrays):
     read -> (eval: subsample first, then encode) -> render -> encode (vocabulary
@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 import posixpath
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,12 +22,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.render import render_instruct_text, render_messages_text
 from ..operators.normalise import drop_blank, fill_blank
 from ..operators.sampling import eval_subsample_by_text, shuffled, split
-from ..operators.samples import conversational_samples, pool, with_sample_id
+from ..operators.samples import attach_messages, pool, sample_ranges, with_sample_id
 from ..operators.sequence import instruct_from_dialogue
 from ..operators.tokens import MAX_LENGTH, PAD_ID, build_vocab, model_inputs
 from ..operators.validate import is_valid, require_nonempty, validate
 from ..session import scratch_table
-from ..sources.documents import check_format, classify_docs, count_docs, explode_entries, instruct_pairs, parse_docs, scan_docs, skipped_docs, to_turns
+from ..sources.documents import check_format, count_docs, instruct_pairs, read_documents, to_turns
 from ..sources.jsonl import read_samples, write_splits
 
 
@@ -42,24 +43,26 @@ class PrepareResult:
     dropped: dict = field(default_factory=dict)
 
 
-def build_samples(spark: SparkSession, input_path: str, fmt: str, pairs=(8, 16), pair_mode: str = "observed") -> tuple[DataFrame, DataFrame]:
-    """Samples (with lineage and ``sample_id``) and the quarantine of one input folder."""
+@contextmanager
+def dataset_samples(spark: SparkSession, input_path: str, fmt: str, pairs=(8, 16), pair_mode: str = "observed"):
+    """``(samples, attach, quarantine)`` of one input folder: rows with lineage and
+    ``sample_id``, a function that gives text to those of them that are kept, and what was
+    left out. Chats are parsed once into a table of turns (deleted at the end); their
+    samples are ranges without text until ``attach``."""
     check_format(fmt)
-    good, bad = parse_docs(scan_docs(spark, input_path))
-    classified = classify_docs(good, fmt)
-    entries = explode_entries(classified, fmt)
+    entries, left_out = read_documents(spark, input_path, fmt)
     turns, bad_docs = to_turns(entries, fmt)
-    quarantine = pool(bad.select("conv_id", "reason"), bad_docs.select("conv_id", "reason"), skipped_docs(classified))
+    quarantine = pool(left_out, bad_docs.select("conv_id", "reason"))
     if fmt == "conversational":
-        samples = with_sample_id(conversational_samples(fill_blank(turns), pairs, pair_mode))
-        return samples, quarantine
+        with scratch_table(fill_blank(turns), "turns") as stored:
+            yield with_sample_id(sample_ranges(stored, pairs, pair_mode)), lambda kept: attach_messages(kept, stored, pair_mode), quarantine
+        return
     from_dialogue = instruct_from_dialogue(drop_blank(turns)).select(
         "conv_id", F.col("model_turn").alias("turn"), "instruction", "response", "context"
     )
     from_files, rejects = instruct_pairs(entries)
     quarantine = quarantine.unionByName(rejects.select("conv_id", F.concat(F.lit("entry_"), "reason").alias("reason")))
-    samples = with_sample_id(pool(from_dialogue, from_files), ("conv_id", "turn"))
-    return samples, quarantine
+    yield with_sample_id(pool(from_dialogue, from_files), ("conv_id", "turn")), lambda kept: kept, quarantine
 
 
 def prepare_dataset(
@@ -74,13 +77,13 @@ def prepare_dataset(
     pairs=(8, 16),
     pair_mode: str = "observed",
 ) -> PrepareResult:
-    samples, quarantine = build_samples(spark, input_path, fmt, pairs, pair_mode)
-    # samples are generated once into the shared folder; keys, thresholds and the
-    # two writes read that table
-    with scratch_table(shuffled(samples, seed), "samples") as keyed:
-        train, evl, counts = split(keyed, validation_split, max_samples)
-        require_nonempty(counts["train"], counts["eval"])
-        paths = write_splits(train, evl, out_dir, base, fmt)
+    with dataset_samples(spark, input_path, fmt, pairs, pair_mode) as (samples, attach, quarantine):
+        # keyed samples are written once into the shared folder (chat samples as narrow
+        # ranges); thresholds and the two writes read that table
+        with scratch_table(shuffled(samples, seed), "samples") as keyed:
+            train, evl, counts = split(keyed, validation_split, max_samples)
+            require_nonempty(counts["train"], counts["eval"])
+            paths = write_splits(attach(train), attach(evl), out_dir, base, fmt)
     valid = {}
     for k, p in paths.items():
         if p:
