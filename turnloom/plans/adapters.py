@@ -48,6 +48,15 @@ def eval_events(events: DataFrame) -> DataFrame:
     return _numbered(rows, "run_id", "step").select("run_id", "step", "eval_loss")
 
 
+def restarted_evals(events: DataFrame) -> DataFrame:
+    """Evaluation events of restarted trainings ``(run_id, arrival, at, step, eval_loss)``: run =
+    user, arrival = 1-based order, step = minute of the day, so steps go back every day."""
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    step = F.floor((seconds % 86_400) / 60).cast("long")
+    rows = events.select(F.col("user_id").alias("run_id"), "ts", "event_id", step.alias("step"), F.col("value").alias("eval_loss"))
+    return _numbered(rows, "run_id", "arrival").select("run_id", "arrival", F.col("ts").cast("timestamp").alias("at"), "step", "eval_loss")
+
+
 # How event types stand in for trainer log metrics.
 METRIC_OF_EVENT = {"view": "loss", "click": "grad_norm", "purchase": "eval_loss", "error": "learning_rate", "signup": "epoch"}
 
