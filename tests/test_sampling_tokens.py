@@ -131,3 +131,50 @@ def test_length_report_percentiles(spark):
         r = got[m]
         assert (r.n_samples, r.n_truncated, r.max_tokens, r.min_tokens, r.total_tokens) == (len(ns), sum(n > 100 for n in ns), max(ns), min(ns), sum(ns))
         assert np.allclose([r.p50, r.p90, r.p95, r.p99], np.percentile(ns, [50, 90, 95, 99]))
+
+
+def test_length_sketches_merge(spark):
+    """States of files merged for any subset: counts exact, ranks within the error."""
+    import random
+
+    import numpy as np
+
+    from turnloom.operators.tokens import length_sketches, merge_sketches, sketch_report
+
+    rng = random.Random(4)
+    sizes = [(f"f{i % 7}", min(int(rng.paretovariate(1.1)), 3000)) for i in range(6000)]
+    df = spark.createDataFrame(sizes, "file string, n int").selectExpr("file", "array_repeat(0, n) AS input_ids")
+    stored = length_sketches(df, ["file"])
+    for files in (["f0"], ["f1", "f4", "f6"], [f"f{i}" for i in range(7)]):
+        ns = np.array([n for f, n in sizes if f in files])
+        r = sketch_report(merge_sketches(stored.where(stored.file.isin(files)))).first()
+        assert r.n_samples == len(ns)
+        for p in (50, 90, 95, 99):
+            assert (ns < r[f"p{p}"]).mean() - 0.02 <= p / 100 <= (ns <= r[f"p{p}"]).mean() + 0.02
+
+
+def test_large_vocabularies_are_joined(spark, monkeypatch):
+    """The same ids with the vocabulary on the driver and on the executors."""
+    import random
+
+    from turnloom.operators import tokens
+
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"t{int(rng.paretovariate(0.6)) % 900}" for _ in range(rng.randrange(0, 60))), "x") for i in range(700)] + [(900, None, "x"), (901, "", "x")]
+    df = spark.createDataFrame(rows, "k long, text string, input_ids string")
+    v = build_vocab(df, 300)
+    assert sorted(r.id for r in v.collect()) == list(range(300))
+    for kw in ({}, {"max_length": 9}, {"add_bos": False, "max_length": 5}):
+        want = sorted((r.k, r.input_ids) for r in tokens.encode(df.drop("input_ids"), v, **kw).collect())
+        got = sorted((r.k, r.input_ids) for r in tokens.encode_by_join(df, v, block_rows=16, **kw).collect())
+        assert got == want
+    monkeypatch.setattr(tokens, "MAX_VOCAB", 100)
+    assert sorted((r.k, r.input_ids) for r in tokens.encode(df, v, max_length=9).collect()) == sorted((r.k, r.input_ids) for r in tokens.encode_by_join(df, v, max_length=9).collect())
+
+
+def test_five_million_entries(spark):
+    from turnloom.operators.tokens import UNK_ID, encode
+
+    v = spark.range(5_000_000).selectExpr("concat('w', id) AS token", "CAST(id + 6 AS INT) AS id")
+    r = encode(spark.createDataFrame([("w4999999 w0 none",)], "text string"), v).first()
+    assert r.input_ids == [2, 5_000_005, 6, UNK_ID]

@@ -13,25 +13,29 @@ from ..operators import checkpoints as ck
 from ..operators.normalise import drop_blank, fill_blank
 from ..operators.sampling import cap, eval_subsample, shuffled, split
 from ..operators.samples import (
+    attach_messages,
     block_pairs,
     conversational_samples,
     expanding_history,
     pair_windows,
     pool,
     prep_stats,
+    sample_ranges,
     sample_report,
     strided_windows,
     with_sample_id,
 )
 from ..operators.sequence import instruct_from_dialogue, merge_runs, role_runs, trim_leading_model
-from ..operators.tokens import PERCENTILES, build_vocab, encode, length_report, model_inputs
+from ..operators.sessions import best_k_final_sessions, best_k_sessions, with_sessions
+from ..operators.tokens import PERCENTILES, build_vocab, encode, encode_by_join, length_report, length_sketches, merge_sketches, model_inputs, sketch_report
 from ..operators.validate import validate
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shared_table
 from ..sources.documents import classify_docs, explode_entries, instruct_pairs, parse_docs, raw_docs, to_turns
 from ..sources.jsonl import read_samples, to_json_lines, write_splits
+from ..sources.large_json import large_entries, read_pieces
 from ..sources.tables import turns_from_table
 from ..sources.runlogs import artifacts_of, parse_trainer_states
-from .adapters import eval_events, events_as_dialogue, run_metrics, table, trainer_states
+from .adapters import eval_events, events_as_dialogue, restarted_evals, run_metrics, table, trainer_states
 from .report import run_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,18 +60,34 @@ def ev_filled(spark, sf):
     return fill_blank(ev_raw(spark, sf))
 
 
+def ev_counts(spark, sf):
+    """Turns per user, at most: events that are no turn count as well. Cheaper to get than from the numbered turns."""
+    return table(spark, sf, "events").groupBy(F.col("user_id").alias("conv_id")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def conv_turns(spark, sf):
     return turns_from_table(table(spark, sf, "conversations"))
 
 
 def ev_samples(spark, sf, mode="observed"):
-    return conversational_samples(ev_filled(spark, sf), pair_mode=mode)
+    return conversational_samples(ev_filled(spark, sf), pair_mode=mode, turn_counts=ev_counts(spark, sf))
+
+
+def ev_ranges(spark, sf):
+    return sample_ranges(ev_filled(spark, sf), turn_counts=ev_counts(spark, sf))
 
 
 def conv_samples(spark, sf):
     return conversational_samples(fill_blank(conv_turns(spark, sf)))
 
 
+def conv_split(spark, sf):
+    """Train and eval samples of conversations: split as ranges, text for the survivors."""
+    turns = fill_blank(conv_turns(spark, sf))
+    train, evl, _ = split(keyed(sample_ranges(turns)), EVAL_PERCENT, MAX_SAMPLES)
+    return attach_messages(train, turns), attach_messages(evl, turns)
+
+
 def keyed(samples: DataFrame, seed=SEED) -> DataFrame:
     return shuffled(with_sample_id(samples), seed)
 
@@ -85,6 +105,36 @@ def packed_dialogues(spark, sf) -> DataFrame:
     return raw_docs(docs.select("conv_id", F.to_json(F.transform("a", lambda x: x["o"])).alias("raw")), "conv_id", "raw")
 
 
+# Conversations in one export file of many, and turns in one part of it.
+EXPORT_CONVERSATIONS, EXPORT_TURNS = 64, 10_000
+
+
+def export_files(spark, sf) -> str:
+    """conversations written as chat-export files of many conversations each (one JSON list
+    a file, folder ``doc=<name>``) under the shared folder; returns the path."""
+    c = table(spark, sf, "conversations")
+    name = F.concat(
+        F.lit("d"), F.coalesce(F.floor(F.col("conv_id") / EXPORT_CONVERSATIONS).cast("string"), F.lit("x")),
+        F.lit("p"), F.coalesce(F.floor(F.col("turn") / EXPORT_TURNS).cast("string"), F.lit("x")),
+    )
+    sender = F.when(F.col("role") == "user", F.lit("User")).when(F.col("role") == "assistant", F.lit("Claude")).otherwise(F.lit("System"))
+    entry = F.to_json(
+        F.struct(
+            sender.alias("sender"),
+            F.when(F.col("role") != "assistant", F.col("text")).alias("userInput"),
+            F.when(F.col("role") == "assistant", F.col("text")).alias("claudeOutputText"),
+        )
+    )
+    w = Window.partitionBy("doc").orderBy("conv_id", "turn", "entry")
+    rows = c.select(name.alias("doc"), "conv_id", "turn", entry.alias("entry"))
+    before = F.when(F.row_number().over(w) == 1, F.lit("[")).otherwise(F.lit(","))
+    after = F.when(F.lead("doc").over(w).isNull(), F.lit("]")).otherwise(F.lit(""))
+    lines = rows.select("doc", "conv_id", "turn", "entry", F.concat(before, "entry", after).alias("value"))
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/exports-{uuid.uuid4().hex}"
+    lines.repartition("doc").sortWithinPartitions("doc", "conv_id", "turn", "entry").select("doc", "value").write.partitionBy("doc").text(path)
+    return path
+
+
 def packed_instructions(spark, sf) -> DataFrame:
     """part packed as instruction files (JSON lists of at most 16 consecutive parts,
     so file size does not grow with the table), with non-string, blank, keyless and
@@ -115,6 +165,13 @@ def q_json_docs_to_turns(spark, sf):
     return turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "content")
 
 
+def q_json_large_docs(spark, sf):
+    """Export files read in byte ranges, whatever their size."""
+    entries, _ = large_entries(read_pieces(spark, export_files(spark, sf), None, 0), "conversational")
+    turns, _ = to_turns(entries, "conversational")
+    return turns.select(F.regexp_extract("conv_id", "doc=([^/]+)", 1).alias("doc"), "turn", "role", "content")
+
+
 def q_json_dialogue_instruct_pairs(spark, sf):
     good, _ = parse_docs(packed_dialogues(spark, sf))
     turns, _ = to_turns(explode_entries(classify_docs(good, "instruct"), "instruct"), "instruct")
@@ -141,7 +198,7 @@ def q_instruct_json_pairs(spark, sf):
 
 
 def q_instruct_pairs(spark, sf):
-    return instruct_from_dialogue(drop_blank(ev_raw(spark, sf)))
+    return instruct_from_dialogue(drop_blank(ev_raw(spark, sf)), turn_counts=ev_counts(spark, sf))
 
 
 def q_placeholder_fill(spark, sf):
@@ -182,7 +239,7 @@ def q_pair_windows_conversations(spark, sf):
 
 
 def q_strided_windows(spark, sf):
-    return sample_report(strided_windows(ev_filled(spark, sf), (4, 8, 16), 2))
+    return sample_report(strided_windows(ev_filled(spark, sf), (4, 8, 16), 2, turn_counts=ev_counts(spark, sf)))
 
 
 def q_conversational_samples(spark, sf):
@@ -210,21 +267,21 @@ def _report_keys(df):
 
 
 def q_shuffle_cap(spark, sf):
-    return _report_keys(cap(keyed(ev_samples(spark, sf)), MAX_SAMPLES))
+    return _report_keys(cap(keyed(ev_ranges(spark, sf)), MAX_SAMPLES))
 
 
 def q_split_train(spark, sf):
-    train, _, _ = split(keyed(ev_samples(spark, sf)), EVAL_PERCENT, MAX_SAMPLES)
+    train, _, _ = split(keyed(ev_ranges(spark, sf)), EVAL_PERCENT, MAX_SAMPLES)
     return _report_keys(train)
 
 
 def q_split_eval(spark, sf):
-    _, evl, _ = split(keyed(ev_samples(spark, sf)), EVAL_PERCENT, MAX_SAMPLES)
+    _, evl, _ = split(keyed(ev_ranges(spark, sf)), EVAL_PERCENT, MAX_SAMPLES)
     return _report_keys(evl)
 
 
 def q_eval_subsample(spark, sf):
-    _, evl, _ = split(keyed(ev_samples(spark, sf)), EVAL_PERCENT, None)
+    _, evl, _ = split(keyed(ev_ranges(spark, sf)), EVAL_PERCENT, None)
     return _report_keys(eval_subsample(evl, EVAL_ROWS, EVAL_SEED))
 
 
@@ -263,6 +320,11 @@ def q_encode(spark, sf):
     return enc.select("conv_id", "method", "start_idx", "n_msgs", F.size("input_ids").alias("n_ids"), _ids_md5("input_ids").alias("ids_md5"))
 
 
+def q_encode_by_join(spark, sf):
+    enc = encode_by_join(_rendered_samples(spark, sf), _vocab(spark, sf))
+    return enc.select("conv_id", "method", "start_idx", "n_msgs", F.size("input_ids").alias("n_ids"), _ids_md5("input_ids").alias("ids_md5"))
+
+
 def q_truncate_pad_mask(spark, sf):
     mi = model_inputs(_rendered_samples(spark, sf), _vocab(spark, sf), max_length=MAX_LENGTH)
     return mi.select(
@@ -277,7 +339,26 @@ def q_truncate_pad_mask(spark, sf):
 
 def q_length_report(spark, sf):
     report = length_report(encode(_rendered_samples(spark, sf), _vocab(spark, sf)), MAX_LENGTH)
-    return report.drop(*[f"p{p}" for p in PERCENTILES])  # the SQL has none
+    return report.withColumns({f"p{p}": F.round(f"p{p}", 4) for p in PERCENTILES})
+
+
+# Fixed value: how far a sketched percentile's rank may be off.
+SKETCH_ERROR = 0.02
+
+
+def q_length_sketch(spark, sf):
+    """Percentiles from KLL states stored per (method, start) and merged per method, each with
+    the test that its exact rank is within the bound."""
+    enc = encode(_rendered_samples(spark, sf), _vocab(spark, sf)).select("method", "start_idx", "input_ids")
+    stored = shared_table(length_sketches(enc, ["method", "start_idx"]), "length-sketches")
+    report = sketch_report(merge_sketches(stored, ["method"]))
+    found = report.select("method", "n_samples", F.explode(F.array(*[F.struct(F.lit(p).alias("percentile"), F.col(f"p{p}").alias("q")) for p in PERCENTILES])).alias("x"))
+    lengths = enc.groupBy("method", F.size("input_ids").alias("n")).agg(F.count(F.lit(1)).alias("c"))
+    ranks = found.select("method", "n_samples", "x.*").join(lengths, "method").groupBy("method", "n_samples", "percentile", "q").agg(
+        F.sum(F.when(F.col("n") < F.col("q"), F.col("c")).otherwise(0)).alias("below"), F.sum(F.when(F.col("n") <= F.col("q"), F.col("c")).otherwise(0)).alias("upto")
+    )
+    want, off = F.col("percentile") / 100 * F.col("n_samples"), F.lit(SKETCH_ERROR) * F.col("n_samples") + 1
+    return ranks.select("method", "n_samples", "percentile", ((F.col("below") - off <= want) & (want <= F.col("upto") + off)).alias("within"))
 
 
 def q_validate_samples(spark, sf):
@@ -292,7 +373,7 @@ def q_validate_samples(spark, sf):
 
 
 def q_jsonl_roundtrip(spark, sf):
-    train, evl, _ = split(keyed(conv_samples(spark, sf)), EVAL_PERCENT, MAX_SAMPLES)
+    train, evl = conv_split(spark, sf)
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/jsonl-{uuid.uuid4().hex}"
     paths = write_splits(train, evl, base, "dataset.jsonl", "conversational")
     parts = [read_samples(spark, paths["train"], "conversational").select(F.lit("train").alias("split"), "messages")]
@@ -303,7 +384,7 @@ def q_jsonl_roundtrip(spark, sf):
 
 def q_jsonl_order(spark, sf):
     """The place of each written line (R1, S7): files in name order, lines in file order."""
-    train, evl, _ = split(keyed(conv_samples(spark, sf)), EVAL_PERCENT, MAX_SAMPLES)
+    train, evl = conv_split(spark, sf)
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/jsonl-{uuid.uuid4().hex}"
     paths = write_splits(train, evl, base, "dataset.jsonl", "conversational")
     place = Window.partitionBy("split").orderBy("file", "line")  # at most MAX_SAMPLES lines
@@ -393,6 +474,24 @@ def q_eval_schedule(spark, sf):
     return ck.eval_schedule(_evals(spark, sf), EVERY)
 
 
+def _restarted(spark, sf):
+    return with_sessions(restarted_evals(table(spark, sf, "events")))
+
+
+def q_best_k_sessions(spark, sf):
+    return best_k_sessions(_restarted(spark, sf), BEST_K).select("run_id", "session", "step", "eval_loss", "saved", "pruned_at_step")
+
+
+def q_best_k_final_sessions(spark, sf):
+    return best_k_final_sessions(_restarted(spark, sf), BEST_K).select("run_id", "session", "rank", "step", "eval_loss")
+
+
+def q_session_best_k_stream(spark, sf):
+    from ..streaming.session_best_k import replay_sessions
+
+    return replay_sessions(spark, restarted_evals(table(spark, sf, "events")), BEST_K)
+
+
 def q_best_k_stream(spark, sf):
     from ..streaming.best_k import replay_best_k
 

@@ -270,8 +270,13 @@ FROM p""",
     "length_report": f"""
 SELECT method, count(*) AS n_samples, count(*) FILTER (WHERE len(input_ids) > 512) AS n_truncated,
        CAST(max(len(input_ids)) AS INTEGER) AS max_tokens, CAST(min(len(input_ids)) AS INTEGER) AS min_tokens,
-       CAST(sum(len(input_ids)) AS BIGINT) AS total_tokens
+       CAST(sum(len(input_ids)) AS BIGINT) AS total_tokens,
+       round(quantile_cont(CAST(len(input_ids) AS DOUBLE), 0.5), 4) AS p50, round(quantile_cont(CAST(len(input_ids) AS DOUBLE), 0.9), 4) AS p90,
+       round(quantile_cont(CAST(len(input_ids) AS DOUBLE), 0.95), 4) AS p95, round(quantile_cont(CAST(len(input_ids) AS DOUBLE), 0.99), 4) AS p99
 FROM ({ENCODED}) GROUP BY method""",
+    "length_sketch": f"""
+SELECT method, count(*) AS n_samples, percentile, true AS within
+FROM ({ENCODED}) CROSS JOIN (SELECT unnest([50, 90, 95, 99]) AS percentile) GROUP BY method, percentile""",
     "validate_samples": f"""
 SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_unparsable, CAST(0 AS BIGINT) AS n_missing_keys, true AS is_valid, 'events.conversational' AS dataset
 FROM ({samples_sql(EV_FILLED)})
@@ -331,6 +336,36 @@ SELECT conv_id, pturn AS user_turn, turn AS model_turn, pcontent AS instruction,
 FROM l WHERE role = 'model' AND prole = 'user'"""
 ORACLE_SQL["json_docs_to_turns"] = f"SELECT conv_id, turn, role, content FROM ({_DIALOGUE_TURNS}) WHERE r0 IN ('user', 'assistant')"
 
+ORACLE_SQL["encode_by_join"] = ORACLE_SQL["encode"]
+_SESSIONS = """
+WITH e AS (SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS arrival,
+                  (CAST(floor(epoch(ts)) AS BIGINT) % 86400) // 60 AS step, value AS eval_loss FROM events),
+l AS (SELECT *, lag(step) OVER (PARTITION BY run_id ORDER BY arrival) AS earlier FROM e),
+s AS (SELECT run_id, step, eval_loss,
+             CAST(1 + sum(CASE WHEN step <= earlier THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY arrival) AS BIGINT) AS session FROM l),
+ok AS (SELECT * FROM s WHERE eval_loss IS NOT NULL AND NOT isnan(eval_loss)),
+d AS (SELECT a.run_id, a.session, a.step, a.eval_loss, count(b.step) AS a
+      FROM ok a LEFT JOIN ok b ON b.run_id = a.run_id AND b.session = a.session AND b.step < a.step AND b.eval_loss <= a.eval_loss
+      GROUP BY ALL),
+later AS (SELECT c.run_id, c.session, c.step, j.step AS jstep,
+                 row_number() OVER (PARTITION BY c.run_id, c.session, c.step ORDER BY j.step) AS r, c.a
+          FROM d c JOIN ok j ON j.run_id = c.run_id AND j.session = c.session AND j.step > c.step AND j.eval_loss < c.eval_loss
+          WHERE c.a < 2)"""
+_PRUNED = "SELECT d.*, l.jstep AS pruned_at_step FROM d LEFT JOIN later l ON l.run_id = d.run_id AND l.session = d.session AND l.step = d.step AND l.r = 2 - d.a"
+ORACLE_SQL["best_k_sessions"] = f"{_SESSIONS} SELECT run_id, session, step, eval_loss, a < 2 AS saved, pruned_at_step FROM ({_PRUNED})"
+ORACLE_SQL["best_k_final_sessions"] = f"""{_SESSIONS}
+SELECT run_id, session, CAST(rk AS INTEGER) AS rank, step, eval_loss FROM (
+  SELECT *, row_number() OVER (PARTITION BY run_id, session ORDER BY eval_loss, step) AS rk FROM ok) WHERE rk <= 2"""
+ORACLE_SQL["session_best_k_stream"] = f"""{_SESSIONS}
+SELECT d.run_id, d.session, d.step, d.eval_loss, d.a < 2 AS saved, p.step AS pruned_step
+FROM d LEFT JOIN ({_PRUNED}) p ON p.run_id = d.run_id AND p.session = d.session AND p.pruned_at_step = d.step"""
+
+ORACLE_SQL["json_large_docs"] = f"""
+SELECT doc, turn, CASE role WHEN 'user' THEN 'user' ELSE 'model' END AS role, coalesce(trim(text, {WS}), '') AS content
+FROM (SELECT doc, role, text, CAST(row_number() OVER (PARTITION BY doc ORDER BY conv_id, turn) - 1 AS BIGINT) AS turn
+      FROM (SELECT *, 'd' || CAST(CAST(floor(conv_id / 64) AS BIGINT) AS VARCHAR) || 'p' || CAST(CAST(floor(turn / 10000) AS BIGINT) AS VARCHAR) AS doc FROM conversations))
+WHERE role IN ('user', 'assistant')"""
+
 ORACLE_SQL["best_k_stream"] = f"""
 SELECT b.run_id, b.step, b.eval_loss, b.saved, coalesce(p.steps, '') AS pruned_steps
 FROM ({ORACLE_SQL["best_k_decisions"]}) b
