@@ -28,6 +28,7 @@ import itertools
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,7 @@ ship_by_value(__name__)
 
 MIN_LETTERS, MIN_COUNT, RATIO = 7, 2, 10
 LEVELS = (4, 8, 16)
-GROUP_LIMIT = 64
+GROUP_LIMIT = 256
 _CHARS_AT_ONCE = 1 << 20
 _WORDS_AT_ONCE = 1 << 19
 _CELLS_AT_ONCE = 1 << 19
@@ -64,19 +65,22 @@ def _pieces(data: bytes) -> Iterator[str]:
         at = end
 
 
-def edited_words(doc_id: str, data: bytes) -> dict[str, int]:
+def edited_words(doc_id: str, data: bytes, min_letters: int = 1) -> dict[str, int]:
     """The words of one text with their counts. ``h`` is the crc32 of ``<doc_id>:<run>``;
     if 31 divides it, the run loses its code point ``h % length``."""
-    runs: dict[str, int] = {}
+    runs: Counter[str] = Counter()
     for piece in _pieces(data):
-        for w in _RUN.findall(piece):
-            runs[w] = runs.get(w, 0) + 1
+        runs.update(_RUN.findall(piece))
     start, out = zlib.crc32(doc_id.encode() + b":"), {}
     for w, n in runs.items():
+        if len(w) < min_letters:
+            continue
         h = zlib.crc32(w.encode(), start)
         if h % 31 == 0:
             at = h % len(w)
             w = w[:at] + w[at + 1 :]
+            if len(w) < min_letters:
+                continue
         out[w] = out.get(w, 0) + n
     return out
 
@@ -94,9 +98,8 @@ def count_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
         for b in batches:
             for i, data in zip(b.column(0).to_pylist(), byte_views(b.column(1))):
-                for w, n in edited_words(i or "", data).items():
-                    if len(w) >= min_letters:
-                        total[w] = total.get(w, 0) + n
+                for w, n in edited_words(i or "", data, min_letters).items():
+                    total[w] = total.get(w, 0) + n
                 if len(total) >= _WORDS_AT_ONCE:
                     yield flush()
         if total:
@@ -188,6 +191,62 @@ def _deal(words: DataFrame, parts: int) -> DataFrame:
     return words.select("word", *(["half"] if chosen else [])).mapInArrow(run, "key long, half int, word string")
 
 
+def one_edit(left: np.ndarray, right: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of different words (rows ``i``, ``j``; letters aligned left and right) are one
+    edit apart: common beginning and common end leave at most one letter of the longer."""
+    short, long = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+    same = []
+    for letters in (left, right[:, ::-1]):
+        differ = letters[i] != letters[j]
+        first = np.where(differ.any(1), differ.argmax(1), letters.shape[1])
+        same.append(np.minimum(first, short))
+    return (long - short <= 1) & (same[0] + same[1] >= long - 1)
+
+
+def _verified(groups: DataFrame) -> DataFrame:
+    """``(x, y)`` of the near words inside each list ``w`` (sorted, distinct, of bounded length)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            col = b.column(0)
+            flat = col.flatten()
+            n = np.asarray(pa.compute.list_value_length(col)).astype(np.int64)
+            begin = np.cumsum(n) - n
+            for at, end in _slices_of(n * n):
+                words = flat.slice(begin[at], begin[end - 1] + n[end - 1] - begin[at])
+                left, size = _code_points(words.to_pylist())
+                if left.max(initial=0) < 256:
+                    left = left.astype(np.uint8)
+                right = np.zeros_like(left)
+                place = np.arange(left.shape[1])
+                right[place >= left.shape[1] - size[:, None]] = left[place < size[:, None]]
+                # every word with each later one of its group
+                last = np.repeat(begin[at:end] - begin[at] + n[at:end], n[at:end])
+                i = np.arange(len(size))
+                more = last - i - 1
+                u = np.repeat(i, more)
+                v = np.arange(len(u)) - np.repeat(np.cumsum(more) - more, more) + u + 1
+                near = np.abs(size[u] - size[v]) <= 1
+                u, v = u[near], v[near]
+                step = max(1, _CELLS_AT_ONCE * 4 // left.shape[1])
+                for k in range(0, len(u), step):
+                    ok = one_edit(left, right, size, u[k : k + step], v[k : k + step])
+                    if ok.any():
+                        yield pa.RecordBatch.from_arrays([words.take(pa.array(u[k : k + step][ok])), words.take(pa.array(v[k : k + step][ok]))], ["x", "y"])
+
+    return groups.select("w").mapInArrow(run, "x string, y string")
+
+
+def _slices_of(cost: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Row ranges of bounded cost, at least one row each."""
+    total, at = np.cumsum(cost), 0
+    while at < len(cost):
+        done = total[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(total, done + _CELLS_AT_ONCE, "right")))
+        yield at, end
+        at = end
+
+
 _ONE_EDIT = "abs(length(x) - length(y)) <= 1 AND levenshtein(x, y, 1) = 1"
 
 
@@ -197,27 +256,20 @@ def near_pairs(words: DataFrame, levels: tuple[int, ...] = LEVELS, group_limit:
     found = []
     todo = words.select("word")
     for i, parts in enumerate(levels):
-        dealt = _deal(todo, parts)
-        sized = dealt.withColumn("g", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("g > 1")
-        groups = sized.where(F.col("g") <= group_limit).groupBy("key").agg(F.array_sort(F.collect_list("word")).alias("w"))
-        pairs = groups.select(
-            F.explode(
-                F.expr(
-                    "flatten(transform(w, (x, i) -> transform(filter(slice(w, i + 2, size(w)),"
-                    f" y -> {_ONE_EDIT}), y -> struct(x AS x, y AS y))))"
-                )
-            ).alias("p")
-        )
-        found.append(write_table(pairs.select("p.x", "p.y").distinct(), "spelling-pairs"))
-        large = sized.where(F.col("g") > group_limit)
+        sized = _deal(todo, parts).withColumn("g", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("g > 1")
+        groups = sized.where(F.col("g") <= group_limit).groupBy("key").agg(F.array_sort(F.collect_set("word")).alias("w"))
+        none, large = F.lit(None).cast("string"), sized.where(F.col("g") > group_limit)
+        # pairs of the small groups and words of the large ones, both from one shuffle
+        got = _verified(groups).select("x", "y", F.lit(None).cast("int").alias("half"), F.lit(None).cast("long").alias("key"))
+        got = write_table(got.unionByName(large.select(F.col("word").alias("x"), none.alias("y"), "half", "key")), "spelling-pairs")
+        found.append(got.where("y IS NOT NULL").select("x", "y"))
+        large = got.where("y IS NULL").select(F.col("x").alias("word"), "half", "key")
+        if large.isEmpty():
+            break
         if i < len(levels) - 1:
-            rest = write_table(large.select("word", "half").distinct(), "spelling-large")
-            if rest.isEmpty():
-                break
-            todo = rest
+            todo = write_table(large.select("word", "half").distinct(), "spelling-large")
         else:
-            rest = write_table(large.select("key", "word"), "spelling-last")
-            a, b = rest.withColumnRenamed("word", "x"), rest.withColumnRenamed("word", "y")
+            a, b = large.select("key", F.col("word").alias("x")), large.select("key", F.col("word").alias("y"))
             found.append(a.join(b, "key").where("x < y").where(F.expr(_ONE_EDIT)).select("x", "y"))
     out = found[0]
     for f in found[1:]:
