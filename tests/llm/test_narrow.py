@@ -209,6 +209,54 @@ def test_short_lines_beside_the_region_stay_out():
     assert html_extract.main_text(page) == f"{LONG} Hi. {LONG}"
 
 
+TWO = f"<p>{LONG}</p><p>{LONG}</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><form action=x><nav><a href=x>Home</a></nav><div>{TWO}</div><input><footer>Foot</footer></form></body>",
+    f"<body><fieldset>{TWO}</fieldset></body>",
+    f'<body><div class="widget">{TWO}<div class="widget">Buy more now</div></div></body>',
+    f'<body><div class="modal"><div class="comments"><p>{LONG}</p></div>{TWO}</div></body>',
+    f'<body><div class="page modal-open overlay"><header>Site</header>{TWO}</div></body>',
+    f"<body><nav><ul><li><a href=x>Home</a><li><a href=y>News</a><article>{TWO}</article></body>",
+    f'<body><article><p>{LONG}</p><div class="social"><p>{LONG}</p></div><div class="social"><a href=x>Share</a></div></article></body>',
+    f'<body><article>{TWO}</article><div class="user-remarks"><p>{LONG}</p></div></body>',
+    f"<body><article>{TWO}</article><form><label>Your name and a rather long explanation of it</label><p>Leave a comment.</p></form></body>",
+    f"<body><article>{TWO}</article><dialog><p>{LONG}</p></dialog></body>",
+])
+def test_wrappers_hold_the_page_and_names_do_not_decide(page):
+    assert html_extract.main_text(page) == f"{LONG} {LONG}"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><header><h1>Site</h1></header><main><header><h1>Headline</h1></header>{TWO}</main></body>",
+    f"<body><div><h1>Headline</h1><article>{TWO}</article></div></body>",
+    f"<body><h1>Site</h1><div><h1>Headline</h1></div><article>{TWO}</article></body>",
+    f"<body><article><h1>Headline</h1>{TWO}</article><h1>Other</h1></body>",
+])
+def test_headline_of_the_region(page):
+    assert html_extract.main_text(page) == f"Headline {LONG} {LONG}"
+
+
+def test_smoothing_and_clusters_against_plain_loops():
+    import math
+
+    rng = random.Random(9)
+    for _ in range(40):
+        ratio = [rng.choice([0.0, 1.0, rng.random() * 80]) for _ in range(rng.randrange(1, 30))]
+        sigma = rng.choice([0.5, 1.0, 2.3])
+        r = max(1, math.ceil(sigma))
+        want = []
+        for i in range(len(ratio)):
+            w = {j: math.exp(-((i - j) ** 2) / (2 * sigma * sigma)) for j in range(max(0, i - r), min(len(ratio), i + r + 1))}
+            want.append(sum(w[j] * ratio[j] for j in w) / sum(w.values()))
+        assert np.allclose(html_extract._smoothed(np.array(ratio), sigma), want)
+    for _ in range(60):  # plain pages: what passes the threshold, and short lines in the region
+        words = [rng.choice(["Word " * rng.randrange(8, 40), "Hi", LONG]) for _ in range(rng.randrange(3, 12))]
+        page = "<body><article>" + "".join(f"<p>{w}</p>" for w in words) + "</article><div>x</div></body>"
+        assert html_extract.main_text(page) == " ".join(" ".join(w.split()) for w in words)
+
+
 def test_long_and_broken_pages(spark):
     big = "<article>" + "<p>word and more words here " * 40000
     assert html_extract.main_text(big) == " ".join(["word and more words here"] * 40000)

@@ -9,7 +9,9 @@ element that holds all content lines. All lines of the region are kept, however
 clusters outside it, apart from those inside elements that are not article text by their kind (navigation, forms,
 scripts ...) or by a whole token of their class, id or role (advert, cookie-bar, comments
 ...). Where only a part of a token is such a word (has-sidebar, related-work), or the word
-may name text (discussion, legal), the element is nominated and the ratios decide.
+may name text (discussion, legal), the element is nominated and the ratios decide. What may
+wrap a whole page (form, dialog, widget, overlay ...) is kept if most of the content mass
+lies in it.
 """
 
 from __future__ import annotations
@@ -37,9 +39,12 @@ _BLOCK = frozenset(
 )
 # Never article text.
 _DROP = frozenset(
-    "script style noscript template head title nav footer aside form button select option textarea label fieldset input iframe object"
-    " embed svg canvas audio video map dialog menu".split()
+    "script style noscript template head title nav footer aside button select option textarea input iframe object"
+    " embed svg canvas audio video menu".split()
 )
+# Not article text, unless the page's text lies in it.
+_WRAP_TAGS = frozenset("form fieldset label map dialog".split())
+_WRAP_WORDS = frozenset("widget modal overlay popup".split())
 _REGION = frozenset("article main section div td body html".split())
 _CLOSED_BY_BLOCK = frozenset(["p"])
 _SELF_NESTED = frozenset("li dt dd tr td th option".split())
@@ -50,7 +55,10 @@ _BOILERPLATE = frozenset(
     " commentlist discussion disqus replies reply respond copyright legal disclaimer skip widget complementary contentinfo".split()
 )
 # Of these the words that article text is as often named by: alone they only nominate.
-_TOPIC = frozenset("discussion legal header head notice notices alert side menu".split())
+_TOPIC = frozenset("discussion legal header head notice notices alert side menu social".split())
+# Reader comments by other names: one word of each kind in a token.
+_READERS = frozenset("user users reader readers visitor visitors customer customers".split())
+_OPINIONS = frozenset("remarks opinions feedback letters voices reviews reactions responses".split())
 # Words of an id that never name a section of an article's text.
 _NO_TOPIC = frozenset(
     "ad ads advert adverts advertisement sidebar nav navbar breadcrumb breadcrumbs footer masthead topbar toolbar popup modal pagination pager"
@@ -63,16 +71,17 @@ _HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-_KEEP, _GENTLE, _NOMINATE, _DROPPED = range(4)
+_KEEP, _GENTLE, _NOMINATE, _WRAP, _DROPPED = range(5)
 
 
-def _grade(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> int:
+def _grade(tag: str, attrs: list[tuple[str, str | None]], in_article: bool, in_main: bool) -> int:
     """What an element's kind, class, id and role say: ``_DROPPED`` if its kind or a whole
     class, id or role token names boilerplate, ``_NOMINATE`` if only a part of a token
-    does (the ratios decide), ``_GENTLE`` if the word may as well name a part of the article."""
-    if tag in _DROP or tag == "header" and not in_article:
+    does (the ratios decide), ``_GENTLE`` if the word may as well name a part of the article,
+    ``_WRAP`` if it may hold the whole page."""
+    if tag in _DROP or tag == "header" and not (in_article or in_main):
         return _DROPPED
-    grade = _KEEP
+    grade = _WRAP if tag in _WRAP_TAGS else _KEEP
     for name, value in attrs:
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return _DROPPED
@@ -86,11 +95,16 @@ def _grade(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> i
         for token in value.split():
             parts = frozenset(_NAME.findall(_CAMEL.sub("-", token).lower()))
             named = parts & known
+            if parts & _READERS and parts & _OPINIONS:
+                return _DROPPED
             if not named:
                 continue
             sure = named - _TOPIC if name != "id" or not in_article else named & _NO_TOPIC
             if name == "role" or sure and parts <= _BOILERPLATE | _FRAME:
-                return _DROPPED
+                if tag == "article" or not sure or not sure <= _WRAP_WORDS:
+                    return _DROPPED
+                grade = max(grade, _WRAP)
+                continue
             if tag != "article":
                 grade = max(grade, _GENTLE if in_article and not sure else _NOMINATE)
     return grade
@@ -122,6 +136,10 @@ class _Lines(HTMLParser):
         if tag in _BLOCK:
             self.flush()
             self.in_link = False
+            if tag in ("article", "main"):  # no navigation holds them: it was not closed
+                navs = [i for i, o in enumerate(self.open) if o[0] == "nav"]
+                if navs:
+                    del self.open[navs[0] :]
             if self.open[-1][0] in _CLOSED_BY_BLOCK:
                 self.open.pop()
             if tag in _SELF_NESTED and self.open[-1][0] == tag:
@@ -131,11 +149,12 @@ class _Lines(HTMLParser):
             self.text.append(" ")
         elif tag == "a":
             self.in_link = True
-        grade = _grade(tag, attrs, any(o[0] == "article" for o in self.open))
+        grade = _grade(tag, attrs, any(o[0] == "article" for o in self.open), any(o[0] == "main" for o in self.open))
         drop = grade == _DROPPED
-        if tag in _VOID or not (tag in _BLOCK or drop):
+        apart = drop or tag in _WRAP_TAGS
+        if tag in _VOID or not (tag in _BLOCK or apart):
             return
-        if drop and tag not in _BLOCK:
+        if apart and tag not in _BLOCK:
             self.flush()
         parent = self.open[-1]
         region = parent[1]
@@ -143,7 +162,7 @@ class _Lines(HTMLParser):
             self.regions.append((region, tag))
             region = len(self.regions) - 1
         nominee = parent[3]
-        if grade in (_GENTLE, _NOMINATE):
+        if grade in (_GENTLE, _NOMINATE, _WRAP):
             self.nominees.append((nominee, grade))
             nominee = len(self.nominees) - 1
         self.open.append((tag, region, parent[2] or drop, nominee))
@@ -180,16 +199,24 @@ def _smoothed(ratio: np.ndarray, sigma: float) -> np.ndarray:
 
 def _refused(p: _Lines, content: np.ndarray) -> list[bool]:
     """The nominees to drop: without a heading of the page or a line that passes as content
-    and is not links; where the word may name text, only if they are mostly links."""
+    and is not links; where the word may name text, only if they are mostly links; what may
+    wrap a page, if no more than half of the content's mass lies in it."""
     holds = [False] * len(p.nominees)
-    text_chars, link_chars = [0] * len(p.nominees), [0] * len(p.nominees)
+    text_chars, link_chars, mass = [0] * len(p.nominees), [0] * len(p.nominees), [0] * len(p.nominees)
+    whole = 0
     for (text, _, linked, _, _, n, h1), passes in zip(p.lines, content.tolist()):
+        own = max(0, len(text) - linked) if passes else 0
+        whole += own
         while n >= 0:
+            mass[n] += own
             holds[n] = holds[n] or h1 or passes and linked < 0.7 * len(text)
             text_chars[n] += len(text)
             link_chars[n] += linked
             n = p.nominees[n][0]
-    return [not h and (g != _GENTLE or 2 * k >= t) for h, (_, g), t, k in zip(holds, p.nominees, text_chars, link_chars)]
+    return [
+        2 * m <= whole if g == _WRAP else not h and (g != _GENTLE or 2 * k >= t)
+        for h, (_, g), t, k, m in zip(holds, p.nominees, text_chars, link_chars, mass)
+    ]
 
 
 def _region(p: _Lines, mass: dict[int, float], lines: dict[int, int]) -> tuple[set[int], bool]:
@@ -259,11 +286,12 @@ def main_text(html: str, sigma: float = SIGMA, threshold: float = THRESHOLD) ->
         edges = np.flatnonzero(np.diff(np.concatenate([[0], outside.astype(np.int8), [0]])))
         for a, b in zip(edges[::2], edges[1::2]):
             outside[a:b] = own[a:b].max() > limit
-    kept = []
-    for i, x in enumerate(p.lines):
-        if live[i] and (inside[i] and (named or content[i] or x[2] < 0.7 * len(x[0])) or outside[i]):
-            kept.append(x[0])
-    return " ".join(kept)
+    keep = [bool(live[i] and (inside[i] and (named or content[i] or x[2] < 0.7 * len(x[0])) or outside[i])) for i, x in enumerate(p.lines)]
+    if not any(k and x[6] for k, x in zip(keep, p.lines)):  # the headline may stand before the region
+        before = [i for i, x in enumerate(p.lines[: keep.index(True)]) if x[6] and live[i] and x[2] < 0.7 * len(x[0])] if any(keep) else []
+        if before:
+            keep[before[-1]] = True
+    return " ".join(x[0] for k, x in zip(keep, p.lines) if k)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
