@@ -54,7 +54,7 @@ def outcome(entries, quarantine, fmt):
     return sorted(map(tuple, got), key=str), sorted(map(tuple, turns.collect())), left_out
 
 
-@pytest.mark.parametrize("seed,fmt,cut", [(1, "conversational", 61), (2, "instruct", 100), (3, "conversational", 333)])
+@pytest.mark.parametrize("seed,fmt,cut", [(1, "conversational", 120), (2, "instruct", 200), (3, "conversational", 333)])
 def test_equal_to_small_files_on_any_cut(spark, seed, fmt, cut):
     d = folder([t for t in documents_of(seed) if t] + [b'[{"sender":"User","userInput":"\xff"}]'])
     good, bad = parse_docs(scan_docs(spark, d))
@@ -113,16 +113,16 @@ def test_one_entry_above_the_limit(spark):
 
 
 def test_large_file_in_several_tasks(spark):
-    """A 60 MB export with one long conversation: many ranges, all turns, in order."""
+    """A 20 MB export with one long conversation: many ranges, all turns, in order."""
     d = tempfile.mkdtemp(prefix="turnloom-large-")
-    n = 60_000
+    n = 20_000
     with open(f"{d}/big.json", "w") as f:
         f.write("[")
         for i in range(n):
             e = {"sender": "User", "userInput": f"q{i} " + "lorem, {ipsum} " * 60} if i % 2 == 0 else {"sender": "Claude", "claudeOutputText": f"a{i} " + 'do "x" ' * 110}
             f.write(("," if i else "") + json.dumps(e))
         f.write("]")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(4 << 20))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
     try:
         pieces = read_pieces(spark, d, "*.json", 0)
         assert pieces.rdd.getNumPartitions() >= 10

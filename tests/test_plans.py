@@ -62,3 +62,20 @@ def test_split_outputs_have_no_global_sort(spark):
     for df in (train, evl):
         p = plan(df)
         assert "rangepartitioning" not in p and "SinglePartition" not in p and "TakeOrderedAndProject" not in p, p
+
+
+def test_no_text_below_the_cap(spark):
+    """Dedup, keys, cap and split see narrow rows; text is attached to the survivors only."""
+    from turnloom.operators.sampling import split
+    from turnloom.operators.samples import attach_messages, sample_ranges
+
+    turns = C.fill_blank(C.conv_turns(spark, SF["0.01"]))
+    keyed = C.keyed(sample_ranges(turns, strategy="conversation"))
+    p = plan(keyed)
+    assert "messages" not in p and "Window" in p
+    assert len(re.findall(r"Exchange hashpartitioning", p)) == 1, p  # D1 adds no exchange
+    top = p[: p.index("Generate")]
+    assert "content" not in top and "runs" not in top.replace("ri#", ""), top
+    train, _, _ = split(keyed, 5, 100)
+    assert "messages" not in plan(train)
+    assert "messages" in plan(attach_messages(train, turns))

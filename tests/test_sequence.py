@@ -162,6 +162,40 @@ def test_spread_plan_equals_conversation_plan(spark, mode):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+@pytest.mark.parametrize("mode,hot", [("observed", None), ("raw", 60)])
+def test_ranges_with_text_attached_equal_the_samples(spark, mode, hot):
+    from .conftest import SF
+    from turnloom.operators.samples import attach_messages, sample_ranges
+    from turnloom.plans.adapters import events_as_dialogue, table
+
+    t = fill_blank(events_as_dialogue(table(spark, SF["0.001"], "events")))
+    cols = ["conv_id", "method", "method_ord", "start_idx", "n_msgs", "messages"]
+    want = conversational_samples(t, pair_mode=mode, strategy="conversation").select(cols)
+    ranges = sample_ranges(t, pair_mode=mode, hot_turns=hot).withColumn("kept", F.lit(1))
+    got = attach_messages(ranges.where("crc32(concat_ws(':', conv_id, method, start_idx, n_msgs)) % 3 > 0"), t, mode)
+    want = want.where("crc32(concat_ws(':', conv_id, method, start_idx, n_msgs)) % 3 > 0")
+    assert got.columns[-1] == "kept" and got.count() == want.count() > 100
+    assert got.select(cols).exceptAll(want).count() == 0
+
+
+def test_samples_are_equal_only_if_their_messages_are(spark):
+    """D1 by digests against D1 by whole texts, on conversations full of repeats."""
+    import random
+
+    from turnloom.operators.samples import sample_ranges
+
+    rng = random.Random(12)
+    rows = [(c, i, rng.choice(["user", "model"]), rng.choice(["a", "a", "b", "", "user:a"])) for c in range(25) for i in range(rng.randrange(0, 40))]
+    t = spark.createDataFrame(rows, "conv_id long, turn long, role string, content string")
+    every = conversational_samples(t, pairs=(1, 2, 3), dedup=False, strategy="conversation").collect()
+    first = {}
+    for r in sorted(every, key=lambda r: (r.method_ord, r.start_idx, r.n_msgs)):
+        first.setdefault((r.conv_id, tuple(map(tuple, r.messages))), (r.conv_id, r.method, r.start_idx, r.n_msgs))
+    for got in (sample_ranges(t, (1, 2, 3), strategy="conversation"), sample_ranges(t, (1, 2, 3), strategy="spread"), conversational_samples(t, (1, 2, 3))):
+        assert sorted((r.conv_id, r.method, r.start_idx, r.n_msgs) for r in got.collect()) == sorted(first.values())
+    assert len(first) < len(every)
+
+
 def test_auto_routes_hot_conversations(spark):
     from .conftest import SF
     from turnloom.plans.adapters import events_as_dialogue, table

@@ -176,6 +176,22 @@ def test_unreadable_trainer_states_are_reported(spark):
     assert got == {"a": (1, 1), "b": (None, 1), "c": (1, 0)}
 
 
+def test_large_trainer_states_are_reported(spark, monkeypatch):
+    from turnloom.plans.report import report_folder
+    from turnloom.sources import runlogs
+
+    root = tempfile.mkdtemp(prefix="turnloom-runs-")
+    small = json.dumps({"log_history": [{"step": 10, "eval_loss": 1.0}]})
+    for run, text in [("a", small), ("b", json.dumps({"log_history": [{"step": i, "eval_loss": 1.0} for i in range(90)]}))]:
+        for name in ("checkpoint-10", "checkpoint-10/old", "checkpoint-9"):
+            os.makedirs(f"{root}/{run}/{name}", exist_ok=True)
+            open(f"{root}/{run}/{name}/adapter_config.json", "w").write("{}")
+        open(f"{root}/{run}/checkpoint-10/trainer_state.json", "w").write(text)
+    monkeypatch.setattr(runlogs, "STATE_LIMIT_BYTES", 500)
+    got = {r.run_id.rsplit("/", 1)[-1]: (r.n_evals, r.n_unreadable, r.artifact and r.artifact.rsplit("/", 1)[-1]) for r in report_folder(spark, root).collect()}
+    assert got == {"a": (1, 0, "checkpoint-10"), "b": (None, 1, None)}
+
+
 @pytest.mark.parametrize("steps", [3, 10_000])
 def test_trainer_state_files_are_bounded(spark, monkeypatch, steps):
     from turnloom.plans import adapters

@@ -84,7 +84,7 @@ def conv_samples(spark, sf):
 def conv_split(spark, sf):
     """Train and eval samples of conversations: split as ranges, text for the survivors."""
     turns = fill_blank(conv_turns(spark, sf))
-    train, evl, _ = split(keyed(sample_ranges(turns)), EVAL_PERCENT, MAX_SAMPLES)
+    train, evl, _ = split(stored_keys(sample_ranges(turns)), EVAL_PERCENT, MAX_SAMPLES)
     return attach_messages(train, turns), attach_messages(evl, turns)
 
 
@@ -92,6 +92,11 @@ def keyed(samples: DataFrame, seed=SEED) -> DataFrame:
     return shuffled(with_sample_id(samples), seed)
 
 
+def stored_keys(ranges: DataFrame, seed=SEED) -> DataFrame:
+    """Keyed ranges written once (narrow rows): thresholds and outputs read that table."""
+    return shared_table(keyed(ranges, seed), "sample-keys")
+
+
 def packed_dialogues(spark, sf) -> DataFrame:
     """conversations packed as one chat-export JSON document per conversation."""
     c = table(spark, sf, "conversations")
@@ -267,21 +272,21 @@ def _report_keys(df):
 
 
 def q_shuffle_cap(spark, sf):
-    return _report_keys(cap(keyed(ev_ranges(spark, sf)), MAX_SAMPLES))
+    return _report_keys(cap(stored_keys(ev_ranges(spark, sf)), MAX_SAMPLES))
 
 
 def q_split_train(spark, sf):
-    train, _, _ = split(keyed(ev_ranges(spark, sf)), EVAL_PERCENT, MAX_SAMPLES)
+    train, _, _ = split(stored_keys(ev_ranges(spark, sf)), EVAL_PERCENT, MAX_SAMPLES)
     return _report_keys(train)
 
 
 def q_split_eval(spark, sf):
-    _, evl, _ = split(keyed(ev_ranges(spark, sf)), EVAL_PERCENT, MAX_SAMPLES)
+    _, evl, _ = split(stored_keys(ev_ranges(spark, sf)), EVAL_PERCENT, MAX_SAMPLES)
     return _report_keys(evl)
 
 
 def q_eval_subsample(spark, sf):
-    _, evl, _ = split(keyed(ev_ranges(spark, sf)), EVAL_PERCENT, None)
+    _, evl, _ = split(stored_keys(ev_ranges(spark, sf)), EVAL_PERCENT, None)
     return _report_keys(eval_subsample(evl, EVAL_ROWS, EVAL_SEED))
 
 
@@ -303,12 +308,14 @@ def q_render_messages(spark, sf):
     return r.select("conv_id", "method", "start_idx", "n_msgs", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"))
 
 
-def _vocab(spark, sf):
-    return build_vocab(_rendered_samples(spark, sf), VOCAB_SIZE)
+def _rendered_and_vocab(spark, sf):
+    """Rendered samples, built once into the shared folder, and their vocabulary."""
+    texts = shared_table(_rendered_samples(spark, sf), "rendered-samples")
+    return texts, build_vocab(texts, VOCAB_SIZE)
 
 
 def q_vocab(spark, sf):
-    return _vocab(spark, sf)
+    return build_vocab(_rendered_samples(spark, sf), VOCAB_SIZE)
 
 
 def _ids_md5(col):
@@ -316,17 +323,17 @@ def _ids_md5(col):
 
 
 def q_encode(spark, sf):
-    enc = encode(_rendered_samples(spark, sf), _vocab(spark, sf))
+    enc = encode(*_rendered_and_vocab(spark, sf))
     return enc.select("conv_id", "method", "start_idx", "n_msgs", F.size("input_ids").alias("n_ids"), _ids_md5("input_ids").alias("ids_md5"))
 
 
 def q_encode_by_join(spark, sf):
-    enc = encode_by_join(_rendered_samples(spark, sf), _vocab(spark, sf))
+    enc = encode_by_join(*_rendered_and_vocab(spark, sf))
     return enc.select("conv_id", "method", "start_idx", "n_msgs", F.size("input_ids").alias("n_ids"), _ids_md5("input_ids").alias("ids_md5"))
 
 
 def q_truncate_pad_mask(spark, sf):
-    mi = model_inputs(_rendered_samples(spark, sf), _vocab(spark, sf), max_length=MAX_LENGTH)
+    mi = model_inputs(*_rendered_and_vocab(spark, sf), max_length=MAX_LENGTH)
     return mi.select(
         "conv_id", "method", "start_idx", "n_msgs",
         F.size("input_ids").alias("n_ids"),
@@ -338,7 +345,7 @@ def q_truncate_pad_mask(spark, sf):
 
 
 def q_length_report(spark, sf):
-    report = length_report(encode(_rendered_samples(spark, sf), _vocab(spark, sf)), MAX_LENGTH)
+    report = length_report(encode(*_rendered_and_vocab(spark, sf)), MAX_LENGTH)
     return report.withColumns({f"p{p}": F.round(f"p{p}", 4) for p in PERCENTILES})
 
 
@@ -349,7 +356,7 @@ SKETCH_ERROR = 0.02
 def q_length_sketch(spark, sf):
     """Percentiles from KLL states stored per (method, start) and merged per method, each with
     the test that its exact rank is within the bound."""
-    enc = encode(_rendered_samples(spark, sf), _vocab(spark, sf)).select("method", "start_idx", "input_ids")
+    enc = encode(*_rendered_and_vocab(spark, sf)).select("method", "start_idx", "input_ids")
     stored = shared_table(length_sketches(enc, ["method", "start_idx"]), "length-sketches")
     report = sketch_report(merge_sketches(stored, ["method"]))
     found = report.select("method", "n_samples", F.explode(F.array(*[F.struct(F.lit(p).alias("percentile"), F.col(f"p{p}").alias("q")) for p in PERCENTILES])).alias("x"))

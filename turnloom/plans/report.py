@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import checkpoints as ck
 from ..session import null_safe_join
-from ..sources.runlogs import list_artifacts, read_run_logs, run_of
+from ..sources.runlogs import artifacts_of, list_markers, read_run_logs, run_of
 
 
 def run_report(metrics: DataFrame, artifacts: DataFrame, k: int = 2) -> DataFrame:
@@ -24,8 +24,8 @@ def report_folder(spark: SparkSession, root: str, k: int = 2) -> DataFrame:
     could not be read (``n_unreadable``; a run of which none could has only that); a run
     without any artifact is an error."""
     metrics, quarantine = read_run_logs(spark, root)
-    runs = [r.run_id for r in metrics.select("run_id").distinct().collect()]  # one row per run folder
-    artifacts = ck.require_artifact(list_artifacts(spark, *runs), metrics.select(F.col("run_id").alias("root")))
+    roots = metrics.select(F.col("run_id").alias("root")).distinct()
+    artifacts = ck.require_artifact(artifacts_of(list_markers(spark, root), roots), roots)
     unreadable = quarantine.groupBy(run_of(F.col("path")).alias("run_id")).agg(F.count(F.lit(1)).alias("n_unreadable"))
     report = run_report(metrics, artifacts, k).join(unreadable, "run_id", "full")
     return report.withColumn("n_unreadable", F.coalesce("n_unreadable", F.lit(0)))

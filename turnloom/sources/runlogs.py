@@ -10,6 +10,8 @@ from .documents import require_paths
 # The file that marks an adapter folder, and the trainer state file.
 ADAPTER_MARKER = "adapter_config.json"
 TRAINER_STATE = "trainer_state.json"
+# Larger trainer states are reported, not parsed (a value of Spark's holds 2 GiB).
+STATE_LIMIT_BYTES = 1 << 30
 
 
 def parse_trainer_states(files: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -49,10 +51,23 @@ def run_of(path: Column) -> Column:
 
 def read_run_logs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """``(metrics, quarantine)`` of every ``trainer_state.json`` under ``root`` (see
-    ``parse_trainer_states``)."""
+    ``parse_trainer_states``). A file above ``STATE_LIMIT_BYTES`` is not read but reported
+    (``too_large``): as one value it would stop the job."""
     require_paths(spark, root)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", TRAINER_STATE).load(root)
-    return parse_trainer_states(files.select("path", "content"))
+    files = _listed(spark, root, TRAINER_STATE)
+    fits = F.col("length") <= STATE_LIMIT_BYTES
+    metrics, quarantine = parse_trainer_states(files.where(fits).select("path", "content"))
+    return metrics, quarantine.unionByName(files.where(~fits).select("path", F.lit("too_large").alias("reason")))
+
+
+def _listed(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", name).load(root)
+
+
+def list_markers(spark: SparkSession, root: str) -> DataFrame:
+    """``(path)`` of every artifact marker under ``root``, by one listing of Spark's (in
+    parallel over folders); no file is read."""
+    return _listed(spark, root, ADAPTER_MARKER).select("path")
 
 
 def read_run_metrics(spark: SparkSession, root: str) -> DataFrame:
