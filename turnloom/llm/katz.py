@@ -47,7 +47,7 @@ from .common import byte_views, drop_table, mix64, write_table
 ship_by_value(__name__)
 
 ORDER, CUTOFF = 2, 5
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 PIECE = 1 << 20
 BUCKET_TOKENS = 1 << 20
 _BYTES_AT_ONCE = 1 << 20
