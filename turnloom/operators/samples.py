@@ -44,22 +44,22 @@ def range_fingerprint(digests: str) -> str:
 def conversation_rows(turns: DataFrame) -> DataFrame:
     """One row per conversation, built once and shared by every sample method.
 
-    ``runs``: ``array<struct<rid, role, content, head_content, items>>`` in order
+    ``runs``: ``array<struct<rid, role, content, head_content, items, digest>>`` in order
     (W2+W3); ``msgs``: the merged list with one leading model run dropped (W4), as
     ``array<struct<role, content>>``; ``n`` = its size; ``run_digests`` and ``digests``:
     the message digests of both.
     """
-    runs = merge_runs(role_runs(turns, strategy="conversation"))
+    runs = merge_runs(role_runs(turns, strategy="conversation")).withColumn("digest", F.expr(message_digest("role", "content")))
     leading = "runs[0].role = 'model'"
     return (
         runs.groupBy("conv_id")
-        .agg(F.expr("array_sort(collect_list(struct(rid, role, content, head_content, items)))").alias("runs"))
+        .agg(F.expr("sort_array(collect_list(struct(rid, role, content, head_content, items, digest)))").alias("runs"))
         .selectExpr(
             "conv_id",
             "runs",
             "transform(filter(runs, r -> NOT (r.rid = 1 AND r.role = 'model')),"
             " r -> named_struct('role', r.role, 'content', r.content)) AS msgs",
-            f"transform(runs, r -> {message_digest('r.role', 'r.content')}) AS run_digests",
+            "runs.digest AS run_digests",
         )
         .selectExpr("*", "size(msgs) AS n", f"CASE WHEN {leading} THEN slice(run_digests, 2, size(runs)) ELSE run_digests END AS digests")
     )
@@ -166,7 +166,7 @@ def _exploded(conv_rows: DataFrame, descriptors: str, dedup: bool, payload: Sequ
         descriptors = _NO_FP.sub("'fp', CAST(NULL AS STRING), 'method_ord'", descriptors)
     rows = conv_rows.select("conv_id", *payload, F.expr(descriptors).alias("ds"))
     if dedup:
-        rows = rows.select("conv_id", *payload, F.array_sort("ds").alias("ds"))
+        rows = rows.select("conv_id", *payload, F.sort_array("ds").alias("ds"))
         rows = rows.select("conv_id", *payload, F.expr("explode(filter(ds, (d, i) -> i = 0 OR d.fp <> get(ds, i - 1).fp))").alias("d"))
         return rows
     return rows.select("conv_id", *payload, F.explode("ds").alias("d"))

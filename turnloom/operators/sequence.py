@@ -80,7 +80,7 @@ def merge_runs(runs: DataFrame) -> DataFrame:
     where ``items`` is the run's ``array<struct<turn, content>>`` in order (used by
     block pairs; it is the same data the merged text is built from).
     """
-    items = F.array_sort(F.collect_list(F.struct("turn", "content")))
+    items = F.sort_array(F.collect_list(F.struct("turn", "content")))
     return (
         runs.groupBy("conv_id", "rid")
         .agg(F.min("role").alias("role"), items.alias("items"))

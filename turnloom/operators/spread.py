@@ -124,9 +124,10 @@ def route_hot(turns: DataFrame, conversation_plan, spread_plan, strategy: str =
     limit = HOT_TURNS if hot_turns is None else hot_turns
     if turn_counts is None:
         turn_counts = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
-    hot = shared_table(turn_counts.where(F.col("n") > limit).select("conv_id"), "hot-conversations")
+    hot = turn_counts.where(F.col("n") > limit).select("conv_id")
     if hot.isEmpty():
         return conversation_plan(turns)
+    hot = shared_table(hot, "hot-conversations")
     normal = null_safe_join(turns, hot, ["conv_id"], "left_anti")
     heavy = null_safe_join(turns, hot, ["conv_id"], "left_semi")
     return conversation_plan(normal).unionByName(spread_plan(heavy))
