@@ -259,7 +259,7 @@ def near_pairs(words: DataFrame, levels: tuple[int, ...] = LEVELS, group_limit:
         sized = _deal(todo, parts).withColumn("g", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("g > 1")
         groups = sized.where(F.col("g") <= group_limit).groupBy("key").agg(F.array_sort(F.collect_set("word")).alias("w"))
         none, large = F.lit(None).cast("string"), sized.where(F.col("g") > group_limit)
-        # pairs of the small groups and words of the large ones, both from one shuffle
+        # pairs of the small groups and words of the large ones, written together
         got = _verified(groups).select("x", "y", F.lit(None).cast("int").alias("half"), F.lit(None).cast("long").alias("key"))
         got = write_table(got.unionByName(large.select(F.col("word").alias("x"), none.alias("y"), "half", "key")), "spelling-pairs")
         found.append(got.where("y IS NOT NULL").select("x", "y"))
