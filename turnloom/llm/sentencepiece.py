@@ -1,30 +1,36 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 A text is normalised as the model says (a space becomes U+2581, one is put in front) and
-cut into units that no piece can cross: before U+2581, around line ends, and between a
-letter and a mark where no piece holds the two side by side. The distinct units of the
-corpus are the words of the lattice: each is exploded to its substrings of
-at most the longest piece's length, equi-joined to the piece table (broadcast; its size
-is the model's), the edges are grouped by word, and a higher-order ``aggregate`` folds
-Viterbi over them: the best score of every place, then the path back. A character
-without a piece gets an edge at the lowest score less 10 and is spelled in byte pieces.
-
-Words meet the documents again by blocks: ``rows_per_block`` neighbouring documents send
-their distinct words, with the block's number, to the lattice's result and get a
-dictionary of the block back; texts are shuffled once, to it. Nothing is broadcast but
-the piece table, and a dictionary is bounded by its block. Units longer than
-``MAX_UNIT`` characters are folded by the same recurrence where the block is encoded.
+cut wherever no piece holds the two neighbouring characters side by side: no piece can
+cross such a place, so the best path of the text is the best paths of its parts. The
+distinct parts of the corpus are the words of the lattice: each is exploded to its
+substrings of at most the longest piece's length, equi-joined to the piece table
+(broadcast; its size is the model's), the edges are grouped by word, and a higher-order
+``aggregate`` folds Viterbi over them, then the path back. The scores of such a model are
+merge ranks and no log-probabilities, so a path is judged by its number of pieces first
+and by the sum of its pieces' ranks second. A character without a piece gets an edge
+ranked below all pieces and is spelled in byte pieces.
+
+A part longer than ``MAX_UNIT`` characters (a row of one character, or of spaces) is
+also cut behind every ``MAX_UNIT`` characters. All parts take the lattice, whatever
+their length.
+
+Parts meet the documents again by blocks of neighbouring documents: each sends its
+distinct parts, with the block's number, to the lattice and gets a dictionary of the
+block back; texts are shuffled once, to it. Nothing is broadcast but the piece table.
+Long texts have blocks of their own by size, so a block holds a few ``block_bytes`` or
+one text.
 """
 
 from __future__ import annotations
 
-import re
-import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import ship_by_value
@@ -33,24 +39,23 @@ from .common import append_columns, write_table
 ship_by_value(__name__)
 
 SPACE = "▁"
-MAX_UNIT = 64
-UNK_PENALTY = 10.0
+MAX_UNIT = 240  # at most 255: a place has 8 bits in an edge
 BLOCK_BYTES = 32 << 20
 TASK_BYTES = 6 << 20  # text for each task of the lattice
-_CUT = "\x1f"
-_UNITS = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
+CUT_BYTES = 1 << 20  # text cut at once
+BATCH_BYTES = 8 << 20  # text coded at once
+SEEN = 2_000_000  # parts a task keeps before it sends their distinct ones
 
 
 @dataclass(frozen=True)
 class Pieces:
-    """The model's normal pieces with scores, and its byte pieces."""
+    """The model's normal pieces with ranks (0 is best), and its byte pieces."""
 
-    ids: dict[str, tuple[int, float]]
+    ids: dict[str, tuple[int, int]]
     bytes_: list[int]  # id of each byte's piece
     spelled: list[bytes]  # what each id decodes to
     longest: int
-    unk: float
-    marks: str  # never in a piece right after a letter
+    unk: int  # rank of a character without a piece
 
     @staticmethod
     def load(path: str) -> Pieces:
@@ -66,63 +71,93 @@ class Pieces:
             elif sp.is_control(i) or sp.is_unknown(i):
                 spelled.append(b"")
             else:
-                ids[piece] = (i, sp.get_score(i))
+                ids[piece] = i
                 spelled.append(piece.replace(SPACE, " ").encode())
-        after = {b for p in ids for a, b in zip(p, p[1:]) if a.isalpha()}
-        marks = "".join(c for c in string.punctuation if c not in after)
-        if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in ids):
-            raise ValueError("a piece crosses a word boundary")
-        return Pieces(ids, bytes_, spelled, max(map(len, ids)), min(s for _, s in ids.values()) - UNK_PENALTY, marks)
+        if len(spelled) >= _NO_PIECE:
+            raise ValueError("more pieces than an edge can name")
+        order = {s: r for r, s in enumerate(sorted({sp.get_score(i) for i in ids.values()}, reverse=True))}
+        ranked = {p: (i, order[sp.get_score(i)]) for p, i in ids.items()}
+        return Pieces(ranked, bytes_, spelled, max(map(len, ids)), len(order))
 
     def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(p, i) for p, (i, _) in self.ids.items()], "piece string, id int")
-
-
-# ---------------------------------------------------------------- units
-def units(text: str | None) -> list[str]:
-    """The normalised text's units, in order; none for NULL or empty text."""
-    if not text:
-        return []
-    if _CUT in text or SPACE in text or "  " in text or text[0] == " ":  # else no unit has two spaces
-        return _UNITS.findall(SPACE + text.replace(" ", SPACE))
-    cut = (SPACE + text.replace(" ", _CUT + SPACE)).replace("\n", f"{_CUT}\n{_CUT}").split(_CUT)
-    return [u for u in cut if u] if "\n" in text else cut
-
-
-def parts_of(unit: str, p: Pieces) -> tuple[str, ...]:
-    """The unit, or its letters and the marks after them as two units."""
-    core = unit.rstrip(p.marks)
-    return (core, unit[len(core) :]) if core and len(core) < len(unit) and core[-1].isalpha() else (unit,)
-
-
-def viterbi(unit: str, p: Pieces) -> list[int]:
-    """Best path of one unit; a negative id ``-1 - c`` is code point c, to be spelled in bytes. Equal
-    scores: the path whose last piece starts first."""
-    n = len(unit)
-    score, back = [0.0] * (n + 1), [(0, 0)] * (n + 1)
-    for e in range(1, n + 1):
-        best = None
-        for s in range(max(0, e - p.longest), e):
-            got = p.ids.get(unit[s:e])
-            if got is None:
-                if s < e - 1:
-                    continue
-                got = (-1 - ord(unit[s]), p.unk)
-            c = score[s] + got[1]
-            if best is None or c > best:
-                best, back[e] = c, (s, got[0])
-        score[e] = best
-    ids, at = [], n
-    while at:
-        at, i = back[at]
-        ids.append(i)
-    return ids[::-1]
+        """``(piece, code)``: the rank and the id, where an edge has them."""
+        rows = [(p, rank << 26 | i) for p, (i, rank) in self.ids.items()]
+        return spark.createDataFrame(rows, "piece string, code long")
+
+
+# ---------------------------------------------------------------- parts
+@dataclass(frozen=True)
+class Pairs:
+    """Which two characters stand side by side in a piece."""
+
+    kind: np.ndarray  # of each code point; 0: in no piece
+    bits: np.ndarray  # bit kind(a) * n + kind(b)
+    n: int
+
+    @staticmethod
+    def of(pieces: list[str]) -> Pairs:
+        chars = sorted({c for p in pieces for c in p})
+        n = len(chars) + 1
+        at = {c: i for i, c in enumerate(chars, 1)}
+        kind = np.zeros(0x110000, np.int32)
+        kind[[ord(c) for c in chars]] = np.arange(1, n)
+        bits = np.zeros(n * n // 8 + 1, np.uint8)
+        keys = np.array([at[a] * n + at[b] for a, b in {x for p in pieces for x in zip(p, p[1:])}], np.int64)
+        np.bitwise_or.at(bits, keys >> 3, np.left_shift(1, keys & 7).astype(np.uint8))
+        return Pairs(kind, bits, n)
+
+    def apart(self, before: int, kinds: np.ndarray) -> np.ndarray:
+        """For each character, whether no piece holds it right after the one before."""
+        key = np.concatenate(([before], kinds[:-1])).astype(np.int64) * self.n + kinds
+        return (self.bits[key >> 3] >> (key & 7).astype(np.uint8)) & 1 == 0
+
+
+def parts(texts: pa.Array, pairs: Pairs) -> tuple[pa.Array, np.ndarray]:
+    """All parts of the normalised texts, in order, and where each text's begin (one more
+    at the end). NULL and empty texts have none."""
+    col = pc.fill_null(texts.cast(pa.large_string()), "")
+    some = pc.not_equal(col, "")
+    col = pc.replace_substring(col, " ", SPACE)
+    col = pc.if_else(some, pc.binary_join_element_wise(pa.scalar(SPACE, pa.large_string()), col, pa.scalar("", pa.large_string())), "")
+    rows = np.frombuffer(col.buffers()[1], np.int64, len(col) + 1, col.offset * 8)
+    data = np.frombuffer(col.buffers()[2], np.uint8, int(rows[-1] - rows[0]), int(rows[0])) if rows[-1] > rows[0] else np.zeros(0, np.uint8)
+    rows = rows - rows[0]
+    starts, at, before = [rows[:-1][np.diff(rows) > 0]], 0, 0
+    while at < len(data):
+        end = min(at + CUT_BYTES, len(data))
+        while end < len(data) and data[end] & 0xC0 == 0x80:
+            end += 1
+        raw = data[at:end]
+        code = np.frombuffer(raw.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+        kinds = pairs.kind[code]
+        starts.append(at + np.flatnonzero((raw & 0xC0) != 0x80)[pairs.apart(before, kinds)])
+        at, before = end, int(kinds[-1])
+    cut = np.append(np.unique(np.concatenate(starts)), len(data))
+    more = []
+    for i in np.flatnonzero(np.diff(cut) > MAX_UNIT).tolist():
+        chars = np.flatnonzero((data[cut[i] : cut[i + 1]] & 0xC0) != 0x80)
+        more.append(cut[i] + chars[MAX_UNIT::MAX_UNIT])
+    if more:
+        cut = np.unique(np.concatenate([cut, *more]))
+    if not len(data):
+        return pa.array([], pa.large_string()), np.zeros(len(rows), np.int64)
+    found = pa.LargeStringArray.from_buffers(len(cut) - 1, pa.py_buffer(np.ascontiguousarray(cut, np.int64)), pa.py_buffer(data))
+    return found, np.searchsorted(cut, rows)
+
+
+def by_bytes(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about ``limit`` bytes of text; a longer text stands alone."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    a = 0
+    while a < len(size):
+        done = size[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(size, done + limit, "right")))
+        yield a, b
+        a = b
 
 
 def spell(ids: list[int], p: Pieces) -> list[int]:
     """Code points (negative ids) to their byte pieces."""
-    if min(ids) >= 0:
-        return ids
     out: list[int] = []
     for i in ids:
         out += [i] if i >= 0 else [p.bytes_[b] for b in chr(-1 - i).encode("utf-8", "surrogatepass")]
@@ -130,53 +165,63 @@ def spell(ids: list[int], p: Pieces) -> list[int]:
 
 
 # ---------------------------------------------------------------- the lattice
-def edges(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """``(word, edge)``: every piece in every word, and the byte edges."""
-    spans = words.select("word", F.explode(F.expr("sequence(0, length(word) - 1)")).alias("s"))
-    spans = spans.select("word", "s", F.explode(F.expr(f"sequence(1, least({longest}, length(word) - s))")).alias("l"))
-    subs = spans.select("word", "s", "l", F.expr("substring(word, s + 1, l)").alias("piece"))
-    found = subs.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR l = 1")
-    code = F.ascii("piece")  # its code point
-    code = F.coalesce(F.col("id"), F.lit(_CODE_POINT) + code).cast("long")
-    return found.select("word", F.shiftleft((F.col("s") + F.col("l")).cast("long"), 40).bitwiseOR(F.shiftleft(F.col("s").cast("long"), 24)).bitwiseOR(code).alias("edge"))
-
-
-# An edge is one long: end, start, and the piece's id or a code point above _CODE_POINT.
-_CODE_POINT = 1 << 22
+# An edge is one long: end (8 bits from 52), rank (26 bits from 26), start (8 bits from
+# 18), id (18 bits). The best edge into a place has the path's number of pieces instead
+# of the end and the sum of ranks instead of the rank, so that the smallest long is the
+# best one: fewest pieces, best ranks, then the last piece that starts first.
+_NO_PIECE = (1 << 18) - 1
 _FOLD = """
-aggregate(array_sort(edges), array(named_struct('c', 0D, 'x', 0L)),
-  (a, x) -> transform(array(get(a, CAST(shiftright(x, 24) & 65535 AS INT)).c + IF(x & 16777215 < 4194304, get({weights}, CAST(x & 16777215 AS INT)), {unk})),
-    c -> IF(size(a) = shiftright(x, 40), concat(a, array(named_struct('c', c, 'x', x))),
-      IF(c > element_at(a, -1).c, concat(slice(a, 1, size(a) - 1), array(named_struct('c', c, 'x', x))), a)))[0])
+aggregate(array_sort(edges), array(0L),
+  (a, x) -> concat(slice(a, 1, CAST(shiftright(x, 52) AS INT)), array(least(
+    (get(a, CAST(shiftright(x, 18) & 255L AS INT)) & -67108864L) + (x & 4503599627370495L) + 4503599627370496L,
+    get(a, CAST(shiftright(x, 52) AS INT))))))
 """
 _BACK = """
-aggregate(sequence(1, size(back)), named_struct('at', size(back) - 1, 'ids', CAST(array() AS array<int>)),
-  (a, k) -> IF(a.at = 0, a, named_struct('at', CAST(shiftright(get(back, a.at).x, 24) & 65535 AS INT),
-    'ids', concat(array(CAST(get(back, a.at).x & 16777215 AS INT)), a.ids))),
-  a -> transform(a.ids, i -> IF(i < 4194304, i, 4194303 - i)))
+aggregate(slice(sequence(1, CAST(shiftright(element_at(best, -1), 52) AS INT)), 2, 255), array(element_at(best, -1)),
+  (a, k) -> concat(array(get(best, CAST(shiftright(a[0], 18) & 255L AS INT))), a),
+  a -> transform(a, x -> IF(x & 262143L = 262143L, -1 - ascii(substring(word, CAST(shiftright(x, 18) & 255L AS INT) + 1, 1)),
+    CAST(x & 262143L AS INT))))
 """
 
 
+def edges(words: DataFrame, p: Pieces) -> DataFrame:
+    """``words`` with ``edge``: every piece in every word, and a character without one.
+    Other columns of ``words`` stay with the word's first character alone."""
+    keep = [c for c in words.columns if c not in ("k", "word")]
+    spans = words.select("*", F.explode(F.expr("sequence(0, length(word) - 1)")).alias("s"))
+    spans = spans.select("*", F.explode(F.expr(f"sequence(1, least({p.longest}, length(word) - s))")).alias("l"))
+    first = [F.when(F.expr("s = 0 AND l = 1"), F.col(c)).alias(c) for c in keep]
+    subs = spans.select("k", "word", *first, "s", "l", F.expr("substring(word, s + 1, l)").alias("piece"))
+    found = subs.join(F.broadcast(p.table(words.sparkSession)), "piece", "left").where("code IS NOT NULL OR l = 1")
+    code = F.coalesce("code", F.lit(p.unk << 26 | _NO_PIECE))
+    end, start = F.shiftleft((F.col("s") + F.col("l")).cast("long"), 52), F.shiftleft(F.col("s").cast("long"), 18)
+    return found.select("k", "word", *keep, end.bitwiseOR(start).bitwiseOR(code).alias("edge"))
+
+
 def best_paths(words: DataFrame, p: Pieces) -> DataFrame:
-    """``(word, ids)`` of distinct ``words (word)`` that are dealt by word: exploding and
-    joining leave them in place, so grouping the edges does not shuffle."""
-    e = edges(words, p.table(words.sparkSession), p.longest)
-    grouped = e.groupBy("word").agg(F.collect_list("edge").alias("edges"))
-    weight = dict(p.ids.values())  # by id; a constant as large as the model
-    weights = "array(" + ", ".join(f"{weight.get(i, 0.0)!r}D" for i in range(len(p.spelled))) + ")"
-    fold = _FOLD.replace("{weights}", weights).replace("{unk}", f"{p.unk!r}D")
-    return grouped.select("word", F.expr(fold).alias("back")).select("word", F.expr(_BACK).alias("ids"))
+    """``words (k, word, ...)`` with ``ids``. They are dealt by ``k``, a hash of the word:
+    exploding and joining leave them in place, so grouping the edges does not shuffle."""
+    keep = [c for c in words.columns if c not in ("k", "word")]
+    grouped = edges(words, p).groupBy("k", "word").agg(F.collect_list("edge").alias("edges"), *[F.first(c, True).alias(c) for c in keep])
+    return grouped.select("word", *keep, F.expr(_FOLD).alias("best")).select("word", *keep, F.expr(_BACK).alias("ids"))
 
 
 # ---------------------------------------------------------------- documents
-def _blocks(docs: DataFrame, rows: int) -> Column:
-    """Neighbouring rows of an input file share a block, however the file is split; rows
-    that do not come from files are dealt by content."""
+def _in_blocks(src: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
+    """``src`` with ``block``, and the bytes of its texts: neighbouring rows of an input
+    file share a block, however the file is split; texts of four times the mean size and
+    more share one with texts of their size. Rows of no file are written to one first."""
     try:
-        docs.select("_metadata.row_index").schema
-        return F.xxhash64(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / F.lit(rows)))
-    except Exception:  # no file source below
-        return F.lit(None).cast("long")
+        src.select("_metadata.row_index").schema
+    except AnalysisException:
+        src = write_table(src, "pieces-docs")
+    size = F.octet_length("text")
+    total = src.agg(F.sum(size).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    mean = max(1, (total["b"] or 0) // max(total["n"], 1))
+    kind = F.when(size < 4 * mean, F.lit(0)).otherwise(F.length(F.bin(size.cast("long")))).cast("int")
+    rows = F.when(kind == 0, F.lit(max(1, block_bytes // mean))).otherwise(F.greatest(F.lit(1), F.expr(f"shiftright({block_bytes}L, length(bin(CAST(octet_length(text) AS BIGINT))))")))
+    block = F.hash(F.col("_metadata.file_path"), kind, F.floor(F.col("_metadata.row_index") / rows))
+    return src.select(block.alias("block"), *src.columns), total["b"] or 0
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -189,42 +234,43 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     spark = docs.sparkSession
     p = Pieces.load(model_path)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    total = docs.agg(F.sum(F.octet_length(text)).alias("b"), F.count(F.lit(1)).alias("n")).first()
-    rows = max(1, int(block_bytes / max(1.0, (total["b"] or 0) / max(total["n"], 1))))
-    n_blocks = max(1, -(-(total["b"] or 0) // block_bytes))
-    block = F.coalesce(_blocks(docs, rows), F.pmod(F.xxhash64(F.col(id_col), text), F.lit(n_blocks)))
-    src = docs.select(block.alias("block"), F.col(id_col).alias("id"), *[F.col(c).alias(f"c_{c}") for c in carry], text.alias("text"))
-    shared = spark.sparkContext.broadcast((p.ids, p.bytes_, p.spelled, p.longest, p.unk, p.marks))
+    src = docs.select(F.col(id_col).alias("id"), *[F.col(c).alias(f"c_{c}") for c in carry], text.alias("text"))
+    src, size = _in_blocks(src, block_bytes)
+    shared = spark.sparkContext.broadcast((list(p.ids), p.bytes_))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, seen, key = Pieces(*shared.value), set(), None
+        pairs = Pairs.of(shared.value[0])
+        seen: dict[int, list[pa.Array]] = {}
+        held = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            found = list({x for u in seen if len(u) <= MAX_UNIT for x in parts_of(u, p)})
-            for a in range(0, len(found), 50_000):
-                part = found[a : a + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array([key] * len(part), pa.int64()), pa.array(part, pa.string())], ["block", "word"])
-
-        for b in batches:
-            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if k != key or len(seen) > 1_000_000:
+            for k, found in seen.items():
+                got = pa.chunked_array(found).unique().cast(pa.string())
+                for a in range(0, len(got), 50_000):
+                    w = got.slice(a, 50_000)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), k, np.int32)), w], ["block", "word"])
+            seen.clear()
+
+        for batch in batches:
+            keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
+            for a, b in by_bytes(texts, BATCH_BYTES):
+                found, first = parts(texts.slice(a, b - a), pairs)
+                cut = np.flatnonzero(np.diff(keys[a:b])) + 1
+                for i, j in zip(np.append(0, cut).tolist(), np.append(cut, b - a).tolist()):
+                    got = found.slice(first[i], first[j] - first[i]).unique()
+                    if len(got):
+                        seen.setdefault(int(keys[a + i]), []).append(got)
+                        held += len(got)
+                if held > SEEN:
                     yield from out()
-                    seen, key = set(), k
-                seen.update(units(t))
+                    held = 0
         yield from out()
 
-    parts = max(1, -(-(total["b"] or 0) // TASK_BYTES))
-    used = src.select("block", "text").mapInArrow(words, "block long, word string").repartition(parts, "word")
-    used = write_table(used.groupBy("word").agg(F.collect_set("block").alias("blocks")), "pieces-words")
-    paths = best_paths(used.select("word").repartition(parts, "word"), p)
-    with_conf = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
-    before = spark.conf.get(with_conf)
-    spark.conf.set(with_conf, "1000000")  # a task groups its words in memory: they are few by construction
-    try:
-        paths = write_table(paths, "pieces-paths")
-    finally:
-        spark.conf.set(with_conf, before)
-    lookup = used.join(paths, "word").select(F.explode("blocks").alias("block"), "word", "ids")
+    tasks = max(1, -(-size // TASK_BYTES))
+    used = src.select("block", "text").mapInArrow(words, "block int, word string")
+    used = used.select(F.xxhash64("word").alias("k"), "word", "block").repartition(tasks, "k")
+    used = used.groupBy("k", "word").agg(F.collect_set("block").alias("blocks"))
+    lookup = best_paths(used, p).select(F.explode("blocks").alias("block"), "word", "ids")
 
     kinds = {f.name: f for f in src.schema.fields}
     kept = [kinds["id"]] + [kinds[f"c_{c}"] for c in carry]
@@ -232,40 +278,37 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     names = [f.name for f in kept]
 
     def fill(docs_: pa.Table, lookup_: pa.Table) -> pa.Table:
-        p = Pieces(*shared.value)
-        known: dict[str, bytes] = {}
-        for b in lookup_.select(["word", "ids"]).to_batches(max_chunksize=20_000):
-            cut = b.column(1).offsets.to_numpy()
-            ids = b.column(1).values.to_numpy()[cut[0] : cut[-1]]
-            raw, ends = ids.astype("<i4").tobytes(), (4 * (cut - cut[0])).tolist()
-            words = b.column(0).to_pylist()
-            for w, i, j in zip(words, ends, ends[1:]):
-                known[w] = raw[i:j]
-            spelled = np.flatnonzero(ids < 0) + cut[0]
-            for r in np.unique(np.searchsorted(cut, spelled, "right") - 1).tolist():
-                known[words[r]] = np.array(spell(b.column(1)[r].as_py(), p), "<i4").tobytes()
-
-        def of(u: str) -> bytes:
-            got = known.get(u)
-            if got is None:
-                if len(u) > MAX_UNIT:
-                    return np.array(spell(viterbi(u, p), p), "<i4").tobytes()
-                known[u] = got = b"".join([known[x] for x in parts_of(u, p)])
-            return got
-
+        pairs = Pairs.of(shared.value[0])
+        p = Pieces({}, shared.value[1], [], 0, 0)
+        known = lookup_.column("word").combine_chunks().cast(pa.large_string())
+        paths = lookup_.column("ids").combine_chunks()
+        if isinstance(paths, pa.ChunkedArray):
+            paths = pa.concat_arrays(paths.chunks)
+        at = paths.offsets.to_numpy().astype(np.int64)
+        flat, at = paths.values.to_numpy()[at[0] : at[-1]], at - at[0]
+        if len(flat) and flat.min() < 0:  # characters to spell
+            odd = np.flatnonzero(flat < 0)
+            spelled = [spell([i], p) for i in flat[odd].tolist()]
+            size = np.ones(len(flat), np.int64)
+            size[odd] = [len(x) for x in spelled]
+            ends = np.append(0, np.cumsum(size))
+            wide = np.repeat(flat, size)
+            wide[np.repeat(flat < 0, size)] = np.concatenate(spelled)
+            flat, at = wide, ends[at]
+        size = np.diff(at)
         batches = []
-        for b in docs_.to_batches(max_chunksize=1000):
-            coded = []
-            for t in b.column(b.schema.get_field_index("text")).to_pylist():
-                us = units(t)
-                try:
-                    coded.append(b"".join(map(known.__getitem__, us)))
-                except KeyError:  # a unit in two parts, or a long one
-                    coded.append(b"".join(map(of, us)))
-            n = np.array([len(c) // 4 for c in coded], np.int64)
-            flat = pa.array(np.frombuffer(b"".join(coded), "<i4"))
-            ids = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), flat)
-            batches.append(pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(x)) for x in names] + [pa.array(n), ids], [*names, "n_tokens", "ids"]))
+        for b in docs_.combine_chunks().to_batches():
+            texts = b.column(b.schema.get_field_index("text"))
+            for i, j in by_bytes(texts, BATCH_BYTES):
+                found, first = parts(texts.slice(i, j - i), pairs)
+                which = pc.index_in(found, value_set=known).to_numpy(zero_copy_only=False)
+                n = size[which]
+                ends = np.append(0, np.cumsum(n))
+                got = flat[np.repeat(at[which] - ends[:-1], n) + np.arange(ends[-1])]
+                cut = ends[first]
+                ids = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(got.astype(np.int32)))
+                cols = [b.column(b.schema.get_field_index(x)).slice(i, j - i) for x in names]
+                batches.append(pa.RecordBatch.from_arrays([*cols, pa.array(np.diff(cut)), ids], [*names, "n_tokens", "ids"]))
         return pa.Table.from_batches(batches) if batches else pa.Table.from_batches([], schema=pa.schema([*[docs_.schema.field(x) for x in names], ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))]))
 
     got = src.groupBy("block").cogroup(lookup.groupBy("block")).applyInArrow(fill, schema)
