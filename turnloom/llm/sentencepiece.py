@@ -17,7 +17,8 @@ their length.
 
 Parts meet the documents again by blocks of neighbouring documents: each sends its
 distinct parts, with the block's number, to the lattice and gets a dictionary of the
-block back; texts are shuffled once, to it. Nothing is broadcast but the piece table.
+block back; texts are shuffled once, to it, as compressed Arrow batches. Nothing is
+broadcast but the piece table.
 Long texts have blocks of their own by size, so a block holds a few ``block_bytes`` or
 one text.
 """
@@ -40,10 +41,10 @@ ship_by_value(__name__)
 
 SPACE = "▁"
 MAX_UNIT = 240  # at most 255: a place has 8 bits in an edge
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 64 << 20
 TASK_BYTES = 6 << 20  # text for each task of the lattice
 CUT_BYTES = 1 << 20  # text cut at once
-BATCH_BYTES = 8 << 20  # text coded at once
+BATCH_BYTES = 8 << 20  # text packed and coded at once
 SEEN = 2_000_000  # parts a task keeps before it sends their distinct ones
 
 
@@ -187,22 +188,22 @@ aggregate(slice(sequence(1, CAST(shiftright(element_at(best, -1), 52) AS INT)),
 def edges(words: DataFrame, p: Pieces) -> DataFrame:
     """``words`` with ``edge``: every piece in every word, and a character without one.
     Other columns of ``words`` stay with the word's first character alone."""
-    keep = [c for c in words.columns if c not in ("k", "word")]
+    keep = [c for c in words.columns if c != "word"]
     spans = words.select("*", F.explode(F.expr("sequence(0, length(word) - 1)")).alias("s"))
     spans = spans.select("*", F.explode(F.expr(f"sequence(1, least({p.longest}, length(word) - s))")).alias("l"))
     first = [F.when(F.expr("s = 0 AND l = 1"), F.col(c)).alias(c) for c in keep]
-    subs = spans.select("k", "word", *first, "s", "l", F.expr("substring(word, s + 1, l)").alias("piece"))
+    subs = spans.select("word", *first, "s", "l", F.expr("substring(word, s + 1, l)").alias("piece"))
     found = subs.join(F.broadcast(p.table(words.sparkSession)), "piece", "left").where("code IS NOT NULL OR l = 1")
     code = F.coalesce("code", F.lit(p.unk << 26 | _NO_PIECE))
     end, start = F.shiftleft((F.col("s") + F.col("l")).cast("long"), 52), F.shiftleft(F.col("s").cast("long"), 18)
-    return found.select("k", "word", *keep, end.bitwiseOR(start).bitwiseOR(code).alias("edge"))
+    return found.select("word", *keep, end.bitwiseOR(start).bitwiseOR(code).alias("edge"))
 
 
 def best_paths(words: DataFrame, p: Pieces) -> DataFrame:
-    """``words (k, word, ...)`` with ``ids``. They are dealt by ``k``, a hash of the word:
-    exploding and joining leave them in place, so grouping the edges does not shuffle."""
-    keep = [c for c in words.columns if c not in ("k", "word")]
-    grouped = edges(words, p).groupBy("k", "word").agg(F.collect_list("edge").alias("edges"), *[F.first(c, True).alias(c) for c in keep])
+    """Distinct ``words (word, ...)`` with ``ids``. They are dealt by word: exploding and
+    joining leave them in place, so grouping the edges does not shuffle."""
+    keep = [c for c in words.columns if c != "word"]
+    grouped = edges(words, p).groupBy("word").agg(F.collect_list("edge").alias("edges"), *[F.first(c, True).alias(c) for c in keep])
     return grouped.select("word", *keep, F.expr(_FOLD).alias("best")).select("word", *keep, F.expr(_BACK).alias("ids"))
 
 
@@ -268,8 +269,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
 
     tasks = max(1, -(-size // TASK_BYTES))
     used = src.select("block", "text").mapInArrow(words, "block int, word string")
-    used = used.select(F.xxhash64("word").alias("k"), "word", "block").repartition(tasks, "k")
-    used = used.groupBy("k", "word").agg(F.collect_set("block").alias("blocks"))
+    used = used.repartition(tasks, "word").groupBy("word").agg(F.collect_set("block").alias("blocks"))
     lookup = best_paths(used, p).select(F.explode("blocks").alias("block"), "word", "ids")
 
     kinds = {f.name: f for f in src.schema.fields}
@@ -277,13 +277,24 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     schema = T.StructType([*kept, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     names = [f.name for f in kept]
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            order = np.argsort(batch.column(0).to_numpy(zero_copy_only=False), kind="stable")
+            batch = batch.take(pa.array(order))
+            keys, rest = batch.column(0).to_numpy(zero_copy_only=False), batch.select(batch.schema.names[1:])
+            cut = np.flatnonzero(np.diff(keys)) + 1
+            for i, j in zip(np.append(0, cut).tolist(), np.append(cut, len(keys)).tolist() if len(keys) else []):
+                for a, b in by_bytes(rest.column("text").slice(i, j - i), BATCH_BYTES):
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, rest.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                        w.write_batch(rest.slice(i + a, b - a))
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 1]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "rows"])
+
     def fill(docs_: pa.Table, lookup_: pa.Table) -> pa.Table:
         pairs = Pairs.of(shared.value[0])
         p = Pieces({}, shared.value[1], [], 0, 0)
         known = lookup_.column("word").combine_chunks().cast(pa.large_string())
         paths = lookup_.column("ids").combine_chunks()
-        if isinstance(paths, pa.ChunkedArray):
-            paths = pa.concat_arrays(paths.chunks)
         at = paths.offsets.to_numpy().astype(np.int64)
         flat, at = paths.values.to_numpy()[at[0] : at[-1]], at - at[0]
         if len(flat) and flat.min() < 0:  # characters to spell
@@ -296,21 +307,24 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
             wide[np.repeat(flat < 0, size)] = np.concatenate(spelled)
             flat, at = wide, ends[at]
         size = np.diff(at)
-        batches = []
-        for b in docs_.combine_chunks().to_batches():
-            texts = b.column(b.schema.get_field_index("text"))
-            for i, j in by_bytes(texts, BATCH_BYTES):
-                found, first = parts(texts.slice(i, j - i), pairs)
-                which = pc.index_in(found, value_set=known).to_numpy(zero_copy_only=False)
-                n = size[which]
-                ends = np.append(0, np.cumsum(n))
-                got = flat[np.repeat(at[which] - ends[:-1], n) + np.arange(ends[-1])]
-                cut = ends[first]
-                ids = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(got.astype(np.int32)))
-                cols = [b.column(b.schema.get_field_index(x)).slice(i, j - i) for x in names]
-                batches.append(pa.RecordBatch.from_arrays([*cols, pa.array(np.diff(cut)), ids], [*names, "n_tokens", "ids"]))
-        return pa.Table.from_batches(batches) if batches else pa.Table.from_batches([], schema=pa.schema([*[docs_.schema.field(x) for x in names], ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))]))
-
+        coded = []
+        for packed in docs_.column("rows"):
+            rows = pa.ipc.open_stream(packed.as_buffer()).read_next_batch()
+            found, first = parts(rows.column("text"), pairs)
+            coded.append((rows.select(names), found.dictionary_encode(), first))
+        where = pc.index_in(pa.chunked_array([c[1].dictionary for c in coded], pa.large_string()), value_set=known).combine_chunks().to_numpy(zero_copy_only=False)
+        batches, done = [], 0
+        for rows, found, first in coded:
+            which = where[done : done + len(found.dictionary)][found.indices.to_numpy()]
+            done += len(found.dictionary)
+            n = size[which]
+            ends = np.append(0, np.cumsum(n))
+            ids = flat[np.repeat(at[which] - ends[:-1], n) + np.arange(ends[-1])].astype(np.int32)
+            cut = ends[first]
+            batches.append(pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.diff(cut)), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(ids))], [*names, "n_tokens", "ids"]))
+        return pa.Table.from_batches(batches)
+
+    src = src.mapInArrow(pack, "block int, rows binary")
     got = src.groupBy("block").cogroup(lookup.groupBy("block")).applyInArrow(fill, schema)
     return got.select(F.col("id").alias(id_col), *[F.col(f"c_{c}").alias(c) for c in carry], "n_tokens", "ids")
 
