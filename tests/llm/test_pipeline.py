@@ -9,7 +9,7 @@ import pytest
 from tests.llm.test_decontaminate import naive as naive_leaks
 from tests.llm.test_simhash import naive_components, naive_fingerprint
 from tests.llm.test_suffix import naive as naive_spans
-from tests.llm.test_tokens import naive_parts, naive_viterbi
+from tests.llm.test_tokens import naive_parts, naive_viterbi, spell
 from turnloom.llm import sentencepiece as P
 
 SF = "/root/testdata/sf0.001"
@@ -66,7 +66,7 @@ def test_decontamination_stage_drops_leaks_only(spark, steps):
 def test_encoding_stage(steps):
     p = P.Pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
     got = {r.doc_id: list(r.ids) for r in steps[4][1].where("round_trip").collect()}
-    path = cache(lambda u: P.spell(naive_viterbi(u, p), p))
+    path = cache(lambda u: spell(naive_viterbi(u, p), p))
     want = {r[0]: [i for u in naive_parts(r[1], p) for i in path(u)] for r in steps[4][0]}
     assert got == want
 

@@ -157,14 +157,6 @@ def by_bytes(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def spell(ids: list[int], p: Pieces) -> list[int]:
-    """Code points (negative ids) to their byte pieces."""
-    out: list[int] = []
-    for i in ids:
-        out += [i] if i >= 0 else [p.bytes_[b] for b in chr(-1 - i).encode("utf-8", "surrogatepass")]
-    return out
-
-
 # ---------------------------------------------------------------- the lattice
 # An edge is one long: end (8 bits from 52), rank (26 bits from 26), start (8 bits from
 # 18), id (18 bits). The best edge into a place has the path's number of pieces instead
@@ -180,8 +172,7 @@ aggregate(array_sort(edges), array(0L),
 _BACK = """
 aggregate(slice(sequence(1, CAST(shiftright(element_at(best, -1), 52) AS INT)), 2, 255), array(element_at(best, -1)),
   (a, k) -> concat(array(get(best, CAST(shiftright(a[0], 18) & 255L AS INT))), a),
-  a -> transform(a, x -> IF(x & 262143L = 262143L, -1 - ascii(substring(word, CAST(shiftright(x, 18) & 255L AS INT) + 1, 1)),
-    CAST(x & 262143L AS INT))))
+  a -> transform(a, x -> CAST((shiftright(x, 18) & 255L) - 128 AS TINYINT)))
 """
 
 
@@ -200,11 +191,36 @@ def edges(words: DataFrame, p: Pieces) -> DataFrame:
 
 
 def best_paths(words: DataFrame, p: Pieces) -> DataFrame:
-    """Distinct ``words (word, ...)`` with ``ids``. They are dealt by word: exploding and
+    """Distinct ``words (word, ...)`` with ``starts``, where the path's pieces start (less 128, so
+    that a byte holds it). Words are dealt by word: exploding and
     joining leave them in place, so grouping the edges does not shuffle."""
     keep = [c for c in words.columns if c != "word"]
     grouped = edges(words, p).groupBy("word").agg(F.collect_list("edge").alias("edges"), *[F.first(c, True).alias(c) for c in keep])
-    return grouped.select("word", *keep, F.expr(_FOLD).alias("best")).select("word", *keep, F.expr(_BACK).alias("ids"))
+    return grouped.select("word", *keep, F.expr(_FOLD).alias("best")).select("word", *keep, F.expr(_BACK).alias("starts"))
+
+
+def _ids_of_paths(words: pa.Array, paths: pa.Array, pieces: pa.Array, ids: np.ndarray, byte_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words, one after the other, and where each word's begin (one more at
+    the end). A character without a piece is spelled in byte pieces."""
+    if not len(words):
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+    rows = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, words.offset * 8)
+    data = np.frombuffer(words.buffers()[2], np.uint8, int(rows[-1] - rows[0]), int(rows[0]))
+    chars = np.flatnonzero((data & 0xC0) != 0x80)
+    of_word = paths.offsets.to_numpy().astype(np.int64)
+    start = paths.values.to_numpy()[of_word[0] : of_word[-1]].astype(np.int64) + 128
+    of_word -= of_word[0]
+    first = np.searchsorted(chars, rows[:-1] - rows[0])
+    cut = np.append(chars[np.repeat(first, np.diff(of_word)) + start], len(data))
+    found = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(cut), pa.py_buffer(data))
+    which = pc.fill_null(pc.index_in(found, value_set=pieces), -1).to_numpy(zero_copy_only=False)
+    size = np.where(which < 0, np.diff(cut), 1)
+    ends = np.append(0, np.cumsum(size))
+    flat = np.repeat(ids[which], size)
+    odd = np.repeat(which < 0, size)
+    inside = np.arange(len(flat)) - np.repeat(ends[:-1], size)
+    flat[odd] = byte_ids[data[(np.repeat(cut[:-1], size) + inside)[odd]]]
+    return flat, ends[of_word]
 
 
 # ---------------------------------------------------------------- documents
@@ -237,7 +253,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     src = docs.select(F.col(id_col).alias("id"), *[F.col(c).alias(f"c_{c}") for c in carry], text.alias("text"))
     src, size = _in_blocks(src, block_bytes)
-    shared = spark.sparkContext.broadcast((list(p.ids), p.bytes_))
+    shared = spark.sparkContext.broadcast((list(p.ids), [i for i, _ in p.ids.values()], p.bytes_))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = Pairs.of(shared.value[0])
@@ -246,7 +262,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
 
         def out() -> Iterator[pa.RecordBatch]:
             for k, found in seen.items():
-                got = pa.chunked_array(found).unique().cast(pa.string())
+                got = pa.chunked_array(found).unique().cast(pa.string()).sort()  # neighbours alike: a smaller shuffle
                 for a in range(0, len(got), 50_000):
                     w = got.slice(a, 50_000)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), k, np.int32)), w], ["block", "word"])
@@ -270,7 +286,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     tasks = max(1, -(-size // TASK_BYTES))
     used = src.select("block", "text").mapInArrow(words, "block int, word string")
     used = used.repartition(tasks, "word").groupBy("word").agg(F.collect_set("block").alias("blocks"))
-    lookup = best_paths(used, p).select(F.explode("blocks").alias("block"), "word", "ids")
+    lookup = best_paths(used, p).select(F.explode("blocks").alias("block"), "word", "starts")
 
     kinds = {f.name: f for f in src.schema.fields}
     kept = [kinds["id"]] + [kinds[f"c_{c}"] for c in carry]
@@ -286,26 +302,16 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
             for i, j in zip(np.append(0, cut).tolist(), np.append(cut, len(keys)).tolist() if len(keys) else []):
                 for a, b in by_bytes(rest.column("text").slice(i, j - i), BATCH_BYTES):
                     sink = pa.BufferOutputStream()
-                    with pa.ipc.new_stream(sink, rest.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                    with pa.ipc.new_stream(sink, rest.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))) as w:
                         w.write_batch(rest.slice(i + a, b - a))
                     yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 1]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "rows"])
 
     def fill(docs_: pa.Table, lookup_: pa.Table) -> pa.Table:
         pairs = Pairs.of(shared.value[0])
-        p = Pieces({}, shared.value[1], [], 0, 0)
+        pieces, ids_of, byte_ids = pa.array(shared.value[0], pa.large_string()), np.array(shared.value[1]), np.array(shared.value[2])
         known = lookup_.column("word").combine_chunks().cast(pa.large_string())
-        paths = lookup_.column("ids").combine_chunks()
-        at = paths.offsets.to_numpy().astype(np.int64)
-        flat, at = paths.values.to_numpy()[at[0] : at[-1]], at - at[0]
-        if len(flat) and flat.min() < 0:  # characters to spell
-            odd = np.flatnonzero(flat < 0)
-            spelled = [spell([i], p) for i in flat[odd].tolist()]
-            size = np.ones(len(flat), np.int64)
-            size[odd] = [len(x) for x in spelled]
-            ends = np.append(0, np.cumsum(size))
-            wide = np.repeat(flat, size)
-            wide[np.repeat(flat < 0, size)] = np.concatenate(spelled)
-            flat, at = wide, ends[at]
+        paths = lookup_.column("starts").combine_chunks()
+        flat, at = _ids_of_paths(known, paths, pieces, ids_of, byte_ids)
         size = np.diff(at)
         coded = []
         for packed in docs_.column("rows"):
