@@ -41,11 +41,11 @@ ship_by_value(__name__)
 
 SPACE = "▁"
 MAX_UNIT = 240  # at most 255: a place has 8 bits in an edge
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 32 << 20
 TASK_BYTES = 6 << 20  # text for each task of the lattice
 CUT_BYTES = 1 << 20  # text cut at once
-BATCH_BYTES = 8 << 20  # text packed and coded at once
-SEEN = 2_000_000  # parts a task keeps before it sends their distinct ones
+BATCH_BYTES = 4 << 20  # text packed and coded at once
+SEEN = 1_000_000  # parts a task keeps before it sends their distinct ones
 
 
 @dataclass(frozen=True)
