@@ -126,3 +126,29 @@ def test_initial_state_from_a_batch_job(spark):
     rows = [(1, 1, 1_700_001_000, 40, 0.5), (1, 2, 1_700_002_000, 50, 0.35), (1, 3, 1_700_003_000, 45, 0.9)]
     got, _ = _stream(spark, [rows, [(None, 1, 1_800_000_000, 0, None)]], initial=initial)
     assert got == [(1, 4, 40, 0.5, False, None), (1, 4, 50, 0.35, True, 20), (1, 5, 45, 0.9, True, None)]
+
+
+def test_state_calls_are_not_paid_per_event(spark, monkeypatch):
+    """Many runs: what waits is a few frames, and ids near one another stay apart beside a NULL."""
+    import tempfile
+
+    from turnloom.streaming import session_best_k as S
+
+    monkeypatch.setattr(S, "BUCKETS", 4, raising=False)
+    rows = [(2**53 + i, 1, 1_700_000_000 + 60 * j, j, 1.0 - j / 10) for i in range(60) for j in range(5)]
+    got, n_state = _stream(spark, [rows + [(None, 1, 1_700_000_000, 1, 0.5)], [(None, 2, 1_800_000_000, 0, None)]])
+    by_prune = {(w[0], w[1], w[5]): w[2] for w in naive(rows, 2)[0] if w[5] is not None}
+    want = [(w[0], w[1], w[2], w[3], w[4], by_prune.get((w[0], w[1], w[2])) if w[4] else None) for w in naive(rows, 2)[0]]
+    assert got == sorted([*want, (None, 1, 1, 0.5, True, None)], key=str) and n_state == 61
+
+    mine = spark.newSession()
+    mine.conf.set(S.PROVIDER_CONF, S.ROCKSDB)
+    mine.conf.set("spark.sql.shuffle.partitions", "2")
+    base = tempfile.mkdtemp(prefix="turnloom-sessions-")
+    df = frame(spark, rows).drop("arrival")
+    df.coalesce(1).write.parquet(f"{base}/in")
+    q = S.session_best_k_stream(mine.readStream.schema(df.schema).parquet(f"{base}/in"), 2, "2 hours")
+    q.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/chk").trigger(availableNow=True).start().awaitTermination()
+    assert mine.read.format("statestore").option("stateVarName", "clock").load(f"{base}/chk").count() == 0
+    state = mine.read.format("statestore").option("stateVarName", "waiting").option("flattenCollectionTypes", "true").load(f"{base}/chk")
+    assert 0 < state.count() <= 4

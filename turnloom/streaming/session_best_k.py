@@ -1,18 +1,22 @@
 """ST1 on ``transformWithStateInPandas``: best-k retention over restarted, late, finished runs.
 
-State of a run, all of it bounded:
+Runs are dealt into ``BUCKETS`` groups, so that frames, state calls and timers are paid per
+bucket and not per run. State of a bucket:
 
-* ``retained``: list state, the at most k ``(loss, step)`` of the current session;
-* ``clock``: value state, the last step, the session's number and the last event time;
-* ``waiting``: map state from (event time, step) to the loss, the events that the
-  watermark has not passed. They are taken in event-time order once it has, so late
-  events inside the watermark give the same decisions as ordered ones.
+* ``clock``: map state, for each run its last step, session number and last event time, and
+  the at most k retained ``(loss, step)`` of its current session;
+* ``waiting``: list state, the events that the watermark has not passed, a frame of them as
+  one value of four columns. They are taken in event-time order once it has, so late
+  events inside the watermark give the same decisions as ordered ones; of a run's events
+  equal in (event time, step) the last one counts;
+* ``check``: value state, when the first run of the bucket may be finished.
 
 A timer fires when the watermark reaches the earliest waiting event; another one, ``idle``
-after the last event, deletes the state of a finished run. A stream that goes on where a
+after a run's last event, deletes the state of finished runs. A stream that goes on where a
 batch job stopped gets the retained checkpoints as initial state.
 
-Rows are stored frame by frame, so no task holds a key's whole micro-batch. The state
+Events are stored frame by frame. A bucket's waiting events are in memory together when
+the watermark passes some of them; bound a micro-batch by the source's options. The state
 store must be RocksDB (``spark.sql.streaming.stateStore.providerClass``).
 """
 
@@ -21,6 +25,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -29,67 +34,97 @@ from ..session import ensure_checkpoint_dir, ship_by_value
 
 PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-RETAINED = T.StructType([T.StructField("loss", T.DoubleType()), T.StructField("step", T.LongType())])
-CLOCK = T.StructType([T.StructField("step", T.LongType()), T.StructField("session", T.LongType()), T.StructField("at", T.LongType())])
-WAITING_KEY = T.StructType([T.StructField("at", T.LongType()), T.StructField("step", T.LongType())])
-WAITING = T.StructType([T.StructField("loss", T.DoubleType())])
+BUCKETS = 1024  # part of the state's layout: a checkpoint goes on with the number it began with
+CHUNK = 10_000
+RUN = T.StructType([T.StructField("run", T.StringType())])
+CLOCK = T.StructType(
+    [T.StructField("step", T.LongType()), T.StructField("session", T.LongType()), T.StructField("at", T.LongType()),
+     T.StructField("losses", T.ArrayType(T.DoubleType())), T.StructField("steps", T.ArrayType(T.LongType()))]
+)
+WAITING = T.StructType(
+    [T.StructField("run", T.ArrayType(T.StringType())), T.StructField("at", T.ArrayType(T.LongType())),
+     T.StructField("step", T.ArrayType(T.LongType())), T.StructField("loss", T.ArrayType(T.DoubleType()))]
+)
+CHECK = T.StructType([T.StructField("at", T.LongType())])
 
 
 class SessionBestK(StatefulProcessor):
-    """One run: see the module text. ``idle_ms`` None: finished runs are kept."""
+    """One bucket of runs: see the module text. ``idle_ms`` None: finished runs are kept."""
 
-    def __init__(self, key_names: list[str], k: int, idle_ms: int | None):
-        self.key_names, self.k, self.idle_ms = key_names, k, idle_ms
+    def __init__(self, k: int, idle_ms: int | None):
+        self.k, self.idle_ms = k, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.retained = handle.getListState("retained", RETAINED)
-        self.clock = handle.getValueState("clock", CLOCK)
-        self.waiting = handle.getMapState("waiting", WAITING_KEY, WAITING)
+        self.clock = handle.getMapState("clock", RUN, CLOCK)
+        self.waiting = handle.getListState("waiting", WAITING)
+        self.check = handle.getValueState("check", CHECK)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = None
         for frame in rows:
-            at = frame["at_ms"].to_numpy()
-            for t, step, loss in zip(at.tolist(), frame["step"].tolist(), frame["eval_loss"].tolist()):
-                self.waiting.updateValue((t, int(step)), (float(loss),))
-            low = int(at.min())
+            self._wait(frame["run"].to_numpy(object), *(frame[c].to_numpy() for c in ("at_ms", "step", "eval_loss")))
+            low = int(frame["at_ms"].min())
             first = low if first is None else min(first, low)
         watermark = timerValues.getCurrentWatermarkInMs()
         if first is not None and first > watermark:
-            self.handle.registerTimer(first)
-        yield from self._due(key, watermark)
+            self.handle.registerTimer(first)  # what waits from before has its own timer
+        else:
+            yield from self._due(watermark)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        yield from self._due(key, watermark)
-        clock = self.clock.get()
-        if self.idle_ms is not None and clock is not None and watermark >= clock[2] + self.idle_ms and next(iter(self.waiting.keys()), None) is None:
-            self.retained.clear()
-            self.clock.clear()
-            self.waiting.clear()
+        yield from self._due(watermark)
+        check = self.check.get()
+        if check is not None and watermark >= check[0]:
+            self._forget(watermark)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        rows = initialState.sort_values(["eval_loss", "step"])
-        self.retained.put([(float(a), int(b)) for a, b in zip(rows["eval_loss"], rows["step"])][: self.k])
-        self.clock.update((int(rows["last_step"].max()), int(rows["session"].max()), int(rows["at_ms"].max())))
-
-    def _due(self, key, watermark: int) -> Iterator[pd.DataFrame]:
+        for run, rows in initialState.groupby("run", dropna=False, sort=False):
+            run = None if pd.isna(run) else run
+            step, session, at, losses, steps = self.clock.getValue((run,)) or (None, 0, 0, [], [])
+            best = sorted([*zip(losses, steps), *((float(a), int(b)) for a, b in zip(rows["eval_loss"], rows["step"]))])[: self.k]
+            last = int(rows["last_step"].max())
+            self.clock.updateValue((run,), (last if step is None else max(step, last), max(session, int(rows["session"].max())), max(at, int(rows["at_ms"].max())), [a for a, _ in best], [b for _, b in best]))
+
+    def _wait(self, *columns: np.ndarray) -> None:
+        for i in range(0, len(columns[0]), CHUNK):
+            self.waiting.appendValue(tuple(x[i : i + CHUNK].tolist() for x in columns))
+
+    def _held(self) -> list[np.ndarray]:
+        held = list(self.waiting.get())
+        return [np.concatenate([np.array(h[c], kind) for h in held]) for c, kind in enumerate((object, np.int64, np.int64, np.float64))] if held else []
+
+    def _due(self, watermark: int) -> Iterator[pd.DataFrame]:
         """Decisions of the waiting events that the watermark has passed."""
-        due, later = [], None
-        for (at, step), (loss,) in self.waiting.iterator():
-            if at <= watermark:
-                due.append((at, step, loss))
-            else:
-                later = at if later is None else min(later, at)
-        if not due:
+        held = self._held()
+        if not held or not (now := held[1] <= watermark).any():
             return
-        due.sort()
-        best = [tuple(x) for x in self.retained.get()]
-        last, session, seen = self.clock.get() or (None, 1, 0)
+        self.waiting.clear()
+        if not now.all():
+            later = [x[~now] for x in held]
+            self._wait(*later)
+            self.handle.registerTimer(int(later[1].min()))
+        run, at, step, loss = (x[now] for x in held)
+        code, names = pd.factorize(run, use_na_sentinel=False)
+        order = np.lexsort((step, at, code))
+        c, t, s = code[order], at[order], step[order]
+        order = order[np.append((c[1:] != c[:-1]) | (t[1:] != t[:-1]) | (s[1:] != s[:-1]), True)]
         out = []
-        for at, step, loss in due:
-            self.waiting.removeKey((at, step))
+        ends = np.flatnonzero(np.append(np.diff(code[order]) != 0, True)) + 1
+        for a, z in zip(np.append(0, ends[:-1]).tolist(), ends.tolist()):
+            mine = order[a:z]
+            self._decide(run[mine[0]], zip(at[mine].tolist(), step[mine].tolist(), loss[mine].tolist()), out)
+        if self.idle_ms is not None:
+            self._check_at(int(at.min()) + self.idle_ms)
+        if out:
+            yield pd.DataFrame(out, columns=["run", "session", "step", "eval_loss", "saved", "pruned_step"])
+
+    def _decide(self, run: str | None, events, out: list) -> None:
+        """One run's events, in order."""
+        last, session, seen, losses, steps = self.clock.getValue((run,)) or (None, 1, 0, [], [])
+        best = list(zip(losses, steps))
+        for at, step, loss in events:
             if last is not None and step <= last:
                 best, session = [], session + 1
             last, seen = step, max(seen, at)
@@ -100,15 +135,31 @@ class SessionBestK(StatefulProcessor):
             if saved:
                 best.append((loss, step))
                 best.sort()
-            out.append((*key, session, step, loss, saved, gone))
-        self.retained.put(best) if best else self.retained.clear()
-        self.clock.update((last, session, seen))
-        if later is not None:
-            self.handle.registerTimer(later)
-        if self.idle_ms is not None:
-            self.handle.registerTimer(seen + self.idle_ms)
-        if out:
-            yield pd.DataFrame(out, columns=[*self.key_names, "session", "step", "eval_loss", "saved", "pruned_step"])
+            out.append((run, session, step, loss, saved, gone))
+        self.clock.updateValue((run,), (last, session, seen, [a for a, _ in best], [b for _, b in best]))
+
+    def _check_at(self, at: int) -> None:
+        check = self.check.get()
+        if check is None or at < check[0]:
+            self.check.update((at,))
+            self.handle.registerTimer(at)
+
+    def _forget(self, watermark: int) -> None:
+        """Deletes the finished runs of the bucket and sets the next look."""
+        held = self._held()
+        busy = set(held[0].tolist()) if held else set()
+        done, ahead = [], None
+        for (run,), clock in self.clock.iterator():
+            end = clock[2] + self.idle_ms
+            if end > watermark:
+                ahead = end if ahead is None else min(ahead, end)
+            elif run not in busy:  # a busy one is looked at again when its events are due
+                done.append(run)
+        for run in done:
+            self.clock.removeKey((run,))
+        self.check.clear()
+        if ahead is not None:
+            self._check_at(ahead)
 
     def close(self) -> None:
         pass
@@ -129,18 +180,23 @@ def session_best_k_stream(events: DataFrame, k: int = 2, delay: str = "1 hour",
     spark = events.sparkSession
     ship_by_value(__name__)
     idle_ms = None if idle is None else int(spark.range(1).select((F.unix_millis(F.timestamp_millis(F.lit(0)) + F.expr(f"INTERVAL {idle}"))).alias("m")).first()["m"])
-    src = events.select("run_id", "at", F.unix_millis("at").alias("at_ms"), F.col("step").cast("long"), F.col("eval_loss").cast("double"))
+    kind = events.schema["run_id"].dataType
+    run = F.hex("run_id") if isinstance(kind, T.BinaryType) else F.col("run_id").cast("string")  # no float for a NULL among ids
+    bucket = F.pmod(F.xxhash64("run_id"), F.lit(BUCKETS)).cast("int").alias("bucket")
+    src = events.select(bucket, run.alias("run"), "at", F.unix_millis("at").alias("at_ms"), F.col("step").cast("long"), F.col("eval_loss").cast("double"))
     src = src.where("at IS NOT NULL AND step IS NOT NULL").fillna(float("nan"), ["eval_loss"]).withWatermark("at", delay)
     out = T.StructType(
-        [events.schema["run_id"], T.StructField("session", T.LongType()), T.StructField("step", T.LongType()), T.StructField("eval_loss", T.DoubleType()),
+        [T.StructField("run", T.StringType()), T.StructField("session", T.LongType()), T.StructField("step", T.LongType()), T.StructField("eval_loss", T.DoubleType()),
          T.StructField("saved", T.BooleanType()), T.StructField("pruned_step", T.LongType())]
     )
     start = None
     if initial is not None:
-        start = initial.select("run_id", "session", "step", "eval_loss", "last_step", F.unix_millis("at").alias("at_ms")).groupBy("run_id")
-    return src.groupBy("run_id").transformWithStateInPandas(
-        statefulProcessor=SessionBestK(["run_id"], k, idle_ms), outputStructType=out, outputMode="Append", timeMode="EventTime", initialState=start
+        start = initial.withColumn("run_id", F.col("run_id").cast(kind)).select(bucket, run.alias("run"), "session", "step", "eval_loss", "last_step", F.unix_millis("at").alias("at_ms")).groupBy("bucket")
+    got = src.groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=SessionBestK(k, idle_ms), outputStructType=out, outputMode="Append", timeMode="EventTime", initialState=start
     )
+    back = F.unhex("run") if isinstance(kind, T.BinaryType) else F.col("run").cast(kind)
+    return got.select(back.alias("run_id"), "session", "step", "eval_loss", "saved", "pruned_step")
 
 
 def replay_sessions(spark: SparkSession, events: DataFrame, k: int = 2, delay: str = "1 hour", idle: str | None = None, drops: int = 4, initial: DataFrame | None = None) -> DataFrame:
