@@ -67,3 +67,28 @@ def test_small_tiles_and_lists(spark, monkeypatch):
 def test_empty_table(spark):
     assert run(spark, []) == []
     assert run(spark, [(5, None, 1, "x")]) == [(5, 0, 5, True)]
+
+
+def bridged(n, dim=12, seed=5):
+    """Two families around a circle, too tight for a list to leave its family, one link between them."""
+    rng = np.random.default_rng(seed)
+    degrees = [*rng.uniform(0, 1.5, n), 2.0, 13.2, *rng.uniform(13.9, 15, n)]
+    x = 1e-4 * rng.standard_normal((len(degrees), dim))
+    x[:, 0] += np.cos(np.radians(degrees))
+    x[:, 1] += np.sin(np.radians(degrees))
+    return [(i, v.tolist(), 1, "x") for i, v in zip(rng.permutation(len(x)).tolist(), x)]
+
+
+def test_links_that_full_lists_keep_out(spark):
+    rows = bridged(300) + [(2000 + i, v, 2, "x") for i, (_, v, _, _) in enumerate(bridged(20))]
+    got = run(spark, rows)
+    assert got == naive(rows, 0.98) and len({r[2] for r in got if r[0] < 2000}) == 1
+
+
+def test_missed_audit_is_made_good(spark, monkeypatch):
+    """No refinement and bad starting runs: the exact pass finds every link, in small blocks too."""
+    monkeypatch.setattr(E, "RUN", 2)
+    monkeypatch.setattr(E, "CELLS", 16, raising=False)
+    monkeypatch.setattr(E, "TILE", 16)
+    rows = rows_of(3, n=100)
+    assert run(spark, rows, size=2, projections=1, rounds=0) == naive(rows, 0.98)

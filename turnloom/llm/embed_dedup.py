@@ -14,6 +14,14 @@ Saturation: a vector whose whole list passes the threshold may have more links t
 list can hold. Its list is enlarged to its whole component of threshold links, compared
 in tiles of ``TILE`` vectors; only counts leave a tile, never the pairs.
 
+The rest: a link that no row compared is still missing if both its lists are full of
+links. So the vectors are dealt into cells (a vector joins the smallest of the vectors it
+is linked to, twice, which stays in its component), and each cell that holds a full list is
+set against the cells of all other components: angles obey the triangle inequality, so two
+cells whose centres are further apart than both radii and the threshold's angle hold no
+link. What remains is compared vector by vector, in tiles. This is exact; if the audit is
+still missed after the last round, every cell counts as full.
+
 Audit: a bounded sample of vectors is compared with all vectors; while the share of
 their links that the graph holds is under ``min_recall``, or threshold links still
 appear, refinement goes on. Only links with a cosine of at least the threshold, in
@@ -39,6 +47,8 @@ PLANES = 48
 RUN = 48
 TILE = 512
 ROUNDS = 8
+CELLS = 2048
+SLACK = 1e-6  # radians: more than rounding moves an angle
 AUDIT = 256
 MIN_RECALL = 0.99
 
@@ -186,6 +196,116 @@ def _refine(graph: DataFrame, nodes: DataFrame, k: int, threshold: float) -> Dat
     return rows.mapInArrow(compare, "u long, v long, s double")
 
 
+def _cells(graph: DataFrame, nodes: DataFrame, comp: DataFrame, threshold: float, k: int, everything: bool) -> DataFrame:
+    """``(node, cell, component, full)``: a cell lies in one component and within two links
+    of its centre, the vector ``cell``; ``full``: the node's list holds ``k`` links."""
+    links = graph.where(F.col("s") >= threshold)
+    near = links.select("u", "v").unionByName(nodes.select(F.col("node").alias("u"), F.col("node").alias("v")))
+    lead = near.groupBy("u").agg(F.min(F.struct(F.xxhash64("v").alias("h"), "v"))["v"].alias("lead"))
+    cell = lead.join(lead.select(F.col("u").alias("lead"), F.col("lead").alias("cell")), "lead").select(F.col("u").alias("node"), "cell")
+    full = links.groupBy(F.col("u").alias("node")).agg((F.count(F.lit(1)) >= k).alias("full"))
+    out = cell.join(comp, "node", "left").join(full, "node", "left")
+    return out.select("node", "cell", F.coalesce("component", "node").alias("component"), (F.coalesce("full", F.lit(False)) | F.lit(everything)).alias("full"))
+
+
+def _near_cells(nodes: DataFrame, cells: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)``: pairs of cells of different components, one at least with a full list,
+    that may hold a link."""
+    units = nodes.select(F.col("node").alias("cell"), F.col("unit").alias("centre"))
+    rows = cells.join(nodes.select("node", "grp", "unit"), "node").join(units, "cell")
+
+    def angle(unit: pa.Array, centre: pa.Array) -> list[pa.Array]:
+        got = [np.frombuffer(a.as_buffer(), "<f8") @ np.frombuffer(b.as_buffer(), "<f8") for a, b in zip(unit, centre)]
+        return [pa.array(np.arccos(np.clip(np.array(got, np.float64), -1, 1)))]
+
+    rows = append_columns(rows, ["unit", "centre"], [T.StructField("angle", T.DoubleType())], angle)
+    balls = rows.groupBy("grp", "cell", "component").agg(F.max("full").alias("full"), F.max("angle").alias("radius")).join(units, "cell")
+    balls = write_table(balls.select("grp", "cell", "component", "full", "radius", "centre"), "embed-cells")
+    sizes = balls.groupBy("grp").agg(F.ceil(F.count_if("full") / CELLS).cast("int").alias("n_full"), F.ceil(F.count(F.lit(1)) / CELLS).cast("int").alias("n_all")).where("n_full > 0")
+    dealt = balls.join(sizes, "grp").withColumn("h", F.xxhash64("cell"))
+    left = dealt.where("full").withColumn("i", F.pmod("h", F.col("n_full")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_all") - 1)))
+    right = dealt.withColumn("j", F.pmod("h", F.col("n_all")).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_full") - 1)))
+    out = ["grp", "i", "j", "side", "cell", "component", "full", "radius", "centre"]
+    blocks = left.withColumn("side", F.lit(0)).select(*out).unionByName(right.withColumn("side", F.lit(1)).select(*out))
+    blocks = blocks.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "side")
+    reach = float(np.arccos(min(max(threshold, -1.0), 1.0))) + SLACK
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+        key = None
+
+        def out() -> Iterator[pa.RecordBatch]:
+            side, cell, comp, full, radius = (np.array([r[x] for r in held]) for x in range(5))
+            unit = np.stack([r[5] for r in held])
+            a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            for at in range(0, len(a), 256):
+                x = a[at : at + 256]
+                bound = np.cos(np.minimum(radius[x][:, None] + radius[b] + reach, np.pi)) - 1e-12
+                near = (unit[x] @ unit[b].T >= bound) & (comp[x][:, None] != comp[b])
+                near &= ~full[b] | (cell[x][:, None] < cell[b])  # two full cells meet twice
+                i, j = np.nonzero(near)
+                yield pa.RecordBatch.from_arrays([pa.array(cell[x][i]), pa.array(cell[b][j])], ["a", "b"])
+
+        for b in batches:
+            c = [b.column(i).to_pylist() for i in range(8)]
+            for g, i, j, side, cell, comp, full, radius, x in zip(*c, b.column(8)):
+                if (g, i, j) != key:
+                    if held:
+                        yield from out()
+                    held, key = [], (g, i, j)
+                held.append((side, cell, comp, full, radius, np.frombuffer(x.as_buffer(), "<f8")))
+        if held:
+            yield from out()
+
+    return blocks.mapInArrow(compare, "a long, b long")
+
+
+def _rest(graph: DataFrame, nodes: DataFrame, comp: DataFrame, threshold: float, k: int, everything: bool) -> DataFrame | None:
+    """Links ``(u, v)`` between components that full lists kept out, enough to join the
+    components; None: no list is full."""
+    cells = write_table(_cells(graph, nodes, comp, threshold, k, everything), "embed-in-cell")
+    if not cells.where("full").limit(1).count():
+        return None
+    pairs = write_table(_near_cells(nodes, cells, threshold), "embed-near-cells")
+    parts = cells.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts"))
+    members = cells.join(parts, "cell").join(nodes.select("node", "unit"), "node").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+
+    def side(name: str, own: str, other: str) -> DataFrame:
+        """The members of each pair's cell ``name``, once for each part of its other cell."""
+        many = parts.select(F.col("cell").alias("_of"), F.col("parts").alias("_many"))
+        met = pairs.join(many, pairs["b" if name == "a" else "a"] == many["_of"]).drop("_of")
+        got = met.join(members.withColumnRenamed("cell", name), name)
+        got = got.withColumn(own, F.col("part")).withColumn(other, F.explode(F.sequence(F.lit(0), F.col("_many") - 1)))
+        return got.select("a", "b", "i", "j", F.lit(name == "b").alias("second"), "node", "unit")
+
+    tiles = side("a", "i", "j").unionByName(side("b", "j", "i")).repartition("a", "b", "i", "j").sortWithinPartitions("a", "b", "i", "j")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+        key = None
+
+        def out() -> Iterator[pa.RecordBatch]:
+            second, node = np.array([r[0] for r in held]), np.array([r[1] for r in held])
+            unit = np.stack([r[2] for r in held])
+            near = unit[~second] @ unit[second].T >= threshold
+            if near.any():  # a cell is in one component: one link joins them
+                i, j = np.unravel_index(near.argmax(), near.shape)
+                yield pa.RecordBatch.from_arrays([pa.array(node[~second][[i]]), pa.array(node[second][[j]])], ["u", "v"])
+
+        for b in batches:
+            c = [b.column(i).to_pylist() for i in range(6)]
+            for p, q, i, j, second, node, x in zip(*c, b.column(6)):
+                if (p, q, i, j) != key:
+                    if held:
+                        yield from out()
+                    held, key = [], (p, q, i, j)
+                held.append((second, node, np.frombuffer(x.as_buffer(), "<f8")))
+        if held:
+            yield from out()
+
+    return write_table(tiles.mapInArrow(compare, "u long, v long"), "embed-rest")
+
+
 def _tile_counts(nodes: DataFrame, comp: DataFrame, threshold: float) -> DataFrame:
     """``(node, linked)``: other vectors (copies counted) linked to each node of a component."""
     members = comp.join(nodes.select("node", "copies", "unit"), "node")
@@ -278,14 +398,14 @@ def near_dedup(
     nodes = write_table(_nodes(rows), "embed-nodes")
     audit, n_audit = _audit(nodes, threshold, AUDIT)
     graph = write_table(_best(_start(nodes, size, threshold, projections, seed), size), "embed-graph")
-    links, before, comp = graph.where(F.col("s") >= threshold).select("u", "v"), -1, None
-    for _ in range(rounds):
-        comp = connected_components(links, "embed-cc")
-        comp = write_table(comp, "embed-comp")
+    links, before = graph.where(F.col("s") >= threshold).select("u", "v"), -1
+    for turn in range(rounds + 1):
+        comp = write_table(connected_components(links, "embed-cc"), "embed-comp")
         joined = comp.where("node <> component").count()
         held = audit.join(comp.select(F.col("node").alias("u"), F.col("component").alias("cu")), "u").join(
             comp.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v").where("cu = cv").count()
-        if joined == before and held >= min_recall * n_audit:
+        met = joined == before and held >= min_recall * n_audit
+        if met or turn == rounds:
             break
         before = joined
         more = write_table(_refine(graph, nodes, size, threshold), "embed-more")
@@ -293,7 +413,9 @@ def near_dedup(
         links = write_table(passed.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "embed-links")
         graph = write_table(_best(graph.unionByName(more), size), "embed-graph")
         drop_table(more)
-    comp = write_table(connected_components(links, "embed-cc"), "embed-comp")
+    rest = _rest(graph, nodes, comp, threshold, size, not met)
+    if rest is not None and rest.limit(1).count():
+        comp = write_table(connected_components(links.unionByName(rest), "embed-cc"), "embed-comp")
     counts = _tile_counts(nodes, comp, threshold)
     named = nodes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lows = named.groupBy("component").agg(F.min("low").alias("component_id"))
