@@ -178,3 +178,20 @@ def test_five_million_entries(spark):
     v = spark.range(5_000_000).selectExpr("concat('w', id) AS token", "CAST(id + 6 AS INT) AS id")
     r = encode(spark.createDataFrame([("w4999999 w0 none",)], "text string"), v).first()
     assert r.input_ids == [2, 5_000_005, 6, UNK_ID]
+
+
+def test_lookup_in_pieces(spark, monkeypatch):
+    """A batch of many tokens is looked up piece by piece: the same ids, no piece beyond the bound."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from turnloom.operators import tokens
+
+    seen, plain = [], pc.index_in
+    monkeypatch.setattr(pc, "index_in", lambda values, value_set: (seen.append(len(values)), plain(values, value_set=value_set))[1])
+    monkeypatch.setattr(tokens, "LOOKUP_TOKENS", 50, raising=False)
+    bc = spark.sparkContext.broadcast((["a", "b", "c"], [6, 7, 8]))
+    lists = [[], ["a"] * 120, None, ["b", "zz", "c"], ["c"] * 49, []]
+    got = tokens._lookup_udf(bc, 3).func(pa.array(lists, pa.list_(pa.string())).slice(1)).to_pylist()
+    assert got == [[{"a": 6, "b": 7, "c": 8}.get(t, 3) for t in x or []] for x in lists[1:]]
+    assert max(seen) <= 50 and sum(seen) == 172

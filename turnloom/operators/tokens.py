@@ -27,6 +27,8 @@ TOKEN_PATTERN = r"<start_of_turn>|<end_of_turn>|[\p{L}\p{N}_]+|[^\p{L}\p{N}_\t\n
 # Entries up to which a vocabulary is broadcast; a larger one is joined by token.
 MAX_VOCAB = 1_000_000
 BLOCK_ROWS = 256
+# Tokens looked up at once: what a worker holds beside a batch's tokens and ids.
+LOOKUP_TOKENS = 1 << 18
 
 
 def tokenize(text: Column | str) -> Column:
@@ -89,10 +91,12 @@ def vocab_broadcast(vocab: DataFrame):
 
 def _lookup_udf(bc, unk: int):
     """Arrow-native UDF: flatten the token lists, hash-lookup them in the vocabulary
-    (``pyarrow.compute.index_in``, C++), rebuild the lists. No per-row Python."""
+    (``pyarrow.compute.index_in``, C++), rebuild the lists. No per-row Python. Tokens are
+    looked up piece by piece, and what a batch took goes back before the next one."""
     ship_by_value(__name__)
 
     arrays: dict = {}
+    piece = LOOKUP_TOKENS
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def lookup(tokens):
@@ -104,11 +108,16 @@ def _lookup_udf(bc, unk: int):
             vocab_tokens, vocab_ids = bc.value
             arrays[flat.type] = pa.array(vocab_tokens, pa.string()).cast(flat.type), pa.array(vocab_ids, pa.int32())
         value_set, id_array = arrays[flat.type]
-        pos = pc.index_in(flat, value_set=value_set)
-        ids = pc.fill_null(pc.take(id_array, pos), pa.scalar(unk, pa.int32()))
+        ids = np.empty(len(flat), np.int32)
+        step = max(piece, len(value_set))  # the vocabulary is hashed once a piece
+        for at in range(0, len(flat), step):
+            pos = pc.index_in(flat.slice(at, step), value_set=value_set)
+            ids[at : at + step] = pc.fill_null(pc.take(id_array, pos), pa.scalar(unk, pa.int32())).to_numpy()
         offsets = tokens.offsets
         rebased = pc.subtract(offsets, offsets[0]).cast(pa.int32())
-        return pa.ListArray.from_arrays(rebased, ids)
+        del flat
+        pa.default_memory_pool().release_unused()
+        return pa.ListArray.from_arrays(rebased, pa.array(ids))
 
     return lookup
 
