@@ -47,6 +47,32 @@ def test_tokens_equal_the_library():
         assert np.frombuffer(got, "<u2").tolist() == tok.encode(t or "", add_special_tokens=False).ids
 
 
+def test_pieces_equal_the_library_in_windows_of_any_size(monkeypatch):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(WORD_BPE)
+    rng = random.Random(5)
+    signs = [*map(chr, range(1, 0x180)), "\u0301", "\u0307", "\u1e9e", "\u212a", "ﬁ", "日", "\u0958", "'s", " 's", "<|endoftext|>", "<|ENDOFTEXT|>"] + [" "] * 40 + ["\n"] * 5
+    texts = [f"a{c}b {c} A{c}{c}9 É{c}!" for c in signs] + ["", None, " ", "\n\n", "x" * 3000, "É" * 3000]
+    texts += ["".join(rng.choice(signs) for _ in range(60)) for _ in range(300)]
+    want = [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for window in (1, 13, 1000, 4 << 20):
+        monkeypatch.setattr(F, "WINDOW", window)
+        ids, cut = F.token_ids(pa.array(["before", *texts]).slice(1), WORD_BPE)
+        assert [ids[i:j].tolist() for i, j in zip(cut, cut[1:])] == want
+    monkeypatch.setattr(F, "_WORD_CACHE", 20)
+    ids, cut = F.token_ids(pa.array(texts), WORD_BPE)
+    assert [ids[i:j].tolist() for i, j in zip(cut, cut[1:])] == want
+
+
+def test_letters_and_marks_are_learnt_apart_and_without_case():
+    """A word is encoded once, whatever its case and the marks around it."""
+    known = F._tokenizer(WORD_BPE)["words"]
+    before = set(known)
+    F.tokenise(["Qzxwv, qzxwv! (QZXWV) ;qzxwv; \"Qzxwv\" qzxwv-Éqzx éqzx"], WORD_BPE)
+    assert {w for w in set(known) - before if w[-1:].isalpha() or w[-1] > 127} == {b"qzxwv", "éqzx".encode()}
+
+
 def test_files_give_every_document_back(spark, monkeypatch):
     from tokenizers import Tokenizer
 

@@ -19,22 +19,26 @@ the document ids: ``part`` is the place of the range partition, ``seg`` the plac
 ``first`` the ids of the partition that come before.
 
 Passes: a range shuffle of the texts by id; tokenisation (once, words cached by the
-worker) into a raw table; counting; encoding; decoding.
+worker, as letters and marks apart and in lower case) into a raw table; counting; encoding; decoding.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import ship_by_value
 from .common import worker_cache, write_table
+from .sentencepiece import by_bytes
 
 ship_by_value(__name__)
 
@@ -45,7 +49,8 @@ BLOCK = LANES * STEPS
 CHECKPOINT_STEPS = 256
 SEGMENT_IDS = 1 << 20
 _LOW = np.uint64(1 << 31)
-_WORD_CACHE = 700_000
+_WORD_CACHE = 500_000
+WINDOW = 4 << 20  # text cut at once
 
 
 # ---------------------------------------------------------------- the coder
@@ -180,59 +185,147 @@ def _tokenizer(path: str):
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     cache = worker_cache(f"tokenizer {path}")
     if "t" not in cache:
-        cache["t"], cache["words"] = Tokenizer.from_file(path), {}
+        tok = Tokenizer.from_file(path)
+        kinds = np.full(256, _MARK, np.uint8)
+        kinds[np.r_[0:33, 39, 127:256]] = _ODD
+        kinds[[10, 32]] = _GAP
+        kinds[48:58] = _DIGIT
+        kinds[np.r_[65:91, 97:123]] = _LETTER
+        kinds[[x.content.encode()[0] for x in tok.get_added_tokens_decoder().values()]] = _ODD
+        last = np.zeros(1 << 16, bool)
+        vocab = tok.get_vocab(with_added_tokens=False)
+        if all(c + "</w>" in vocab for c in pre_tokenizers.ByteLevel.alphabet()):  # every word has an end
+            last[[i for w, i in vocab.items() if w.endswith("</w>") and i < len(last)]] = True
+        cache["fast"] = Tokenizer(Tokenizer.from_file(path).model)  # for pieces that are split and in lower case already
+        cache["fast"].pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        cache["kinds"], cache["last"] = kinds.tobytes(), last
+        cache["cut"] = np.flatnonzero((kinds != _ODD) & (kinds != _GAP)).astype(np.uint8).tobytes() + bytes(range(0x80, 0xC0)) + b"\xc3"
+        cache["words"], cache["flat"], cache["n"], cache["at"] = {}, np.zeros(0, "<u2"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        cache["t"] = tok
     return cache
 
 
 def tokenise(texts: list[str | None], path: str) -> list[bytes]:
-    """Ids of every whole text as little-endian 16-bit integers, without special tokens.
+    """Ids of every whole text as little-endian 16-bit integers, without special tokens."""
+    ids, cut = token_ids(pa.array(texts, pa.large_string()), path)
+    return [ids[i:j].tobytes() for i, j in zip(cut.tolist(), cut[1:].tolist())]
 
-    The tokenizer splits at white space and codes what stands between on its own, so
-    texts are cut at spaces and line ends and each distinct piece is encoded once.
+
+# Kinds of bytes. ODD ones (beyond Latin-1 letters, white space, the apostrophe of "'s", whatever
+# begins an added token) leave the whole of what stands between spaces to the tokenizer.
+_GAP, _LETTER, _DIGIT, _MARK, _ODD = range(5)
+_LOWER = bytes(range(256)).lower()
+_BREAK = re.compile(rb"[ \n]")
+_CUT = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[0-9]|[!-/:-@\[-`{-~]+")  # what is cut off as one piece
+
+
+def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, one after the other, and where each text's begin (one more at
+    the end). NULL has none.
+
+    The tokenizer splits at white space and takes runs of letters, runs of marks and
+    single digits apart, and ignores case. So texts are cut there, in windows that end at
+    a space or line end, and the tokenizer gets each distinct piece once.
     """
     cache = _tokenizer(path)
-    tok, known = cache["t"], cache["words"]
-    split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-    for a in range(0, len(split), 256):
-        some = split[a : a + 256]
-        new = list(set().union(*some) - known.keys())
-        if len(known) + len(new) > _WORD_CACHE:
-            known.clear()
-            new = list(set().union(*some))
-        _learn(new, tok, known)
-        for j, words in enumerate(some):
-            split[a + j] = b"".join(map(known.__getitem__, words))
-    return split
-
-
-_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-
-
-def _learn(new: list[str], tok, known: dict[str, bytes]) -> None:
-    """Encode unknown pieces. The tokenizer takes a run of letters and a run of marks
-    apart and ignores case, so a word with marks after it needs only what is new in it."""
-    plain, cores, rest = tok.model.tokenize, {}, []
-    for w in new:
-        core = w.rstrip(_MARKS)
-        if core.isascii() and core.isalpha():
-            cores[w] = (core.lower(), w[len(core) :])
-        else:
-            rest.append(w)
-    marks = {m for _, m in cores.values() if m and m not in known}
-    rest += marks
-    for i in range(0, len(rest), 4096):
-        part = rest[i : i + 4096]
-        for w, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False)):
-            known[w] = np.array(e.ids, "<u2").tobytes()
-    for w, (core, mark) in cores.items():
-        ids = known.get(core)
-        if ids is None:
-            known[core] = ids = np.array([t.id for t in plain(core)], "<u2").tobytes()
-        known[w] = ids + known[mark] if mark else ids
+    texts = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), ""), pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
+    if not len(texts):
+        return np.zeros(0, "<u2"), np.zeros(1, np.int64)
+    rows = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    data = np.frombuffer(texts.buffers()[2], np.uint8, int(rows[-1] - rows[0]), int(rows[0]))
+    rows = rows - rows[0]
+    out, cut, at, done = [], np.zeros(len(rows), np.int64), 0, 0
+    while at < len(data):
+        end = at + WINDOW
+        if end < len(data):
+            end = _BREAK.search(data, end).end()  # each text is followed by one
+        flat, ends, place = _window_ids(data[at:end], cache)
+        some = slice(*np.searchsorted(rows, [at, min(end, len(data))]))
+        cut[some] = done + ends[np.searchsorted(place, rows[some] - at)]
+        out.append(flat)
+        at, done = end, done + len(flat)
+    cut[-1] = done
+    return np.concatenate(out), cut
+
+
+def _window_ids(raw: np.ndarray, cache: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids of a window, how many stand before each piece (and in all), and where the pieces begin."""
+    text = raw.tobytes()
+    kind = np.frombuffer(bytearray(text.translate(cache["kinds"])), np.uint8)
+    low = np.frombuffer(bytearray(text.translate(_LOWER)), np.uint8)
+    lead = np.flatnonzero(raw == 0xC3)  # U+00C0 to U+00FF: letters but for two
+    lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]
+    kind[lead] = kind[lead + 1] = _LETTER
+    low[lead + 1] |= 0x20 * (raw[lead + 1] < 0x9F).astype(np.uint8)
+    odd = np.flatnonzero(kind == _ODD)
+    if len(odd):
+        gaps = np.flatnonzero(kind == _GAP)
+        word = np.unique(np.searchsorted(gaps, odd))
+        start = np.append(-1, gaps)[word] + 1
+        size = np.append(gaps, len(raw))[word] - start
+        whole = np.repeat(start - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
+        kind[whole] = _ODD
+        low[whole] = raw[whole]
+    inside = kind != _GAP
+    first = inside & ((np.diff(kind, prepend=np.uint8(_GAP)) != 0) | (kind == _DIGIT))
+    place = np.flatnonzero(first)
+    if not len(place):
+        return np.zeros(0, "<u2"), np.zeros(1, np.int64), place
+    low = low[inside]
+    starts = np.append(np.flatnonzero(first[inside]), len(low))
+    pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(place), [None, pa.py_buffer(starts), pa.py_buffer(low)]).dictionary_encode()
+    which = _known(pieces.dictionary.to_pylist(), cache)[pieces.indices.to_numpy()]
+    n = cache["n"][which]
+    ends = np.append(0, np.cumsum(n))
+    return cache["flat"][np.repeat(cache["at"][which] - ends[:-1], n) + np.arange(ends[-1])], ends, place
+
+
+def _known(pieces: list[bytes], cache: dict) -> np.ndarray:
+    """The places of pieces in the worker's ``n`` (their ids), ``at`` and ``flat``; new ones are encoded."""
+    known = cache["words"]
+    new = [w for w in pieces if w not in known]
+    if len(known) + len(new) > _WORD_CACHE:
+        known.clear()
+        cache["flat"], cache["n"] = cache["flat"][:0], cache["n"][:0]
+        new = pieces
+    if new:
+        cut, rest = [], []
+        for w in new:
+            (cut if _CUT.fullmatch(w) and not w.translate(None, cache["cut"]) else rest).append(w)
+        got = [*_encode(cut, cache["fast"], cache, 1024), *_encode(rest, cache["t"], cache, 1)]
+        known.update(zip([*cut, *rest], range(len(known), len(known) + len(new))))
+        cache["flat"] = np.concatenate([cache["flat"], *[g[0] for g in got]])
+        cache["n"] = np.concatenate([cache["n"], *[g[1] for g in got]])
+        cache["at"] = np.append(0, np.cumsum(cache["n"])[:-1])
+    return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+
+
+def _encode(words: list[bytes], tok, cache: dict, together: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The ids of words and the number of each, in groups. So many words ``together`` stand in
+    a line and are told apart by the ids that end a word; a line without one end a word is
+    encoded word by word."""
+    for a in range(0, len(words), 4096):
+        lines = [words[i : min(i + together, a + 4096)] for i in range(a, min(a + 4096, len(words)), together)]
+        got = tok.encode_batch_fast([b" ".join(x).decode() for x in lines], add_special_tokens=False)
+        if together == 1:
+            yield _joined(got)
+            continue
+        for line, e in zip(lines, got):
+            ids = np.array(e.ids, "<u2")
+            ends = np.flatnonzero(cache["last"][ids]) + 1
+            if len(ends) == len(line) and ends[-1] == len(ids):
+                yield ids, np.diff(ends, prepend=0)
+            else:
+                yield _joined(cache["t"].encode_batch_fast([w.decode() for w in line], add_special_tokens=False))
+
+
+def _joined(got: list) -> tuple[np.ndarray, np.ndarray]:
+    ids = [e.ids for e in got]
+    return np.fromiter(chain.from_iterable(ids), "<u2"), np.fromiter(map(len, ids), np.int64, len(ids))
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", name: str = "token-files") -> tuple[DataFrame, Coder]:
@@ -258,13 +351,15 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_
             return pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(row, kinds)], ["part", "seg", "first", "n", "ids", "sizes", "raw"])
 
         for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), tokenise(b.column(1).to_pylist(), tokenizer_path)):
-                ids.append(i), sizes.append(len(t) // 2 + 1), raw.append(t + end)
-                held += len(t) // 2 + 1
-                if held >= SEGMENT_IDS:
-                    yield segment()
-                    seg, first = seg + 1, first + held
-                    ids, sizes, raw, held = [], [], [], 0
+            for x, y in by_bytes(b.column(1), WINDOW):
+                found, at = token_ids(b.column(1).slice(x, y - x), tokenizer_path)
+                for i, p, q in zip(b.column(0).slice(x, y - x).to_pylist(), at.tolist(), at[1:].tolist()):
+                    ids.append(i), sizes.append(q - p + 1), raw.append(found[p:q].tobytes() + end)
+                    held += q - p + 1
+                    if held >= SEGMENT_IDS:
+                        yield segment()
+                        seg, first = seg + 1, first + held
+                        ids, sizes, raw, held = [], [], [], 0
         if ids:
             yield segment()
 
