@@ -17,7 +17,7 @@ their length.
 
 Parts meet the documents again by blocks of neighbouring documents: each sends its
 distinct parts, with the block's number, to the lattice and gets a dictionary of the
-block back; texts are shuffled once, to it, as compressed Arrow batches. Nothing is
+block back, packed by the lattice's tasks and opened piece by piece; texts are shuffled once, to it, as compressed Arrow batches. Nothing is
 broadcast but the piece table.
 Long texts have blocks of their own by size, so a block holds a few ``block_bytes`` or
 one text.
@@ -25,7 +25,7 @@ one text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,6 +46,9 @@ TASK_BYTES = 6 << 20  # text for each task of the lattice
 CUT_BYTES = 1 << 20  # text cut at once
 BATCH_BYTES = 4 << 20  # text packed and coded at once
 SEEN = 1_000_000  # parts a task keeps before it sends their distinct ones
+REPLY = 400_000  # paths a task keeps before it sends them to their blocks
+OPENED = 100_000  # paths opened at once
+DECODED = 1_000_000  # ids decoded at once
 
 
 @dataclass(frozen=True)
@@ -123,7 +126,8 @@ def parts(texts: pa.Array, pairs: Pairs) -> tuple[pa.Array, np.ndarray]:
     rows = np.frombuffer(col.buffers()[1], np.int64, len(col) + 1, col.offset * 8)
     data = np.frombuffer(col.buffers()[2], np.uint8, int(rows[-1] - rows[0]), int(rows[0])) if rows[-1] > rows[0] else np.zeros(0, np.uint8)
     rows = rows - rows[0]
-    starts, at, before = [rows[:-1][np.diff(rows) > 0]], 0, 0
+    begins, at, before = np.zeros(len(data) + 1, bool), 0, 0
+    begins[rows] = True
     while at < len(data):
         end = min(at + CUT_BYTES, len(data))
         while end < len(data) and data[end] & 0xC0 == 0x80:
@@ -131,9 +135,9 @@ def parts(texts: pa.Array, pairs: Pairs) -> tuple[pa.Array, np.ndarray]:
         raw = data[at:end]
         code = np.frombuffer(raw.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
         kinds = pairs.kind[code]
-        starts.append(at + np.flatnonzero((raw & 0xC0) != 0x80)[pairs.apart(before, kinds)])
+        begins[at + np.flatnonzero((raw & 0xC0) != 0x80)[pairs.apart(before, kinds)]] = True
         at, before = end, int(kinds[-1])
-    cut = np.append(np.unique(np.concatenate(starts)), len(data))
+    cut = np.flatnonzero(begins)
     more = []
     for i in np.flatnonzero(np.diff(cut) > MAX_UNIT).tolist():
         chars = np.flatnonzero((data[cut[i] : cut[i + 1]] & 0xC0) != 0x80)
@@ -199,17 +203,49 @@ def best_paths(words: DataFrame, p: Pieces) -> DataFrame:
     return grouped.select("word", *keep, F.expr(_FOLD).alias("best")).select("word", *keep, F.expr(_BACK).alias("starts"))
 
 
-def _ids_of_paths(words: pa.Array, paths: pa.Array, pieces: pa.Array, ids: np.ndarray, byte_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all words, one after the other, and where each word's begin (one more at
-    the end). A character without a piece is spelled in byte pieces."""
-    if not len(words):
-        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+def _packed(words: pa.Array, paths: pa.Array) -> bytes:
+    """Words and where their paths' pieces start, small: how many words and how many bytes of
+    them; each word's bytes and pieces, the words, the starts."""
+    rows = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, words.offset * 8)
+    pieces = paths.offsets.to_numpy()
+    values = paths.values.slice(int(pieces[0]), int(pieces[-1] - pieces[0])).to_numpy()
+    text = words.buffers()[2].slice(int(rows[0]), int(rows[-1] - rows[0]))
+    head = np.array([len(words), len(text), len(values)], np.int64).tobytes()
+    body = b"".join([np.diff(rows).astype(np.uint16).tobytes(), np.diff(pieces).astype(np.uint8).tobytes(), text.to_pybytes(), values.tobytes()])
+    return head + pa.compress(body, codec="zstd", asbytes=True)
+
+
+def _unpacked(rows: Iterable[pa.Scalar]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """What ``_packed`` has packed: words, the places of their starts and the starts, ``OPENED``
+    words or more at once."""
+    size, n, text, starts, held = [], [], [], [], 0
+    for row in rows:
+        raw = row.as_buffer()
+        words, length, places = np.frombuffer(raw, np.int64, 3).tolist()
+        body = np.frombuffer(pa.decompress(raw.slice(24), 3 * words + length + places, codec="zstd"), np.uint8)
+        for part, piece in zip((size, n, text, starts), np.split(body, np.cumsum([2 * words, words, length]))):
+            part.append(piece)
+        held += words
+        if held > OPENED:
+            yield _side_by_side(size, n, text, starts)
+            size, n, text, starts, held = [], [], [], [], 0
+    if held:
+        yield _side_by_side(size, n, text, starts)
+
+
+def _side_by_side(size: list, n: list, text: list, starts: list) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    at = np.append(0, np.cumsum(np.concatenate(size).view(np.uint16), dtype=np.int64))
+    words = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(np.concatenate(text)))
+    return words, np.append(0, np.cumsum(np.concatenate(n), dtype=np.int64)), np.concatenate(starts).view(np.int8).astype(np.int64) + 128
+
+
+def _ids_of_paths(words: pa.Array, of_word: np.ndarray, start: np.ndarray, pieces: pa.Array, ids: np.ndarray, byte_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words, one after the other, and each word's number. Its pieces begin
+    at the places ``start[of_word[i]:of_word[i + 1]]``; a character without a piece is
+    spelled in byte pieces."""
     rows = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, words.offset * 8)
     data = np.frombuffer(words.buffers()[2], np.uint8, int(rows[-1] - rows[0]), int(rows[0]))
     chars = np.flatnonzero((data & 0xC0) != 0x80)
-    of_word = paths.offsets.to_numpy().astype(np.int64)
-    start = paths.values.to_numpy()[of_word[0] : of_word[-1]].astype(np.int64) + 128
-    of_word -= of_word[0]
     first = np.searchsorted(chars, rows[:-1] - rows[0])
     cut = np.append(chars[np.repeat(first, np.diff(of_word)) + start], len(data))
     found = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(cut), pa.py_buffer(data))
@@ -220,7 +256,7 @@ def _ids_of_paths(words: pa.Array, paths: pa.Array, pieces: pa.Array, ids: np.nd
     odd = np.repeat(which < 0, size)
     inside = np.arange(len(flat)) - np.repeat(ends[:-1], size)
     flat[odd] = byte_ids[data[(np.repeat(cut[:-1], size) + inside)[odd]]]
-    return flat, ends[of_word]
+    return flat.astype(np.int32), np.diff(ends[of_word])
 
 
 # ---------------------------------------------------------------- documents
@@ -293,6 +329,12 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     schema = T.StructType([*kept, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     names = [f.name for f in kept]
 
+    def stream(batch: pa.RecordBatch) -> bytes:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))) as w:
+            w.write_batch(batch)
+        return sink.getvalue().to_pybytes()
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             order = np.argsort(batch.column(0).to_numpy(zero_copy_only=False), kind="stable")
@@ -301,24 +343,46 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
             cut = np.flatnonzero(np.diff(keys)) + 1
             for i, j in zip(np.append(0, cut).tolist(), np.append(cut, len(keys)).tolist() if len(keys) else []):
                 for a, b in by_bytes(rest.column("text").slice(i, j - i), BATCH_BYTES):
-                    sink = pa.BufferOutputStream()
-                    with pa.ipc.new_stream(sink, rest.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))) as w:
-                        w.write_batch(rest.slice(i + a, b - a))
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 1]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "rows"])
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 1]), pa.array([stream(rest.slice(i + a, b - a))], pa.binary())], ["block", "rows"])
+
+    def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            rows = rows.take(pc.sort_indices(rows["block"]))
+            keys = rows["block"].to_numpy()
+            cut = np.flatnonzero(np.diff(keys)) + 1
+            word, starts = rows["word"].combine_chunks().cast(pa.large_string()), rows["starts"].combine_chunks()
+            held.clear()
+            for i, j in zip(np.append(0, cut).tolist(), np.append(cut, len(keys)).tolist()):
+                yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 1]), pa.array([_packed(word.slice(i, j - i), starts.slice(i, j - i))], pa.binary())], ["block", "rows"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) > REPLY:
+                yield from out()
+        if held:
+            yield from out()
 
     def fill(docs_: pa.Table, lookup_: pa.Table) -> pa.Table:
         pairs = Pairs.of(shared.value[0])
         pieces, ids_of, byte_ids = pa.array(shared.value[0], pa.large_string()), np.array(shared.value[1]), np.array(shared.value[2])
-        known = lookup_.column("word").combine_chunks().cast(pa.large_string())
-        paths = lookup_.column("starts").combine_chunks()
-        flat, at = _ids_of_paths(known, paths, pieces, ids_of, byte_ids)
-        size = np.diff(at)
+        words, flats, sizes = [pa.array([], pa.large_string())], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for known, of_word, start in _unpacked(lookup_.column("rows")):
+            flat, size = _ids_of_paths(known, of_word, start, pieces, ids_of, byte_ids)
+            words.append(known), flats.append(flat), sizes.append(size)
+        known, flat, size = pa.concat_arrays(words), np.concatenate(flats), np.concatenate(sizes)
+        at = np.append(0, np.cumsum(size))
+        del words, flats, sizes
         coded = []
         for packed in docs_.column("rows"):
             rows = pa.ipc.open_stream(packed.as_buffer()).read_next_batch()
             found, first = parts(rows.column("text"), pairs)
             coded.append((rows.select(names), found.dictionary_encode(), first))
         where = pc.index_in(pa.chunked_array([c[1].dictionary for c in coded], pa.large_string()), value_set=known).combine_chunks().to_numpy(zero_copy_only=False)
+        del known
         batches, done = [], 0
         for rows, found, first in coded:
             which = where[done : done + len(found.dictionary)][found.indices.to_numpy()]
@@ -331,6 +395,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         return pa.Table.from_batches(batches)
 
     src = src.mapInArrow(pack, "block int, rows binary")
+    lookup = lookup.mapInArrow(reply, "block int, rows binary")
     got = src.groupBy("block").cogroup(lookup.groupBy("block")).applyInArrow(fill, schema)
     return got.select(F.col("id").alias(id_col), *[F.col(f"c_{c}").alias(c) for c in carry], "n_tokens", "ids")
 
@@ -342,14 +407,18 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", out: str = "d
     spelled = rows.sparkSession.sparkContext.broadcast(Pieces.load(model_path).spelled)
 
     def run(col: pa.Array) -> list[pa.Array]:
-        cut = col.offsets.to_numpy()
-        pieces = pa.array(spelled.value, pa.large_binary()).take(col.values.slice(cut[0], cut[-1] - cut[0]))
-        at = np.frombuffer(pieces.buffers()[1], np.int64, len(pieces) + 1, pieces.offset * 8)[cut - cut[0]].tolist()
-        data = pieces.buffers()[2]
-        texts = []
-        for i, j in zip(at, at[1:]):  # a text's pieces stand side by side in the buffer
-            raw = data.slice(i, j - i).to_pybytes() if j > i else b""
-            texts.append((raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace"))
-        return [pa.array(texts, pa.string())]
+        table, cut, texts, i = pa.array(spelled.value, pa.large_binary()), col.offsets.to_numpy(), [], 0
+        while i < len(col):  # as many rows as hold so many ids; one more than that stands alone
+            j = max(i + 1, int(np.searchsorted(cut, cut[i] + DECODED, "right")) - 1)
+            pieces = table.take(col.values.slice(cut[i], cut[j] - cut[i]))
+            at = np.frombuffer(pieces.buffers()[1], np.int64, len(pieces) + 1, pieces.offset * 8)[cut[i : j + 1] - cut[i]].tolist()
+            data = pieces.buffers()[2]
+            some = []
+            for a, b in zip(at, at[1:]):  # a text's pieces stand side by side in the buffer
+                raw = data.slice(a, b - a).to_pybytes() if b > a else b""
+                some.append((raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace"))
+            texts.append(pa.array(some, pa.string()))
+            i = j
+        return [pa.concat_arrays(texts)]
 
     return append_columns(rows, [ids_col], [T.StructField(out, T.StringType())], run)
