@@ -210,3 +210,21 @@ def test_a_very_long_text_among_short_ones(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = P.decode(P.encode(docs, PIECES, block_bytes=100_000), PIECES).select("doc_id", "decoded").collect()
     assert {r.doc_id: r.decoded for r in got} == dict(rows)
+
+
+def test_long_texts_here_and_there_do_not_split_the_dictionaries(spark, tmp_path):
+    """Blocks are filled up to ``block_bytes``, so that few dictionaries say the same words again."""
+    rows = [(i, "word " * (2000 if i % 25 == 0 else 100)) for i in range(2000)]
+    spark.createDataFrame(rows, "id long, text string").coalesce(1).write.parquet(str(tmp_path / "t"))
+    src, size = P._in_blocks(spark.read.parquet(str(tmp_path / "t")), 400_000)
+    held = [r.b for r in src.selectExpr("block", "octet_length(text) AS n").groupBy("block").sum("n").toDF("block", "b").collect()]
+    assert sum(held) == size == sum(len(t) for _, t in rows)
+    assert max(held) <= 400_000 and len(held) <= 2 * size / 400_000
+
+
+def test_blocks_hold_where_long_texts_lie_side_by_side(spark, tmp_path):
+    rows = [(i, "word " * (4000 if i < 40 else 1)) for i in range(4000)] + [(9999, "x" * 900_000)]
+    spark.createDataFrame(rows, "id long, text string").coalesce(1).write.parquet(str(tmp_path / "t"))
+    src, _ = P._in_blocks(spark.read.parquet(str(tmp_path / "t")), 100_000)
+    held = src.selectExpr("block", "octet_length(text) AS b", "1 AS n").groupBy("block").sum("b", "n").toDF("block", "b", "n").collect()
+    assert all(r.b <= 100_000 or r.n == 1 for r in held)

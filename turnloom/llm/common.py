@@ -3,6 +3,7 @@ Arrow batches, connected components and a bounded membership filter."""
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -10,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..session import ensure_checkpoint_dir, ship_by_value
@@ -53,9 +55,43 @@ def worker_cache(name: str) -> dict:
     return mod.__dict__.setdefault(name, {})
 
 
-def append_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField], fn: Callable[..., list[pa.Array]]) -> DataFrame:
-    """``df`` plus ``fields``, which ``fn(*input arrays)`` computes for each Arrow batch.
-    Columns of ``df`` that have the name of an output field are replaced."""
+def give_back() -> None:
+    """What this worker has freed goes back to the machine. Idle workers of an executor stay
+    beside those at work, and would keep the most they ever held."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # another C library
+        pass
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, with ``give_back`` at the end of each task."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
+def by_bytes(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about ``limit`` bytes of text; a longer text stands alone."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    a = 0
+    while a < len(size):
+        done = size[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(size, done + limit, "right")))
+        yield a, b
+        a = b
+
+
+def append_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField], fn: Callable[..., list[pa.Array]], at_once: int | None = None) -> DataFrame:
+    """``df`` plus ``fields``, which ``fn(*input arrays)`` computes for each Arrow batch, or
+    for runs of its rows of about ``at_once`` bytes. Columns of ``df`` that have the name of
+    an output field are replaced."""
     new = [f.name for f in fields]
     base = [f for f in df.schema.fields if f.name not in new]
     keep = [i for i, f in enumerate(df.schema.fields) if f.name not in new]
@@ -63,11 +99,13 @@ def append_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                out = [b.column(i) for i in keep] + fn(*[b.column(i) for i in at])
+            n = max(1, b.num_rows * at_once // max(b.nbytes, 1) if at_once else b.num_rows)
+            for i in range(0, b.num_rows, n):
+                some = b.slice(i, n)
+                out = [some.column(i) for i in keep] + fn(*[some.column(i) for i in at])
                 yield pa.RecordBatch.from_arrays(out, [f.name for f in base] + new)
 
-    return df.mapInArrow(run, T.StructType(base + fields))
+    return df.mapInArrow(lean(run), T.StructType(base + fields))
 
 
 def byte_views(col: pa.Array) -> list[bytes]:

@@ -35,7 +35,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import ship_by_value
-from .common import append_columns, write_table
+from .common import append_columns, by_bytes, give_back, lean, write_table
 
 ship_by_value(__name__)
 
@@ -43,12 +43,14 @@ SPACE = "▁"
 MAX_UNIT = 240  # at most 255: a place has 8 bits in an edge
 BLOCK_BYTES = 32 << 20
 TASK_BYTES = 6 << 20  # text for each task of the lattice
-CUT_BYTES = 1 << 20  # text cut at once
-BATCH_BYTES = 4 << 20  # text packed and coded at once
+ORDINARY = 32  # times the mean size; longer texts have blocks by size
+CUT_BYTES = 1 << 18  # text cut at once
+BATCH_BYTES = 2 << 20  # text packed and coded at once
 SEEN = 1_000_000  # parts a task keeps before it sends their distinct ones
 REPLY = 400_000  # paths a task keeps before it sends them to their blocks
 OPENED = 100_000  # paths opened at once
 DECODED = 1_000_000  # ids decoded at once
+DECODED_BYTES = 4 << 20  # of rows decoded at once
 
 
 @dataclass(frozen=True)
@@ -150,17 +152,6 @@ def parts(texts: pa.Array, pairs: Pairs) -> tuple[pa.Array, np.ndarray]:
     return found, np.searchsorted(cut, rows)
 
 
-def by_bytes(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
-    """Runs of rows of about ``limit`` bytes of text; a longer text stands alone."""
-    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    a = 0
-    while a < len(size):
-        done = size[a - 1] if a else 0
-        b = max(a + 1, int(np.searchsorted(size, done + limit, "right")))
-        yield a, b
-        a = b
-
-
 # ---------------------------------------------------------------- the lattice
 # An edge is one long: end (8 bits from 52), rank (26 bits from 26), start (8 bits from
 # 18), id (18 bits). The best edge into a place has the path's number of pieces instead
@@ -262,8 +253,11 @@ def _ids_of_paths(words: pa.Array, of_word: np.ndarray, start: np.ndarray, piece
 # ---------------------------------------------------------------- documents
 def _in_blocks(src: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     """``src`` with ``block``, and the bytes of its texts: neighbouring rows of an input
-    file share a block, however the file is split; texts of four times the mean size and
-    more share one with texts of their size. Rows of no file are written to one first."""
+    file share a block, however the file is split; texts of ``ORDINARY`` times the mean size
+    and more share one with texts of their size. As many rows as no text can make too large
+    are a block at least; a block is as many of these as are never over ``block_bytes`` in
+    this table, so that it has one dictionary for all the text it can hold. Rows of no file
+    are written to one first."""
     try:
         src.select("_metadata.row_index").schema
     except AnalysisException:
@@ -271,10 +265,17 @@ def _in_blocks(src: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     size = F.octet_length("text")
     total = src.agg(F.sum(size).alias("b"), F.count(F.lit(1)).alias("n")).first()
     mean = max(1, (total["b"] or 0) // max(total["n"], 1))
-    kind = F.when(size < 4 * mean, F.lit(0)).otherwise(F.length(F.bin(size.cast("long")))).cast("int")
-    rows = F.when(kind == 0, F.lit(max(1, block_bytes // mean))).otherwise(F.greatest(F.lit(1), F.expr(f"shiftright({block_bytes}L, length(bin(CAST(octet_length(text) AS BIGINT))))")))
-    block = F.hash(F.col("_metadata.file_path"), kind, F.floor(F.col("_metadata.row_index") / rows))
-    return src.select(block.alias("block"), *src.columns), total["b"] or 0
+    kind = F.when(size < ORDINARY * mean, F.lit(0)).otherwise(F.length(F.bin(size.cast("long")))).cast("int")
+    rows = F.when(kind == 0, F.lit(max(1, block_bytes // (ORDINARY * mean)))).otherwise(F.greatest(F.lit(1), F.expr(f"shiftright({block_bytes}L, length(bin(CAST(octet_length(text) AS BIGINT))))")))
+    file, least = F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / rows)
+    held = src.groupBy(file.alias("f"), kind.alias("kind"), least.alias("i")).agg(F.sum(size).alias("b"))
+    steps = sorted({m << k for m in (2, 3) for k in range(16)})
+    merged = held.select("f", "kind", "b", "i", F.explode(F.array(*map(F.lit, steps))).alias("n")).groupBy("f", "kind", "n", F.floor(F.col("i") / F.col("n"))).agg(F.sum("b").alias("b"))
+    fit = merged.groupBy("kind", "n").agg(F.max("b").alias("b")).where(F.col("b") <= block_bytes).groupBy("kind").agg(F.max("n").alias("n")).collect()  # a row for each kind
+    many = F.lit(1)
+    for r in fit:
+        many = F.when(kind == r["kind"], F.lit(r["n"])).otherwise(many)
+    return src.select(F.hash(file, kind, F.floor(least / many)).alias("block"), *src.columns), total["b"] or 0
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -320,7 +321,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         yield from out()
 
     tasks = max(1, -(-size // TASK_BYTES))
-    used = src.select("block", "text").mapInArrow(words, "block int, word string")
+    used = src.select("block", "text").mapInArrow(lean(words), "block int, word string")
     used = used.repartition(tasks, "word").groupBy("word").agg(F.collect_set("block").alias("blocks"))
     lookup = best_paths(used, p).select(F.explode("blocks").alias("block"), "word", "starts")
 
@@ -392,10 +393,12 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
             ids = flat[np.repeat(at[which] - ends[:-1], n) + np.arange(ends[-1])].astype(np.int32)
             cut = ends[first]
             batches.append(pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.diff(cut)), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(ids))], [*names, "n_tokens", "ids"]))
+        del flat, where, coded, rows, found, which, n, ends, ids
+        give_back()
         return pa.Table.from_batches(batches)
 
-    src = src.mapInArrow(pack, "block int, rows binary")
-    lookup = lookup.mapInArrow(reply, "block int, rows binary")
+    src = src.mapInArrow(lean(pack), "block int, rows binary")
+    lookup = lookup.mapInArrow(lean(reply), "block int, rows binary")
     got = src.groupBy("block").cogroup(lookup.groupBy("block")).applyInArrow(fill, schema)
     return got.select(F.col("id").alias(id_col), *[F.col(f"c_{c}").alias(c) for c in carry], "n_tokens", "ids")
 
@@ -421,4 +424,4 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", out: str = "d
             i = j
         return [pa.concat_arrays(texts)]
 
-    return append_columns(rows, [ids_col], [T.StructField(out, T.StringType())], run)
+    return append_columns(rows, [ids_col], [T.StructField(out, T.StringType())], run, DECODED_BYTES)
