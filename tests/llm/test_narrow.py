@@ -1,13 +1,19 @@
 """Language ID, toxicity, HTML extraction and sharding."""
 
+import os
 import random
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
 from tests.llm.data import DOCS, hostile_documents
 from turnloom.llm import html_extract, langid, sharding, toxicity
+from turnloom.llm.common import append_columns
 
 
 # ---------------------------------------------------------------- language ID
@@ -310,3 +316,55 @@ def test_placement_of_odd_rows(spark):
     assert sharding.place(docs.where("false"), sharding.document_key(), sharding.shard_names(5), 101).count() == 0
     with pytest.raises(ValueError):
         sharding.lookup_table(spark, ["a", "b"], 100)
+
+
+def test_columns_are_computed_in_runs_of_bounded_bytes(spark):
+    """A batch of long texts is not held as strings at once, and a task leaves no freed memory with its worker."""
+    docs = spark.range(64).selectExpr("id", "repeat('x', 10000) AS text").coalesce(1)
+
+    def run(text):
+        return [pa.array([len(text)] * len(text), pa.int64())]
+
+    got = [r.n for r in append_columns(docs, ["text"], [T.StructField("n", T.LongType())], run, 100_000).collect()]
+    assert len(got) == 64 and max(got) <= 10
+    assert {r.n for r in append_columns(docs, ["text"], [T.StructField("n", T.LongType())], run).collect()} == {64}
+
+
+def test_a_worker_gives_memory_back_after_its_task():
+    code = """
+import re
+import numpy as np, pyarrow as pa
+from turnloom.llm.common import lean
+
+def held():
+    return int(re.search(r"VmRSS:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+
+def run(batches):
+    for b in batches:
+        kept = [np.ones(10_000) for _ in range(1500)]
+        pinned.append(np.ones(10_000))  # lies behind them: freed memory does not go back by itself
+        yield b
+        del kept
+
+pinned = []
+before = held()
+for _ in lean(run)([1]):
+    most = held()
+print(before, most, held())
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    before, most, after = map(float, out.stdout.split())
+    assert most - before > 100 and after - before < 30
+
+
+def test_profiles_do_not_depend_on_the_bytes_read_at_once(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    a = langid.learn(docs)
+    monkeypatch.setattr(langid, "_BYTES_AT_ONCE", 5000)
+    monkeypatch.setattr(langid, "_CHARS_AT_ONCE", 700)
+    b = langid.learn(docs)
+    assert a.langs == b.langs and (a.grams == b.grams).all() and (a.ranks == b.ranks).all()
+    rows = lambda p: sorted((r.doc_id, r.lang_pred, r.score) for r in langid.identify(docs, p).collect())
+    got = rows(b)
+    monkeypatch.undo()
+    assert got == rows(a)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import ship_by_value
-from .common import maybe_member, membership_bits, mix64, prefix_hash, sliding_first_min, span_hash, write_table
+from .common import lean, maybe_member, membership_bits, mix64, prefix_hash, sliding_first_min, span_hash, write_table
 
 ship_by_value(__name__)
 
@@ -121,7 +121,7 @@ def _fingerprints(df: DataFrame, keep, bitmap, short: list[int], span: int, k: i
             out = [b.column(i) for i in at_col] + [pa.array(n_words, pa.int64()), pa.array(hits, _HIT_ARROW)]
             yield pa.RecordBatch.from_arrays(out, names + ["n_words", "hits"])
 
-    return df.mapInArrow(run, T.StructType([*keep, T.StructField("n_words", T.LongType()), T.StructField("hits", T.ArrayType(_HIT))]))
+    return df.mapInArrow(lean(run), T.StructType([*keep, T.StructField("n_words", T.LongType()), T.StructField("hits", T.ArrayType(_HIT))]))
 
 
 def _extend(pairs: DataFrame, span: int) -> DataFrame:
@@ -146,7 +146,7 @@ def _extend(pairs: DataFrame, span: int) -> DataFrame:
                         uid.append(u), entry.append(e), first.append(p - left), end.append(p + k + right)
             yield pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(entry, pa.binary()), pa.array(first, pa.int64()), pa.array(end, pa.int64())], ["uid", "entry", "a", "z"])
 
-    return pairs.mapInArrow(run, "uid long, entry binary, a long, z long")
+    return pairs.mapInArrow(lean(run), "uid long, entry binary, a long, z long")
 
 
 def decontaminate(

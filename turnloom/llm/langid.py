@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..session import ship_by_value
-from .common import append_columns, worker_cache
+from .common import append_columns, by_bytes, lean, worker_cache
 
 ship_by_value(__name__)
 
@@ -30,7 +30,8 @@ PROFILE_SIZE = 400
 MAX_N = 3
 UNDETERMINED = "und"
 _BITS = 21  # of a code point
-_CHARS_AT_ONCE = 1 << 20
+_CHARS_AT_ONCE = 1 << 18
+_BYTES_AT_ONCE = 4 << 20  # of texts held as strings
 
 
 @dataclass(frozen=True)
@@ -126,15 +127,17 @@ def learn(training: DataFrame, text_col: str = "text", lang_col: str = "lang", p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            langs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            langs = b.column(0).to_pylist()
             names = sorted(set(langs))
             number = {x: i for i, x in enumerate(names)}
-            order = sorted(range(len(langs)), key=lambda i: number[langs[i]])
+            group = np.array([number[x] for x in langs], np.int64)
             got: list[list[np.ndarray]] = [[], [], []]
-            for a, z in _blocks([texts[i] for i in order]):
-                part = gram_counts([texts[i] for i in order[a:z]], np.array([number[langs[i]] for i in order[a:z]]))
-                for g, p in zip(got, part):
-                    g.append(p)
+            for i, j in by_bytes(b.column(1), _BYTES_AT_ONCE):
+                order = np.argsort(group[i:j], kind="stable")
+                texts, of = b.column(1).slice(i, j - i).take(pa.array(order)).to_pylist(), group[i:j][order]
+                for a, z in _blocks(texts):
+                    for g, p in zip(got, gram_counts(texts[a:z], of[a:z])):
+                        g.append(p)
             grp, code, n = (np.concatenate(g) if g else np.zeros(0, np.int64) for g in got)
             if len(grp):
                 at = np.lexsort((code, grp))
@@ -143,7 +146,7 @@ def learn(training: DataFrame, text_col: str = "text", lang_col: str = "lang", p
                 n = np.add.reduceat(n, new)
                 yield pa.RecordBatch.from_arrays([pa.array(names).take(pa.array(grp[new])), pa.array(code[new]), pa.array(n)], ["lang", "code", "n"])
 
-    counts = src.mapInArrow(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counts = src.mapInArrow(lean(run), "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     top = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))).where(F.col("r") <= profile_size)
     rows = top.select("lang", "code", "r").collect()  # profile_size rows per language
     langs = sorted({r.lang for r in rows})
@@ -196,7 +199,7 @@ def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> Dat
         pred = [profiles.langs[b] if u else UNDETERMINED for b, u in zip(best, used)]
         return [pa.array(pred), pa.array(score)]
 
-    return append_columns(docs, [text_col], [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], run)
+    return append_columns(docs, [text_col], [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], run, _BYTES_AT_ONCE)
 
 
 def held_out():

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import ship_by_value
-from .common import append_columns, byte_views, connected_components, local_labels, write_table
+from .common import append_columns, byte_views, connected_components, lean, local_labels, write_table
 
 ship_by_value(__name__)
 
@@ -213,7 +213,7 @@ def close_links(fps: DataFrame, max_bits: int = 2, group_limit: int | None = Non
         if len(rest[0]):
             yield links(rest, np.zeros(1, np.int64))
 
-    return dealt.mapInArrow(run, "u long, v long")
+    return dealt.mapInArrow(lean(run), "u long, v long")
 
 
 def simhash_components(

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import ensure_checkpoint_dir, ship_by_value
-from .common import maybe_member, membership_bits, mix64, prefix_hash, shuffle_partitions, sliding_first_min, span_hash, write_table
+from .common import lean, maybe_member, membership_bits, mix64, prefix_hash, shuffle_partitions, sliding_first_min, span_hash, write_table
 from .suffix_array import permuted_lcp, suffix_array
 
 ship_by_value(__name__)
@@ -90,7 +90,7 @@ def _anchor_hashes(texts: DataFrame, span: int, k: int) -> DataFrame:
                 h, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
 
-    return texts.select("data").mapInArrow(run, "h long, n long")
+    return texts.select("data").mapInArrow(lean(run), "h long, n long")
 
 
 _SEGMENT = "k1 long, k2 long, h long, seg long, s0 long, n int, c0 int, c1 int"
@@ -116,7 +116,7 @@ def _segments(texts: DataFrame, bitmap, span: int, k: int) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], _names(_SEGMENT))
 
-    return texts.select(*_KEY, "data").mapInArrow(run, _SEGMENT)
+    return texts.select(*_KEY, "data").mapInArrow(lean(run), _SEGMENT)
 
 
 def _names(schema: str) -> list[str]:
@@ -153,7 +153,7 @@ def _refine(hot: DataFrame, texts: DataFrame, span: int) -> DataFrame:
                 kinds = [pa.int64()] * 5 + [pa.int32()] * 3
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], _names(_SEGMENT))
 
-    return _with_text(hot, texts, ["h", "s0", "n", "c0", "c1"]).mapInArrow(run, _SEGMENT)
+    return _with_text(hot, texts, ["h", "s0", "n", "c0", "c1"]).mapInArrow(lean(run), _SEGMENT)
 
 
 # ---------------------------------------------------------------- one shard
@@ -214,7 +214,7 @@ def _search(cut: DataFrame, span: int, shard_bytes: int) -> DataFrame:
         if held:
             yield out(held)
 
-    return cut.mapInArrow(run, "h long, seg long, n int, c0 int, a int, z int")
+    return cut.mapInArrow(lean(run), "h long, seg long, n int, c0 int, a int, z int")
 
 
 def repeated_spans(texts: DataFrame, span: int = SPAN, k: int = K, filter_bits: int = FILTER_BITS, shard_bytes: int | None = None) -> DataFrame:
@@ -259,7 +259,7 @@ def _cut(one: DataFrame, texts: DataFrame, span: int) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["h", "seg", "n", "c0", "part"])
 
-    return _with_text(need, texts, ["h", "seg", "n", "c0", "s0"]).mapInArrow(run, "h long, seg long, n int, c0 int, part binary")
+    return _with_text(need, texts, ["h", "seg", "n", "c0", "s0"]).mapInArrow(lean(run), "h long, seg long, n int, c0 int, part binary")
 
 
 def kept_texts(docs: DataFrame, text_col: str = "text", span: int = SPAN, with_bytes: bool = False, **limits) -> DataFrame:
@@ -290,7 +290,7 @@ def kept_texts(docs: DataFrame, text_col: str = "text", span: int = SPAN, with_b
             cols = [pa.array(c, t) for c, t in zip(zip(*out), kinds)][: 5 if with_bytes else 4]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], _names(schema))
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(lean(run), schema)
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, **limits) -> DataFrame:
@@ -317,7 +317,7 @@ def cleaned(docs: DataFrame, text_col: str = "text", span: int = SPAN, **limits)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())], ["__k1", "__k2", "__kept"])
 
     # the distinct texts meet the documents' other columns: no text crosses twice
-    text = kept.select(*_KEY, "kept").mapInArrow(run, "__k1 long, __k2 long, __kept string")
+    text = kept.select(*_KEY, "kept").mapInArrow(lean(run), "__k1 long, __k2 long, __kept string")
     k1, k2 = text_key(F.col(text_col).cast("string"))
     src = docs.select("*", k1.alias("__k1"), k2.alias("__k2"), F.col(text_col).isNotNull().alias("__any")).drop(text_col)
     both = src.join(text, ["__k1", "__k2"])
