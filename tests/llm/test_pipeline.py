@@ -4,13 +4,14 @@ from functools import cache
 
 import corpus_pipeline as C
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from tests.llm.test_decontaminate import naive as naive_leaks
 from tests.llm.test_simhash import naive_components, naive_fingerprint
 from tests.llm.test_suffix import naive as naive_spans
 from tests.llm.test_tokens import naive_parts, naive_viterbi, spell
-from turnloom.llm import sentencepiece as P
+from turnloom.llm import decontaminate, langid, sentencepiece as P
 
 SF = "/root/testdata/sf0.001"
 
@@ -82,3 +83,27 @@ def test_run_and_odd_rows(spark):
     for _, stage in C.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+def test_batches_that_workers_send_are_bounded(spark, monkeypatch):
+    """Language counts and marked documents come back slice by slice, not a whole input batch at once."""
+    docs = spark.createDataFrame([(1, "x", "en")], "uid long, text string, lang string")
+
+    class Given(Exception):
+        pass
+
+    def given(self, run, *rest):
+        raise Given(run)
+
+    def sent(call, batch):
+        with monkeypatch.context() as m, pytest.raises(Given) as found:
+            m.setattr(type(docs), "mapInArrow", given)
+            call()
+        return list(found.value.args[0](iter([batch])))
+
+    texts = pa.array([f"word{i % 7} other{i % 5} " * 400 for i in range(2000)])  # over 10 MB
+    got = sent(lambda: langid.learn(docs), pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), texts], ["lang", "text"]))
+    assert len(got) > 2
+    keep = [f for f in docs.schema.fields if f.name in ("uid", "text")]
+    got = sent(lambda: decontaminate._fingerprints(docs.select("uid", "text"), keep, None, [], 10, 8), pa.RecordBatch.from_arrays([pa.array(range(len(texts))), texts], ["uid", "text"]))
+    assert len(got) > 2 and [i for b in got for i in b.column(0).to_pylist()] == list(range(len(texts)))

@@ -108,3 +108,12 @@ def test_components_of_chains_and_hubs(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert {got[i] for i in range(401)} == {0}
     assert {got[1000 + i] for i in range(300)} == {1000}
+
+
+def test_texts_do_not_come_back_from_the_workers(spark):
+    """The fingerprints of many slices of texts, without the texts."""
+    rows = hostile_documents() + [(5000 + i, f"w{i} " * 3000, "en", "s", 1) for i in range(900)]
+    docs = spark.createDataFrame(rows, DOCS).coalesce(1)
+    got = simhash.with_fingerprint(docs.select("doc_id", "text"), drop=("text",))
+    assert got.columns == ["doc_id", "fp"]
+    assert sorted(((r.doc_id, r.fp % (1 << 64)) for r in got.collect()), key=str) == sorted(((r[0], naive_fingerprint(r[1])) for r in rows), key=str)

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.data import DOCS, hostile_documents
@@ -88,3 +89,31 @@ def test_cleaned_texts_and_empty_table(spark):
     assert sorted([(r.doc_id, r.text) for r in got.collect()], key=str) == want
     assert S.dedup(docs.where("false")).count() == 0
     assert S.cleaned(docs.where("false")).count() == 0
+
+
+def test_cleaned_in_slices_and_one_python_pass(spark, monkeypatch):
+    """Few bytes at once give the same texts, and the cut texts pass one worker, not two in a row."""
+    monkeypatch.setattr(S, "_BYTES_AT_ONCE", 300, raising=False)
+    rows = hostile_documents()
+    got = S.cleaned(spark.createDataFrame(rows, DOCS))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    want = sorted([(r[0], None if r[1] is None else w[4].decode("utf-8", "ignore")) for r, w in zip(rows, naive([r[1] for r in rows], 200))], key=str)
+    assert sorted([(r.doc_id, r.text) for r in got.collect()], key=str) == want
+
+
+def test_small_groups_share_small_suffix_arrays(spark, monkeypatch):
+    """What a task sorts at once is bounded by ``PACK_BYTES`` and one group, and holds whole groups."""
+    docs, given, sizes = spark.createDataFrame([(1,)], "x int"), [], []
+    with monkeypatch.context() as m:
+        m.setattr(type(docs), "mapInArrow", lambda self, run, schema: given.append(run))
+        S._search(docs, 200, getattr(S, "PACK_BYTES", S.SHARD_BYTES))
+    inner = S.repeated_windows
+    monkeypatch.setattr(S, "repeated_windows", lambda parts, n, span: sizes.append(sum(map(len, parts))) or inner(parts, n, span))
+    rng = random.Random(9)
+    rows = [(h, i, 50, 0, rng.randbytes(249)) for h in range(1500) for i in range(4)]
+    rows += [(h, 4, 50, 0, p) for h, _, _, _, p in rows[2::4]]  # one segment of each group comes twice
+    rows.sort(key=lambda r: r[:2])
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[a : a + 1000])], ["h", "seg", "n", "c0", "part"]) for a in range(0, len(rows), 1000)]
+    found = [r for b in given[0](iter(batches)) for r in zip(*[c.to_pylist() for c in b.columns])]
+    assert sorted(found) == [(h, s, 50, 0, 0, 50) for h in range(1500) for s in (2, 4)]
+    assert len(sizes) > 2 and max(sizes) <= 600_000

@@ -88,13 +88,13 @@ def by_bytes(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def append_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField], fn: Callable[..., list[pa.Array]], at_once: int | None = None) -> DataFrame:
+def append_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField], fn: Callable[..., list[pa.Array]], at_once: int | None = None, drop: tuple[str, ...] = ()) -> DataFrame:
     """``df`` plus ``fields``, which ``fn(*input arrays)`` computes for each Arrow batch, or
     for runs of its rows of about ``at_once`` bytes. Columns of ``df`` that have the name of
-    an output field are replaced."""
+    an output field are replaced, those of ``drop`` do not come back from the worker."""
     new = [f.name for f in fields]
-    base = [f for f in df.schema.fields if f.name not in new]
-    keep = [i for i, f in enumerate(df.schema.fields) if f.name not in new]
+    base = [f for f in df.schema.fields if f.name not in new and f.name not in drop]
+    keep = [i for i, f in enumerate(df.schema.fields) if f in base]
     at = [df.columns.index(c) for c in inputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import ship_by_value
-from .common import lean, maybe_member, membership_bits, mix64, prefix_hash, sliding_first_min, span_hash, write_table
+from .common import by_bytes, lean, maybe_member, membership_bits, mix64, prefix_hash, sliding_first_min, span_hash, write_table
 
 ship_by_value(__name__)
 
@@ -32,6 +32,7 @@ SPAN = 10
 K = 8
 FILTER_BITS = 24
 _PIECE = 1 << 20
+_BYTES_AT_ONCE = 4 << 20  # of texts held as bytes
 # A-Z to a-z; 0-9, a-z and all bytes from 0x80 are word bytes; the rest separates.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -101,7 +102,7 @@ def _fingerprints(df: DataFrame, keep, bitmap, short: list[int], span: int, k: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value if bitmap is not None else None
-        for b in batches:
+        for b in (batch.slice(i, j - i) for batch in batches for i, j in by_bytes(batch.column(text_at), _BYTES_AT_ONCE)):
             n_words, hits = [], []
             for data in b.column(text_at).cast(pa.binary()).to_pylist():
                 w = Words(data or b"")

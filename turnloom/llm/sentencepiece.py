@@ -298,12 +298,14 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         held = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            for k, found in seen.items():
-                got = pa.chunked_array(found).unique().cast(pa.string()).sort()  # neighbours alike: a smaller shuffle
+            while seen:
+                k, found = seen.popitem()
+                got = pa.chunked_array(found).unique()
+                del found
+                got = got.cast(pa.string()).sort()  # neighbours alike: a smaller shuffle
                 for a in range(0, len(got), 50_000):
                     w = got.slice(a, 50_000)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), k, np.int32)), w], ["block", "word"])
-            seen.clear()
 
         for batch in batches:
             keys, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)

@@ -40,6 +40,7 @@ ship_by_value(__name__)
 FANOUT = 16
 GROUP_LIMIT = 4096
 _SHINGLES_AT_ONCE = 1 << 16
+_BYTES_AT_ONCE = 4 << 20  # of texts held as strings
 
 
 def fingerprint_bytes(data: bytes, shingle: int = 3, seed: int = 42) -> int:
@@ -65,14 +66,14 @@ def fingerprint_bytes(data: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int(on.view("<u8")[0])
 
 
-def with_fingerprint(docs: DataFrame, text_col: str = "text", out: str = "fp", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``docs`` plus the fingerprint as a long (same 64 bits). NULL text: 0."""
+def with_fingerprint(docs: DataFrame, text_col: str = "text", out: str = "fp", shingle: int = 3, seed: int = 42, drop: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` without ``drop`` plus the fingerprint as a long (same 64 bits). NULL text: 0."""
 
     def run(text: pa.Array) -> list[pa.Array]:
         got = np.fromiter((fingerprint_bytes(x, shingle, seed) for x in byte_views(text)), np.uint64, len(text))
         return [pa.array(got.view(np.int64))]
 
-    return append_columns(docs, [text_col], [T.StructField(out, T.LongType())], run)
+    return append_columns(docs, [text_col], [T.StructField(out, T.LongType())], run, _BYTES_AT_ONCE, drop)
 
 
 # ---------------------------------------------------------------- groups by shared masked bits
@@ -230,7 +231,7 @@ def simhash_components(
     """
     extra = extra or {}
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *[c.alias(f"x_{n}") for n, c in extra.items()])
-    rows = write_table(with_fingerprint(src, "text", "fp", shingle, seed).drop("text"), "simhash-rows")
+    rows = write_table(with_fingerprint(src, "text", "fp", shingle, seed, drop=("text",)), "simhash-rows")
     codes = write_table(rows.groupBy("fp").agg(F.min("id").alias("low")), "simhash-codes")
     comp = connected_components(close_links(codes.select("fp"), max_bits), "simhash-cc")
     named = codes.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))

@@ -9,7 +9,7 @@ segment. Whole texts that are copies are reduced to one with a count, equal segm
 one with a count; segments whose anchor occurs once are never cut out (a bitmap of fixed
 size, ``filter_bits``, sorts most of them out, grouping decides). What is left, groups
 with different segments, is cut from the texts and dealt by anchor. A task concatenates
-whole groups up to ``SHARD_BYTES``, builds the suffix array by induced sorting and the
+whole groups up to ``PACK_BYTES`` (one group alone may be larger), builds the suffix array by induced sorting and the
 permuted common prefixes, and reports the windows that share ``span`` bytes with a
 neighbour in the order. Only windows of the segment's own anchor count, so no place is
 compared with itself.
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import ensure_checkpoint_dir, ship_by_value
-from .common import lean, maybe_member, membership_bits, mix64, prefix_hash, shuffle_partitions, sliding_first_min, span_hash, write_table
+from .common import by_bytes, lean, maybe_member, membership_bits, mix64, prefix_hash, shuffle_partitions, sliding_first_min, span_hash, write_table
 from .suffix_array import permuted_lcp, suffix_array
 
 ship_by_value(__name__)
@@ -42,8 +42,10 @@ ship_by_value(__name__)
 SPAN = 200
 K = 64
 FILTER_BITS = 26
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 2 << 20  # of one group at most
+PACK_BYTES = 1 << 19  # of small groups in one suffix array
 _PIECE = 1 << 20
+_BYTES_AT_ONCE = 2 << 20  # of texts, with what is cut from them
 _KEY = ["k1", "k2"]
 
 
@@ -186,8 +188,9 @@ def _runs(flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def _search(cut: DataFrame, span: int, shard_bytes: int) -> DataFrame:
-    """Segments ``(h, seg, n, c0, part)``, whole groups in order of ``h``, to runs of repeated windows."""
+def _search(cut: DataFrame, span: int, pack_bytes: int) -> DataFrame:
+    """Segments ``(h, seg, n, c0, part)``, whole groups in order of ``h``, to runs of repeated windows.
+    A suffix array takes some fifty times its bytes, so small ones are built one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -205,7 +208,7 @@ def _search(cut: DataFrame, span: int, shard_bytes: int) -> DataFrame:
         for b in batches:
             for r in zip(*[b.column(i).to_pylist() for i in range(5)]):
                 if r[0] != key:
-                    if size >= shard_bytes:
+                    if size >= pack_bytes:
                         yield out(held)
                         held, size = [], 0
                     key = r[0]
@@ -233,7 +236,7 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, k: int = K, filter_bits:
         hot = groups.where(F.col("bytes") > limit).select("h")
         cold = groups.where(F.col("bytes") <= limit).select("h")
         cut = _cut(one.join(cold, "h"), texts, span)
-        found = _search(cut.repartition("h").sortWithinPartitions("h", "seg"), span, limit)
+        found = _search(cut.repartition("h").sortWithinPartitions("h", "seg"), span, min(limit, PACK_BYTES))
         whole = one.where("m > 1").select(*name, F.lit(0).alias("a"), F.col("n").alias("z"))
         found = found.join(whole.select(*name), name, "left_anti").unionByName(whole)
         got = rows.select(*_KEY, "s0", *name).join(found, name).select(*_KEY, (F.col("s0") + F.col("a")).alias("a"), (F.col("s0") + F.col("z")).alias("z"))
@@ -250,45 +253,47 @@ def _cut(one: DataFrame, texts: DataFrame, span: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols: list[list] = [[], [], [], [], []]
-            for found, data in zip(b.column(2).to_pylist(), b.column(3)):
-                raw = data.as_buffer()
-                for r in found:
-                    for c, v in zip(cols, (r["h"], r["seg"], r["n"], r["c0"], raw.slice(r["s0"], r["n"] + span - 1).to_pybytes())):
-                        c.append(v)
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["h", "seg", "n", "c0", "part"])
+            for i, j in by_bytes(b.column(3), _BYTES_AT_ONCE):
+                some = b.slice(i, j - i)
+                cols: list[list] = [[], [], [], [], []]
+                for found, data in zip(some.column(2).to_pylist(), some.column(3)):
+                    raw = data.as_buffer()
+                    for r in found:
+                        for c, v in zip(cols, (r["h"], r["seg"], r["n"], r["c0"], raw.slice(r["s0"], r["n"] + span - 1).to_pybytes())):
+                            c.append(v)
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["h", "seg", "n", "c0", "part"])
 
     return _with_text(need, texts, ["h", "seg", "n", "c0", "s0"]).mapInArrow(lean(run), "h long, seg long, n int, c0 int, part binary")
 
 
-def kept_texts(docs: DataFrame, text_col: str = "text", span: int = SPAN, with_bytes: bool = False, **limits) -> DataFrame:
+def kept_texts(docs: DataFrame, text_col: str = "text", span: int = SPAN, with_text: bool = False, **limits) -> DataFrame:
     """Per distinct text: ``k1, k2, n_bytes, n_removed, n_spans, kept_sha256`` and, if
-    asked for, ``kept`` (the remaining bytes)."""
+    asked for, ``kept`` (the text of the remaining bytes, without characters that lost some)."""
     texts = _distinct_texts(docs, text_col)
     spans = repeated_spans(texts, span, **limits).groupBy(*_KEY).agg(F.collect_list(F.struct("a", "z")).alias("rows"))
     joined = texts.join(spans, _KEY, "left").select(*_KEY, "data", "copies", "rows")
-    schema = "k1 long, k2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_bytes else "")
+    schema = "k1 long, k2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if with_text else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[tuple] = []
-            for data, copies, rows in zip(b.column(2), b.column(3).to_pylist(), b.column(4).to_pylist()):
-                raw = data.as_buffer().to_pybytes()
-                if copies > 1 and len(raw) >= span:  # every window also starts in the copy
-                    rows = [{"a": 0, "z": len(raw) - span + 1}]
-                if not rows:
-                    out.append((len(raw), 0, 0, hashlib.sha256(raw).hexdigest(), raw))
-                    continue
-                edge = np.zeros(len(raw) + 1, np.int32)
-                np.add.at(edge, [r["a"] for r in rows], 1)
-                np.add.at(edge, [r["z"] + span - 1 for r in rows], -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-                out.append((len(raw), int(gone.sum()), len(_runs(gone)[0]), hashlib.sha256(kept).hexdigest(), kept))
-            kinds = [pa.int64()] * 3 + [pa.string(), pa.binary()]
-            cols = [pa.array(c, t) for c, t in zip(zip(*out), kinds)][: 5 if with_bytes else 4]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], _names(schema))
+            for i, j in by_bytes(b.column(2), _BYTES_AT_ONCE):
+                some, out = b.slice(i, j - i), []
+                for data, copies, rows in zip(some.column(2), some.column(3).to_pylist(), some.column(4).to_pylist()):
+                    raw = data.as_buffer().to_pybytes()
+                    if copies > 1 and len(raw) >= span:  # every window also starts in the copy
+                        rows = [{"a": 0, "z": len(raw) - span + 1}]
+                    removed, runs, kept = 0, 0, raw
+                    if rows:
+                        edge = np.zeros(len(raw) + 1, np.int32)
+                        np.add.at(edge, [r["a"] for r in rows], 1)
+                        np.add.at(edge, [r["z"] + span - 1 for r in rows], -1)
+                        gone = np.cumsum(edge[:-1]) > 0
+                        removed, runs, kept = int(gone.sum()), len(_runs(gone)[0]), np.frombuffer(raw, np.uint8)[~gone].tobytes()
+                    out.append((len(raw), removed, runs, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else ""))
+                kinds = [pa.int64()] * 3 + [pa.string()] * 2
+                cols = [pa.array(c, t) for c, t in zip(zip(*out), kinds)][: 5 if with_text else 4]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), *cols], _names(schema))
 
     return joined.mapInArrow(lean(run), schema)
 
@@ -309,15 +314,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span:
 def cleaned(docs: DataFrame, text_col: str = "text", span: int = SPAN, **limits) -> DataFrame:
     """``docs`` with the repeated bytes cut out of the text. A character that lost some
     of its bytes goes as a whole. NULL texts stay NULL."""
-    kept = kept_texts(docs, text_col, span, with_bytes=True, **limits)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            text = [x.decode("utf-8", "ignore") for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())], ["__k1", "__k2", "__kept"])
-
+    kept = kept_texts(docs, text_col, span, with_text=True, **limits)
     # the distinct texts meet the documents' other columns: no text crosses twice
-    text = kept.select(*_KEY, "kept").mapInArrow(lean(run), "__k1 long, __k2 long, __kept string")
+    text = kept.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("kept").alias("__kept"))
     k1, k2 = text_key(F.col(text_col).cast("string"))
     src = docs.select("*", k1.alias("__k1"), k2.alias("__k2"), F.col(text_col).isNotNull().alias("__any")).drop(text_col)
     both = src.join(text, ["__k1", "__k2"])
