@@ -119,3 +119,48 @@ def test_indefinite_blocks():
     v = np.array([[0.0, 1, 2], [1, 0, 3], [2, 3, 0]])
     true = np.linalg.eigvalsh(v)
     assert [W.count_above(v, s) for s in (-5, -2.5, 0, 3, 6)] == [int((true > s).sum()) for s in (-5, -2.5, 0, 3, 6)]
+
+
+def axes(far, near, d):
+    """Both ways along each axis: the covariance is diagonal, its entries are the squares of ``far, near, near + 1, ...``, halved twice by ``d``."""
+    return [[s * (far if j == 0 else near + j) / 64 if i == j else 0.0 for i in range(d)] for j in range(d) for s in (1, -1)]
+
+
+@pytest.mark.parametrize("d, bits", [(8, 27), (12, 25)])
+def test_eigenvalues_as_near_as_the_error_of_a_count(spark, d, bits):
+    """One far vector makes the others' eigenvalues as near as counts can tell: "not found" and "not confirmed" before."""
+    v = list(enumerate(axes(1 << bits, 1000, d)))
+    got = W.whiten(frame(spark, v), W.fit(frame(spark, v))).collect()
+    assert len(got) == 2 * d * d and {r.component for r in got} == set(range(1, d + 1))
+    assert max(r.identity_error for r in got) < 1e-2
+    want = [((1 << bits) ** 2) / d] + [(1000 + j) ** 2 / d for j in range(d - 1, 0, -1)]
+    seen = {r.component: r.eigenvalue for r in got}
+    assert max(abs(seen[k + 1] - e) for k, e in enumerate(want)) < 64 * d * 2.3e-16 * want[0]
+
+
+@pytest.mark.parametrize("far", [1 << 20, 1 << 24, 1 << 27])
+def test_chains_of_near_eigenvalues(far):
+    """Orthogonal, whole and in order, however the eigenvalues fall between the counts."""
+    for d, near, step in ((4, 300, 1), (8, 1000, 1), (12, 17, 2), (20, 1000, 2)):
+        true = np.array([far**2] + [(near + step * j) ** 2 for j in range(d, 1, -1)]) / d
+        values, vectors = W.leading_eigenpairs(np.diag(true[::-1]), 16)
+        gap = 32 * d * np.finfo(float).eps * true[0]
+        assert len(values) == min(16, (true > 4 * gap).sum())
+        assert np.abs(values - true[: len(values)]).max() <= gap
+        assert np.abs(vectors.T @ vectors - np.eye(len(values))).max() < 1e-12
+        assert np.abs(np.diag(true[::-1]) @ vectors - vectors * values).max() <= 2 * gap
+
+
+def test_deviations_of_many_vectors_need_no_python_integers():
+    """2.3 million fit vectors: sums times n are beyond 64 bits, deviations are not."""
+    rng = np.random.default_rng(8)
+    for n, spread in ((2_300_000, 40), (2_300_000, 3_000_000), (1 << 50, 40)):
+        x = 1_000_000 + rng.integers(-spread, spread, (50, 6))
+        sums = [n * 1_000_003 - 7 * k - 1 for k in range(6)]
+        y = x.astype(object) * n - np.array(sums, object)
+        flat, dev = W.Fit(n, sums, np.ones(1), np.ones((6, 1)), 1.0).centred(x)
+        assert dev == [sum(int(v) ** 2 for v in r) for r in y]
+        assert (flat == np.array([float(v) / n for v in y.ravel()]).reshape(y.shape)).all()
+    assert W._row_squares(np.full((2, 3), (1 << 50) + 1)) == [3 * ((1 << 50) + 1) ** 2] * 2
+    assert W._row_squares(np.array([[-(1 << 49) + 3, (1 << 49) - 1]])) == [((1 << 49) - 3) ** 2 + ((1 << 49) - 1) ** 2]
+    assert W._column_sums(np.full((70_000, 2), 1 << 46)).tolist() == [70_000 << 46] * 2

@@ -12,8 +12,9 @@ with 1 x 1 and 2 x 2 blocks) have as many positive eigenvalues as ``V`` has eige
 above ``s``. Bisection with these counts isolates each leading eigenvalue; inverse
 iteration in its interval and Rayleigh quotient iteration, which converges cubically,
 give the pair; two more counts, just above and just below the quotient, certify that it
-is the eigenvalue of that number. Eigenvalues that no count can tell apart in double
-precision are certified together, their vectors kept orthogonal.
+is the eigenvalue of that number. Eigenvalues that counts in double precision cannot tell
+apart, or hardly (within eight times their error), are one group: inverse iteration with as
+many vectors at once and Rayleigh-Ritz finds them, and two counts certify the group.
 
 A third pass over the fit list measures the covariance of the whitened vectors.
 """
@@ -100,12 +101,13 @@ def count_above(v: np.ndarray, shift: float) -> int:
 
 
 def _solve(v: np.ndarray, shift: float, x: np.ndarray) -> np.ndarray:
-    """``(v - shift I)^-1 x`` by the same factors; a zero pivot becomes a rounding error."""
+    """``(v - shift I)^-1 x`` for the columns of ``x`` by the same factors; a zero pivot becomes
+    a rounding error."""
     tiny = _EPS * max(np.abs(v).max(), np.finfo(float).tiny)
     low, d, blocks, p = ldl_factors(v - shift * np.eye(len(v)))
     y = x[p].copy()
     for k in range(len(y)):
-        y[k + 1 :] -= low[k + 1 :, k] * y[k]
+        y[k + 1 :] -= low[k + 1 :, k : k + 1] * y[k]
     for k, size in blocks:
         if size == 1:
             y[k] /= d[k, k] if abs(d[k, k]) > tiny else tiny
@@ -127,11 +129,13 @@ def leading_eigenpairs(v: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]
     d = len(v)
     norm = float(np.abs(v).sum(1).max()) if d else 0.0
     gap = 32 * d * _EPS * norm  # counts cannot tell nearer eigenvalues apart
+    room = 8 * gap  # nearer ones are one group: the vectors of a group are sought at once
+    close = gap / 8  # residual of a vector, but for what the vectors before it leave open
     floor = 4 * gap
     rank = count_above(v, floor) if norm > 0 else 0
     top = min(top, rank)
     values, vectors = np.zeros(top), np.zeros((d, top))
-    known = {floor: rank, norm * (1 + 1e-12): 0}  # counts at the shifts tried so far
+    known = {floor: rank, norm * (1 + 1e-12): 0, -norm * (1 + 1e-12): d}  # counts at the shifts tried so far
     rng = np.random.default_rng(12)
 
     def above(s: float) -> int:
@@ -139,49 +143,62 @@ def leading_eigenpairs(v: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]
             known[s] = count_above(v, s)
         return known[s]
 
+    def bounds(k: int) -> tuple[float, float]:
+        """What the counts say of eigenvalue ``k`` (from 0)."""
+        a, b = max(s for s, c in known.items() if c > k), min(s for s, c in known.items() if c <= k)
+        return (a, b) if a < b else ((a + b) / 2,) * 2  # counts that contradict each other: it is there
+
+    def halve(k: int) -> None:
+        above(sum(bounds(k)) / 2)
+
+    def apart(k: int) -> bool:
+        """Are eigenvalues ``k`` and ``k + 1`` further apart than ``room``? (If in doubt by two gaps: no.)"""
+        while True:
+            (a, b), (low, high) = bounds(k), bounds(k + 1)
+            if a - high >= room:
+                return True
+            if b - low <= room + 2 * gap:
+                return False
+            halve(k if b - a >= high - low else k + 1)
+
     k = 0
     while k < top:
-        a = max(s for s, c in known.items() if c >= k + 1)
-        b = min(s for s, c in known.items() if c <= k)
-        while above(a) - above(b) > 1 and b - a > gap:
-            m = (a + b) / 2
-            if above(m) >= k + 1:
-                a = m
-            else:
-                b = m
-        if b - a <= gap:  # a cluster: as many pairs as the counts say, kept orthogonal
-            width = min(above(a), top) - k
-        else:
-            width = 1
-        for t in range(k, k + width):
-            while True:
-                x = rng.standard_normal(d)
-                shift = (a + b) / 2
-                for step in range(60):
-                    x = _solve(v, shift, x)
-                    for _ in range(2):
-                        x -= vectors[:, :t] @ (vectors[:, :t].T @ x)
-                    x /= np.sqrt(x @ x)
-                    rho = float(x @ v @ x)
-                    err = float(np.sqrt(((v @ x - rho * x) ** 2).sum()))
-                    if err <= gap:
-                        break
-                    if step >= 2 and a <= rho <= b:
-                        shift = rho
-                inside = a - gap <= rho <= b + gap
-                if err <= gap and inside:
+        width = 1
+        while k + width < d and not apart(k + width - 1):
+            width += 1
+        if width > 1:
+            for t in (k, k + width - 1):  # both ends of a group, as near as counts go
+                while np.ptp(bounds(t)) > gap:
+                    halve(t)
+        done = vectors[:, :k]
+        while True:
+            a, b = bounds(k + width - 1)[0], bounds(k)[1]
+            x, shift = rng.standard_normal((d, width)), (a + b) / 2
+            for step in range(60 * width):
+                x = _solve(v, shift, x)
+                x /= np.sqrt((x * x).sum(0))
+                for _ in range(2):
+                    x = np.linalg.qr(x - done @ (done.T @ x))[0]
+                inner = x.T @ v @ x  # of a group: the best vectors of the space that it spans
+                rho, turn = np.linalg.eigh((inner + inner.T) / 2)
+                rho, x = rho[::-1], x @ turn[:, ::-1]
+                off = v @ x - x * rho
+                off -= done @ (done.T @ off)
+                err = float(np.sqrt((off * off).sum(0)).max())
+                if err <= close:
                     break
-                m = (a + b) / 2  # the quotient went to a neighbour: a narrower interval
-                if not a < m < b:
-                    raise ArithmeticError(f"eigenvalue {t + 1} was not found")
-                if above(m) >= t + 1:
-                    a = m
-                else:
-                    b = m
-            values[t], vectors[:, t] = rho, x
+                if width == 1 and step >= 2 and a <= rho[0] <= b:
+                    shift = float(rho[0])
+            if err <= close and a - gap <= rho[-1] and rho[0] <= b + gap:
+                break
+            if width > 1 or b - a <= gap:
+                raise ArithmeticError(f"eigenvalue {k + 1} was not found")
+            halve(k)  # the quotient went to a neighbour: a narrower interval
         slack = 2 * gap
-        if not above(values[k] + slack) <= k or not above(values[k + width - 1] - slack) >= k + width:
+        if not above(rho[0] + slack) <= k or not above(rho[-1] - slack) >= k + width:
             raise ArithmeticError(f"counts do not confirm eigenvalue {k + 1}")
+        some = min(width, top - k)
+        values[k : k + some], vectors[:, k : k + some] = rho[:some], x[:, :some]
         k += width
     order = np.argsort(-values, kind="stable")
     values, vectors = values[order], vectors[:, order]
@@ -215,6 +232,28 @@ def _unpack(col: pa.Array, d: int) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), "<i8").reshape(len(col), d)
 
 
+def _mean(total: int, n: int) -> int:
+    """``total / n``, rounded."""
+    return (2 * total + n) // (2 * n)
+
+
+def _column_sums(x: np.ndarray) -> np.ndarray:
+    """Exact: entries are below 2**47, so 2**15 of them have a sum below 2**62."""
+    return sum((x[a : a + (1 << 15)].sum(0).astype(object) for a in range(0, len(x), 1 << 15)), np.zeros(x.shape[1], object))
+
+
+def _row_squares(y: np.ndarray) -> list[int]:
+    """The exact sum of squares of each row, from halves of 25 bits if 64 bits do not hold it."""
+    most, d = int(np.abs(y).max(initial=0)), max(y.shape[1], 1)
+    if most * most * d < 1 << 62:
+        return (y * y).sum(1).tolist()
+    if most >= 1 << 50 or d >= 1 << 11:
+        return [int(sum(v * v for v in r)) for r in y.astype(object)]
+    high, low = y >> 25, y & ((1 << 25) - 1)
+    parts = zip((high * high).sum(1).tolist(), (high * low).sum(1).tolist(), (low * low).sum(1).tolist())
+    return [(a << 50) + (b << 26) + c for a, b, c in parts]
+
+
 @dataclass(frozen=True)
 class Fit:
     """One vector length: number of fit vectors, exact sums, eigenvalues and vectors."""
@@ -228,14 +267,13 @@ class Fit:
 
     def centred(self, x: np.ndarray) -> tuple[np.ndarray, list[int]]:
         """``x - S/n`` in double, and the exact sum of squares of ``n x - S`` of each row."""
-        s = np.array(self.sums, object)
-        far = max((abs(int(v)) for v in (x.max(initial=0), x.min(initial=0), *self.sums)), default=0)
-        if far * (self.n + 1) < 1 << 62:
-            y = x * self.n - np.array(self.sums, np.int64)
-            most = int(np.abs(y).max(initial=0))
-            if most * most * max(y.shape[1], 1) < 1 << 62:
-                return y / self.n, (y * y).sum(1).tolist()
-        y = x.astype(object) * self.n - s
+        mid = [_mean(v, self.n) for v in self.sums]
+        off = [v - self.n * m for v, m in zip(self.sums, mid)]
+        z = x - np.array(mid, np.int64)
+        if (int(np.abs(z).max(initial=0)) + 1) * self.n < 1 << 62:
+            y = z * self.n - np.array(off, np.int64)  # n x - S
+            return y / self.n, _row_squares(y)
+        y = z.astype(object) * self.n - np.array(off, object)
         flat = np.array([float(v) / self.n if abs(v) < 1 << 1000 else float(v // self.n) for v in y.ravel()]).reshape(y.shape)
         return flat, [int(sum(v * v for v in r)) for r in y]
 
@@ -298,11 +336,11 @@ def fit(vectors: DataFrame, vector_col: str = "embedding", components: int = COM
                 yield pa.RecordBatch.from_arrays([pa.array([d] * len(x), pa.int32()), pa.array([_pack(r) for r in x], pa.binary())], ["d", "x"])
 
     distinct = write_table(src.mapInArrow(pack, "d int, x binary").distinct(), "whitening-fit")
-    sums = _sum_rows(distinct, lambda d, x: [(0, np.array([len(x)], object)), (1, np.array([int(v) for v in x.astype(object).sum(0)], object))], "decimal(38,0)")
+    sums = _sum_rows(distinct, lambda d, x: [(0, np.array([len(x)], object)), (1, _column_sums(x))], "decimal(38,0)")
     dims = sorted({r.d for r in sums})
     n = {d: int(_table(sums, d, 0, (1,), True)[0]) for d in dims}
     s = {d: [int(v) for v in _table(sums, d, 1, (d,), True)] for d in dims}
-    mid = {d: [(2 * v + n[d]) // (2 * n[d]) for v in s[d]] for d in dims}  # rounded means
+    mid = {d: [_mean(v, n[d]) for v in s[d]] for d in dims}
 
     def second(d: int, x: np.ndarray) -> list:
         return [(0, _products(x - np.array(mid[d], np.int64)))]
