@@ -12,9 +12,11 @@ with 1 x 1 and 2 x 2 blocks) have as many positive eigenvalues as ``V`` has eige
 above ``s``. Bisection with these counts isolates each leading eigenvalue; inverse
 iteration in its interval and Rayleigh quotient iteration, which converges cubically,
 give the pair; two more counts, just above and just below the quotient, certify that it
-is the eigenvalue of that number. Eigenvalues that counts in double precision cannot tell
-apart, or hardly (within eight times their error), are one group: inverse iteration with as
-many vectors at once and Rayleigh-Ritz finds them, and two counts certify the group.
+is the eigenvalue of that number. Eigenvalues that no count can tell apart in double
+precision are certified together, their vectors kept orthogonal. If some can hardly be told
+apart, so that this fails, those within eight times the error of a count are one group:
+inverse iteration with as many vectors at once and Rayleigh-Ritz finds them, and two counts
+certify the group.
 
 A third pass over the fit list measures the covariance of the whitened vectors.
 """
@@ -101,13 +103,13 @@ def count_above(v: np.ndarray, shift: float) -> int:
 
 
 def _solve(v: np.ndarray, shift: float, x: np.ndarray) -> np.ndarray:
-    """``(v - shift I)^-1 x`` for the columns of ``x`` by the same factors; a zero pivot becomes
-    a rounding error."""
+    """``(v - shift I)^-1 x`` (a vector, or columns) by the same factors; a zero pivot becomes a
+    rounding error."""
     tiny = _EPS * max(np.abs(v).max(), np.finfo(float).tiny)
     low, d, blocks, p = ldl_factors(v - shift * np.eye(len(v)))
     y = x[p].copy()
     for k in range(len(y)):
-        y[k + 1 :] -= low[k + 1 :, k : k + 1] * y[k]
+        y[k + 1 :] -= np.multiply.outer(low[k + 1 :, k], y[k])
     for k, size in blocks:
         if size == 1:
             y[k] /= d[k, k] if abs(d[k, k]) > tiny else tiny
@@ -120,12 +122,72 @@ def _solve(v: np.ndarray, shift: float, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def leading_eigenpairs(v: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``top`` largest positive eigenvalues, falling, and their unit vectors as columns.
+def _one_by_one(v: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each eigenvalue in an interval of its own; a cluster if no count can tell some apart."""
+    d = len(v)
+    norm = float(np.abs(v).sum(1).max()) if d else 0.0
+    gap = 32 * d * _EPS * norm  # counts cannot tell nearer eigenvalues apart
+    floor = 4 * gap
+    rank = count_above(v, floor) if norm > 0 else 0
+    top = min(top, rank)
+    values, vectors = np.zeros(top), np.zeros((d, top))
+    known = {floor: rank, norm * (1 + 1e-12): 0}  # counts at the shifts tried so far
+    rng = np.random.default_rng(12)
 
-    Fewer come back if fewer are above rounding errors (rank). The sign of a vector makes
-    its largest entry positive. Raises if the counts do not confirm an eigenvalue's number.
-    """
+    def above(s: float) -> int:
+        if s not in known:
+            known[s] = count_above(v, s)
+        return known[s]
+
+    k = 0
+    while k < top:
+        a = max(s for s, c in known.items() if c >= k + 1)
+        b = min(s for s, c in known.items() if c <= k)
+        while above(a) - above(b) > 1 and b - a > gap:
+            m = (a + b) / 2
+            if above(m) >= k + 1:
+                a = m
+            else:
+                b = m
+        if b - a <= gap:  # a cluster: as many pairs as the counts say, kept orthogonal
+            width = min(above(a), top) - k
+        else:
+            width = 1
+        for t in range(k, k + width):
+            while True:
+                x = rng.standard_normal(d)
+                shift = (a + b) / 2
+                for step in range(60):
+                    x = _solve(v, shift, x)
+                    for _ in range(2):
+                        x -= vectors[:, :t] @ (vectors[:, :t].T @ x)
+                    x /= np.sqrt(x @ x)
+                    rho = float(x @ v @ x)
+                    err = float(np.sqrt(((v @ x - rho * x) ** 2).sum()))
+                    if err <= gap:
+                        break
+                    if step >= 2 and a <= rho <= b:
+                        shift = rho
+                inside = a - gap <= rho <= b + gap
+                if err <= gap and inside:
+                    break
+                m = (a + b) / 2  # the quotient went to a neighbour: a narrower interval
+                if not a < m < b:
+                    raise ArithmeticError(f"eigenvalue {t + 1} was not found")
+                if above(m) >= t + 1:
+                    a = m
+                else:
+                    b = m
+            values[t], vectors[:, t] = rho, x
+        slack = 2 * gap
+        if not above(values[k] + slack) <= k or not above(values[k + width - 1] - slack) >= k + width:
+            raise ArithmeticError(f"counts do not confirm eigenvalue {k + 1}")
+        k += width
+    return values, vectors
+
+
+def _in_groups(v: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues that are hardly apart are sought as one group, and certified as one."""
     d = len(v)
     norm = float(np.abs(v).sum(1).max()) if d else 0.0
     gap = 32 * d * _EPS * norm  # counts cannot tell nearer eigenvalues apart
@@ -200,9 +262,22 @@ def leading_eigenpairs(v: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]
         some = min(width, top - k)
         values[k : k + some], vectors[:, k : k + some] = rho[:some], x[:, :some]
         k += width
+    return values, vectors
+
+
+def leading_eigenpairs(v: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``top`` largest positive eigenvalues, falling, and their unit vectors as columns.
+
+    Fewer come back if fewer are above rounding errors (rank). The sign of a vector makes
+    its largest entry positive. Raises if the counts do not confirm an eigenvalue's number.
+    """
+    try:
+        values, vectors = _one_by_one(v, top)
+    except ArithmeticError:  # eigenvalues about as near as the error of a count
+        values, vectors = _in_groups(v, top)
     order = np.argsort(-values, kind="stable")
     values, vectors = values[order], vectors[:, order]
-    for t in range(top):
+    for t in range(len(values)):
         if vectors[np.abs(vectors[:, t]).argmax(), t] < 0:
             vectors[:, t] *= -1
     return values, vectors
